@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import bpe, sharding, token_counts
+from quillstream.llm import bpe, decontamination, quality, sharding, simhash, token_counts, toxicity, warc
 from quillstream.llm.common import table
 
 
@@ -16,18 +16,44 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", "version")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.default_tokenizer(), limit=1024)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digests(decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), bpe.default_vocabulary())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(quality.judge(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_simhash": op2_simhash,
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
