@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import bpe, decontamination, quality, sharding, simhash, token_counts, toxicity, warc
+from quillstream.llm import bpe, decontamination, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from quillstream.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.default_tokenizer(), limit=1024)
 
@@ -48,6 +52,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
