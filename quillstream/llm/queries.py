@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import bpe, decontamination, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from quillstream.llm import bpe, decontamination, licenses, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from quillstream.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), bpe.default_vocabulary())
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
+    "op8_licenses": op8_licenses,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
