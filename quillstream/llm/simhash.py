@@ -3,19 +3,22 @@
 Fingerprints: one bit for each position that more than half of a text's shingle hashes have set. Equal fingerprints
 are one point from then on, under the smallest doc_id.
 
-Points within RADIUS bits are found exactly. A routing tree, fitted on a bounded sample of the points, halves the
-space again and again at the median Hamming distance from a vantage point; its leaves are the shards. A point belongs
-to one leaf. Where its distance is within RADIUS of the border, the triangle inequality leaves the other side open,
-and a copy of the point also queries there; elsewhere the side is pruned. Copies go to leaves of higher number only,
-so each pair of shards meets once. Within a shard a vantage-point tree of its own points answers all queries together,
-pruned by the same bounds, down to leaves that are compared bit by bit.
+Points within RADIUS bits are found exactly. The 64 bits are cut into BLOCKS; if two points differ in 4 bits or fewer,
+they differ in one bit or none in the first of four blocks, or in none of another: radii whose sum, with one added to
+each, is above RADIUS. Each block has a routing tree, fitted on a bounded sample, that halves the block's space again
+and again at the median Hamming distance from a vantage point; its leaves are the shards. A point belongs to one leaf of
+each tree. Where its distance is within the block's radius of the border, the triangle inequality leaves the other side
+open, and a copy of the point also queries there; elsewhere the side is pruned, with radius 0 always. Copies go to
+leaves of higher number only, so each pair of shards meets once. (One tree over all 64 bits is exact as well, but with
+radius 4 two thirds of the points cross each border: copies grow with the power 1.75 of the points. By blocks they grow
+in proportion, but for the first block's.)
+
+Within a shard a vantage-point tree over all 64 bits of its own points answers all queries together, pruned by the same
+bounds, down to leaves that are compared bit by bit.
 
 A shard returns each connected point with the least id that it reaches there, never its pairs, so a dense group of n
 points gives n rows. Components over all shards are then joined by star contraction.
 
-Cost: about two thirds of the points cross a border at RADIUS 4, so a query visits a share of the leaves that falls
-only slowly with depth (0.84 a level), and work grows with about the power 1.75 of the number of distinct fingerprints.
-
 Null and empty texts have no words: fingerprint zero, linked like any other. Rows without a doc_id take part with
 the others; repeated rows are exact copies; empty tables give empty results; other columns aren't read.
 """
@@ -36,6 +39,7 @@ from quillstream.llm.graph import connected_components
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
+BLOCKS = 4
 SHARD_POINTS = 8192
 MAX_SHARDS = 16_384
 SAMPLE = 20_000
@@ -165,28 +169,44 @@ def linked(points: np.ndarray, own: np.ndarray, radius: int = RADIUS) -> np.ndar
     return parent
 
 
-def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POINTS) -> DataFrame:
+def block_radii(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
+    """Radii of the blocks: points within `radius` are within it in one block at least. -1: the block isn't needed."""
+    return [(radius + 1) // blocks - 1 + (i < (radius + 1) % blocks) for i in range(blocks)]
+
+
+def block_values(fp: np.ndarray, blocks: int = BLOCKS) -> list[np.ndarray]:
+    """The bits of each block."""
+    at = [64 * i // blocks for i in range(blocks + 1)]
+    return [(fp >> np.uint64(a)) & np.uint64(2 ** (b - a) - 1) for a, b in zip(at, at[1:])]
+
+
+def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POINTS, blocks: int = BLOCKS) -> DataFrame:
     """points (fp, id): distinct fingerprints -> edges (a, b) that connect exactly those within `radius` over any steps."""
     n = points.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_points))))
     depth = min(depth, int(np.log2(MAX_SHARDS)))
     sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
-    router = Tree(sample, depth, 1)
+    routers = [(r, Tree(np.unique(v), depth, 1)) for r, v in zip(block_radii(radius, blocks), block_values(sample, blocks), strict=True)]
+    if not depth:  # one shard, one tree
+        routers = [(radius, routers[0][1]), *[(-1, t) for _, t in routers[1:]]]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             ids = batch.column(1).to_numpy(zero_copy_only=False)
-            seen = list(router.visits(fp, radius))
-            home = np.zeros(len(fp), np.int32)
-            for leaf, who, own in seen:
-                home[who[own]] = leaf
-            for leaf, who, own in seen:
-                keep = own | (home[who] < leaf)
-                who, own = who[keep], own[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(who), leaf, np.int32)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
-                )
+            for block, (values, (reach, router)) in enumerate(zip(block_values(fp, blocks), routers, strict=True)):
+                if reach < 0:
+                    continue
+                seen = list(router.visits(values, reach))
+                home = np.zeros(len(fp), np.int32)
+                for leaf, who, own in seen:
+                    home[who[own]] = leaf
+                for leaf, who, own in seen:
+                    keep = own | (home[who] < leaf)
+                    who, own = who[keep], own[keep]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(who), block * MAX_SHARDS + leaf, np.int32)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
+                    )
 
     def connect(shard: pa.Table) -> pa.Table:
         shard = shard.combine_chunks()
