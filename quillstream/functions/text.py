@@ -137,15 +137,14 @@ def kwic(text: Column, word: str, width: int = 120) -> Column:
     gaps, hits = F.split(flat, pattern), F.regexp_extract_all(flat, F.lit(pattern), F.lit(1))
     before = lambda g: F.when(F.length(g) > width, F.regexp_replace(F.right(g, F.lit(width)), r"^[^ ]* ", "")).otherwise(g)
     after = lambda g: F.when(F.length(g) > width, F.regexp_replace(F.left(g, F.lit(width)), r" [^ ]*$", "")).otherwise(g)
-    lengths = F.transform(hits, lambda h, i: F.length(h) + F.length(F.get(gaps, i)))
-    return F.transform(
-        hits,
-        lambda h, i: F.struct(
-            i.alias("hit"),
-            (F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x) + F.length(F.get(gaps, i))).alias("offset"),
-            before(F.get(gaps, i)).alias("before"), h.alias("word"), after(F.get(gaps, i + 1)).alias("after"),
-        ),
+    # gaps and hits in turn: the text's pieces, whose lengths add up to the offsets
+    begins = F.aggregate(
+        F.arrays_zip(F.transform(gaps, F.length).alias("g"), F.transform(hits, F.length).alias("h")), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+        lambda a, x: F.struct((a["at"] + x["g"] + F.coalesce(x["h"], F.lit(0))).alias("at"), F.array_append(a["begins"], a["at"] + x["g"]).alias("begins")), lambda a: a["begins"],
     )
+    zipped = F.arrays_zip(hits.alias("word"), begins.alias("offset"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
+    found = F.filter(zipped, lambda z: z["word"].isNotNull())
+    return F.transform(found, lambda z, i: F.struct(i.alias("hit"), z["offset"].alias("offset"), before(z["gap"]).alias("before"), z["word"].alias("word"), after(z["next"]).alias("after")))
 
 
 def quote(word: str) -> str:

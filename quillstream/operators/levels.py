@@ -30,7 +30,7 @@ def with_offsets(units: DataFrame, key: str, order: str, length: Column, gap: in
 
 def line_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, n_chars, start_offset, end_offset: only lengths are shuffled."""
-    narrow = lines(docs, key, text).select(key, "line_no", F.length("line").alias("n_chars"))
+    narrow = lines(docs, key, text).select(key, "line_no", F.length("line").cast("long").alias("n_chars"))
     return with_offsets(narrow, key, "line_no", F.col("n_chars"))
 
 

@@ -45,14 +45,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = False, escape: str | None = '"', quarantine: bool = True, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """(good rows, rows that don't fit the schema). escape None: nothing escapes."""
+    """(good rows, rows that don't fit the schema with what was read of them and their raw text in _corrupt). escape None: nothing escapes."""
     fields = T.StructType.fromDDL(schema)
     full = T.StructType([*fields.fields, T.StructField("_corrupt", T.StringType())])
     rows = (
         spark.read.schema(full).option("header", header).option("sep", sep).option("escape", escape if escape else "\x00").option("multiLine", "true")
         .option("mode", "PERMISSIVE" if quarantine else "FAILFAST").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
     )
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt"), rows.where(F.col("_corrupt").isNotNull()).select("_corrupt")
+    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt"), rows.where(F.col("_corrupt").isNotNull())
 
 
 def read_keyed_lines(spark: SparkSession, path: str) -> DataFrame:
