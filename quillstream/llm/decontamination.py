@@ -120,9 +120,9 @@ def matches(docs: DataFrame, windows: DataFrame, size: int, key: str, text: str,
 
 def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document row: doc_id, n_words, n_hit, n_items, item_ids (sorted strings), spans (merged), contaminated."""
-    windows = materialise(window_shingles(item_windows(items)), "benchmark-shingles")
+    windows = materialise(window_shingles(item_windows(items)).coalesce(8), "benchmark-shingles")
     sizes = sorted({SHINGLE_WORDS, *(r.k for r in windows.select("k").distinct().collect())})
-    prefixes = materialise(rarest(docs, windows, sizes, key, text).withColumn("part", F.lit(0)), "benchmark-prefixes")
+    prefixes = materialise(rarest(docs, windows, sizes, key, text).coalesce(8), "benchmark-prefixes")
     n = prefixes.count()
     slices = max(1, -(-n // WINDOWS_AT_ONCE))
     parts = []

@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillstream.llm.common import trimmed
+
 SHINGLE = 3
 PICK = 2
 BAND = 8
@@ -106,7 +108,7 @@ class Index:
                     hits[name].append(i - at)
         for name, diagonals in hits.items():
             diagonals.sort()
-            band = max(BAND, len(self.words[name]) // 5)
+            band = band_of(len(self.words[name]))
             low = high = diagonals[0]
             for d in diagonals[1:]:
                 if d - high > band:
@@ -116,6 +118,11 @@ class Index:
             yield name, low, high
 
 
+def band_of(words: int) -> int:
+    """Diagonals beside a hit's: a fifth of the template, BAND at least, but so few that the next occurrence isn't among them."""
+    return min(max(BAND, words // 5), max(1, words // 2))
+
+
 def align(template: list[str], words: list[str], low: int, high: int, band: int) -> tuple[int, int, int]:
     """(equal words, first and last text word among them) of the best alignment with diagonals from low - band to high + band.
 
@@ -147,7 +154,7 @@ def scan_text(text: str, index: Index, least: float = LEAST_COVERAGE) -> list[tu
     spans: list[tuple[int, int]] = []
     for name, low, high in index.candidates(words):
         template = index.words[name]
-        n, first, last = align(template, words, low, high, max(BAND, len(template) // 5))
+        n, first, last = align(template, words, low, high, band_of(len(template)))
         if n >= least * len(template):
             spans = spans or [m.span() for m in WORD.finditer(lower)]
             found.append((name, spans[first][0], spans[last][1], len(template), n, n / len(template)))
@@ -169,4 +176,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
                 types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "license_id", "start", "end", "template_words", "matched_words", "coverage"])
 
-    return docs.select(key, text).mapInArrow(run, SCHEMA)
+    return docs.select(key, text).mapInArrow(trimmed(run), SCHEMA)
