@@ -24,8 +24,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHE = 400_000
-PIECES = 60_000
+from quillstream.llm.common import trimmed
+
+CACHE = 200_000
+PIECES = 30_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Fixed value: the split pattern of byte-level BPE, as the vocabulary's library defines it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -180,7 +182,7 @@ def encode_column(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                     names=["doc_id", "ids", "decoded"],
                 )
 
-    return docs.select(key, text).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, ids array<int>, decoded string")
 
 
 def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,4 +204,4 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select(key, text).mapInArrow(run, SCHEMA)
+    return docs.select(key, text).mapInArrow(trimmed(run), SCHEMA)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise
+from quillstream.llm.common import materialise, trimmed, trimmed_group
 from quillstream.llm.graph import connected_components
 
 RADIUS = 4
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
                 found = np.array([fingerprint(t, size) for t in part.column(1).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(key, text).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -217,8 +217,8 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
         moved = np.flatnonzero(least != np.arange(len(ids)))
         return pa.table({"a": ids[moved], "b": ids[least[moved]]})
 
-    routed = points.select("fp", "id").mapInArrow(route, "shard int, fp long, id long, own boolean")
-    return routed.groupBy("shard").applyInArrow(connect, "a long, b long")
+    routed = points.select("fp", "id").mapInArrow(trimmed(route), "shard int, fp long, id long, own boolean")
+    return routed.groupBy("shard").applyInArrow(trimmed_group(connect), "a long, b long")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, shard_points: int = SHARD_POINTS) -> DataFrame:

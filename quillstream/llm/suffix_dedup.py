@@ -39,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstream.llm.common import materialise
+from quillstream.llm.common import materialise, trimmed, trimmed_group
 from quillstream.llm.suffix_array import suffix_array
 
 WINDOW = 50
 ANCHOR = 20
-BLOCK_BYTES = 8_000_000
-CHUNK = 3_000_000
-BUCKET_BYTES = 4_000_000
-SORT_BYTES = 1_500_000
+BLOCK_BYTES = 4_000_000
+CHUNK = 1_000_000
+BUCKET_BYTES = 2_000_000
+SORT_BYTES = 1_000_000
 NO_ID = 2**63 - 1
 #: Hash bits of an anchor; the lower bits of its key are its place in a chunk.
 ANCHOR_BITS, PLACE_BITS = 41, 23
@@ -205,7 +205,7 @@ def blocks_of(docs: DataFrame, key: str, text: str, rest: list[str], size: int)
         if ids:
             yield block()
 
-    return docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), *rest).mapInArrow(run, BLOCK)
+    return docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), *rest).mapInArrow(trimmed(run), BLOCK)
 
 
 def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -221,7 +221,7 @@ def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
                 parts = [pack(np.diff(own.anchor[cut[k] : cut[k + 1]], prepend=0), own.content[cut[k] : cut[k + 1]], own.least[cut[k] : cut[k + 1]]) for k in full]
                 yield pa.RecordBatch.from_arrays([pa.array([number] * len(full), pa.int64()), pa.array(full.astype(np.int32)), pa.array([0] * len(full), pa.int32()), pa.array(parts, pa.binary())], names=["block", "bucket", "kind", "part"])
 
-    return blocks.select("block", "ids", "ends", "body").mapInArrow(run, PART)
+    return blocks.select("block", "ids", "ends", "body").mapInArrow(trimmed(run), PART)
 
 
 def decide(bucket: pa.Table) -> pa.Table:
@@ -404,11 +404,11 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
     blocks = materialise(blocks_of(docs, key, text, rest, block_bytes), "text-blocks", 4)
     total = blocks.agg(F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()[0]
     buckets = max(1, -(-total // bucket_bytes))
-    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(decide, PART), "decisions")
+    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(trimmed_group(decide), PART), "decisions")
     forget(spark)
     by_block = blocks.groupBy("block")
-    sent = by_block.cogroup(told.where("kind = 1").groupBy("block")).applyInArrow(senders(buckets), PART)
-    windows = materialise(sent.groupBy("bucket").cogroup(told.where("kind = 2").groupBy("bucket")).applyInArrow(compare, PART), "windows")
+    sent = by_block.cogroup(told.where("kind = 1").groupBy("block")).applyInArrow(trimmed_group(senders(buckets)), PART)
+    windows = materialise(sent.groupBy("bucket").cogroup(told.where("kind = 2").groupBy("bucket")).applyInArrow(trimmed_group(compare), PART), "windows")
     forget(spark)
 
     def last(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -418,7 +418,7 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
         others = zstandard.ZstdDecompressor().decompress(left.column("rest")[0].as_py())
         return finish(own, removed_bytes(own, right, buckets), pa.ipc.open_stream(others).read_all() if rest else None)
 
-    return by_block.cogroup(told.where("kind = 1").unionByName(windows).groupBy("block")).applyInArrow(last, schema)
+    return by_block.cogroup(told.where("kind = 1").unionByName(windows).groupBy("block")).applyInArrow(trimmed_group(last), schema)
 
 
 def forget(spark) -> None:

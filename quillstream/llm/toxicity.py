@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import held_out, materialise
+from quillstream.llm.common import held_out, materialise, trimmed
 
 TRAIN_ROWS = 40_000
 LEXICON_WORDS = 5_000
@@ -143,7 +143,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, ke
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(folded, pa.string()), pa.array([near_key(t) for t in folded], pa.int64()), part.column(2).cast(pa.int32())], names=["doc_id", "folded", "near", "toxic"])
 
     joined = docs.select(key, text).join(F.broadcast(own), key).select(key, text, "toxic")
-    table = materialise(joined.mapInArrow(run, "doc_id long, folded string, near long, toxic int"), "toxic-training")
+    table = materialise(joined.mapInArrow(trimmed(run), "doc_id long, folded string, near long, toxic int"), "toxic-training")
     first = table.groupBy("near").agg(F.min("doc_id").alias("doc_id"))
     return table.join(F.broadcast(first), ["near", "doc_id"]).select("folded", "toxic")  # at most `rows` rows
 
@@ -181,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str =
     if not n_toxic or not n_clean:
         return Lexicon()
     share = n_toxic / (n_toxic + n_clean)
-    counted = training.mapInArrow(_counted(lambda t: set(t.split())), "what string, toxic long, clean long").groupBy("what").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = training.mapInArrow(trimmed(_counted(lambda t: set(t.split()))), "what string, toxic long, clean long").groupBy("what").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counted = materialise(counted.where(F.col("toxic") + F.col("clean") >= LEAST_DOCS), "toxic-counts")
     ratio = lambda a, b, s: a * F.log(F.greatest(a, F.lit(0.5)) / (a + b) / s)
     gain = 2 * (ratio(F.col("toxic"), F.col("clean"), share) + ratio(F.col("clean"), F.col("toxic"), 1 - share))
@@ -196,7 +196,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str =
         words = folded.split()
         return {f"{a} {b}" for a, b in zip(words, words[1:]) if a in weights or b in weights}
 
-    pairs = training.mapInArrow(_counted(around), "what string, toxic long, clean long").groupBy("what").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    pairs = training.mapInArrow(trimmed(_counted(around)), "what string, toxic long, clean long").groupBy("what").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     harmless = pairs.where((F.col("clean") >= LEAST_DOCS) & (F.col("clean") * share > 4 * F.col("toxic") * (1 - share)))
     exceptions = frozenset(r.what for r in harmless.orderBy(F.desc("clean"), "what").limit(EXCEPTIONS).collect())
     made = Lexicon(weights, exceptions)
@@ -207,7 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str =
             found = [made.features(t, automaton) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(1)], names=["a", "b", "toxic"])
 
-    told = training.mapInArrow(features, "a double, b double, toxic int").toPandas()  # at most `rows` rows
+    told = training.mapInArrow(trimmed(features), "a double, b double, toxic int").toPandas()  # at most `rows` rows
     made.curve = fit_curve(told[["a", "b"]].to_numpy(), (told["toxic"] > 0).to_numpy(float))
     return made
 
@@ -223,7 +223,7 @@ def score(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "t
                 found = np.array([lexicon.features(fold(t or ""), automaton) for t in part.column(1).to_pylist()], float).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(lexicon.score(found)), pa.array(found[:, 0])], names=["doc_id", "score", "weighted"])
 
-    return docs.select(key, text).mapInArrow(run, "doc_id long, score double, weighted double")
+    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, score double, weighted double")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

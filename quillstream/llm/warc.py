@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise, work_path
+from quillstream.llm.common import materialise, trimmed, work_path
 
 DEDUP_BYTES = 1000
 BLOCK_LINES = 2000
@@ -133,7 +133,7 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
             if out is not None:
                 out.close()
 
-    return materialise(planned.select("page_id", "url", "digest", "html", "first", "revisit").mapInArrow(run, CAPTURE), "captures")
+    return materialise(planned.select("page_id", "url", "digest", "html", "first", "revisit").mapInArrow(trimmed(run), CAPTURE), "captures")
 
 
 def index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -157,7 +157,7 @@ def index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     # blanks would part a line's fields; the id and place keep equal keys apart, so that ranges can split a common URL
     keyed = captures.withColumn("surt", F.regexp_replace("surt", r"\s", "%20"))
     ordered = keyed.repartitionByRange("surt", "page_id", "file", "start").sortWithinPartitions("surt", "page_id", "file", "start")
-    return materialise(ordered.mapInArrow(run, "first_key string, last_key string, n_lines long, block binary"), "capture-index")
+    return materialise(ordered.mapInArrow(trimmed(run), "first_key string, last_key string, n_lines long, block binary"), "capture-index")
 
 
 def lines_of(block: bytes) -> list[tuple[str, int | None, str, int, int]]:
@@ -203,7 +203,7 @@ def read(indexed: DataFrame, folder: str) -> DataFrame:
                     })
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("target", pa.string())]))
 
-    return indexed.select("block").mapInArrow(run, RECORD)
+    return indexed.select("block").mapInArrow(trimmed(run), RECORD)
 
 
 def lookup(spark: SparkSession, indexed: DataFrame, folder: str, urls: list[str]) -> list[tuple[dict[str, str], bytes]]:
