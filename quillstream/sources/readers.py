@@ -58,7 +58,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, header: bool = False,
 def read_keyed_lines(spark: SparkSession, path: str) -> DataFrame:
     """key, record of lines (gzip too): what stands before the first tab, and after it. Gzip can't be split, so rows are dealt anew."""
     lines = spark.read.text(path)
-    return lines.select(F.regexp_extract("value", "^([^\t]*)", 1).alias("key"), F.regexp_replace("value", "^[^\t]*\t", "").alias("record")).repartition()
+    return lines.select(F.regexp_extract("value", "^([^\t]*)", 1).alias("key"), F.regexp_replace("value", "^[^\t]*\t", "").alias("record")).repartition(spark.sparkContext.defaultParallelism)
 
 
 def read_json_objects(spark: SparkSession, path: str, schema: str, within: str | None = None) -> DataFrame:
