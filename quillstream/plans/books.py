@@ -113,7 +113,7 @@ def bibliographic(level: DataFrame, metadata: DataFrame, key: str = "estc_id") -
         elif c == "obl":
             columns.append(flag_of(value).alias(c))
         elif c in ("publication_topic", "publication_geography"):
-            columns.append(F.coalesce(F.transform(F.split(value, ";"), F.trim), F.array().cast("array<string>")).alias(c))
+            columns.append(F.coalesce(F.transform(F.split(value, ";"), lambda x: F.trim(x)), F.array().cast("array<string>")).alias(c))
         else:
             columns.append(F.coalesce(value, F.lit("")).alias(c.replace(".", "_")))
     said = [F.when(F.upper(F.col(f"`{c}`")) == "TRUE", F.lit(c.removeprefix("language."))) for c in flags]

@@ -298,7 +298,7 @@ def boolean_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT p_brand, trim(w) AS word, count(*) AS n FROM (SELECT p_brand, unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY p_brand, trim(w)""")
 def delimited_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_brand", F.explode(F.transform(F.split("p_name", " "), F.trim)).alias("word")).groupBy("p_brand", "word").agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf_dir, "part").select("p_brand", F.explode(F.transform(F.split("p_name", " "), lambda x: F.trim(x))).alias("word")).groupBy("p_brand", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, coalesce(json_extract_string(props, '$.sensitive'), 'unknown') AS sensitive FROM events""")

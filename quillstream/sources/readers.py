@@ -40,7 +40,7 @@ def read_collections(spark: SparkSession, arguments: list[str], read) -> DataFra
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """path, line_no (from 0), line of whole text files."""
-    whole = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     return whole.select("path", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line_no", "line"))
 
 
@@ -91,7 +91,7 @@ def split_outside(schema: str) -> list[str]:
 def read_reuse_clusters(spark: SparkSession, path: str) -> DataFrame:
     """cluster, doc_id, start, end, text of {"cluster_…": {"hits" or "Hits": [...]}} files."""
     hit = "array<struct<doc_id:string,original_indices:array<int>,encoded_indices:array<int>,text:string>>"
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     named = F.regexp_replace("value", r'"Hits"\s*:', '"hits":')
     entries = whole.select(F.explode(F.from_json(named, f"map<string,struct<hits:{hit}>>")).alias("cluster", "found"))
     hits = entries.select("cluster", F.explode("found.hits").alias("h"))
