@@ -93,7 +93,7 @@ def haystacks(lines: DataFrame, pair: str, page: str, order: str, line: str) ->
 
 def first_resolved(*styles: Column) -> Column:
     """The nearest ancestor's style: of each list of references the last that isn't null."""
-    return F.coalesce(*[F.element_at(F.array_compact(s), -1) for s in styles])
+    return F.coalesce(*[F.try_element_at(F.array_compact(s), F.lit(-1)) for s in styles])
 
 
 def link_titles(text: Column, titles: list[tuple[str, str]]) -> Column:

@@ -463,3 +463,52 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lines = sinks.triples(docs, F.concat(F.lit("doc/"), F.col("doc_id").cast("string")), [("lang", F.col("lang")), ("chars", F.col("n_chars"))])
     return lines.select(F.regexp_extract("value", r"^<doc/(\d+)>", 1).cast("long").alias("doc_id"), "value")
+
+
+@query("SELECT doc_id, source, lang, CAST(row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS INT) AS ordinal FROM documents")
+def typed_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.row_number().over(Window.partitionBy("source", "lang").orderBy("doc_id")).alias("ordinal"))
+
+
+@query("SELECT l_returnflag, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, CAST(sum(CAST(round(l_discount * 100) AS INT)) // count(*) AS BIGINT) AS confidence FROM lineitem GROUP BY ALL")
+def integer_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", F.to_date("l_shipdate").cast("string").alias("l_shipdate"), F.round(F.col("l_discount") * 100).cast("int").alias("c"))
+    return rows.groupBy("l_returnflag", "l_shipdate").agg(F.expr("coalesce(sum(c), 0) div count(1)").alias("confidence"))
+
+
+@query("SELECT substr(p_name, 1, 1) AS c1, substr(p_name, 2, 1) AS c2, count(*) AS n, min(p_name) AS first_name FROM part GROUP BY ALL")
+def first_letter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").groupBy(F.substring("p_name", 1, 1).alias("c1"), F.substring("p_name", 2, 1).alias("c2")).agg(F.count(F.lit(1)).alias("n"), F.min("p_name").alias("first_name"))
+
+
+@query(f"SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS documents FROM {SQL_TERMS} WHERE term LIKE 'l%' GROUP BY term")
+def term_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = tokens(table(spark, sf_dir, "documents")).where(F.startswith("term", F.lit("l"))).groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("documents"))
+
+
+@query("""SELECT s_suppkey, list_aggregate(list_sort(list(DISTINCT CAST(p_size AS VARCHAR))), 'string_agg', ',') AS sizes, count(*) AS lines FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY s_suppkey""")
+def distinct_union_of_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").join(table(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    joined = table(spark, sf_dir, "supplier").select("s_suppkey").join(lines, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    return joined.groupBy("s_suppkey").agg(F.array_join(F.array_sort(F.collect_set(F.col("p_size").cast("string"))), ",").alias("sizes"), F.count(F.lit(1)).alias("lines"))
+
+
+@query("""SELECT o_orderkey, coalesce(max(CASE WHEN l_linenumber = 1 THEN l_returnflag END), max(CASE WHEN l_linenumber = 2 THEN l_returnflag END), o_orderstatus) AS style FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""")
+def nearest_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    own = lambda n: lines.where(F.col("l_linenumber") == n).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_returnflag").alias(f"style_{n}"))
+    found = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").join(own(1), "o_orderkey", "left").join(own(2), "o_orderkey", "left")
+    return found.select("o_orderkey", joins.first_resolved(F.array("style_1"), F.array("style_2"), F.array("o_orderstatus")).alias("style"))
+
+
+@query()
+def poem_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.poem_terms(F.col("text"))).alias("n_terms"), F.size(text.poem_tokens(F.col("text"))).alias("n_tokens"))
+
+
+@query("SELECT event_type, CAST(strftime(ts, '%Y%m%d') AS INT) AS day, count(*) AS n FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INT) BETWEEN 20240105 AND 20240120 GROUP BY ALL")
+def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the range is on the column itself, so that it reaches the scan
+    rows = table(spark, sf_dir, "events").where((F.col("ts") >= "2024-01-05") & (F.col("ts") < "2024-01-21"))
+    return rows.groupBy("event_type", scalars.iso_date_number(F.date_format("ts", "yyyy-MM-dd")).alias("day")).agg(F.count(F.lit(1)).alias("n"))

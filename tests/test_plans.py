@@ -147,3 +147,30 @@ def test_alto(spark):
 def test_passim(spark):
     docs = spark.createDataFrame([("a", "s", ["x", "y"], "180912")], "id string, series string, pages array<string>, d string")
     assert json.loads(scans.passim_json(docs, F.col("d")).first().value) == {"id": "a", "series": "s", "date": "1809-12-01", "text": '<pb n="1"/>x\n<pb n="2"/>y'}
+
+
+def test_newspapers(spark):
+    from quillstream.plans import newspapers
+
+    frame = spark.createDataFrame
+    got = newspapers.newspaper_levels(
+        frame([("i", "a1", 0, "One. Two."), ("i", "a1", 1, "Three"), ("i", "a2", 0, "Four")], "issue_id string, article_id string, paragraph int, text string"),
+        frame([("i", "a1", 0, ["p1", "p2"], 1, "en", ["87.5", "x", "80.0"]), ("i", "a2", 1, ["p2"], 0, "fi", [])], "issue_id string, article_id string, place int, page_ids array<string>, illustrations int, language string, confidences array<string>"),
+        frame([("i", 18090101, 18090199)], "issue_id string, date_start int, date_end int"),
+    )
+    issue = got["issue"].first()
+    assert (issue.text, issue.articles, issue.paragraphs, issue.sentences, issue.pages, issue.languages) == ("One. Two.\n\nThree\n\nFour", 2, 3, 4, 2, ["en", "fi"])
+    assert [(a.start_offset, a.end_offset, a.ocr_confidence) for a in got["article"].orderBy("place").collect()] == [(0, 16, 837), (18, 22, 0)]
+    assert newspapers.in_years(got["issue"], 1810, None).count() == 0 and newspapers.in_years(got["issue"], 1809, 1809).count() == 1
+    assert sum(len(s.text) for s in got["sentence"].collect()) == 18
+
+
+def test_feeds(spark):
+    from quillstream.plans import newspapers
+
+    record = '<item><subject qcode="sttdepartment:3"/><subject qcode="sttsubject:9"/><genre qcode="sttversion:2"/><contentCreated>2001-01-01</contentCreated><versionCreated></versionCreated><headline>H</headline></item>'
+    facts, subjects = newspapers.feed_records(spark.createDataFrame([("1", record)], "id string, record string"))
+    assert facts.select("department", "version", "time_published", "headline", "urgency").first() == ("3", "2", "2001-01-01", "H", None)
+    assert subjects.collect() == [("1", "sttsubject:9")]
+    library = "<d:r xmlns:d='x'><d:identifier>N:1</d:identifier><d:title>Paper</d:title><d:date>1900-02-03</d:date></d:r>"
+    assert newspapers.library_articles(spark.createDataFrame([(library,)], "record string")).first() == ("N:1", "Paper", 19000203)
