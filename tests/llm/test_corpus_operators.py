@@ -230,3 +230,39 @@ def test_pipeline(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         at = stage(spark, at, str(tmp_path))
         assert at.columns == corpus_pipeline.COLUMNS
+
+
+def test_stages_take_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(9)
+    words = ["".join(r.choice("etaoinshr") for _ in range(r.randrange(2, 8))) for _ in range(300)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    same = text(120)
+    rows = [(1, text(100), "en", "s", 1), (1, text(100), None, None, None), (2, same, "en", "s", 2), (2, same, "en", "s", 2), (None, text(90), "en", None, 3), (None, None, None, None, None), (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, text(30_000), "en", "s", 5), (6, same, "fr", "s", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, text(20))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = {
+        "quality_rules": [1, 1, 2, 2, None, 5, 6], "simhash_near_dedup": [1, 2, 3, 5, None, None], "suffix_array_dedup": [1, 1, 2, 2, 3, 4, 5, None, None], "benchmark_decontamination": [1, 1, 2, 2, 3, 4, 5, 6, None, None],
+    }
+    for name, stage in corpus_pipeline.STAGES:
+        for given in (docs, docs.limit(0), docs.withColumns({"fp": F.lit("x"), "component_id": F.lit(1), "n_removed": F.lit("y"), "words": F.lit(2)}) if name != "suffix_array_dedup" else docs):
+            got = stage(spark, given, str(tmp_path))
+            if name in want:
+                assert got.columns == corpus_pipeline.COLUMNS
+                found = sorted((x.doc_id for x in got.collect()), key=str)
+                if given.limit(1).count():
+                    assert found == sorted(want[name], key=str), name
+                else:
+                    assert not found
+            else:
+                assert got.count() == (len(rows) if given.limit(1).count() else 0)
+
+
+def test_kept_documents_are_the_judged_ones(spark):
+    from quillstream.llm import quality
+
+    docs = spark.createDataFrame([(i, t + (" " + t if i % 7 == 0 else ""), "en") for i, t in enumerate(near_texts(120))], "doc_id long, text string, lang string")
+    kept = sorted(x.doc_id for x in quality.kept_documents(docs).collect())
+    assert kept == sorted(x.doc_id for x in quality.judge(docs).where("kept").collect()) and 0 < len(kept) < 120
