@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm import bpe, decontamination, quality, simhash, suffix_dedup
-from quillstream.llm.common import materialise, table
+from quillstream.llm.common import materialise, right_sized, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
@@ -27,7 +27,7 @@ def kept_ids(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose perplexity is within their language's bands."""
-    return kept_ids(docs, quality.judge(docs).where("kept"))
+    return quality.kept_documents(docs).select(COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = simhash.components(docs).where(F.col("doc_id") == F.col("component_id"))
     kept = kept_ids(docs, first)
     one = Window.partitionBy("doc_id").orderBy(F.length("text"), "text")  # the join has dealt rows by their ids already
-    return kept.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.row_number().over(one))).where("_row = 1 or _row is null").select(COLUMNS)
+    kept = kept.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.row_number().over(one))).where("_row = 1 or _row is null").select(COLUMNS)
+    return right_sized(kept, docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated."""
     scanned = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
-    return kept_ids(docs, scanned.where(~F.col("contaminated")))
+    return right_sized(kept_ids(docs, scanned.where(~F.col("contaminated"))), docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

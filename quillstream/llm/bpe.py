@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from quillstream.llm.common import trimmed
 
-CACHE = 200_000
+CACHE = 300_000
 PIECES = 30_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Fixed value: the split pattern of byte-level BPE, as the vocabulary's library defines it.

@@ -45,6 +45,15 @@ def materialise(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def right_sized(df: DataFrame, like: DataFrame, bytes_each: int = 8_000_000) -> DataFrame:
+    """`df` in no more partitions than the bytes of `like` (by Catalyst's statistics, that is its files) warrant, two for each core at least.
+
+    Small results aren't written as hundreds of files because a session deals its shuffles widely; large ones keep their partitions.
+    """
+    size = int(str(like._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.coalesce(min(1_000_000, max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_each))))  # an unknown size is a huge one
+
+
 def discard(path: str, spark: SparkSession) -> None:
     """Deletes a path through Hadoop's file system."""
     jvm = spark.sparkContext._jvm

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise
+from quillstream.llm.common import materialise, right_sized
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 3
@@ -139,7 +139,7 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
                          concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end)))),
                          concat(acc, array(named_struct('start', x.start, 'end', x.end)))))""")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + (x["end"] - x["start"]))
-    return (
+    out = (
         one.withColumn("spans", merged)
         .withColumn("n_hit", n_hit)
         .withColumn("item_ids", F.array_sort("item_ids"))
@@ -148,6 +148,7 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select("doc_id", "text_key", "n_words", "n_hit", "n_items", "item_ids", "spans", "contaminated")
     )
+    return right_sized(out, docs)
 
 
 def digests(scanned: DataFrame) -> DataFrame:

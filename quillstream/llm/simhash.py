@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise, trimmed, trimmed_group
+from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
 from quillstream.llm.graph import connected_components
 
 RADIUS = 4
@@ -224,11 +224,11 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, shard_points: int = SHARD_POINTS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable, itself included) of each row."""
     prints = materialise(fingerprints(docs, key, text, size), "fingerprints")
-    points = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("id", F.coalesce("least", NO_ID + F.pmod("fp", F.lit(2**40)))), "points")
+    points = materialise(right_sized(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("id", F.coalesce("least", NO_ID + F.pmod("fp", F.lit(2**40)))), prints), "points")
     found = connected_components(links(points, radius, shard_points))
     least = F.when(F.col("component") < NO_ID, F.col("component"))
     joined = points.join(found, "id", "left").select("fp", F.coalesce(least, "least").alias("component_id"))
-    return prints.join(joined, "fp").select("doc_id", "fp", "component_id")
+    return right_sized(prints.join(joined, "fp").select("doc_id", "fp", "component_id"), prints)
 
 
 def hexadecimal(fp: str = "fp"):

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstream.llm.common import materialise, trimmed, trimmed_group
+from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
 from quillstream.llm.suffix_array import suffix_array
 
 WINDOW = 50
@@ -48,6 +48,7 @@ BLOCK_BYTES = 4_000_000
 CHUNK = 1_000_000
 BUCKET_BYTES = 2_000_000
 SORT_BYTES = 1_000_000
+FINER = 8
 NO_ID = 2**63 - 1
 #: Hash bits of an anchor; the lower bits of its key are its place in a chunk.
 ANCHOR_BITS, PLACE_BITS = 41, 23
@@ -159,8 +160,12 @@ class Block:
 
     def slices(self, buckets: int) -> np.ndarray:
         """Where each bucket's entries begin, and the number of entries."""
-        edges = -(-(np.arange(buckets + 1, dtype=object) * 2**ANCHOR_BITS) // buckets)
-        return np.searchsorted(self.anchor, edges.astype(np.int64))
+        return np.searchsorted(self.anchor, bucket_edges(buckets))
+
+
+def bucket_edges(buckets: int) -> np.ndarray:
+    """The least anchor hash of each bucket, and the end."""
+    return (-(-(np.arange(buckets + 1, dtype=object) * 2**ANCHOR_BITS) // buckets)).astype(np.int64)
 
 
 def blocks_of(docs: DataFrame, key: str, text: str, rest: list[str], size: int) -> DataFrame:
@@ -224,8 +229,14 @@ def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.select("block", "ids", "ends", "body").mapInArrow(trimmed(run), PART)
 
 
-def decide(bucket: pa.Table) -> pa.Table:
-    """For each block: (kind 1) entries with an earlier document elsewhere, or on an anchor with differing stretches, and which of those the block has to send; (kind 2) the latter's hashes."""
+def decider(buckets: int):
+    """Map of a bucket's stretches; the comparison's buckets are FINER times as many, as few anchors can hold most of what differs."""
+    edges = bucket_edges(buckets * FINER)
+    return lambda bucket: decide(bucket, edges)
+
+
+def decide(bucket: pa.Table, edges: np.ndarray) -> pa.Table:
+    """For each block: (kind 1) entries with an earlier document elsewhere, or on an anchor with differing stretches, and which of those the block has to send; (kind 2) the latter's hashes, by the comparison's buckets."""
     numbers = bucket.column("block").to_pylist()
     found = [unpack(p, 3)[0] for p in bucket.column("part").to_pylist()]
     sizes = [len(f[0]) for f in found]
@@ -255,8 +266,9 @@ def decide(bucket: pa.Table) -> pa.Table:
         k = bucket.column("bucket")[0].as_py()
         rows.append((number, k, 1, pack(at[own], minimum[own], flag[own])))
         own = own[flag[own] > 0]
-        if len(own):
-            rows.append((number, k, 2, pack(anchor[own], content[own])))
+        fine = np.searchsorted(edges, anchor[own], side="right") - 1
+        for f in np.unique(fine):
+            rows.append((number, int(f), 2, pack(anchor[own[fine == f]], content[own[fine == f]])))
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.binary())))})
 
 
@@ -284,7 +296,7 @@ def senders(buckets: int):
             own = opened(left)
             least, flag = verdicts(own, right, buckets)
             sent = np.flatnonzero(flag == 2)
-            edges = np.searchsorted(sent, own.slices(buckets))
+            edges = np.searchsorted(sent, own.slices(buckets * FINER))
             for k in np.flatnonzero(np.diff(edges)):
                 e = sent[edges[k] : edges[k + 1]]
                 a, b = own.first[own.example[e]], own.last[own.example[e]] + WINDOW
@@ -404,7 +416,7 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
     blocks = materialise(blocks_of(docs, key, text, rest, block_bytes), "text-blocks", 4)
     total = blocks.agg(F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()[0]
     buckets = max(1, -(-total // bucket_bytes))
-    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(trimmed_group(decide), PART), "decisions")
+    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(trimmed_group(decider(buckets)), PART), "decisions")
     forget(spark)
     by_block = blocks.groupBy("block")
     sent = by_block.cogroup(told.where("kind = 1").groupBy("block")).applyInArrow(trimmed_group(senders(buckets)), PART)
@@ -418,7 +430,8 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
         others = zstandard.ZstdDecompressor().decompress(left.column("rest")[0].as_py())
         return finish(own, removed_bytes(own, right, buckets), pa.ipc.open_stream(others).read_all() if rest else None)
 
-    return by_block.cogroup(told.where("kind = 1").unionByName(windows).groupBy("block")).applyInArrow(trimmed_group(last), schema)
+    out = by_block.cogroup(told.where("kind = 1").unionByName(windows).groupBy("block")).applyInArrow(trimmed_group(last), schema)
+    return right_sized(out, blocks)
 
 
 def forget(spark) -> None:
