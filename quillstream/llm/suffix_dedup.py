@@ -45,9 +45,9 @@ from quillstream.llm.suffix_array import suffix_array
 WINDOW = 50
 ANCHOR = 20
 BLOCK_BYTES = 4_000_000
-CHUNK = 1_000_000
+CHUNK = 500_000
 BUCKET_BYTES = 2_000_000
-SORT_BYTES = 1_000_000
+SORT_BYTES = 500_000
 FINER = 8
 NO_ID = 2**63 - 1
 #: Hash bits of an anchor; the lower bits of its key are its place in a chunk.
