@@ -125,3 +125,10 @@ def token_offsets(tokens: DataFrame, key: str, order: list[str], word: str, gap:
     step = gap + F.length(word)
     end = F.sum(step).over(until(w)) - 1
     return tokens.withColumn("position", F.row_number().over(w) - 1).withColumn("end_offset", end).withColumn("start_offset", F.col("end_offset") - F.length(word))
+
+
+def global_numbers(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """key, number from 0 of each distinct key in order: ranges are sorted apart, and each is numbered from where the last one ended."""
+    ordered = rows.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.sparkSession.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])), f"{key} {kind}, {name} long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions.scalars import date_bounds, estc_id, flag_of, none_if_blank
@@ -139,5 +139,4 @@ def offset_store(payload: DataFrame) -> DataFrame:
 
 def by_ordinal(store: DataFrame, documents: DataFrame) -> DataFrame:
     """The offset store under the documents' ordinals in their sorted table."""
-    numbered = documents.select("document_id").distinct().withColumn("ordinal", F.dense_rank().over(Window.orderBy("document_id")) - 1)
-    return store.join(numbered, "document_id").drop("document_id")
+    return store.join(levels.global_numbers(documents, "document_id", "ordinal"), "document_id").drop("document_id")

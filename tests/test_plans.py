@@ -174,3 +174,9 @@ def test_feeds(spark):
     assert subjects.collect() == [("1", "sttsubject:9")]
     library = "<d:r xmlns:d='x'><d:identifier>N:1</d:identifier><d:title>Paper</d:title><d:date>1900-02-03</d:date></d:r>"
     assert newspapers.library_articles(spark.createDataFrame([(library,)], "record string")).first() == ("N:1", "Paper", 19000203)
+
+
+def test_offset_stores(spark):
+    payload = spark.createDataFrame([("b", 0, 1, 2, 3, 4, 5), ("a", 7, 1, 2, 3, 4, 5)], "document_id string, offset int, page int, x int, y int, w int, h int")
+    store = books.offset_store(payload)
+    assert sorted((r.ordinal, r.offset, r.w) for r in books.by_ordinal(store, store).collect()) == [(0, 7, 4), (1, 0, 4)]
