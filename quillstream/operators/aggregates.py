@@ -8,12 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Pieces that a group's value range is cut into before its values are numbered.
+PIECES = 64
+
+
+def counts_before(counted: DataFrame, keys: list[str], value: str, n: str, name: str) -> DataFrame:
+    """counted (keys, value, n) with the sum of n over smaller values of the same keys.
+
+    A group's values are cut at approximate quantiles, summed up for each piece, and ordered within pieces only: no
+    group is sorted by one task, however many different values it has.
+    """
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, [i / PIECES for i in range(1, PIECES)], 10_000).alias("_cuts"))
+    placed = counted.join(cuts, keys).withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    before = lambda w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = placed.groupBy(*keys, "_piece").agg(F.sum(n).alias(n)).withColumn("_off", before(Window.partitionBy(*keys).orderBy("_piece"))).drop(n)
+    inner = placed.withColumn(name, before(Window.partitionBy(*keys, "_piece").orderBy(value)))
+    return inner.join(pieces, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_off")).drop("_piece", "_off")
+
+
 def average_ranks(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Ranks of values within keys, ties at their mean. Values are counted before they are ranked, so no group's rows are sorted whole."""
-    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = counted.withColumn(name, before + (F.col("_n") + 1) / 2).drop("_n")
-    return rows.join(ranked, [*keys, value])
+    """Ranks of values within keys, ties at their mean."""
+    counted = counts_before(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), keys, value, "_n", "_before")
+    return rows.join(counted.select(*keys, value, (F.col("_before") + (F.col("_n") + 1) / 2).alias(name)), [*keys, value])
 
 
 def correlations(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
