@@ -43,8 +43,8 @@ def correlations(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
 def kendall_binary(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """keys, n, kendall (tau-b) for an x of 0 and 1: pairs follow from counts for each y, so no pair is formed."""
     counted = rows.groupBy(*keys, y).agg(F.sum(F.when(F.col(x) == 0, 1).otherwise(0)).alias("_a"), F.sum(F.when(F.col(x) == 1, 1).otherwise(0)).alias("_b"))
-    below = Window.partitionBy(*keys).orderBy(y).rowsBetween(Window.unboundedPreceding, -1)
-    paired = counted.withColumn("_s", F.col("_b") * F.coalesce(F.sum("_a").over(below), F.lit(0)) - F.col("_a") * F.coalesce(F.sum("_b").over(below), F.lit(0)))
+    counted = counts_before(counts_before(counted, keys, y, "_a", "_a_below"), keys, y, "_b", "_b_below")
+    paired = counted.withColumn("_s", F.col("_b") * F.col("_a_below") - F.col("_a") * F.col("_b_below"))
     m = F.col("_a") + F.col("_b")
     summed = paired.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), F.sum(m * (m - 1) / 2).alias("_ty"))
     n = F.col("_a") + F.col("_b")
@@ -108,9 +108,8 @@ def weighted_median(rows: DataFrame, keys: list[str], value: str, weight: Column
 
 
 def weighted_cut(counted: DataFrame, keys: list[str], value: str, reach: Column, name: str) -> DataFrame:
-    so_far = F.sum("_n").over(Window.partitionBy(*keys).orderBy(value))
-    whole = F.sum("_n").over(Window.partitionBy(*keys))
-    placed = counted.withColumn("_so_far", so_far).withColumn("_total", whole).where(F.col("_so_far") >= reach)
+    whole = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    placed = counts_before(counted, keys, value, "_n", "_before").join(whole, keys).where(F.col("_before") + F.col("_n") >= reach)
     return placed.groupBy(*keys).agg(F.min(value).alias(name))
 
 
