@@ -21,6 +21,7 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -28,6 +29,8 @@ from quillstream.llm.common import trimmed
 
 CACHE = 300_000
 PIECES = 30_000
+#: Bits of a symbol in a pair's number.
+PAIR_BITS = 24
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Fixed value: the split pattern of byte-level BPE, as the vocabulary's library defines it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,16 +62,19 @@ class Codec:
         byte_of, vocab = printable_bytes(), told["model"]["vocab"]
         raw = {s: bytes(byte_of[c] for c in s) for s in vocab}
         self.bytes_of: dict[int, bytes] = {i: raw[s] for s, i in vocab.items()}
-        self.first = [0] * 256
+        self.first = np.zeros(256, np.int64)
         for s, i in vocab.items():
             if len(raw[s]) == 1:
                 self.first[raw[s][0]] = i
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}  # pair -> rank, new symbol
+        self.rank: dict[int, int] = {}  # of a pair, its symbols in one number
         self.by_rank: list[tuple[int, int, int]] = []
         for rank, pair in enumerate(told["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merge[vocab[a], vocab[b]] = rank, vocab[a + b]
+            self.rank[vocab[a] << PAIR_BITS | vocab[b]] = rank
             self.by_rank.append((vocab[a], vocab[b], vocab[a + b]))
+        pairs = np.array(list(self.rank), np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], np.array(list(self.rank.values()), np.int64)[order]
         special = {t["content"]: t["id"] for t in told.get("added_tokens", [])}
         self.bytes_of |= {i: s.encode() for s, i in special.items()}
         self.special = {s: i.to_bytes(4, "little") for s, i in special.items()}
@@ -78,58 +84,56 @@ class Codec:
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes distinct pre-tokens together, and keeps their ids as little-endian 32-bit integers."""
-        merge, first, by_rank = self.merge, self.first, self.by_rank
-        symbol: list[int] = []
-        begins: list[int] = []
-        for piece in pieces:
-            begins.append(len(symbol))
-            symbol.extend([first[b] for b in piece.encode()])
-            symbol.append(-1)  # ends the piece; no pair has it
-        n = len(symbol)
+        raw = [p.encode() for p in pieces]
+        ends = np.cumsum([len(r) + 1 for r in raw]) - 1
+        start = self.first[np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)]
+        start[ends] = -1  # ends the piece; no pair has it
+        n = len(start)
+        key = start[:-1] << PAIR_BITS | start[1:]
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        places = np.flatnonzero((self.pairs[at] == key) & (start[:-1] >= 0) & (start[1:] >= 0))
+        ranks = self.pair_ranks[at[places]]
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(ranks) else np.zeros(0, np.int64)
+        active: list[int] = ranks[cuts].tolist()  # in order, so a heap
+        where: dict[int, list[int]] = {r: p.tolist() for r, p in zip(active, np.split(places, cuts[1:]), strict=len(cuts) > 0)}
+        symbol: list[int] = start.tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        where: dict[int, list[int]] = {}
-        for i, pair in enumerate(zip(symbol, symbol[1:])):
-            if found := merge.get(pair):
-                where.setdefault(found[0], []).append(i)
-        active = list(where)
-        heapq.heapify(active)
-        find, pop, push = merge.get, heapq.heappop, heapq.heappush
+        find, by_rank, pop, push = self.rank.get, self.by_rank, heapq.heappop, heapq.heappush
         while active:
             rank = pop(active)
             a, b, new = by_rank[rank]
-            places = where.pop(rank)
-            places.sort()
-            for i in places:
+            found = where.pop(rank)
+            found.sort()
+            left, right = new << PAIR_BITS, new
+            for i in found:
                 if symbol[i] != a:
                     continue
                 j = after[i]
                 if symbol[j] != b:
                     continue
                 symbol[i], symbol[j] = new, -2
-                k = after[j]
-                after[i], before[k] = k, i
-                if found := find((new, symbol[k])):
-                    r = found[0]
+                k = after[i] = after[j]
+                before[k] = i
+                if (s := symbol[k]) >= 0 and (r := find(left | s)) is not None:
                     if r in where:
                         where[r].append(i)
                     else:
                         where[r] = [i]
                         push(active, r)
                 h = before[i]
-                if h >= 0 and (found := find((symbol[h], new))):
-                    r = found[0]
+                if h >= 0 and (s := symbol[h]) >= 0 and (r := find(s << PAIR_BITS | right)) is not None:
                     if r in where:
                         where[r].append(h)
                     else:
                         where[r] = [h]
                         push(active, r)
-        known = self.known
-        for piece, i in zip(pieces, begins, strict=True):
-            ids = []
-            while (s := symbol[i]) != -1:
-                ids.append(s)
-                i = after[i]
-            known[piece] = b"".join([x.to_bytes(4, "little") for x in ids])
+        final = np.array(symbol, np.int64)
+        alive = final >= 0
+        ids = final[alive].astype("<u4").tobytes()
+        until = (4 * np.cumsum(alive)[ends]).tolist()
+        self.known.update(zip(pieces, [ids[x:y] for x, y in zip([0, *until], until)]))
 
     def cut_text(self, text: str) -> list[str]:
         """Pre-tokens and special strings, in order."""
