@@ -44,8 +44,13 @@ def analyzer(tokenizer: Callable[[Column], Column], *filters: Callable[[Column],
     return run
 
 
-#: White-space tokens without punctuation at their ends, in lower case.
-default_analyzer = analyzer(whitespace_tokens, strip_punctuation, F.lower)
+def default_analyzer(text: Column) -> Column:
+    """White-space tokens without punctuation at their ends, in lower case: what
+    analyzer(whitespace_tokens, strip_punctuation, F.lower) gives, but with each rule applied once to the whole text
+    instead of once to each token. Empty tokens stay, as they are gaps."""
+    joined = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), r"-\s+(?=\S)", "")
+    spaced = F.lower(F.regexp_replace(joined, r"\s+", " "))
+    return F.split(F.regexp_replace(spaced, r"(?<![^ ])\p{Punct}+|\p{Punct}+(?![^ ])", ""), " ")
 
 
 def n_terms(tokens: Column) -> Column:

@@ -14,11 +14,12 @@ def one(spark, value, column):
 @pytest.mark.parametrize(
     ("value", "terms", "tokens"),
     [
-        ("Foo, bar!", ["foo", "bar"], 2), ("foo - bar", ["foo", "bar"], 2), ("co-\noperate now", ["cooperate", "now"], 2), ("a !!! b ...", ["a", "b"], 3), ("", [], 0), ("  ", [], 0), ("end-", ["end"], 1), ("“Hi!", ["“hi"], 1), ("...", [], 0),
+        ("Foo, bar!", ["foo", "bar"], 2), ("foo - bar", ["foo", "bar"], 2), ("co-\noperate now", ["cooperate", "now"], 2), ("a !!! b ...", ["a", "b"], 3), ("", [], 0), ("  ", [], 0), ("end-", ["end"], 1), ("“Hi!", ["“hi"], 1), ("...", [], 0), ("..a.b.. -c- ,d", ["a.b", "c,d"], 2), ("x\t\n -\n y", ["x", "y"], 2),
     ],
 )
 def test_default_analyzer(spark, value, terms, tokens):
     t = text.default_analyzer(F.col("t"))
+    assert one(spark, value, t) == one(spark, value, text.analyzer(text.whitespace_tokens, text.strip_punctuation, F.lower)(F.col("t")))
     assert one(spark, value, F.filter(t, lambda x: x != "")) == terms
     assert one(spark, value, text.n_tokens(t)) == tokens
     assert one(spark, value, text.n_terms(t)) == len(terms)
