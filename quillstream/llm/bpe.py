@@ -7,7 +7,8 @@ position list from left to right, and each merge updates the lists of the pairs
 breaks aren't searched: a position counts only if its pair still stands there. A symbol's own merge always ranks
 before those it takes part in, so ascending order over all pre-tokens is the order within each.
 
-Results of pre-tokens are kept in the worker (CACHE entries, then the store is emptied), so memory is bounded.
+Results of pre-tokens are kept in the worker, in two stores of half of CACHE entries each: a full one replaces the older
+one, from which what is met again moves over. So memory is bounded, and frequent pre-tokens stay.
 Special strings are cut out first, and each is one id.
 
 Null texts are empty texts: no ids, and the digests of nothing. Repeated rows give repeated results, an empty table
@@ -81,6 +82,7 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.split = regex.compile(SPLIT).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes distinct pre-tokens together, and keeps their ids as little-endian 32-bit integers."""
@@ -149,11 +151,13 @@ class Codec:
         out: list[bytes] = []
         for at in range(0, len(texts), 256):
             cut = [self.cut_text(t) for t in texts[at : at + 256]]
-            if len(self.known) > CACHE:
-                self.known = {}
-            known = self.known
+            if len(self.known) > CACHE // 2:
+                self.older, self.known = self.known, {}
+            known, older = self.known, self.older
             known.update(self.special)
-            new = list({p for pieces in cut for p in pieces if p not in known})
+            unknown = set().union(*cut).difference(known)
+            known.update([(p, older[p]) for p in unknown if p in older])
+            new = list(unknown.difference(older))
             for k in range(0, len(new), PIECES):
                 self.learn(new[k : k + PIECES])
             find = known.__getitem__
