@@ -8,7 +8,7 @@ breaks aren't searched: a position counts only if its pair still stands there. A
 before those it takes part in, so ascending order over all pre-tokens is the order within each.
 
 Results of pre-tokens are kept in the worker, in two stores of half of CACHE entries each: a full one replaces the older
-one, from which what is met again moves over. So memory is bounded, and frequent pre-tokens stay.
+one, from which what is met again moves over. So memory is bounded, and frequent pre-tokens stay. Tasks of other operators in the same worker empty both.
 Special strings are cut out first, and each is one id.
 
 Null texts are empty texts: no ids, and the digests of nothing. Repeated rows give repeated results, an empty table
@@ -26,9 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillstream.llm.common import trimmed
+from quillstream.llm.common import stores, trimmed
 
-CACHE = 300_000
+CACHE = 800_000
 PIECES = 30_000
 #: Bits of a symbol in a pair's number.
 PAIR_BITS = 24
@@ -36,7 +36,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Fixed value: the split pattern of byte-level BPE, as the vocabulary's library defines it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_loaded: dict[str, "Codec"] = {}
+_loaded: dict[str, "Codec"] = stores.setdefault("bpe", {})
 
 
 def default_vocabulary() -> str:
@@ -190,7 +190,7 @@ def encode_column(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                     names=["doc_id", "ids", "decoded"],
                 )
 
-    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, ids array<int>, decoded string")
+    return docs.select(key, text).mapInArrow(trimmed(run, "bpe"), "doc_id long, ids array<int>, decoded string")
 
 
 def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,4 +212,4 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select(key, text).mapInArrow(trimmed(run), SCHEMA)
+    return docs.select(key, text).mapInArrow(trimmed(run, "bpe"), SCHEMA)

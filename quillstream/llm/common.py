@@ -81,10 +81,17 @@ def trim_memory() -> None:
         return
 
 
-def trimmed(run: Callable) -> Callable:
-    """A map function over batches that gives its memory back when its task ends."""
+#: What operators keep in a worker from task to task; another operator's task there empties it first.
+stores: dict[str, dict] = {}
+
+
+def trimmed(run: Callable, store: str | None = None) -> Callable:
+    """A map function over batches that gives its memory back when its task ends; it may keep what is in the store that it names."""
 
     def wrapped(batches: Iterator) -> Iterator:
+        for name, kept in stores.items():
+            if name != store:
+                kept.clear()
         try:
             yield from run(batches)
         finally:
