@@ -85,13 +85,17 @@ def trim_memory() -> None:
 stores: dict[str, dict] = {}
 
 
+def empty_stores(but: str | None) -> None:
+    for name, kept in stores.items():
+        if name != but:
+            kept.clear()
+
+
 def trimmed(run: Callable, store: str | None = None) -> Callable:
     """A map function over batches that gives its memory back when its task ends; it may keep what is in the store that it names."""
 
     def wrapped(batches: Iterator) -> Iterator:
-        for name, kept in stores.items():
-            if name != store:
-                kept.clear()
+        empty_stores(store)  # by its name: a copy of the dictionary would travel with this function
         try:
             yield from run(batches)
         finally:
@@ -104,12 +108,14 @@ def trimmed_group(run: Callable) -> Callable:
     """The same for a function of one group's (or two cogroups') table."""
 
     def one(rows):
+        empty_stores(None)
         try:
             return run(rows)
         finally:
             trim_memory()
 
     def two(left, right):
+        empty_stores(None)
         try:
             return run(left, right)
         finally:
