@@ -1,21 +1,24 @@
 """Quality rules: base counts of each text, and n-gram perplexity bands for each language.
 
 The language model is a modified Kneser-Ney model over 4-grams of characters in 64 classes (letters by case, digits,
-the common marks, four classes of other letters). Spark counts the 4-grams of all documents: each task combines its
-own counts, and one row for each (language, 4-gram, task) is shuffled. Discounts, continuation counts and back-off
+the common marks, four classes of other letters). Spark counts the 4-grams of all distinct texts of all documents: each
+task drops its own repeats, the rest meet by their hashes, each task combines its own counts, and one row for each
+(language, 4-gram, task) is shuffled. Discounts, continuation counts and back-off
 weights are DataFrame joins over the distinct n-grams. A model has at most 64^4 entries for each language, and
 languages are folded to two-letter codes (anything else is one more), so its size is bounded whatever the corpus;
 it is stored as sorted code arrays with their log-probabilities, and looked up by binary search.
 
-A document's score is its mean negative log-probability for each character. Within each language, documents that
-pass the base rules are grouped by length (powers of two), and each group gives a lower and an upper band around its
-median: LOW_SPREADS and HIGH_SPREADS robust standard deviations below and above. The lower band is LOW_LEAST divided
+A document's score is its mean negative log-probability for each character. Within each language, the distinct texts
+that pass the base rules are grouped by length (powers of two). Each group takes in its neighbours in length, one on
+either side at least and more until LEAST_TEXTS texts are there (or the language has no more), and gives a lower and an
+upper band around the median: LOW_SPREADS and HIGH_SPREADS robust standard deviations below and above. A neighbour's
+deviations are scaled by the square root of the lengths' ratio, as texts vary less the longer they are. The lower band is LOW_LEAST divided
 by the square root of the text's characters wide at least (what texts of that length vary by on their own), the upper
-one HIGH_LEAST nats: passages in another language raise a clean text's perplexity. So groups of copies, whose spread
-is zero, can't narrow the bands around themselves.
+one HIGH_LEAST nats: passages in another language raise a clean text's perplexity. A text counts once in the model and
+in the bands however many rows have it, so copies change no verdict.
 
 Null and empty texts have no words and fail the base rule. A null language, or one without a two-letter code, is
-"und". Repeated rows count as often as they stand there, each gets its own result row, and empty tables are fine.
+"und". Each repeated row gets its own result row, and empty tables are fine.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise, trimmed, trimmed_group
+from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
 
 ORDER = 4
 BITS = 6
@@ -37,6 +40,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 0.5
 LOW_SPREADS, LOW_LEAST = 5.0, 4.5
 HIGH_SPREADS, HIGH_LEAST = 10.0, 0.35
+#: Distinct texts that a band is made of, if the language has so many.
+LEAST_TEXTS = 200
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
 #: Files of a table whose size the model's bound limits.
@@ -112,8 +117,47 @@ def repeated_words(words: list[bytes]) -> int:
     return int(hit.sum())
 
 
+def text_key(text: str, lang: str) -> bytes:
+    """128-bit hash of a text in a language."""
+    from xxhash import xxh3_128_digest
+
+    return xxh3_128_digest(f"{lang}\n{text}".encode())
+
+
+def distinct_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """text, lang: each text that isn't empty once for each language. Tasks drop their own repeats before the shuffle, so no text brings more rows than there are tasks."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                keep, keys = [], []
+                for t, k in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    key = text_key(t, k) if t else b""
+                    keep.append(bool(t) and key not in seen)
+                    if keep[-1]:
+                        seen.add(key)
+                        keys.append(key)
+                mask = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask), pa.array(keys, pa.binary())], names=["text", "lang", "text_key"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            keep = []
+            for key in batch.column(2).to_pylist():
+                keep.append(key not in seen)
+                seen.add(key)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["text", "lang"])
+
+    own = docs.select(F.col(text).alias("text"), language(F.col(lang)).alias("lang")).mapInArrow(trimmed(first), "text string, lang string, text_key binary")
+    return own.repartition("text_key").mapInArrow(trimmed(once), "text string, lang string")
+
+
 def count_n_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, code, count of every 4-gram of every text."""
+    """lang, code, count of every 4-gram of every distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -150,7 +194,7 @@ def count_n_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
                 c = codes[at : at + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array([k] * len(c), pa.string()), pa.array(c.astype(np.int32)), pa.array(counts[at : at + 100_000].astype(np.int64))], names=["lang", "code", "n"])
 
-    per_task = docs.select(text, language(F.col(lang)).alias("lang")).mapInArrow(trimmed(run), "lang string, code int, n long")
+    per_task = distinct_texts(docs, text, lang).mapInArrow(trimmed(run), "lang string, code int, n long")
     return per_task.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
@@ -276,22 +320,42 @@ def score(docs: DataFrame, shared, key: str = "doc_id", text: str = "text", lang
                 texts, langs = [t or "" for t in part.column(1).to_pylist()], part.column(2).to_pylist()
                 counts = [base_counts(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(5)], pa.array(langs, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(scorer.losses(texts, langs), pa.float64())],
-                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "model_lang", "n_chars", "loss"],
+                    [
+                        part.column(0).cast(pa.int64()), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(5)], pa.array(langs, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(scorer.losses(texts, langs), pa.float64()),
+                        pa.array(list(map(text_key, texts, langs)), pa.binary()),
+                    ],
+                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "model_lang", "n_chars", "loss", "text_key"],
                 )
 
-    return docs.select(key, text, language(F.col(lang)).alias("lang")).mapInArrow(trimmed(run), f"{BASE}, model_lang string, n_chars long, loss double")
+    return docs.select(key, text, language(F.col(lang)).alias("lang")).mapInArrow(trimmed(run), f"{BASE}, model_lang string, n_chars long, loss double, text_key binary")
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > F.lit(int(100 * MAX_REPEATED)) * F.col("n_words"))
 
 
+def pools(sizes: dict[tuple[str, int], int], least: int) -> list[tuple[str, int, int]]:
+    """(language, length group, length group to take in): one neighbour on either side, and more until there are `least` texts."""
+    out = []
+    for lang, group in sizes:
+        own = {g: n for (k, g), n in sizes.items() if k == lang}
+        reach = 1
+        while sum(n for g, n in own.items() if abs(g - group) <= reach) < least and reach < max(abs(g - group) for g in own):
+            reach += 1
+        out += [(lang, group, g) for g in own if abs(g - group) <= reach]
+    return out
+
+
 def bands(scored: DataFrame) -> DataFrame:
-    """model_lang, length_group, middle, spread: from all documents that pass the base rules."""
-    good = scored.where(~F.col("base_failed"))
+    """model_lang, length_group, middle, spread: from all distinct texts that pass the base rules."""
+    good = scored.where(~F.col("base_failed")).groupBy("model_lang", "length_group", "text_key").agg(F.first("loss").alias("loss"))
+    good = materialise(right_sized(good.drop("text_key"), scored), "losses")
+    sizes = {(r.model_lang, r.length_group): r["count"] for r in good.groupBy("model_lang", "length_group").count().collect()}  # 677 languages times 32 lengths at most
+    pool = scored.sparkSession.createDataFrame(pools(sizes, LEAST_TEXTS), "model_lang string, pool int, length_group int")
+    scale = F.sqrt(F.pow(F.lit(2.0), F.col("length_group") - F.col("pool")))  # a neighbour's spread at this length
+    good = good.join(F.broadcast(pool), ["model_lang", "length_group"]).select("model_lang", F.col("pool").alias("length_group"), "loss", scale.alias("scale"))
     middle = good.groupBy("model_lang", "length_group").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"))
-    off = good.join(F.broadcast(middle), ["model_lang", "length_group"]).withColumn("off", F.abs(F.col("loss") - F.col("middle")))
+    off = good.join(F.broadcast(middle), ["model_lang", "length_group"]).withColumn("off", F.abs(F.col("loss") - F.col("middle")) * F.col("scale"))
     return off.groupBy("model_lang", "length_group").agg(F.first("middle").alias("middle"), (1.4826 * F.percentile_approx("off", 0.5, 10_000)).alias("spread"))
 
 

@@ -166,6 +166,29 @@ def test_quality_rejects_gibberish(spark):
     assert not got.pop(999) and all(got.values())
 
 
+@pytest.mark.parametrize("copied", [7, 900])
+def test_quality_counts_each_text_once(spark, copied):
+    """A third of the rows are copies of one text, clean or junk: no verdict changes."""
+    r = np.random.default_rng(1)
+    words = ["".join(r.choice(list("etaoinshrdlu"), r.integers(2, 8))) for _ in range(300)]
+    text = lambda: " ".join(r.choice(words, r.integers(60, 300)))
+    junk = lambda: " ".join("".join(chr(x) for x in r.integers(33, 122, 7)) for _ in range(120))
+    rows = [(i, text(), "en") for i in range(400)] + [(900 + i, junk(), "en") for i in range(3)]
+    again = next(t for i, t, _ in rows if i == copied)
+    schema = "doc_id long, text string, lang string"
+    alone = {x.doc_id: (x.kept, round(x.perplexity, 6), round(x.low, 6), round(x.high, 6)) for x in quality.judge(spark.createDataFrame(rows, schema)).collect()}
+    assert [i for i, x in alone.items() if not x[0]] == [900, 901, 902]
+    docs = spark.createDataFrame([*rows, *[(1000 + i, again, "en") for i in range(202)]], schema).repartition(7)
+    got = {x.doc_id: (x.kept, round(x.perplexity, 6), round(x.low, 6), round(x.high, 6)) for x in quality.judge(docs).collect()}
+    assert {i: x for i, x in got.items() if i < 1000} == alone
+    assert all(got[1000 + i] == alone[copied] for i in range(202))
+
+
+def test_quality_pools():
+    got = quality.pools({("en", 8): 5, ("en", 9): 300, ("en", 10): 300, ("en", 14): 2, ("fr", 9): 1}, 200)
+    assert {(k, g): {x for n, o, x in got if (n, o) == (k, g)} for k, g, _ in got} == {("en", 8): {8, 9}, ("en", 9): {8, 9, 10}, ("en", 10): {9, 10}, ("en", 14): {10, 14}, ("fr", 9): {9}}
+
+
 def test_folding():
     assert toxicity.fold("You IDIOT!") == " you idiot "
     assert toxicity.fold("1d10t іdіоt i.d.i.o.t idiooooot îdïot") == " idiot idiot idiot idiot idiot "
