@@ -8,21 +8,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm import bpe, decontamination, quality, simhash, suffix_dedup
-from quillstream.llm.common import materialise, right_sized, table
+from quillstream.llm.common import materialise, right_sized, table, text_key
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
-def kept_ids(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in `decided`, each id once; rows without an id stay, as nothing can name them."""
-    ids = decided.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(COLUMNS)
+ROW = ["_id", "_no_id", "_text_key"]
+
+
+def keyed(df: DataFrame, text_hash: Column) -> DataFrame:
+    """With ROW, which names a row by its id, a missing one too, and its text."""
+    return df.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_no_id": F.col("doc_id").isNull(), "_text_key": text_hash})
+
+
+def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of docs whose id and text are in `decided` (doc_id, text_key), with ROW."""
+    return keyed(docs.select(COLUMNS), text_key()).join(keyed(decided, F.col("text_key")).select(ROW), ROW, "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +37,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id."""
-    first = simhash.components(docs).where(F.col("doc_id") == F.col("component_id"))
-    kept = kept_ids(docs, first)
-    one = Window.partitionBy("doc_id").orderBy(F.length("text"), "text")  # the join has dealt rows by their ids already
-    kept = kept.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.row_number().over(one))).where("_row = 1 or _row is null").select(COLUMNS)
+    """Of each group of linked fingerprints the row with the smallest id (one without an id if no row has one)."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("least")
+    first = simhash.row_groups(docs).groupBy("group").agg(least).select("least.doc_id", "least.text_key")
+    one = Window.partitionBy(ROW).orderBy("lang", "source", "n_chars")  # the join has dealt rows by these already
+    kept = kept_rows(docs, first).withColumn("_row", F.row_number().over(one)).where("_row = 1").select(COLUMNS)
     return right_sized(kept, docs)
 
 
@@ -48,7 +54,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated."""
     scanned = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
-    return right_sized(kept_ids(docs, scanned.where(~F.col("contaminated"))), docs)
+    return right_sized(kept_rows(docs, scanned.where(~F.col("contaminated"))).select(COLUMNS), docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

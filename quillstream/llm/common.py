@@ -128,6 +128,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key(text: str | Column = "text") -> Column:
+    """64-bit hash of a text; null and empty texts differ."""
+    column = F.col(text) if isinstance(text, str) else text
+    return F.xxhash64(column, column.isNull())
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id's decimal text, mod 3, is 1: such rows never train anything."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
+from quillstream.llm.common import materialise, right_sized, text_key, trimmed, trimmed_group
 from quillstream.llm.graph import connected_components
 
 RADIUS = 4
@@ -76,17 +76,18 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return majority(np.array(hashes, np.uint64))
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of each row."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long) of each row; keyed: also text_key."""
+    names = ["doc_id", "fp", *["text_key"] * keyed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 found = np.array([fingerprint(t, size) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(found.view(np.int64)), *[part.column(2)] * keyed], names=names)
 
-    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, fp long")
+    return docs.select(key, text, *[text_key(text).alias("text_key")] * keyed).mapInArrow(trimmed(run), ", ".join(f"{n} long" for n in names))
 
 
 def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -231,5 +232,14 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius:
     return right_sized(prints.join(joined, "fp").select("doc_id", "fp", "component_id"), prints)
 
 
+def row_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, shard_points: int = SHARD_POINTS) -> DataFrame:
+    """doc_id, text_key, group of each row: rows have one group if and only if links connect their fingerprints, whatever their ids."""
+    prints = materialise(fingerprints(docs, key, text, size, keyed=True), "fingerprints")
+    points = materialise(right_sized(prints.select("fp", F.col("fp").alias("id")).distinct(), prints), "points")
+    found = connected_components(links(points, radius, shard_points))
+    joined = points.join(found, "id", "left").select("fp", F.coalesce("component", "fp").alias("group"))
+    return right_sized(prints.join(joined, "fp").select("doc_id", "text_key", "group"), prints)
+
+
 def hexadecimal(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))

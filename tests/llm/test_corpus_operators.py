@@ -260,6 +260,24 @@ def test_stages_take_odd_tables(spark, tmp_path):
                 assert got.count() == (len(rows) if given.limit(1).count() else 0)
 
 
+def test_stages_judge_each_row(spark, tmp_path):
+    """Unrelated texts share an id; copies and contaminated texts have none."""
+    import corpus_pipeline
+
+    r = random.Random(5)
+    text = lambda n: " ".join("".join(r.choice("etaoinshr") for _ in range(r.randrange(3, 9))) for _ in range(n))
+    a, b, copy, item = text(90), text(80), text(70), text(20)
+    leaked = f"{text(30)} {item} {text(30)}"
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (None, copy, "en", "s", 1), (None, copy, "en", "t", 1), (4, a, "en", "s", 1), (None, b, "en", "s", 1), (None, leaked, "en", "s", 1), (5, leaked, "en", "s", 1), (5, copy + " end", "en", "s", 1)]
+    docs = spark.createDataFrame([*rows, *[(7, text(60), "en", "s", i) for i in range(12)]], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    near = [(x.doc_id, x.text) for x in corpus_pipeline.near_copies(spark, docs, str(tmp_path)).collect()]
+    assert sorted(t for i, t in near if i == 1) == sorted([a, b]) and sum(i == 7 for i, _ in near) == 12
+    assert not {a, b, leaked} & {t for i, t in near if i is None} and sum(t == copy for _, t in near) <= 1 and (4, a) not in near
+    clean = [(x.doc_id, x.text) for x in corpus_pipeline.benchmark_passages(spark, docs, str(tmp_path)).collect()]
+    assert sorted(clean, key=str) == sorted(((x.doc_id, x.text) for x in docs.collect() if x.text != leaked), key=str)
+
+
 def test_kept_documents_are_the_judged_ones(spark):
     from quillstream.llm import quality
 
