@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,8 +76,6 @@ def _clean() -> None:
 
 def trim_memory() -> None:
     """Gives a worker's freed memory back to the system: workers live on after a task, beside the executor's JVM."""
-    import pyarrow as pa
-
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -124,6 +126,42 @@ def trimmed_group(run: Callable) -> Callable:
     return two if run.__code__.co_argcount == 2 else one
 
 
+def pack(*columns: np.ndarray, text: bytes = b"") -> bytes:
+    """Integer columns of one length (byte by byte, so that equal high bytes compress), and a text."""
+    import zstandard
+
+    n = len(columns[0])
+    body = b"".join(np.ascontiguousarray(c.astype("<i8")).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns)
+    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body + text)
+
+
+def unpack(part: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
+    import zstandard
+
+    n = int.from_bytes(part[:8], "little")
+    body = zstandard.ZstdDecompressor().decompress(part[8:])
+    out = [np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, 8 * n * i).reshape(8, n).T).view("<i8").ravel() for i in range(columns)]
+    return out, body[8 * n * columns :]
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows one by one, for tables of few, large ones."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """Groups of neighbouring rows with equal first columns, read as they are asked for."""
+    return itertools.groupby(rows_of(batches), key=lambda row: row[:keys])
+
+
+def forget(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,89 +1,212 @@
 """Quality rules: base counts of each text, and n-gram perplexity bands for each language.
 
-The language model is a modified Kneser-Ney model over 4-grams of characters in 64 classes (letters by case, digits,
-the common marks, four classes of other letters). Spark counts the 4-grams of all distinct texts of all documents: each
-task drops its own repeats, the rest meet by their hashes, each task combines its own counts, and one row for each
-(language, 4-gram, task) is shuffled. Discounts, continuation counts and back-off
-weights are DataFrame joins over the distinct n-grams. A model has at most 64^4 entries for each language, and
-languages are folded to two-letter codes (anything else is one more), so its size is bounded whatever the corpus;
-it is stored as sorted code arrays with their log-probabilities, and looked up by binary search.
-
-A document's score is its mean negative log-probability for each character. Within each language, the distinct texts
-that pass the base rules are grouped by length (powers of two). Each group takes in its neighbours in length, one on
-either side at least and more until LEAST_TEXTS texts are there (or the language has no more), and gives a lower and an
-upper band around the median: LOW_SPREADS and HIGH_SPREADS robust standard deviations below and above. A neighbour's
-deviations are scaled by the square root of the lengths' ratio, as texts vary less the longer they are. The lower band is LOW_LEAST divided
-by the square root of the text's characters wide at least (what texts of that length vary by on their own), the upper
-one HIGH_LEAST nats: passages in another language raise a clean text's perplexity. A text counts once in the model and
-in the bands however many rows have it, so copies change no verdict.
-
-Null and empty texts have no words and fail the base rule. A null language, or one without a two-letter code, is
-"und". Each repeated row gets its own result row, and empty tables are fine.
+The language model is an interpolated, modified Kneser-Ney model over n-grams of ORDER characters, real code points
+but for blanks, which are one character, and digits, which are another. It is made of distinct texts, so copies change
+no verdict, and an n-gram enters it if it stands in LEAST_HOLDERS different texts: what only one text has doesn't make
+that text likely. The counts' own statistics give the discounts before that cut.
+
+1. Units. Texts are dealt by a hash into units of UNIT_BYTES, whatever the input's size. A unit's content, its distinct
+   texts, follows from the data alone, so it is put together again for scoring instead of being stored.
+2. Counts. Each unit gives its distinct n-grams with their counts and numbers of texts; Spark adds them up.
+   Continuation counts, discounts and back-off weights are joins over the distinct n-grams, which grow with the corpus.
+   Every n-gram of the corpus gets its log-probability there, by back-off if it isn't in the model itself.
+3. Arrays. The model is stored as arrays sorted by the n-grams' 64-bit hashes, cut into shards of SHARD_ENTRIES by the
+   hashes' ranges. Each unit sends its hashes to the shards, where they are found by binary search, and gets the
+   log-probabilities back. So no task and no driver holds more of the model than a shard and a unit's share.
+4. Scores. A text's score is its mean negative log-probability for each character.
+
+Within each language, the distinct texts that pass the base rules are grouped by length (powers of two). Each group
+takes in its neighbours in length, one on either side at least and more until LEAST_TEXTS texts are there (or the
+language has no more), and gives a lower and an upper band around the median: LOW_SPREADS and HIGH_SPREADS robust
+standard deviations below and above. A neighbour's deviations are scaled by the square root of the lengths' ratio, as
+texts vary less the longer they are. The lower band is LOW_LEAST divided by the square root of the text's characters
+wide at least (what texts of that length vary by on their own), the upper one
+HIGH_LEAST nats: passages in another language raise a clean text's perplexity.
+
+Null and empty texts have no words and fail the base rule. A language is the first part of its code, two or three
+letters; null and anything else is "und". Texts of any length are whole: long ones are worked on in pieces of PIECE
+characters that overlap by an n-gram. Each repeated row gets its own result row, with the verdict of its text and
+language; equal losses get equal verdicts. Empty tables give empty results, and columns besides id, text and language
+aren't read (`kept_documents` hands them on, whatever their names).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
+from quillstream.llm.common import forget, grouped, materialise, pack, right_sized, rows_of, trimmed, trimmed_group, unpack
 
-ORDER = 4
-BITS = 6
-CLASSES = 1 << BITS
+ORDER = 5
+LEAST_HOLDERS = 2
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 LOW_SPREADS, LOW_LEAST = 5.0, 4.5
-HIGH_SPREADS, HIGH_LEAST = 10.0, 0.35
+HIGH_SPREADS, HIGH_LEAST = 10.0, 0.9
 #: Distinct texts that a band is made of, if the language has so many.
 LEAST_TEXTS = 200
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
-#: Files of a table whose size the model's bound limits.
-MODEL_FILES = 8
-#: Symbols gathered before their n-grams are counted.
-COUNT_AT_ONCE = 2_000_000
-BASE = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+UNIT_BYTES = 4_000_000
+PIECE = 2_000_000
+SHARD_ENTRIES = 500_000
+LEAST_SHARDS = 16
+#: Texts that a task holds back to send them together, and n-grams that it adds up by itself.
+SENT_BYTES, COUNTED = 16_000_000, 2_000_000
+#: A character in a code: two longs hold three and two of them.
+BITS = 21
+THREE, TWO, ONE = (1 << 3 * BITS) - 1, (1 << 2 * BITS) - 1, (1 << BITS) - 1
+MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
+COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+#: What names a text in its language: two hashes, the language.
+TEXT = ["key1", "key2", "model_lang"]
 
 
-def class_table() -> np.ndarray:
-    """Character class of each code point below 0x10000; what lies above takes the last class."""
-    code = np.arange(0x10000)
-    out = 60 + code % 4  # letters and marks beyond ASCII
-    out[:128] = 59
-    out[[9, 10, 11, 12, 13, 32]] = 0
-    out[97:123], out[65:91], out[48:58] = np.arange(1, 27), np.arange(27, 53), 53
-    for mark, c in ((".", 54), (",", 55), ("!", 56), ("|", 57)):
-        out[ord(mark)] = c
-    for mark in SYMBOLS.decode().replace("|", ""):
-        out[ord(mark)] = 58
-    return out.astype(np.uint32)
+def language(column: Column) -> Column:
+    code = F.lower(F.regexp_extract(F.trim(column), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
+    return F.when(F.coalesce(code, F.lit("")) == "", "und").otherwise(code)
 
 
-TABLE = class_table()
+def text_names(text: str, lang: str) -> list[Column]:
+    """TEXT: 128 bits of the text, which tell null and empty apart, and its language."""
+    return [F.xxhash64(text, F.col(text).isNull()).alias("key1"), F.xxhash64(F.lit("second"), text).alias("key2"), language(F.col(lang)).alias("model_lang")]
 
 
-def language(column: Column) -> Column:
-    code = F.lower(F.substring(F.trim(column), 1, 2))
-    return F.when(code.rlike("^[a-z]{2}$"), code).otherwise("und")
-
-
-def n_gram_codes(text: str) -> np.ndarray:
-    """A text's 4-grams, one for each character, as 24-bit codes; three blanks stand before the text."""
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    s = np.zeros(len(points) + ORDER - 1, np.uint32)
-    s[ORDER - 1 :] = TABLE[np.minimum(points, 0xFFFF)]
-    out = s[: len(points)]
-    for i in range(1, ORDER):
-        out = (out << BITS) | s[i : len(points) + i]
+def folding() -> np.ndarray:
+    """The character that each code point counts as."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    out[[9, 10, 11, 12, 13, 0x85, 0xA0, 0x2028, 0x2029, 0x3000]] = 32
+    out[48:58] = 48
+    return out
+
+
+FOLDED = folding()
+#: Stands before a text; a text's own character of that number counts as the last code point.
+MARK, NO_MARK = "\0", chr(0x10FFFF)
+
+
+def parts_of(texts: list[str]) -> Iterator[tuple[list[int], list[str], list[str]]]:
+    """(text numbers, what stands before, characters) of PIECE characters together; a longer text has pieces of its own."""
+    waiting: tuple[list[int], list[str], list[str]] = ([], [], [])
+    size = 0
+    start = MARK * (ORDER - 1)
+    for i, t in enumerate(texts):
+        if len(t) > PIECE:
+            for at in range(0, len(t), PIECE):
+                yield [i], [(start + t[max(0, at - ORDER + 1) : at])[-(ORDER - 1) :]], [t[at : at + PIECE]]
+            continue
+        if size + len(t) > PIECE and size:
+            yield waiting
+            waiting, size = ([], [], []), 0
+        if t:
+            waiting[0].append(i), waiting[1].append(start), waiting[2].append(t)
+            size += len(t)
+    if size:
+        yield waiting
+
+
+def grams_of(before: list[str], parts: list[str]) -> tuple[np.ndarray, ...]:
+    """hi, lo of the distinct n-grams that end on a character of the parts, and (n-gram, part, count) of each pair."""
+    raw = "".join([x for p in zip(before, parts, strict=True) for x in p])
+    s = FOLDED[np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    ends = np.cumsum(sizes + ORDER - 1)
+    part = np.repeat(np.arange(len(parts), dtype=np.uint64), sizes)
+    last = np.arange(len(part)) + np.repeat(ends - sizes - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
+    present = np.zeros(0x110000, bool)
+    present[s] = True
+    alphabet = np.flatnonzero(present)
+    number = np.zeros(0x110000, np.uint32)
+    number[alphabet] = np.arange(len(alphabet))
+    dense = number[s].astype(np.uint64)
+    width, part_width = np.uint64(max(1, (len(alphabet) - 1).bit_length())), np.uint64(max(1, (len(parts) - 1).bit_length()))
+    joined = lambda a, b: _shifted(dense, a, b, width)[last - b]  # noqa: E731  characters a to b before the last one
+    if ORDER * int(width) + int(part_width) <= 64:
+        code, names = joined(ORDER - 1, 0), None
+    else:  # names of the first characters and of the last two: at most PIECE each
+        first, first_at = np.unique(joined(ORDER - 1, 2), return_inverse=True)
+        second, second_at = np.unique(joined(1, 0), return_inverse=True)
+        names = first, second
+        code = (first_at.astype(np.uint64) << np.uint64(22)) | second_at.astype(np.uint64)
+    pairs = np.sort((code << part_width) | part)
+    begin = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    count = np.diff(np.r_[begin, len(pairs)])
+    pairs = pairs[begin]
+    code = pairs >> part_width
+    new = np.r_[True, code[1:] != code[:-1]]
+    of = np.cumsum(new) - 1
+    code = code[new]
+    if names is None:
+        letters = [alphabet[((code >> (width * np.uint64(i))) & np.uint64((1 << int(width)) - 1)).astype(np.int64)] for i in range(ORDER)]
+    else:
+        head, tail = names[0][(code >> np.uint64(22)).astype(np.int64)], names[1][(code & np.uint64(2**22 - 1)).astype(np.int64)]
+        mask = np.uint64((1 << int(width)) - 1)
+        letters = [alphabet[((tail >> (width * np.uint64(i))) & mask).astype(np.int64)] for i in range(2)]
+        letters += [alphabet[((head >> (width * np.uint64(i))) & mask).astype(np.int64)] for i in range(ORDER - 2)]
+    hi = letters[2] | (letters[3] << BITS) | (letters[4] << 2 * BITS)
+    return hi, letters[0] | (letters[1] << BITS), of, (pairs & np.uint64((1 << int(part_width)) - 1)).astype(np.int64), count
+
+
+def _shifted(dense: np.ndarray, a: int, b: int, width: np.uint64) -> np.ndarray:
+    """At each place, the characters from a - b before it to it, as one number."""
+    out = np.zeros(len(dense), np.uint64)
+    for back in range(a - b, -1, -1):
+        out <<= width
+        out[back:] |= dense[: len(dense) - back] if back else dense
     return out
 
 
+def hashed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    h = hi.astype(np.uint64) * MIX[0] + lo.astype(np.uint64) * MIX[1]
+    h ^= h >> np.uint64(32)
+    h *= MIX[2]
+    return h ^ (h >> np.uint64(29))
+
+
+def added(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(hi, lo, count, holders) lists as one, in the order of the hashes."""
+    hi, lo, n, holders = (np.concatenate(x) for x in zip(*found, strict=True))
+    h = hashed(hi, lo)
+    order = np.argsort(h, kind="stable")
+    begin = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
+    return hi[order[begin]], lo[order[begin]], np.add.reduceat(n[order], begin), np.add.reduceat(holders[order], begin)
+
+
+def counted(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """hi, lo, count and number of texts of each distinct n-gram of the texts, in the order of the hashes."""
+    found, long = [], {}
+    for numbers, before, parts in parts_of(texts):
+        hi, lo, of, _, count = grams_of(before, parts)
+        begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        own = hi, lo, np.add.reduceat(count, begin), np.diff(np.r_[begin, len(of)])
+        if len(texts[numbers[0]]) > PIECE:
+            long.setdefault(numbers[0], []).append(own)
+        else:
+            found.append(own)
+    for own in long.values():
+        hi, lo, n, _ = added(own)
+        found.append((hi, lo, n, np.ones(len(n), np.int64)))
+    return added(found) if found else tuple(np.zeros(0, np.int64) for _ in range(4))
+
+
+def losses(texts: list[str], logp: np.ndarray) -> np.ndarray:
+    """Mean loss of each text, by binary search in the texts' n-gram hashes in order, whose log-probabilities are given; 0 of an empty text."""
+    made = lambda: ((numbers, grams_of(before, parts)) for numbers, before, parts in parts_of(texts))
+    pieces = list(made()) if sum(map(len, texts)) <= 4 * PIECE else None
+    hashes = np.zeros(0, np.uint64)
+    for _, (hi, lo, *_) in pieces or made():
+        hashes = np.union1d(hashes, hashed(hi, lo))
+    total = np.zeros(len(texts))
+    for numbers, (hi, lo, of, part, count) in pieces or made():
+        own = logp[np.searchsorted(hashes, hashed(hi, lo))].astype(np.float64)
+        total += np.bincount(np.array(numbers)[part], own[of] * count, len(texts))
+    return -total / np.maximum(1, [len(t) for t in texts])
+
+
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     raw = text.encode()
@@ -117,217 +240,228 @@ def repeated_words(words: list[bytes]) -> int:
     return int(hit.sum())
 
 
-def text_key(text: str, lang: str) -> bytes:
-    """128-bit hash of a text in a language."""
-    from xxhash import xxh3_128_digest
+def n_units(docs: DataFrame, text: str) -> int:
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text)).cast("long")), F.lit(0))).first()[0]
+    return max(1, -(-total // UNIT_BYTES))
+
+
+PART = "unit long, lang string, kind int, shard int, body binary"
+
 
-    return xxh3_128_digest(f"{lang}\n{text}".encode())
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["unit", "lang", "kind", "shard", "body"])
 
 
-def distinct_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """text, lang: each text that isn't empty once for each language. Tasks drop their own repeats before the shuffle, so no text brings more rows than there are tasks."""
+def dealt(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
+    """PART rows (kind 0) that hold the texts which aren't empty, compressed, for their units. A task sends each text once, so none arrives more often than there are tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        waiting: dict[tuple, tuple[list, list, list]] = {}
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for (unit, k), (one, two, bodies) in waiting.items():
+                yield batch_of([(unit, k, 0, 0, pack(np.array(one), np.array(two), np.array([len(b) for b in bodies]), text=b"".join(bodies)))])
+            waiting.clear()
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                keep, keys = [], []
-                for t, k in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    key = text_key(t, k) if t else b""
-                    keep.append(bool(t) and key not in seen)
-                    if keep[-1]:
-                        seen.add(key)
-                        keys.append(key)
-                mask = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask), pa.array(keys, pa.binary())], names=["text", "lang", "text_key"])
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for batch in batches:
-            keep = []
-            for key in batch.column(2).to_pylist():
-                keep.append(key not in seen)
-                seen.add(key)
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["text", "lang"])
+                for t, one, two, k in zip(*[part.column(i).to_pylist() for i in range(4)], strict=True):
+                    if t and (one, two, k) not in seen:
+                        seen.add((one, two, k))
+                        body = t.encode()
+                        for x, into in zip((one, two, body), waiting.setdefault((one % units, k), ([], [], [])), strict=True):
+                            into.append(x)
+                        size += len(body)
+                        if size >= SENT_BYTES:
+                            yield from out()
+                            size = 0
+        yield from out()
+
+    return docs.select(F.col(text).alias("text"), *text_names(text, lang)).mapInArrow(trimmed(run), PART)
+
+
+def by_unit(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit", "lang", "kind", "shard")
+
+
+def opened(rows: Iterator[tuple]) -> tuple[list[tuple[int, int]], list[str], list[bytes]]:
+    """Names and texts of a unit, each text once, and the bodies of what else it has got."""
+    names, texts, rest = {}, [], []
+    for _, _, kind, _, body in rows:
+        if kind:
+            rest.append(body)
+            continue
+        (one, two, sizes), raw = unpack(body, 3)
+        ends = np.cumsum(sizes)
+        for name, a, b in zip(zip(one.tolist(), two.tolist(), strict=True), (ends - sizes).tolist(), ends.tolist(), strict=True):
+            if name not in names:
+                names[name] = None
+                texts.append(raw[a:b].decode())
+    order = sorted(range(len(texts)), key=list(names).__getitem__)  # the same whatever order the rows came in
+    return sorted(names), [texts[i] for i in order], rest
+
+
+def unit_counts(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
+    """unit, lang, body: each unit's distinct n-grams in code order, counts and numbers of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (unit, k), rows in grouped(batches, 2):
+            _, texts, _ = opened(rows)
+            hi, lo, n, holders = counted([t.replace(MARK, NO_MARK) for t in texts])
+            order = np.lexsort((lo, hi))
+            yield batch_of([(unit, k, 0, 0, pack(np.diff(hi[order], prepend=0), lo[order], n[order], holders[order]))])
+
+    return by_unit(dealt(docs, text, lang, units)).mapInArrow(trimmed(run), PART)
 
-    own = docs.select(F.col(text).alias("text"), language(F.col(lang)).alias("lang")).mapInArrow(trimmed(first), "text string, lang string, text_key binary")
-    return own.repartition("text_key").mapInArrow(trimmed(once), "text string, lang string")
 
+def codes_in(body: bytes) -> tuple[np.ndarray, ...]:
+    (hi, lo, n, holders), _ = unpack(body, 4)
+    return np.cumsum(hi), lo, n, holders
 
-def count_n_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, code, count of every 4-gram of every distinct text."""
+
+def count_n_grams(unit_rows: DataFrame) -> DataFrame:
+    """lang, hi, lo, n, holders of every n-gram of the corpus; tasks add up their own units' first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[str, list[np.ndarray]] = {}
+        waiting: dict[str, list[tuple]] = {}
         size = 0
 
-        def merge() -> None:
-            for k, parts in waiting.items():
-                codes, counts = np.unique(np.concatenate(parts), return_counts=True)
-                if k in total:
-                    codes = np.concatenate([total[k][0], codes])
-                    counts = np.concatenate([total[k][1], counts])
-                    order = np.argsort(codes, kind="stable")
-                    codes, counts = codes[order], counts[order]
-                    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-                    codes, counts = codes[first], np.add.reduceat(counts, first)
-                total[k] = codes, counts
+        def out() -> Iterator[pa.RecordBatch]:
+            for k, found in waiting.items():
+                columns = added(found)
+                for at in range(0, len(columns[0]), 100_000):
+                    own = [pa.array(np.asarray(c[at : at + 100_000], np.int64)) for c in columns]
+                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(own[0]), pa.string()), *own], names=["lang", "hi", "lo", "n", "holders"])
             waiting.clear()
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                for t, k in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if t:
-                        waiting.setdefault(k, []).append(codes := n_gram_codes(t))
-                        size += len(codes)
-                if size >= COUNT_AT_ONCE:
-                    merge()
-                    size = 0
-        if waiting:
-            merge()
-        for k, (codes, counts) in total.items():
-            for at in range(0, len(codes), 100_000):
-                c = codes[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(c), pa.string()), pa.array(c.astype(np.int32)), pa.array(counts[at : at + 100_000].astype(np.int64))], names=["lang", "code", "n"])
-
-    per_task = distinct_texts(docs, text, lang).mapInArrow(trimmed(run), "lang string, code int, n long")
-    return per_task.groupBy("lang", "code").agg(F.sum("n").alias("n"))
+        for (_, k), rows in grouped(batches, 2):
+            for row in rows:
+                waiting.setdefault(k, []).append(codes_in(row[-1]))
+                size += len(waiting[k][-1][0])
+            if size >= COUNTED:
+                yield from out()
+                size = 0
+        yield from out()
+
+    per_task = unit_rows.mapInArrow(trimmed(run), "lang string, hi long, lo long, n long, holders long")
+    return per_task.groupBy("lang", "hi", "lo").agg(F.sum("n").alias("n"), F.sum("holders").alias("holders"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """lang, k, code, logp: log-probability of every seen 4-gram (k = 4), and the model to back off to (k < 4).
+    """lang, hi, lo, logp: the log-probability of the last character after those before it, for every n-gram of the corpus.
 
-    Rows of k = 1 to 3 hold the probabilities of shorter n-grams, for 4-grams that no document of the corpus has;
-    `backoff` is the log weight of an n-gram as a context.
+    At each level the n-grams of the model have n > 0; shorter ones have the number of different characters before
+    them, in the model, as their n. The others are there because their probabilities are asked for.
     """
-    level = {ORDER: counts}
-    for k in range(ORDER - 1, 0, -1):  # how many different characters stand before the k-gram
-        above = level[k + 1].select("lang", F.col("code").bitwiseAND((1 << BITS * k) - 1).cast("int").alias("code"))
-        level[k] = above.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("n"))
+    level = {ORDER: counts.select("lang", "hi", "lo", F.when(F.col("holders") >= LEAST_HOLDERS, F.col("n")).otherwise(0).alias("n"), F.col("n").alias("all"))}
+    for k in range(ORDER - 1, 0, -1):
+        keep = (1 << BITS * max(0, k - 2)) - 1
+        above = level[k + 1].select("lang", F.col("hi").bitwiseAND(F.lit(keep)).alias("hi"), (F.col("lo") if k > 1 else F.col("lo").bitwiseAND(F.lit(ONE))).alias("lo"), "n")
+        own = above.groupBy("lang", "hi", "lo").agg(F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("n"))
+        level[k] = materialise(own.withColumn("all", F.col("n")), f"continuations-{k}")
+    letters = level[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("letters"))
     lower = None
-    out = []
     for k in range(1, ORDER + 1):
-        own = level[k]
-        times = lambda r: F.sum(F.when(F.col("n") == r, 1).otherwise(0)).cast("double")
-        t = own.groupBy("lang").agg(*[times(r).alias(f"t{r}") for r in (1, 2, 3, 4)])
+        times = lambda r: F.sum(F.when(F.col("all") == r, 1).otherwise(0)).cast("double")
+        t = level[k].groupBy("lang").agg(*[times(r).alias(f"t{r}") for r in (1, 2, 3, 4)])
         y = F.col("t1") / F.greatest(F.col("t1") + 2 * F.col("t2"), F.lit(1.0))
         d = [F.least(F.greatest(r - (r + 1) * y * F.col(f"t{r + 1}") / F.greatest(f"t{r}", F.lit(1.0)), F.lit(0.05)), F.lit(r - 0.05)).alias(f"d{r}") for r in (1, 2, 3)]
-        own = own.join(F.broadcast(t.select("lang", *d)), "lang")  # one row for each language, 677 at most
-        less = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        own = own.withColumn("context", F.shiftright("code", BITS)).withColumn("less", less)
-        by_context = own.groupBy("lang", "context").agg(F.sum("n").alias("whole"), F.sum("less").alias("freed"))
-        own = own.join(by_context, ["lang", "context"])
-        seen, freed = (F.col("n") - F.col("less")) / F.col("whole"), F.col("freed") / F.col("whole")
+        told = t.select("lang", *d).join(letters, "lang")  # a row for each language: 18,279 at most
+        less = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        context = [F.shiftright("hi", BITS).alias("c_hi"), (F.shiftleft(F.col("hi").bitwiseAND(F.lit(ONE)), BITS) + F.shiftright("lo", BITS)).alias("c_lo")]
+        own = level[k].join(F.broadcast(told), "lang").select("lang", "hi", "lo", "n", "letters", less.alias("less"), *context)
+        by_context = own.where("n > 0").groupBy("lang", "c_hi", "c_lo").agg(F.sum("n").alias("whole"), F.sum("less").alias("freed"))
+        own = own.join(by_context, ["lang", "c_hi", "c_lo"], "left")
+        seen, freed = F.coalesce((F.col("n") - F.col("less")) / F.col("whole"), F.lit(0.0)), F.coalesce(F.col("freed") / F.col("whole"), F.lit(1.0))
         if lower is None:
-            own = own.withColumn("p", seen + freed / CLASSES)
+            p = seen + freed / F.col("letters")
         else:
-            own = own.withColumn("shorter", F.col("code").bitwiseAND((1 << BITS * (k - 1)) - 1).cast("int"))
-            own = own.join(lower.select("lang", F.col("code").alias("shorter"), F.col("p").alias("p_shorter")), ["lang", "shorter"]).withColumn("p", seen + freed * F.col("p_shorter"))
-        own = own.select("lang", "code", "p")
-        if k < ORDER:  # used by the next level and by the model; few files, as it is small
-            own = lower = materialise(own.coalesce(MODEL_FILES), f"probabilities-{k}")
-        weights = by_context.select("lang", F.lit(k - 1).alias("k"), F.col("context").alias("code"), F.lit(None).cast("double").alias("logp"), F.log(F.col("freed") / F.col("whole")).alias("backoff"))
-        out += [own.select("lang", F.lit(k).alias("k"), "code", F.log("p").alias("logp"), F.lit(None).cast("double").alias("backoff")), weights]
-    found = out[0]
-    for x in out[1:]:
-        found = found.unionByName(x)
-    return found.groupBy("lang", "k", "code").agg(F.max("logp").alias("logp"), F.max("backoff").alias("backoff"))
-
-
-def packed(model: DataFrame) -> DataFrame:
-    """lang, k, arrays: codes in order (32 bits), log-probabilities and back-off weights (floats); 64^k entries of 12 bytes at most."""
+            keep = (1 << BITS * max(0, k - 3)) - 1
+            own = own.withColumns({"s_hi": F.col("hi").bitwiseAND(F.lit(keep)), "s_lo": F.col("lo") if k > 2 else F.col("lo").bitwiseAND(F.lit(ONE))})
+            own = own.join(lower.select("lang", F.col("hi").alias("s_hi"), F.col("lo").alias("s_lo"), F.col("p").alias("p_shorter")), ["lang", "s_hi", "s_lo"])
+            p = seen + freed * F.col("p_shorter")
+        lower = own.select("lang", "hi", "lo", p.alias("p"))
+        if k < ORDER:
+            lower = materialise(lower, f"probabilities-{k}")
+    return lower.select("lang", "hi", "lo", F.log("p").alias("logp"))
+
+
+SHARD = "lang string, shard int, kind int, unit long, body binary"
+
+
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
+
+
+def arrays(model: DataFrame, shards: int) -> DataFrame:
+    """SHARD rows (kind 0): the hashes of a language's shard in order, and their log-probabilities."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = hashed(batch.column(1).to_numpy(), batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shard_of(h, shards)), pa.array(h.view(np.int64)), batch.column(3).cast(pa.float32())], names=["lang", "shard", "h", "logp"])
 
     def one(rows: pa.Table) -> pa.Table:
-        code = rows.column("code").to_numpy()
-        order = np.argsort(code, kind="stable")
-        floats = [rows.column(c).to_numpy()[order].astype("<f4") for c in ("logp", "backoff")]  # NaN: only a context, or none
-        body = b"".join([code[order].astype("<u4").tobytes(), *[f.tobytes() for f in floats]])
-        return pa.table({"lang": rows.column("lang").slice(0, 1), "k": rows.column("k").slice(0, 1).cast(pa.int32()), "arrays": pa.array([body], pa.binary())})
-
-    return model.groupBy("lang", "k").applyInArrow(trimmed_group(one), "lang string, k int, arrays binary")
-
-
-class Model:
-    """Sorted code arrays of one language, an entry of `packed` for each k."""
-
-    def __init__(self, arrays: list[bytes | None]) -> None:
-        self.levels = []
-        for body in arrays:
-            n = len(body or b"") // 12
-            self.levels.append((np.frombuffer(body or b"", "<u4", n), np.frombuffer(body or b"", "<f4", n, 4 * n), np.frombuffer(body or b"", "<f4", n, 8 * n)))
-
-    @staticmethod
-    def find(keys: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
-        return at, keys[at] == code if len(keys) else np.zeros(len(code), bool)
-
-    def log_probability(self, code: np.ndarray, k: int = ORDER) -> np.ndarray:
-        """Of each k-gram's last character after those before it."""
-        if not k:
-            return np.full(len(code), -np.log(CLASSES), np.float32)
-        keys, logp, _ = self.levels[k]
-        at, seen = self.find(keys, code)
-        out = logp[at] if len(keys) else np.full(len(code), np.nan, np.float32)
-        seen &= ~np.isnan(out)
-        if not seen.all():
-            miss = np.flatnonzero(~seen)
-            contexts, _, weight = self.levels[k - 1]
-            c_at, c_seen = self.find(contexts, code[miss] >> BITS)
-            lower = self.log_probability(code[miss] & np.uint32((1 << BITS * (k - 1)) - 1), k - 1)
-            out[miss] = lower + np.where(c_seen, np.nan_to_num(weight[c_at]) if len(weight) else 0, 0)
-        return out
-
-
-def shared_model(model: DataFrame):
-    """The packed model as a broadcast variable: {language: arrays of each k}. Its size is bounded (see above)."""
-    parts: dict[str, list[bytes | None]] = {}
-    for r in packed(model).collect():
-        parts.setdefault(r.lang, [None] * (ORDER + 1))[r.k] = r.arrays
-    return model.sparkSession.sparkContext.broadcast(parts)
-
-
-class Scorer:
-    """Base counts and mean loss of texts."""
-
-    def __init__(self, parts: dict[str, list[bytes | None]]) -> None:
-        self.models = {k: Model(v) for k, v in parts.items()}
-        self.none = Model([None] * (ORDER + 1))
-
-    def losses(self, texts: list[str], langs: list[str]) -> np.ndarray:
-        loss = np.zeros(len(texts))
-        for k in set(langs):
-            own = [i for i, x in enumerate(langs) if x == k and texts[i]]
-            if own:
-                codes = [n_gram_codes(texts[i]) for i in own]
-                begins = [0, *accumulate(map(len, codes))][:-1]
-                logp = self.models.get(k, self.none).log_probability(np.concatenate(codes)).astype(np.float64)
-                loss[own] = -np.add.reduceat(logp, begins) / np.array([len(c) for c in codes])
-        return loss
-
-
-def score(docs: DataFrame, shared, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Base counts of each row, its language and its perplexity's logarithm: one pass, no shuffle."""
+        h = rows.column("h").to_numpy().view(np.uint64)
+        order = np.argsort(h, kind="stable")
+        body = pack(h[order].view(np.int64), text=rows.column("logp").to_numpy()[order].astype("<f4").tobytes())
+        return pa.table({"lang": rows.column("lang").slice(0, 1), "shard": rows.column("shard").slice(0, 1), "kind": pa.array([0], pa.int32()), "unit": pa.array([0], pa.int64()), "body": pa.array([body], pa.binary())})
+
+    hashes = model.select("lang", "hi", "lo", "logp").mapInArrow(trimmed(named), "lang string, shard int, h long, logp float")
+    return hashes.groupBy("lang", "shard").applyInArrow(trimmed_group(one), SHARD)
+
+
+def requests(unit_rows: DataFrame, shards: int) -> DataFrame:
+    """SHARD rows (kind 1): a unit's hashes in order, those of one shard together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts, langs = [t or "" for t in part.column(1).to_pylist()], part.column(2).to_pylist()
-                counts = [base_counts(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).cast(pa.int64()), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(5)], pa.array(langs, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(scorer.losses(texts, langs), pa.float64()),
-                        pa.array(list(map(text_key, texts, langs)), pa.binary()),
-                    ],
-                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "model_lang", "n_chars", "loss", "text_key"],
-                )
+        for unit, k, _, _, body in rows_of(batches):
+            hi, lo, _, _ = codes_in(body)
+            h = np.sort(hashed(hi, lo))
+            cut = np.searchsorted(shard_of(h, shards), np.arange(shards + 1))
+            full = np.flatnonzero(np.diff(cut))
+            parts = [pack(np.diff(h[cut[s] : cut[s + 1]].view(np.int64), prepend=0)) for s in full]
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(full), pa.string()), pa.array(full.astype(np.int32)), pa.array([1] * len(full), pa.int32()), pa.array([unit] * len(full), pa.int64()), pa.array(parts, pa.binary())], names=["lang", "shard", "kind", "unit", "body"])
+
+    return unit_rows.mapInArrow(trimmed(run), SHARD)
 
-    return docs.select(key, text, language(F.col(lang)).alias("lang")).mapInArrow(trimmed(run), f"{BASE}, model_lang string, n_chars long, loss double, text_key binary")
+
+def answers(asked: DataFrame) -> DataFrame:
+    """SHARD rows of both kinds -> PART rows (kind 1): the log-probabilities of what each unit asked for, in its order. One shard and one request are in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (k, shard), rows in grouped(batches, 2):
+            hashes, logp = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+            for _, _, kind, unit, body in rows:
+                (found,), rest = unpack(body, 1)
+                if not kind:
+                    hashes, logp = found.view(np.uint64), np.frombuffer(rest, "<f4")
+                else:
+                    yield batch_of([(unit, k, 1, shard, logp[np.searchsorted(hashes, np.cumsum(found).view(np.uint64))].tobytes())])
+
+    return asked.repartition("lang", "shard").sortWithinPartitions("lang", "shard", "kind").mapInArrow(trimmed(run), PART)
+
+
+def score_units(rows: DataFrame) -> DataFrame:
+    """PART rows of texts and answers -> TEXT, n_chars, loss and the base counts of each distinct text."""
+    names = [*TEXT, "n_chars", "loss", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, k), group in grouped(batches, 2):
+            keys, texts, answered = opened(group)
+            logp = np.frombuffer(b"".join(answered), "<f4")
+            loss = losses([t.replace(MARK, NO_MARK) for t in texts], logp)
+            for at in range(0, len(texts), 1000):
+                counts = [base_counts(t) for t in texts[at : at + 1000]]
+                own = [*[[n[i] for n in keys[at : at + 1000]] for i in (0, 1)], [k] * len(counts), list(map(len, texts[at : at + 1000])), loss[at : at + 1000], *[[c[i] for c in counts] for i in range(5)]]
+                types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(own, types, strict=True)], names=names)
+
+    return by_unit(rows).mapInArrow(trimmed(run), f"key1 long, key2 long, model_lang string, n_chars long, loss double, {COUNTS}")
 
 
 def base_failed() -> Column:
@@ -336,21 +470,23 @@ def base_failed() -> Column:
 
 def pools(sizes: dict[tuple[str, int], int], least: int) -> list[tuple[str, int, int]]:
     """(language, length group, length group to take in): one neighbour on either side, and more until there are `least` texts."""
+    of: dict[str, dict[int, int]] = {}
+    for (lang, group), n in sizes.items():
+        of.setdefault(lang, {})[group] = n
     out = []
-    for lang, group in sizes:
-        own = {g: n for (k, g), n in sizes.items() if k == lang}
-        reach = 1
-        while sum(n for g, n in own.items() if abs(g - group) <= reach) < least and reach < max(abs(g - group) for g in own):
-            reach += 1
-        out += [(lang, group, g) for g in own if abs(g - group) <= reach]
+    for lang, own in of.items():
+        for group in own:
+            reach = 1
+            while sum(n for g, n in own.items() if abs(g - group) <= reach) < least and reach < max(abs(g - group) for g in own):
+                reach += 1
+            out += [(lang, group, g) for g in own if abs(g - group) <= reach]
     return out
 
 
 def bands(scored: DataFrame) -> DataFrame:
     """model_lang, length_group, middle, spread: from all distinct texts that pass the base rules."""
-    good = scored.where(~F.col("base_failed")).groupBy("model_lang", "length_group", "text_key").agg(F.first("loss").alias("loss"))
-    good = materialise(right_sized(good.drop("text_key"), scored), "losses")
-    sizes = {(r.model_lang, r.length_group): r["count"] for r in good.groupBy("model_lang", "length_group").count().collect()}  # 677 languages times 32 lengths at most
+    good = scored.where(~F.col("base_failed")).select("model_lang", "length_group", "loss")
+    sizes = {(r.model_lang, r.length_group): r["count"] for r in good.groupBy("model_lang", "length_group").count().collect()}  # 18,279 languages times 32 lengths at most
     pool = scored.sparkSession.createDataFrame(pools(sizes, LEAST_TEXTS), "model_lang string, pool int, length_group int")
     scale = F.sqrt(F.pow(F.lit(2.0), F.col("length_group") - F.col("pool")))  # a neighbour's spread at this length
     good = good.join(F.broadcast(pool), ["model_lang", "length_group"]).select("model_lang", F.col("pool").alias("length_group"), "loss", scale.alias("scale"))
@@ -359,48 +495,42 @@ def bands(scored: DataFrame) -> DataFrame:
     return off.groupBy("model_lang", "length_group").agg(F.first("middle").alias("middle"), (1.4826 * F.percentile_approx("off", 0.5, 10_000)).alias("spread"))
 
 
-def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[object, DataFrame, DataFrame]:
-    """(shared model, scored rows, bands) of a corpus; the two tables are stored in the shared folder."""
-    counts = materialise(count_n_grams(docs, text, lang).coalesce(4 * MODEL_FILES), "n-grams")
-    shared = shared_model(kneser_ney(counts))
-    scored = materialise(score(docs, shared, key, text, lang), "scored")
-    scored = scored.withColumn("base_failed", base_failed()).withColumn("length_group", F.floor(F.log2(F.greatest("n_chars", F.lit(1)))).cast("int"))
-    return shared, scored, materialise(bands(scored).coalesce(1), "bands")  # at most 677 languages times 32 lengths
+def judged_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """TEXT, counts, loss, its band and kept of each distinct text that isn't empty."""
+    spark = docs.sparkSession
+    units = n_units(docs, text)
+    unit_rows = materialise(unit_counts(docs, text, lang, units), "n-gram-units")
+    forget(spark)
+    counts = materialise(count_n_grams(unit_rows), "n-grams")
+    shards = max(LEAST_SHARDS, -(-counts.count() // SHARD_ENTRIES))
+    model = materialise(arrays(kneser_ney(counts), shards), "n-gram-model")
+    forget(spark)
+    answered = answers(model.unionByName(requests(unit_rows, shards)))
+    scored = materialise(score_units(dealt(docs, text, lang, units).unionByName(answered)), "scored-texts")
+    forget(spark)
+    scored = scored.withColumn("base_failed", base_failed()).withColumn("length_group", F.floor(F.log2("n_chars")).cast("int"))
+    band = materialise(bands(scored).coalesce(1), "bands")  # as many rows as sizes above
+    found = scored.join(F.broadcast(band), ["model_lang", "length_group"], "left")
+    low = F.col("middle") - F.greatest(LOW_SPREADS * F.col("spread"), LOW_LEAST / F.sqrt("n_chars"))
+    high = F.col("middle") + F.greatest(HIGH_SPREADS * F.col("spread"), F.lit(HIGH_LEAST))
+    found = found.withColumns({"low": low, "high": high})
+    return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("loss").between(F.col("low"), F.col("high")), F.lit(True)))
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Base counts, base_failed, perplexity, its band, and kept, for each row."""
-    _, scored, band = fitted(docs, key, text, lang)
-    judged = scored.join(F.broadcast(band), ["model_lang", "length_group"], "left")
-    low = F.col("middle") - F.greatest(LOW_SPREADS * F.col("spread"), LOW_LEAST / F.sqrt(F.greatest("n_chars", F.lit(1))))
-    high = F.col("middle") + F.greatest(HIGH_SPREADS * F.col("spread"), F.lit(HIGH_LEAST))
-    judged = judged.withColumn("low", low).withColumn("high", high)
-    inside = F.coalesce(F.col("loss").between(F.col("low"), F.col("high")), F.lit(True))
-    return judged.withColumn("kept", ~F.col("base_failed") & inside).withColumn("perplexity", F.exp("loss"))
+    """Base counts, base_failed, perplexity, its band, and kept, for each row: one narrow join with the texts' verdicts."""
+    rows = docs.select(F.col(key).alias("doc_id"), *text_names(text, lang))
+    found = rows.join(judged_texts(docs, text, lang), TEXT, "left")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars")]
+    out = found.select("doc_id", "model_lang", *zero, "loss", "low", "high", F.coalesce("base_failed", F.lit(True)).alias("base_failed"), F.coalesce("kept", F.lit(False)).alias("kept"))
+    return right_sized(out.withColumn("perplexity", F.exp("loss")), docs)
 
 
 def kept_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows that `judge` keeps, with all their columns. Texts are scored a second time where they are read: that is cheaper than shuffling a corpus to meet its verdicts."""
-    shared, _, band = fitted(docs, key, text, lang)
-    limits = {(r.model_lang, r.length_group): (r.middle, r.spread) for r in band.collect()}
-    at_text, names = docs.columns.index(text), docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts, langs = [t or "" for t in part.column(at_text).to_pylist()], part.column(len(names)).to_pylist()
-                keep = []
-                for t, k, loss in zip(texts, langs, scorer.losses(texts, langs).tolist(), strict=True):
-                    n_words, _, _, _, n_repeat_words = base_counts(t)
-                    failed = n_words < MIN_WORDS or 100 * n_repeat_words > int(100 * MAX_REPEATED) * n_words
-                    n = max(1, len(t))
-                    middle, spread = limits.get((k, n.bit_length() - 1), (loss, 0.0))
-                    keep.append(not failed and middle - max(LOW_SPREADS * spread, LOW_LEAST / n**0.5) <= loss <= middle + max(HIGH_SPREADS * spread, HIGH_LEAST))
-                yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(keep)) for i in range(len(names))], names=names)
-
-    return docs.withColumn("_model_lang", language(F.col(lang))).mapInArrow(trimmed(run), docs.schema)
+    """The rows that `judge` keeps, with all their columns."""
+    kept = judged_texts(docs, text, lang).where("kept").select(TEXT)
+    rows = docs.select(F.struct("*").alias("row"), *text_names(text, lang))  # a struct, so that no names clash
+    return right_sized(rows.join(kept, TEXT, "left_semi").select("row.*"), docs)
 
 
 def verdicts(judged: DataFrame) -> DataFrame:

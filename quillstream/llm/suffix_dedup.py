@@ -27,7 +27,6 @@ are by `deduplicate`, which gives texts without the removed bytes (a character c
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import io
 from collections.abc import Iterator
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstream.llm.common import materialise, right_sized, trimmed, trimmed_group
+from quillstream.llm.common import forget, materialise, pack, right_sized, trimmed, trimmed_group, unpack
 from quillstream.llm.suffix_array import suffix_array
 
 WINDOW = 50
@@ -60,24 +59,6 @@ BLOCK = "block long, raw_bytes long, ids binary, ends binary, body binary, rest
 PART = "block long, bucket int, kind int, part binary"
 
 
-def pack(*columns: np.ndarray, text: bytes = b"") -> bytes:
-    """Integer columns of one length (byte by byte, so that equal high bytes compress), and a text."""
-    import zstandard
-
-    n = len(columns[0])
-    body = b"".join(np.ascontiguousarray(c.astype("<i8")).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns)
-    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body + text)
-
-
-def unpack(part: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
-    import zstandard
-
-    n = int.from_bytes(part[:8], "little")
-    body = zstandard.ZstdDecompressor().decompress(part[8:])
-    out = [np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, 8 * n * i).reshape(8, n).T).view("<i8").ravel() for i in range(columns)]
-    return out, body[8 * n * columns :]
-
-
 def powers(n: int, base: int) -> np.ndarray:
     out = np.full(n, base & (2**64 - 1), np.uint64)
     out[:1] = 1
@@ -434,12 +415,6 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
     return right_sized(out, blocks)
 
 
-def forget(spark) -> None:
-    """Lets Spark delete the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def digest_table(own: Block, removed: np.ndarray, _: pa.Table | None) -> pa.Table:
     begins = np.r_[0, own.ends[:-1]].astype(np.int64)
     sizes = own.ends - begins
