@@ -126,13 +126,13 @@ def trimmed_group(run: Callable) -> Callable:
     return two if run.__code__.co_argcount == 2 else one
 
 
-def pack(*columns: np.ndarray, text: bytes = b"") -> bytes:
+def pack(*columns: np.ndarray, text: bytes = b"", level: int = 1) -> bytes:
     """Integer columns of one length (byte by byte, so that equal high bytes compress), and a text."""
     import zstandard
 
     n = len(columns[0])
     body = b"".join(np.ascontiguousarray(c.astype("<i8")).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns)
-    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body + text)
+    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=level).compress(body + text)
 
 
 def unpack(part: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:

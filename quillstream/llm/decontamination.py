@@ -10,12 +10,14 @@ The documents' side never moves: words are exploded, probed, and verified within
 one row a document and its verified windows are shuffled. Join keys are hashes of words in full lower case, a coarser
 equality than the exact one, which the comparison then decides on A-Z alone.
 
-The windows are broadcast in slices of at most WINDOWS_AT_ONCE, counted beforehand: a larger benchmark takes more
-passes over the documents, never a larger broadcast.
+The shingles that are counted and the windows with their items are broadcast in slices, whose bytes are summed up
+beforehand: SLICE_BYTES each on average. A larger benchmark takes more passes over the documents, never a larger
+broadcast. (A single window's list of items is whole: it has one entry for each item with that window.)
 
-Null and empty texts have no words; null or empty items have no windows; a null item_id counts as an empty string.
+Texts of any length are split whole. Null and empty texts have no words; null or empty items have no windows; a null item_id counts as an empty string.
 Each input row gives one result row, repeated rows too; rows of one doc_id with different texts are judged apart.
-Empty tables are fine, and columns besides ids and texts aren't read.
+Shingles with
+equal counts are ordered by their hashes. Empty tables are fine, and columns besides ids and texts aren't read.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from quillstream.llm.common import materialise, right_sized
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 3
-WINDOWS_AT_ONCE = 200_000
+SLICE_BYTES = 32_000_000
+#: A broadcast row's bytes beside its strings.
+ROW_BYTES = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words, before lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -83,12 +87,16 @@ def exploded(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
     )
 
 
-def rarest(docs: DataFrame, shingles: DataFrame, sizes: list[int], key: str, text: str) -> DataFrame:
+def rarest(docs: DataFrame, shingles: DataFrame, key: str, text: str) -> DataFrame:
     """Each window with its prefix: the shingle with the smallest count over all documents."""
     counts = []
-    for k in sizes:
-        own = shingles.where(F.col("k") == k).select("key").distinct()
-        counts.append(exploded(docs, k, key, text).select("key").join(F.broadcast(own), "key").groupBy("key").count().withColumn("k", F.lit(k)))
+    for r in shingles.groupBy("k").agg(F.countDistinct("key").alias("n")).collect():
+        slices = max(1, -(-r.n * ROW_BYTES // SLICE_BYTES))
+        for i in range(slices):
+            own = shingles.where((F.col("k") == r.k) & (F.pmod("key", F.lit(slices)) == i)).select("key").distinct()
+            counts.append(exploded(docs, r.k, key, text).select("key").join(F.broadcast(own), "key").groupBy("key").count().withColumn("k", F.lit(r.k)))
+    if not counts:
+        counts = [shingles.select("key", F.lit(0).cast("long").alias("count"), "k").limit(0)]
     counted = reduce(DataFrame.unionByName, counts)
     ranked = shingles.join(counted, ["k", "key"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     return ranked.groupBy("window_text", "n_words", "k").agg(
@@ -122,9 +130,9 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     """One row for each document row: doc_id, n_words, n_hit, n_items, item_ids (sorted strings), spans (merged), contaminated."""
     windows = materialise(window_shingles(item_windows(items)).coalesce(8), "benchmark-shingles")
     sizes = sorted({SHINGLE_WORDS, *(r.k for r in windows.select("k").distinct().collect())})
-    prefixes = materialise(rarest(docs, windows, sizes, key, text).coalesce(8), "benchmark-prefixes")
-    n = prefixes.count()
-    slices = max(1, -(-n // WINDOWS_AT_ONCE))
+    prefixes = materialise(rarest(docs, windows, key, text).coalesce(8), "benchmark-prefixes")
+    size = F.octet_length("window_text") + F.aggregate("item_ids", F.lit(ROW_BYTES), lambda n, x: n + F.octet_length(x) + 16)
+    slices = max(1, -(-prefixes.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0] // SLICE_BYTES))
     parts = []
     for i in range(slices):
         own = prefixes if slices == 1 else prefixes.where(F.pmod(F.xxhash64("window_text"), F.lit(slices)) == i)
@@ -133,15 +141,14 @@ def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     one = found.groupBy("doc_id", "text_key").agg(
         F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.sort_array(F.collect_set("span")).alias("found"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("item_ids")
     )
-    merged = F.expr("""
-        aggregate(found, cast(array() as array<struct<start:int,end:int>>),
-          (acc, x) -> if(size(acc) > 0 and x.start <= element_at(acc, -1).end,
-                         concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end)))),
-                         concat(acc, array(named_struct('start', x.start, 'end', x.end)))))""")
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + (x["end"] - x["start"]))
+    # words that a window covers; a span begins after a word that isn't covered and ends before one
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda x: F.sequence(x["start"], x["end"] - 1)))))
+    after = F.transform("covered", lambda x: x + 1)
+    spans = F.zip_with(F.array_except("covered", after), F.array_except(after, F.col("covered")), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
     out = (
-        one.withColumn("spans", merged)
-        .withColumn("n_hit", n_hit)
+        one.withColumn("covered", covered)
+        .withColumn("spans", spans)
+        .withColumn("n_hit", F.size("covered").cast("long"))
         .withColumn("item_ids", F.array_sort("item_ids"))
         .withColumn("n_items", F.size("item_ids").cast("long"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

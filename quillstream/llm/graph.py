@@ -12,7 +12,7 @@ ROWS_PER_FILE = 250_000
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """pairs (u, v): neighbours of each u -> u, v, least of u and its neighbours. Sums up before it shuffles; hubs are split by the join."""
+    """pairs (u, v): neighbours of each u -> u, v, least of u and its neighbours. Sums up before it shuffles; a hub's pairs are two longs each, which the adaptive join splits among tasks."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     return pairs.join(least, "u")
 
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of every id that `edges` (a, b) connects to a smaller one.
 
     Each round rewrites the edges and stores them in the shared folder; the driver only sees a count and a checksum.
-    Rounds grow with the logarithm of the number of ids, whatever the components' shapes.
+    Rounds grow with the logarithm of the number of ids, whatever the components' shapes. Repeated edges, loops and
+    edges with a null end say nothing; without edges the result is empty.
     """
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = materialise(e, "edges")

@@ -2,12 +2,13 @@
 
 The language model is an interpolated, modified Kneser-Ney model over n-grams of ORDER characters, real code points
 but for blanks, which are one character, and digits, which are another. It is made of distinct texts, so copies change
-no verdict, and an n-gram enters it if it stands in LEAST_HOLDERS different texts: what only one text has doesn't make
-that text likely. The counts' own statistics give the discounts before that cut.
+no verdict. An n-gram enters it if it stands in texts of different signatures (least hash of a text's strings of ALIKE
+characters, 16 bits): what one text and its near copies alone have doesn't make them likely. Near copies in a unit count
+as one text, so a group of any size has little weight. The counts' own statistics give the discounts before that cut.
 
-1. Units. Texts are dealt by a hash into units of UNIT_BYTES, whatever the input's size. A unit's content, its distinct
+1. Units. Texts of a language are dealt by a hash into units of UNIT_BYTES, whatever the input's size. A unit's content, its distinct
    texts, follows from the data alone, so it is put together again for scoring instead of being stored.
-2. Counts. Each unit gives its distinct n-grams with their counts and numbers of texts; Spark adds them up.
+2. Counts. Each unit gives its distinct n-grams with their counts and holders; Spark adds them up.
    Continuation counts, discounts and back-off weights are joins over the distinct n-grams, which grow with the corpus.
    Every n-gram of the corpus gets its log-probability there, by back-off if it isn't in the model itself.
 3. Arrays. The model is stored as arrays sorted by the n-grams' 64-bit hashes, cut into shards of SHARD_ENTRIES by the
@@ -21,7 +22,7 @@ language has no more), and gives a lower and an upper band around the median: LO
 standard deviations below and above. A neighbour's deviations are scaled by the square root of the lengths' ratio, as
 texts vary less the longer they are. The lower band is LOW_LEAST divided by the square root of the text's characters
 wide at least (what texts of that length vary by on their own), the upper one
-HIGH_LEAST nats: passages in another language raise a clean text's perplexity.
+HIGH_LEAST nats: passages in another language raise a clean text's perplexity. Bands made of few texts are wider.
 
 Null and empty texts have no words and fail the base rule. A language is the first part of its code, two or three
 letters; null and anything else is "und". Texts of any length are whole: long ones are worked on in pieces of PIECE
@@ -32,6 +33,7 @@ aren't read (`kept_documents` hands them on, whatever their names).
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,16 +44,19 @@ from pyspark.sql import functions as F
 from quillstream.llm.common import forget, grouped, materialise, pack, right_sized, rows_of, trimmed, trimmed_group, unpack
 
 ORDER = 5
-LEAST_HOLDERS = 2
+#: Strings of so many characters tell near copies; a power of two.
+ALIKE = 32
+SEVERAL = -1
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 LOW_SPREADS, LOW_LEAST = 5.0, 4.5
 HIGH_SPREADS, HIGH_LEAST = 10.0, 0.9
-#: Distinct texts that a band is made of, if the language has so many.
+#: Distinct texts that a band is made of, if the language has so many; one of n texts is 1 + FEW / n times as wide.
 LEAST_TEXTS = 200
+FEW = 10
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
-UNIT_BYTES = 4_000_000
+UNIT_BYTES = 8_000_000
 PIECE = 2_000_000
 SHARD_ENTRIES = 500_000
 LEAST_SHARDS = 16
@@ -168,28 +173,60 @@ def hashed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 
 def added(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """(hi, lo, count, holders) lists as one, in the order of the hashes."""
-    hi, lo, n, holders = (np.concatenate(x) for x in zip(*found, strict=True))
+    """(hi, lo, count, holder) lists as one, in the order of the hashes."""
+    hi, lo, n, holder = (np.concatenate(x) for x in zip(*found, strict=True))
     h = hashed(hi, lo)
     order = np.argsort(h, kind="stable")
     begin = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
-    return hi[order[begin]], lo[order[begin]], np.add.reduceat(n[order], begin), np.add.reduceat(holders[order], begin)
+    return hi[order[begin]], lo[order[begin]], np.add.reduceat(n[order], begin), common(holder[order], begin)
+
+
+def common(holder: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Of each group its one holder, or SEVERAL."""
+    least = np.minimum.reduceat(holder, begin)
+    return np.where(least == np.maximum.reduceat(holder, begin), least, SEVERAL)
+
+
+def signatures(texts: list[str]) -> np.ndarray:
+    """Least hash of each text's strings of ALIKE characters, which near copies mostly share."""
+    out = np.full(len(texts), 2**64 - 1, np.uint64)
+    cut = [(i, t[at : at + PIECE + ALIKE - 1]) for i, t in enumerate(texts) for at in range(0, max(1, len(t)), PIECE)]
+    sizes = np.cumsum([len(t) for _, t in cut])
+    for a, b in itertools.pairwise([0, *np.flatnonzero(np.diff(sizes // PIECE)).__add__(1).tolist(), len(cut)]):
+        own = [t.ljust(ALIKE, MARK) for _, t in cut[a:b]]
+        s = FOLDED[np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.uint64)
+        base, width = MIX[0], 1
+        while width < ALIKE:  # hashes of strings of twice the length
+            s = s[: len(s) - width] * base + s[width:]
+            base, width = np.uint64(int(base) ** 2 % 2**64), 2 * width
+        s ^= s >> np.uint64(31)
+        s *= MIX[1]
+        s ^= s >> np.uint64(30)
+        s *= MIX[2]
+        s ^= s >> np.uint64(29)
+        ends = np.cumsum([len(t) for t in own])
+        for back in range(1, ALIKE):  # strings across two texts
+            s[ends[:-1] - back] = 2**64 - 1
+        np.minimum.at(out, np.array([i for i, _ in cut[a:b]]), np.minimum.reduceat(s, np.r_[0, ends[:-1]]))
+    return out
 
 
 def counted(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """hi, lo, count and number of texts of each distinct n-gram of the texts, in the order of the hashes."""
-    found, long = [], {}
-    for numbers, before, parts in parts_of(texts):
-        hi, lo, of, _, count = grams_of(before, parts)
+    """hi, lo, count and holder of each distinct n-gram of the texts, in the order of the hashes. Neighbours with one signature count as one text, by the larger count."""
+    signature = signatures(texts)
+    order = np.argsort(signature, kind="stable")
+    found = []
+    for numbers, before, parts in parts_of([texts[i] for i in order]):
+        hi, lo, of, part, count = grams_of(before, parts)
+        alike, kind = np.unique(signature[order[numbers]], return_inverse=True)
+        if len(alike) < len(numbers):
+            key = of * len(alike) + kind[part]
+            by = np.argsort(key, kind="stable")
+            begin = np.flatnonzero(np.r_[True, np.diff(key[by]) > 0])
+            of, count, part = of[by[begin]], np.maximum.reduceat(count[by], begin), part[by[begin]]
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        own = hi, lo, np.add.reduceat(count, begin), np.diff(np.r_[begin, len(of)])
-        if len(texts[numbers[0]]) > PIECE:
-            long.setdefault(numbers[0], []).append(own)
-        else:
-            found.append(own)
-    for own in long.values():
-        hi, lo, n, _ = added(own)
-        found.append((hi, lo, n, np.ones(len(n), np.int64)))
+        holder = (alike & np.uint64(0xFFFF)).astype(np.int64)[kind[part]]
+        found.append((hi, lo, np.add.reduceat(count, begin), common(holder, begin)))
     return added(found) if found else tuple(np.zeros(0, np.int64) for _ in range(4))
 
 
@@ -240,9 +277,10 @@ def repeated_words(words: list[bytes]) -> int:
     return int(hit.sum())
 
 
-def n_units(docs: DataFrame, text: str) -> int:
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text)).cast("long")), F.lit(0))).first()[0]
-    return max(1, -(-total // UNIT_BYTES))
+def n_units(docs: DataFrame, text: str, lang: str) -> dict[str, int]:
+    """Units of each language: 18,279 entries at most."""
+    sizes = docs.groupBy(language(F.col(lang)).alias("lang")).agg(F.coalesce(F.sum(F.octet_length(F.col(text)).cast("long")), F.lit(0)).alias("n"))
+    return {r.lang: max(1, -(-r.n // UNIT_BYTES)) for r in sizes.collect()}
 
 
 PART = "unit long, lang string, kind int, shard int, body binary"
@@ -253,7 +291,7 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["unit", "lang", "kind", "shard", "body"])
 
 
-def dealt(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
+def dealt(docs: DataFrame, text: str, lang: str, units: dict[str, int]) -> DataFrame:
     """PART rows (kind 0) that hold the texts which aren't empty, compressed, for their units. A task sends each text once, so none arrives more often than there are tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +301,7 @@ def dealt(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             for (unit, k), (one, two, bodies) in waiting.items():
-                yield batch_of([(unit, k, 0, 0, pack(np.array(one), np.array(two), np.array([len(b) for b in bodies]), text=b"".join(bodies)))])
+                yield batch_of([(unit, k, 0, 0, pack(np.array(one), np.array(two), np.array([len(b) for b in bodies]), text=b"".join(bodies), level=3))])
             waiting.clear()
 
         for batch in batches:
@@ -273,7 +311,7 @@ def dealt(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
                     if t and (one, two, k) not in seen:
                         seen.add((one, two, k))
                         body = t.encode()
-                        for x, into in zip((one, two, body), waiting.setdefault((one % units, k), ([], [], [])), strict=True):
+                        for x, into in zip((one, two, body), waiting.setdefault((one % units[k], k), ([], [], [])), strict=True):
                             into.append(x)
                         size += len(body)
                         if size >= SENT_BYTES:
@@ -285,7 +323,7 @@ def dealt(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
 
 
 def by_unit(rows: DataFrame) -> DataFrame:
-    return rows.repartition("unit").sortWithinPartitions("unit", "lang", "kind", "shard")
+    return rows.repartition("lang", "unit").sortWithinPartitions("lang", "unit", "kind", "shard")
 
 
 def opened(rows: Iterator[tuple]) -> tuple[list[tuple[int, int]], list[str], list[bytes]]:
@@ -305,26 +343,26 @@ def opened(rows: Iterator[tuple]) -> tuple[list[tuple[int, int]], list[str], lis
     return sorted(names), [texts[i] for i in order], rest
 
 
-def unit_counts(docs: DataFrame, text: str, lang: str, units: int) -> DataFrame:
-    """unit, lang, body: each unit's distinct n-grams in code order, counts and numbers of texts."""
+def unit_counts(docs: DataFrame, text: str, lang: str, units: dict[str, int]) -> DataFrame:
+    """unit, lang, body: each unit's distinct n-grams in code order, counts and holders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (unit, k), rows in grouped(batches, 2):
             _, texts, _ = opened(rows)
-            hi, lo, n, holders = counted([t.replace(MARK, NO_MARK) for t in texts])
+            hi, lo, n, holder = counted([t.replace(MARK, NO_MARK) for t in texts])
             order = np.lexsort((lo, hi))
-            yield batch_of([(unit, k, 0, 0, pack(np.diff(hi[order], prepend=0), lo[order], n[order], holders[order]))])
+            yield batch_of([(unit, k, 0, 0, pack(np.diff(hi[order], prepend=0), lo[order], n[order], holder[order]))])
 
     return by_unit(dealt(docs, text, lang, units)).mapInArrow(trimmed(run), PART)
 
 
 def codes_in(body: bytes) -> tuple[np.ndarray, ...]:
-    (hi, lo, n, holders), _ = unpack(body, 4)
-    return np.cumsum(hi), lo, n, holders
+    (hi, lo, n, holder), _ = unpack(body, 4)
+    return np.cumsum(hi), lo, n, holder
 
 
 def count_n_grams(unit_rows: DataFrame) -> DataFrame:
-    """lang, hi, lo, n, holders of every n-gram of the corpus; tasks add up their own units' first."""
+    """lang, hi, lo, n, and whether several hold it, of every n-gram of the corpus; tasks add up their own units' first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[tuple]] = {}
@@ -335,7 +373,7 @@ def count_n_grams(unit_rows: DataFrame) -> DataFrame:
                 columns = added(found)
                 for at in range(0, len(columns[0]), 100_000):
                     own = [pa.array(np.asarray(c[at : at + 100_000], np.int64)) for c in columns]
-                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(own[0]), pa.string()), *own], names=["lang", "hi", "lo", "n", "holders"])
+                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(own[0]), pa.string()), *own], names=["lang", "hi", "lo", "n", "holder"])
             waiting.clear()
 
         for (_, k), rows in grouped(batches, 2):
@@ -347,8 +385,8 @@ def count_n_grams(unit_rows: DataFrame) -> DataFrame:
                 size = 0
         yield from out()
 
-    per_task = unit_rows.mapInArrow(trimmed(run), "lang string, hi long, lo long, n long, holders long")
-    return per_task.groupBy("lang", "hi", "lo").agg(F.sum("n").alias("n"), F.sum("holders").alias("holders"))
+    per_task = unit_rows.mapInArrow(trimmed(run), "lang string, hi long, lo long, n long, holder long")
+    return per_task.groupBy("lang", "hi", "lo").agg(F.sum("n").alias("n"), ((F.min("holder") == SEVERAL) | (F.min("holder") != F.max("holder"))).alias("several"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -357,7 +395,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     At each level the n-grams of the model have n > 0; shorter ones have the number of different characters before
     them, in the model, as their n. The others are there because their probabilities are asked for.
     """
-    level = {ORDER: counts.select("lang", "hi", "lo", F.when(F.col("holders") >= LEAST_HOLDERS, F.col("n")).otherwise(0).alias("n"), F.col("n").alias("all"))}
+    level = {ORDER: counts.select("lang", "hi", "lo", F.when(F.col("several"), F.col("n")).otherwise(0).alias("n"), F.col("n").alias("all"))}
     for k in range(ORDER - 1, 0, -1):
         keep = (1 << BITS * max(0, k - 2)) - 1
         above = level[k + 1].select("lang", F.col("hi").bitwiseAND(F.lit(keep)).alias("hi"), (F.col("lo") if k > 1 else F.col("lo").bitwiseAND(F.lit(ONE))).alias("lo"), "n")
@@ -484,7 +522,7 @@ def pools(sizes: dict[tuple[str, int], int], least: int) -> list[tuple[str, int,
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """model_lang, length_group, middle, spread: from all distinct texts that pass the base rules."""
+    """model_lang, length_group, middle, spread, wider: from all distinct texts that pass the base rules."""
     good = scored.where(~F.col("base_failed")).select("model_lang", "length_group", "loss")
     sizes = {(r.model_lang, r.length_group): r["count"] for r in good.groupBy("model_lang", "length_group").count().collect()}  # 18,279 languages times 32 lengths at most
     pool = scored.sparkSession.createDataFrame(pools(sizes, LEAST_TEXTS), "model_lang string, pool int, length_group int")
@@ -492,13 +530,13 @@ def bands(scored: DataFrame) -> DataFrame:
     good = good.join(F.broadcast(pool), ["model_lang", "length_group"]).select("model_lang", F.col("pool").alias("length_group"), "loss", scale.alias("scale"))
     middle = good.groupBy("model_lang", "length_group").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"))
     off = good.join(F.broadcast(middle), ["model_lang", "length_group"]).withColumn("off", F.abs(F.col("loss") - F.col("middle")) * F.col("scale"))
-    return off.groupBy("model_lang", "length_group").agg(F.first("middle").alias("middle"), (1.4826 * F.percentile_approx("off", 0.5, 10_000)).alias("spread"))
+    return off.groupBy("model_lang", "length_group").agg(F.first("middle").alias("middle"), (1.4826 * F.percentile_approx("off", 0.5, 10_000)).alias("spread"), (1 + FEW / F.count(F.lit(1))).alias("wider"))
 
 
 def judged_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """TEXT, counts, loss, its band and kept of each distinct text that isn't empty."""
     spark = docs.sparkSession
-    units = n_units(docs, text)
+    units = n_units(docs, text, lang)
     unit_rows = materialise(unit_counts(docs, text, lang, units), "n-gram-units")
     forget(spark)
     counts = materialise(count_n_grams(unit_rows), "n-grams")
@@ -511,8 +549,8 @@ def judged_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
     scored = scored.withColumn("base_failed", base_failed()).withColumn("length_group", F.floor(F.log2("n_chars")).cast("int"))
     band = materialise(bands(scored).coalesce(1), "bands")  # as many rows as sizes above
     found = scored.join(F.broadcast(band), ["model_lang", "length_group"], "left")
-    low = F.col("middle") - F.greatest(LOW_SPREADS * F.col("spread"), LOW_LEAST / F.sqrt("n_chars"))
-    high = F.col("middle") + F.greatest(HIGH_SPREADS * F.col("spread"), F.lit(HIGH_LEAST))
+    low = F.col("middle") - F.col("wider") * F.greatest(LOW_SPREADS * F.col("spread"), LOW_LEAST / F.sqrt("n_chars"))
+    high = F.col("middle") + F.col("wider") * F.greatest(HIGH_SPREADS * F.col("spread"), F.lit(HIGH_LEAST))
     found = found.withColumns({"low": low, "high": high})
     return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("loss").between(F.col("low"), F.col("high")), F.lit(True)))
 

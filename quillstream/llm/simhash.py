@@ -19,8 +19,10 @@ bounds, down to leaves that are compared bit by bit.
 A shard returns each connected point with the least id that it reaches there, never its pairs, so a dense group of n
 points gives n rows. Components over all shards are then joined by star contraction.
 
-Null and empty texts have no words: fingerprint zero, linked like any other. Rows without a doc_id take part with
-the others; repeated rows are exact copies; empty tables give empty results; other columns aren't read.
+Null and empty texts have no words: fingerprint zero, linked like any other. Texts of any length are hashed whole. Rows
+without a doc_id take part with the others (a group without any id has a null component); repeated rows are exact
+copies; the sample is taken by a hash, ties by the fingerprint itself; empty tables give empty results; other columns
+aren't read.
 """
 
 from __future__ import annotations
@@ -41,11 +43,8 @@ SHINGLE = 4
 SEED = 42
 BLOCKS = 4
 SHARD_POINTS = 8192
-MAX_SHARDS = 16_384
 SAMPLE = 20_000
 LEAF = 48
-#: Points whose rows all lack a doc_id get numbers from here.
-NO_ID = 2**63 - 2**41
 #: Comparisons made at once.
 BLOCK = 2_000_000
 
@@ -85,7 +84,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 found = np.array([fingerprint(t, size) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(found.view(np.int64)), *[part.column(2)] * keyed], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(found.view(np.int64)), *part.columns[2:]], names=names)
 
     return docs.select(key, text, *[text_key(text).alias("text_key")] * keyed).mapInArrow(trimmed(run), ", ".join(f"{n} long" for n in names))
 
@@ -175,6 +174,12 @@ def block_radii(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
     return [(radius + 1) // blocks - 1 + (i < (radius + 1) % blocks) for i in range(blocks)]
 
 
+def block_widths(blocks: int = BLOCKS) -> list[int]:
+    """Bits of each block."""
+    at = [64 * i // blocks for i in range(blocks + 1)]
+    return [b - a for a, b in zip(at, at[1:])]
+
+
 def block_values(fp: np.ndarray, blocks: int = BLOCKS) -> list[np.ndarray]:
     """The bits of each block."""
     at = [64 * i // blocks for i in range(blocks + 1)]
@@ -185,9 +190,12 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
     """points (fp, id): distinct fingerprints -> edges (a, b) that connect exactly those within `radius` over any steps."""
     n = points.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_points))))
-    depth = min(depth, int(np.log2(MAX_SHARDS)))
     sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
-    routers = [(r, Tree(np.unique(v), depth, 1)) for r, v in zip(block_radii(radius, blocks), block_values(sample, blocks), strict=True)]
+    values = [np.unique(v) for v in block_values(sample, blocks)]
+    if depth > np.log2(SAMPLE / 4):  # more leaves than the sample can tell apart: fitted on each block's whole space
+        values = [np.arange(min(2**16, 2 ** int(w)), dtype=np.uint64) << np.uint64(max(0, int(w) - 16)) for w in block_widths(blocks)]
+    routers = [(r, Tree(v, depth, 1)) for r, v in zip(block_radii(radius, blocks), values, strict=True)]
+    first_leaf = np.cumsum([0, *[len(t.leaves) for _, t in routers]])
     if not depth:  # one shard, one tree
         routers = [(radius, routers[0][1]), *[(-1, t) for _, t in routers[1:]]]
 
@@ -206,7 +214,7 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
                     keep = own | (home[who] < leaf)
                     who, own = who[keep], own[keep]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(who), block * MAX_SHARDS + leaf, np.int32)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
+                        [pa.array(np.full(len(who), first_leaf[block] + leaf, np.int32)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
                     )
 
     def connect(shard: pa.Table) -> pa.Table:
@@ -222,22 +230,25 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
     return routed.groupBy("shard").applyInArrow(trimmed_group(connect), "a long, b long")
 
 
+def grouped_points(prints: DataFrame, radius: int, shard_points: int) -> DataFrame:
+    """fp, least (doc_id), group of each distinct fingerprint: links connect two fingerprints if and only if their groups are equal. Fingerprints themselves name points and groups, so that rows need no ids."""
+    points = materialise(right_sized(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("id", F.col("fp")), prints), "points")
+    found = connected_components(links(points, radius, shard_points))
+    return points.join(found, "id", "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, shard_points: int = SHARD_POINTS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable, itself included) of each row."""
     prints = materialise(fingerprints(docs, key, text, size), "fingerprints")
-    points = materialise(right_sized(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("id", F.coalesce("least", NO_ID + F.pmod("fp", F.lit(2**40)))), prints), "points")
-    found = connected_components(links(points, radius, shard_points))
-    least = F.when(F.col("component") < NO_ID, F.col("component"))
-    joined = points.join(found, "id", "left").select("fp", F.coalesce(least, "least").alias("component_id"))
+    points = materialise(right_sized(grouped_points(prints, radius, shard_points), prints), "grouped-points")
+    joined = points.join(points.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("fp", "component_id")
     return right_sized(prints.join(joined, "fp").select("doc_id", "fp", "component_id"), prints)
 
 
 def row_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, size: int = SHINGLE, shard_points: int = SHARD_POINTS) -> DataFrame:
     """doc_id, text_key, group of each row: rows have one group if and only if links connect their fingerprints, whatever their ids."""
     prints = materialise(fingerprints(docs, key, text, size, keyed=True), "fingerprints")
-    points = materialise(right_sized(prints.select("fp", F.col("fp").alias("id")).distinct(), prints), "points")
-    found = connected_components(links(points, radius, shard_points))
-    joined = points.join(found, "id", "left").select("fp", F.coalesce("component", "fp").alias("group"))
+    joined = grouped_points(prints, radius, shard_points).select("fp", "group")
     return right_sized(prints.join(joined, "fp").select("doc_id", "text_key", "group"), prints)
 
 

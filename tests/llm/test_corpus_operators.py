@@ -158,9 +158,9 @@ def brute_contamination(docs, items):
     return sorted(out)
 
 
-@pytest.mark.parametrize("at_once", [200_000, 7])
-def test_decontamination(spark, monkeypatch, at_once):
-    monkeypatch.setattr(decontamination, "WINDOWS_AT_ONCE", at_once)
+@pytest.mark.parametrize("slice_bytes", [32_000_000, 4_000])
+def test_decontamination(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(decontamination, "SLICE_BYTES", slice_bytes)
     r = random.Random(6)
     words = [*"abcde", "é", "İx", "Kelvin", "word", "x1", "99"]
     text = lambda n: "".join(r.choice(words) + r.choice([" ", ", ", "-", "\n"]) for _ in range(n))
@@ -244,7 +244,7 @@ def test_stages_take_odd_tables(spark, tmp_path):
     docs = spark.createDataFrame(rows, schema)
     spark.createDataFrame([(1, text(20))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     want = {
-        "quality_rules": [1, 1, 2, 2, None, 5, 6], "simhash_near_dedup": [1, 2, 3, 5, None, None], "suffix_array_dedup": [1, 1, 2, 2, 3, 4, 5, None, None], "benchmark_decontamination": [1, 1, 2, 2, 3, 4, 5, 6, None, None],
+        "quality_rules": [1, 1, 2, 2, None, 5, 6], "simhash_near_dedup": [1, 1, 2, 3, 5, None], "suffix_array_dedup": [1, 1, 2, 2, 3, 4, 5, None, None], "benchmark_decontamination": [1, 1, 2, 2, 3, 4, 5, 6, None, None],
     }
     for name, stage in corpus_pipeline.STAGES:
         for given in (docs, docs.limit(0), docs.withColumns({"fp": F.lit("x"), "component_id": F.lit(1), "n_removed": F.lit("y"), "words": F.lit(2)}) if name != "suffix_array_dedup" else docs):

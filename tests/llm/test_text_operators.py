@@ -69,7 +69,7 @@ def test_bpe_of_any_text(text):
     assert own.decode(found) == text
 
 
-def test_sharding(docs, spark):
+def test_sharding(docs, spark, tmp_path):
     placed, slot_map = sharding.shard(docs, shards=3, slots=64)
     rows = placed.collect()
     assert len(rows) == len(TEXTS)
@@ -82,13 +82,34 @@ def test_sharding(docs, spark):
     placed, slot_map = sharding.shard(many, shards=7, slots=512)
     loads = [r["sum(size)"] for r in placed.groupBy("shard").sum("size").collect()]
     assert max(loads) - min(loads) < 0.01 * sum(loads) / 7
-    grown = sharding.grow(slot_map, 7)
+    folder = str(tmp_path / "maps")
+    digests = spark.createDataFrame(sharding.digest(many, slots=512).collect(), sharding.digest(many, slots=512).schema)
+    assert sharding.save_map(slot_map, folder) == 1
+    grown = sharding.grow(sharding.load_map(spark, folder), 7)
     moved = slot_map.join(grown.selectExpr("vslot", "shard as now", "version as v"), "vslot")
     assert moved.where("shard <> now and now <> 7").count() == 0 and moved.where("v <> version + 1").count() == 0
     by = {r.now: r.b for r in moved.groupBy("now").agg({"bytes": "sum"}).withColumnRenamed("sum(bytes)", "b").collect()}
     assert set(by) == set(range(8)) and max(by.values()) < 1.2 * sum(by.values()) / 8
-    again = sharding.place(sharding.digest(many, slots=512), grown).collect()
-    assert all(sorted(r.slot for r in again if r.shard == s) == list(range(sum(r.shard == s for r in again))) for s in range(8))
+    assert sharding.save_map(grown, folder) == 2 and sharding.versions(spark, folder) == [1, 2]
+    with pytest.raises(Exception, match="already exists"):
+        sharding.save_map(grown, folder)
+    edited = sharding.move(sharding.load_map(spark, folder), {5: 0, 6: 7})
+    assert sharding.save_map(edited, folder) == 3
+    assert {r.vslot: r.shard for r in edited.where("vslot in (5, 6)").collect()} == {5: 0, 6: 7}
+    assert sharding.load_map(spark, folder, 2).join(sharding.load_map(spark, folder), ["vslot", "shard"]).count() >= 510
+    for version in (1, 2, 3):
+        again = sharding.place(digests, sharding.load_map(spark, folder, version)).collect()
+        assert all(sorted(r.slot for r in again if r.shard == s) == list(range(sum(r.shard == s for r in again))) for s in range(8))
+
+
+@pytest.mark.parametrize("key", ["cast(null as long)", "7L", "if(id % 3 = 0, 7L, id)"])
+def test_sharding_without_telling_ids(spark, key):
+    """Rows without ids, of one id, or a third of them of one id: the law holds as long as they differ."""
+    docs = spark.range(0, 20_000, 1, 4).selectExpr(f"{key} as doc_id", "repeat(cast(id as string), 3) as text", "1 as slot", "2 as vslot", "3 as part")
+    placed = sharding.shard(docs, shards=8)[0].collect()
+    loads = [sum(r.size for r in placed if r.shard == s) for s in range(8)]
+    assert len(placed) == 20_000 and max(loads) - min(loads) < 0.02 * sum(loads) / 8
+    assert all(sorted(r.slot for r in placed if r.shard == s) == list(range(sum(r.shard == s for r in placed))) for s in range(8))
 
 
 def brute_fingerprint(text):
@@ -134,14 +155,17 @@ def folded(t):
 
 
 def brute_grams(texts):
-    """n-gram -> (count, number of texts)."""
-    n, holders = Counter(), Counter()
-    for t in texts:
+    """n-gram -> (count, holder). Of the texts with one signature the larger count counts."""
+    by = {}
+    for t, k in zip(texts, quality.signatures(texts).tolist()):
         s = "\0" * 4 + folded(t)
-        own = Counter(s[i : i + 5] for i in range(len(s) - 4))
+        by[k] = by.get(k, Counter()) | Counter(s[i : i + 5] for i in range(len(s) - 4))
+    n, holders = Counter(), {}
+    for k, own in by.items():
         n.update(own)
-        holders.update(own.keys())
-    return {g: (n[g], holders[g]) for g in n}
+        for g in own:
+            holders.setdefault(g, set()).add(k & 0xFFFF)
+    return {g: (n[g], h.pop() if len(h) == 1 else quality.SEVERAL) for g, h in holders.items()}
 
 
 def gram(hi, lo):
@@ -154,10 +178,13 @@ def gram(hi, lo):
 def test_counted_n_grams(monkeypatch, piece, letters):
     monkeypatch.setattr(quality, "PIECE", piece)
     r = np.random.default_rng(letters)
-    texts = ["".join(chr(0x4E00 + x) for x in r.integers(0, letters, n)) + "a1 2\n" * (n % 3) for n in (0, 1, 4, 30, 200, 900)] + [""]
-    hi, lo, n, holders = (x.tolist() for x in quality.counted(texts))
+    texts = ["".join(chr(0x4E00 + x) for x in r.integers(0, letters, n)) + "a1 2\n" * (n % 3) for n in (0, 1, 4, 30, 200, 900)]
+    texts += ["", texts[5] + "x", texts[5][:-1], texts[4] + "y"]
+    hi, lo, n, holder = (x.tolist() for x in quality.counted(texts))
     want = brute_grams(texts)
-    assert {gram(*x): y for *x, y in zip(hi, lo, zip(n, holders))} == want
+    if piece > 900:
+        assert {gram(*x): y for *x, y in zip(hi, lo, zip(n, holder))} == want
+    assert {gram(*x): y for *x, y in zip(hi, lo, holder)} == {g: h for g, (_, h) in want.items()}
     hashes = quality.hashed(np.array(hi), np.array(lo))
     assert (hashes[1:] > hashes[:-1]).all()
     logp = r.random(len(n)).astype(np.float32)
@@ -169,10 +196,20 @@ def test_counted_n_grams(monkeypatch, piece, letters):
     assert quality.losses(texts, logp) == pytest.approx(sums)
 
 
+def test_signatures(monkeypatch):
+    r = np.random.default_rng(6)
+    texts = ["".join(r.choice(list("abc "), n)) for n in (3000, 500, 40, 32, 31, 5, 0)]
+    near = [t[:100] + "X" + t[100:] for t in texts]
+    found = quality.signatures([*texts, *near])
+    assert found[0] == found[7] and len(set(found[:7].tolist())) == 7
+    monkeypatch.setattr(quality, "PIECE", 100)
+    assert (quality.signatures([*texts, *near]) == found).all() and (quality.signatures(texts[:1]) == found[:1]).all()
+
+
 def plain_kneser_ney(texts):
     """Log-probability of every 5-gram of one language's texts, by the definition."""
     grams = brute_grams(texts)
-    level = {5: {g: n if h >= 2 else 0 for g, (n, h) in grams.items()}}
+    level = {5: {g: n if h == quality.SEVERAL else 0 for g, (n, h) in grams.items()}}
     counts = {5: [n for n, _ in grams.values()]}
     for k in (4, 3, 2, 1):
         level[k] = Counter()
@@ -201,7 +238,7 @@ def test_kneser_ney(spark):
     words = ["".join(r.choice(list("abcdé漢"), r.integers(1, 6))) for _ in range(40)]
     texts = [" ".join(r.choice(words, 30)) for _ in range(25)] + ["zq zq 17"]
     docs = spark.createDataFrame([(i, t, "EN-us") for i, t in enumerate([*texts, *texts[:5], None, ""])] + [(99, "zz zz", "deu")], "doc_id long, text string, lang string").repartition(3)
-    rows = quality.kneser_ney(quality.count_n_grams(quality.unit_counts(docs, "text", "lang", 3))).collect()
+    rows = quality.kneser_ney(quality.count_n_grams(quality.unit_counts(docs, "text", "lang", {"en": 3, "deu": 1, "und": 1}))).collect()
     got = {gram(x.hi, x.lo): x.logp for x in rows if x.lang == "en"}
     assert {x.lang for x in rows} == {"en", "deu"} and got == pytest.approx(plain_kneser_ney(texts), abs=1e-9)
     judged = {x.doc_id: x for x in quality.judge(docs).collect()}
