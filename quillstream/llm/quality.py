@@ -57,7 +57,7 @@ FEW = 10
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
 UNIT_BYTES = 8_000_000
-PIECE = 2_000_000
+PIECE = 1_000_000
 SHARD_ENTRIES = 500_000
 LEAST_SHARDS = 16
 #: Texts that a task holds back to send them together, and n-grams that it adds up by itself.
@@ -233,7 +233,7 @@ def counted(texts: list[str]) -> tuple[np.ndarray, ...]:
 def losses(texts: list[str], logp: np.ndarray) -> np.ndarray:
     """Mean loss of each text, by binary search in the texts' n-gram hashes in order, whose log-probabilities are given; 0 of an empty text."""
     made = lambda: ((numbers, grams_of(before, parts)) for numbers, before, parts in parts_of(texts))
-    pieces = list(made()) if sum(map(len, texts)) <= 4 * PIECE else None
+    pieces = list(made()) if sum(map(len, texts)) <= 16 * PIECE else None
     hashes = np.zeros(0, np.uint64)
     for _, (hi, lo, *_) in pieces or made():
         hashes = np.union1d(hashes, hashed(hi, lo))

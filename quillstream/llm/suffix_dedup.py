@@ -8,21 +8,22 @@ that can be equal, and it is distributed by content:
    below works on blocks, so a lost task reads its block again and comes to the same results.
 2. Anchors. The anchor of a window is the 20-byte string in it with the least hash, the leftmost if it stands there
    twice; equal windows have equal anchors. Neighbouring windows on the same anchor form one stretch (16 windows, 65
-   bytes on average). Each block's distinct stretches are shuffled as hashes: anchor, content, least document.
-3. Decisions. Where all stretches on an anchor are equal, the least document decides all their windows. Where they
-   differ, one copy of each different stretch has to be compared.
-4. Suffix order. Those copies meet by anchor. Their suffixes are sorted by the difference-cover algorithm: sampled
-   triples, recursion on their names, the remaining suffixes merged in. Neighbours in that order with equal prefixes of
-   WINDOW bytes are the same string, and the least document of each is told to the blocks that hold its stretches.
-5. Blocks again: every stretch marks the bytes of its windows that an earlier document has.
-
-Shuffled are 10 bytes for each stretch, the texts of differing stretches, and the blocks themselves twice (compressed).
+   bytes on average). Stretches of a block with equal bytes are one entry, and each entry's anchor hash is shuffled.
+3. Candidates. An anchor that only one document has can't be on a repeated window. Of all others, every block sends the
+   text of its entries. Hashes decide nothing else: a false match only sends a text in vain.
+4. Suffix order. The texts meet by anchor. Equal ones, byte for byte, are one string from there; the strings' suffixes
+   are sorted by the difference-cover algorithm: sampled triples, recursion on their names, the remaining suffixes
+   merged in. Neighbours in that order with equal prefixes of WINDOW bytes are the same window, and the least document
+   of each window is told to the blocks that hold it.
+5. Blocks again: every window marks its bytes if an earlier document has it.
+
 Buckets hold BUCKET_BYTES of text on average, whatever the input's size; one bucket sorts at most SORT_BYTES at once,
-but for an anchor that has more by itself. Copies of a text within a block are combined before the shuffle.
+but for an anchor that has more different strings by itself.
 
-A null or empty text has no bytes. A null id counts as larger than all others. Rows with one id are one document:
-they don't remove from each other. Empty tables give empty results. Columns besides id and text are handed on as they
-are by `deduplicate`, which gives texts without the removed bytes (a character cut in two goes whole).
+A null or empty text has no bytes; texts of any length are whole, long ones are searched in overlapping chunks. A null
+id counts as larger than all others. Rows with one id are one document: they don't remove from each other. Empty
+tables give empty results. Columns besides id and text, whatever their names, are handed on as they are by
+`deduplicate`, which gives texts without the removed bytes (a character cut in two goes whole).
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstream.llm.common import forget, materialise, pack, right_sized, trimmed, trimmed_group, unpack
+from quillstream.llm.common import forget, materialise, pack, right_sized, rows_of, trimmed, trimmed_group, unpack
 from quillstream.llm.suffix_array import suffix_array
 
 WINDOW = 50
@@ -47,7 +48,7 @@ BLOCK_BYTES = 4_000_000
 CHUNK = 500_000
 BUCKET_BYTES = 2_000_000
 SORT_BYTES = 500_000
-FINER = 8
+FINER = 2
 NO_ID = 2**63 - 1
 #: Hash bits of an anchor; the lower bits of its key are its place in a chunk.
 ANCHOR_BITS, PLACE_BITS = 41, 23
@@ -56,7 +57,7 @@ MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B1
 BASE = 0x5851F42D4C957F2D
 BYTE = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 BLOCK = "block long, raw_bytes long, ids binary, ends binary, body binary, rest binary"
-PART = "block long, bucket int, kind int, part binary"
+PART = "block long, bucket long, kind int, part binary"
 
 
 def powers(n: int, base: int) -> np.ndarray:
@@ -117,7 +118,7 @@ def stretches(raw: np.ndarray, ends: np.ndarray, a: int, b: int) -> tuple[np.nda
 
 
 class Block:
-    """An unpacked block with its stretches, and its distinct stretches in order of (anchor, content)."""
+    """An unpacked block with its stretches and its entries: stretches of equal bytes, in order of (anchor, content)."""
 
     def __init__(self, ids: bytes, ends: bytes, body: bytes) -> None:
         import zstandard
@@ -126,27 +127,54 @@ class Block:
         self.raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
         found = [stretches(self.raw, self.ends, a, min(len(self.raw), a + CHUNK)) for a in range(0, len(self.raw), CHUNK)] or [(np.zeros(0, np.int64),) * 4]
         self.first, self.last, anchor, content = (np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
-        doc = self.ids[np.searchsorted(self.ends, self.first, side="right")]
+        self.doc = self.ids[np.searchsorted(self.ends, self.first, side="right")]
         order = np.lexsort((content, anchor))
-        anchor, content = anchor[order], content[order]
         new = np.ones(len(order), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+        new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0)
+        new = parted(self.raw, self.first[order], self.last[order] + WINDOW - self.first[order], new)
         begin = np.flatnonzero(new)
-        self.entry = np.empty(len(order), np.int64)  # of each stretch
-        self.entry[order] = np.cumsum(new) - 1
-        self.anchor, self.content = anchor[begin], content[begin]
-        self.least = np.minimum.reduceat(doc[order], begin) if len(begin) else doc
-        self.example = order[begin]  # a stretch with that content
-        self.doc = doc
+        self.order, self.begin = order, np.r_[begin, len(order)]
+        self.anchor, self.content = anchor[order[begin]], content[order[begin]]
+        self.example = order[begin]  # a stretch of each entry
+        self.least = np.minimum.reduceat(self.doc[order], begin) if len(begin) else self.doc
+        self.several = (np.maximum.reduceat(self.doc[order], begin) > self.least if len(begin) else self.doc).astype(np.int64)
+
 
-    def slices(self, buckets: int) -> np.ndarray:
-        """Where each bucket's entries begin, and the number of entries."""
-        return np.searchsorted(self.anchor, bucket_edges(buckets))
+def gathered(text: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """text[b : b + l] of each place, one after the other."""
+    return text[np.repeat(begin - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())] if len(begin) else text[:0]
 
 
-def bucket_edges(buckets: int) -> np.ndarray:
-    """The least anchor hash of each bucket, and the end."""
-    return (-(-(np.arange(buckets + 1, dtype=object) * 2**ANCHOR_BITS) // buckets)).astype(np.int64)
+def parted(text: np.ndarray, begin: np.ndarray, length: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """`new` (which strings begin a group) with strings that differ from their group's first, byte for byte, in groups of their own."""
+    first = np.flatnonzero(new)
+    of = first[np.cumsum(new) - 1] if len(new) else first
+    rest = np.flatnonzero(~new)
+    other = length[rest] != length[of[rest]]
+    same = rest[~other]
+    new = new.copy()
+    for at in range(0, len(same), 50_000):
+        own = same[at : at + 50_000]
+        differ = gathered(text, begin[own], length[own]) != gathered(text, begin[of[own]], length[own])
+        wrong = np.add.reduceat(differ, np.r_[0, np.cumsum(length[own])[:-1]], dtype=np.int64) > 0
+        new[own[wrong]] = True
+        new[own[wrong][own[wrong] + 1 < len(new)] + 1] = True  # what follows may equal the group's first, or not
+    new[rest[other]] = True
+    new[rest[other][rest[other] + 1 < len(new)] + 1] = True
+    return new
+
+
+def bucket_of(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each anchor hash, in the hashes' order."""
+    return ((anchor >> (ANCHOR_BITS - 31)) * buckets) >> 31
+
+
+def bucket_slices(anchor: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """(bucket, its part) of sorted anchor hashes."""
+    bucket = bucket_of(anchor, buckets)
+    cut = np.flatnonzero(np.r_[True, np.diff(bucket) > 0, True]) if len(bucket) else []
+    for a, b in zip(cut, cut[1:]):
+        yield int(bucket[a]), slice(a, b)
 
 
 def blocks_of(docs: DataFrame, key: str, text: str, rest: list[str], size: int) -> DataFrame:
@@ -194,102 +222,63 @@ def blocks_of(docs: DataFrame, key: str, text: str, rest: list[str], size: int)
     return docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), *rest).mapInArrow(trimmed(run), BLOCK)
 
 
+def part_rows(rows: list[tuple]) -> pa.Table:
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("part", pa.binary())))})
+
+
 def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, kind 0, anchors, contents and least documents) of each block's distinct stretches."""
+    """(block, bucket, kind 0: anchors, least documents, whether there are several, places) of each block's entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                number, ids, ends, body = (batch.column(c)[i].as_py() for c in range(4))
-                own = Block(ids, ends, body)
-                cut = own.slices(buckets)
-                full = np.flatnonzero(np.diff(cut))
-                parts = [pack(np.diff(own.anchor[cut[k] : cut[k + 1]], prepend=0), own.content[cut[k] : cut[k + 1]], own.least[cut[k] : cut[k + 1]]) for k in full]
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(full), pa.int64()), pa.array(full.astype(np.int32)), pa.array([0] * len(full), pa.int32()), pa.array(parts, pa.binary())], names=["block", "bucket", "kind", "part"])
+        for number, ids, ends, body in rows_of(batches):
+            own = Block(ids, ends, body)
+            rows = []
+            for bucket, k in bucket_slices(own.anchor, buckets):
+                rows.append((number, bucket, 0, pack(np.diff(own.anchor[k], prepend=0), own.least[k], own.several[k], np.arange(k.start, k.stop))))
+            yield from part_rows(rows).to_batches()
 
     return blocks.select("block", "ids", "ends", "body").mapInArrow(trimmed(run), PART)
 
 
-def decider(buckets: int):
-    """Map of a bucket's stretches; the comparison's buckets are FINER times as many, as few anchors can hold most of what differs."""
-    edges = bucket_edges(buckets * FINER)
-    return lambda bucket: decide(bucket, edges)
-
-
-def decide(bucket: pa.Table, edges: np.ndarray) -> pa.Table:
-    """For each block: (kind 1) entries with an earlier document elsewhere, or on an anchor with differing stretches, and which of those the block has to send; (kind 2) the latter's hashes, by the comparison's buckets."""
+def decide(bucket: pa.Table) -> pa.Table:
+    """For each block (kind 1): the places of its entries on anchors that several documents have."""
     numbers = bucket.column("block").to_pylist()
-    found = [unpack(p, 3)[0] for p in bucket.column("part").to_pylist()]
-    sizes = [len(f[0]) for f in found]
+    found = [unpack(p, 4)[0] for p in bucket.column("part").to_pylist()]
     anchor = np.concatenate([np.cumsum(f[0]) for f in found])
-    content, least = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
-    source = np.repeat(np.arange(len(found)), sizes)
-    at = np.concatenate([np.arange(n) for n in sizes])
-    order = np.lexsort((source, least, content, anchor))
-    anchor, content, least, source, at = anchor[order], content[order], least[order], source[order], at[order]
-    new_anchor = np.r_[True, anchor[1:] != anchor[:-1]]
-    new_entry = new_anchor | np.r_[True, content[1:] != content[:-1]]
-    begin = np.flatnonzero(new_entry)
-    minimum = np.repeat(least[begin], np.diff(np.r_[begin, len(order)]))
-    which = np.cumsum(new_anchor) - 1
-    differing = (np.bincount(which, new_entry) > 1)[which]
-    told = differing | (minimum < least)
-    flag = differing.astype(np.int64) + (differing & new_entry)  # 2: the first holder sends it
-    rows: list[tuple] = []
-    where = np.flatnonzero(told)
-    where = where[np.argsort(source[where], kind="stable")]
+    least, several, place = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
+    source = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+    order = np.argsort(anchor, kind="stable")
+    begin = np.flatnonzero(np.r_[True, np.diff(anchor[order]) != 0])
+    shared = (np.minimum.reduceat(least[order], begin) < np.maximum.reduceat(least[order], begin)) | (np.maximum.reduceat(several[order], begin) > 0)
+    where = np.sort(order[np.repeat(shared, np.diff(np.r_[begin, len(order)]))])
     cut = np.searchsorted(source[where], np.arange(len(found) + 1))
-    for i, number in enumerate(numbers):
-        own = where[cut[i] : cut[i + 1]]
-        if not len(own):
-            continue
-        own = own[np.argsort(at[own])]
-        k = bucket.column("bucket")[0].as_py()
-        rows.append((number, k, 1, pack(at[own], minimum[own], flag[own])))
-        own = own[flag[own] > 0]
-        fine = np.searchsorted(edges, anchor[own], side="right") - 1
-        for f in np.unique(fine):
-            rows.append((number, int(f), 2, pack(anchor[own[fine == f]], content[own[fine == f]])))
-    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.binary())))})
-
-
-def opened(left: pa.Table) -> Block | None:
-    return Block(left.column("ids")[0].as_py(), left.column("ends")[0].as_py(), left.column("body")[0].as_py()) if left.num_rows else None
-
-
-def verdicts(own: Block, parts: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each of the block's entries: the least document, and its flag."""
-    least, flag = own.least.copy(), np.zeros(len(own.least), np.int8)
-    begin = own.slices(buckets)
-    for bucket, kind, part in zip(*[parts.column(c).to_pylist() for c in ("bucket", "kind", "part")], strict=True):
-        if kind == 1:
-            (at, minimum, f), _ = unpack(part, 3)
-            least[begin[bucket] + at], flag[begin[bucket] + at] = minimum, f
-    return least, flag
+    return part_rows([(number, bucket.column("bucket")[0].as_py(), 1, pack(np.diff(place[where[a:b]], prepend=0))) for number, a, b in zip(numbers, cut, cut[1:]) if b > a])
+
+
+def opened(left: pa.Table) -> Block:
+    return Block(left.column("ids")[0].as_py(), left.column("ends")[0].as_py(), left.column("body")[0].as_py())
 
 
 def senders(buckets: int):
-    """Map of a block and its decisions: the texts that it has to send, by bucket."""
+    """Map of a block and its candidates: the entries' texts, by bucket."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if left.num_rows and right.num_rows:
             own = opened(left)
-            least, flag = verdicts(own, right, buckets)
-            sent = np.flatnonzero(flag == 2)
-            edges = np.searchsorted(sent, own.slices(buckets * FINER))
-            for k in np.flatnonzero(np.diff(edges)):
-                e = sent[edges[k] : edges[k + 1]]
-                a, b = own.first[own.example[e]], own.last[own.example[e]] + WINDOW
-                text = own.raw[np.repeat(a - np.r_[0, np.cumsum(b - a)[:-1]], b - a) + np.arange((b - a).sum())]
-                rows.append((left.column("block")[0].as_py(), int(k), 3, pack(own.anchor[e], own.content[e], least[e], b - a, text=text.tobytes())))
-        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.binary())))})
+            sent = np.sort(np.concatenate([np.cumsum(unpack(p, 1)[0][0]) for p in right.column("part").to_pylist()]))
+            for bucket, k in bucket_slices(own.anchor[sent], buckets * FINER):
+                e = sent[k]
+                begin = own.first[own.example[e]]
+                length = own.last[own.example[e]] + WINDOW - begin
+                rows.append((left.column("block")[0].as_py(), bucket, 3, pack(np.diff(own.anchor[e], prepend=0), own.content[e], own.least[e], own.several[e], np.diff(e, prepend=0), length, text=gathered(own.raw, begin, length).tobytes())))
+        return part_rows(rows)
 
     return run
 
 
 def earlier_windows(least: np.ndarray, length: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows that a smaller document than `least` of their stretch has: (stretch, offset, windows, document)."""
+    """The least document of each window of the strings, whose own least documents are given, as runs: (string, offset, windows, document)."""
     begin = np.r_[0, np.cumsum(length)[:-1]]
     lone = np.arange(len(length))
     s = np.ones(len(text) + len(length), np.int64)  # a mark ends each stretch
@@ -316,78 +305,66 @@ def earlier_windows(least: np.ndarray, length: np.ndarray, text: np.ndarray) ->
     found = least_at[starts]
     stretch = of[starts]
     offset = starts - (begin + lone)[stretch]
-    hit = found < least[stretch]
-    stretch, offset, found = stretch[hit], offset[hit], found[hit]
     new = np.ones(len(found), bool)
-    new[1:] = (stretch[1:] != stretch[:-1]) | (offset[1:] != offset[:-1] + 1) | (found[1:] != found[:-1])
+    new[1:] = (stretch[1:] != stretch[:-1]) | (found[1:] != found[:-1])
     first = np.flatnonzero(new)
     return stretch[first], offset[first], np.diff(np.r_[first, len(found)]), found[first]
 
 
-def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Texts of a bucket's differing stretches, and who holds them -> (kind 4) runs of windows for each holder."""
-    rows: list[tuple] = []
-    if left.num_rows and right.num_rows:
-        found = [unpack(p, 4) for p in left.column("part").to_pylist()]
-        anchor, content, least, length = (np.concatenate([f[0][i] for f in found]) for i in range(4))
-        text = np.frombuffer(b"".join(f[1] for f in found), np.uint8)
-        begin = np.r_[0, np.cumsum(length)[:-1]]
-        order = np.argsort(anchor, kind="stable")
-        first_of = np.flatnonzero(np.r_[True, anchor[order][1:] != anchor[order][:-1]])
-        runs: list[list[np.ndarray]] = []
-        size, since = 0, 0
-        sizes = np.add.reduceat(length[order], first_of)
-        edges = np.r_[first_of, len(order)]
-        for i, own_size in enumerate(sizes):  # anchors together, as many as fit
-            size += own_size
-            if size >= SORT_BYTES or i + 1 == len(sizes):
-                own = order[edges[since] : edges[i + 1]]
-                l = length[own]
-                bytes_of = text[np.repeat(begin[own] - np.r_[0, np.cumsum(l)[:-1]], l) + np.arange(l.sum())]
-                stretch, *rest = earlier_windows(least[own], l, bytes_of)
-                runs.append([own[stretch], *rest])
-                size, since = 0, i + 1
-        stretch, offset, n, document = (np.concatenate([r[i] for r in runs]) for i in range(4))
-        by = np.argsort(stretch, kind="stable")
-        stretch, offset, n, document = stretch[by], offset[by], n[by], document[by]
-        count = np.bincount(stretch, minlength=len(anchor))
-        start = np.r_[0, np.cumsum(count)[:-1]]
-        number = {k: i for i, k in enumerate(zip(anchor.tolist(), content.tolist(), strict=True))}
-        for block, part in zip(right.column("block").to_pylist(), right.column("part").to_pylist(), strict=True):
-            (a, c), _ = unpack(part, 2)
-            held = np.array([number[k] for k in zip(a.tolist(), c.tolist(), strict=True)], np.int64)
-            times = count[held]
-            at = np.repeat(start[held] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
-            if len(at):
-                rows.append((block, left.column("bucket")[0].as_py(), 4, pack(np.repeat(a, times), np.repeat(c, times), offset[at], n[at], document[at])))
-    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.binary())))})
-
-
-def removed_bytes(own: Block, parts: pa.Table, buckets: int) -> np.ndarray:
+def compare(bucket: pa.Table) -> pa.Table:
+    """Texts of a bucket's candidates -> (kind 4) for each block, runs of windows that an earlier document has: (place of the entry, offset, windows, document)."""
+    found = [unpack(p, 6) for p in bucket.column("part").to_pylist()]
+    anchor, place = (np.concatenate([np.cumsum(f[0][i]) for f in found]) for i in (0, 4))
+    content, least, several, length = (np.concatenate([f[0][i] for f in found]) for i in (1, 2, 3, 5))
+    source = np.repeat(np.arange(len(found)), [len(f[0][0]) for f in found])
+    text = np.frombuffer(b"".join(f[1] for f in found), np.uint8)
+    del found
+    begin = np.r_[0, np.cumsum(length)[:-1]]
+    order = np.lexsort((content, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0)
+    new = parted(text, begin[order], length[order], new)
+    first = np.flatnonzero(new)
+    string = np.empty(len(order), np.int64)  # of each entry
+    string[order] = np.cumsum(new) - 1
+    example = order[first]
+    string_least = np.minimum.reduceat(least[order], first)
+    # anchors together, as many as fit
+    of_anchor = np.flatnonzero(np.r_[True, np.diff(anchor[example]) != 0])
+    sizes = np.cumsum(np.add.reduceat(length[example], of_anchor))
+    cut = np.r_[of_anchor[np.flatnonzero(np.r_[True, np.diff(sizes // SORT_BYTES) > 0])], len(example)]
+    runs = []
+    for a, b in zip(cut, cut[1:]):
+        own, *rest = earlier_windows(string_least[a:b], length[example[a:b]], gathered(text, begin[example[a:b]], length[example[a:b]]))
+        runs.append((own + a, *rest))
+    run_string, offset, n, document = (np.concatenate([r[i] for r in runs]) for i in range(4))
+    start = np.searchsorted(run_string, np.arange(len(example) + 1))
+    times = np.diff(start)[string]
+    entry = np.repeat(np.arange(len(string)), times)
+    at = np.repeat(start[string] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
+    use = (document[at] < least[entry]) | (several[entry] > 0)
+    entry, at = entry[use], at[use]
+    rows = []
+    edges = np.searchsorted(source[entry], np.arange(bucket.num_rows + 1))
+    for block, a, b in zip(bucket.column("block").to_pylist(), edges, edges[1:]):
+        if b > a:
+            rows.append((block, bucket.column("bucket")[0].as_py(), 4, pack(np.diff(place[entry[a:b]], prepend=0), offset[at[a:b]], n[at[a:b]], document[at[a:b]])))
+    return part_rows(rows)
+
+
+def removed_bytes(own: Block, parts: pa.Table) -> np.ndarray:
     """Which of the block's bytes go."""
-    least, _ = verdicts(own, parts, buckets)
     step = np.zeros(len(own.raw) + 1, np.int32)
-
-    def mark(a: np.ndarray, b: np.ndarray) -> None:
-        np.add.at(step, a, 1)
-        np.add.at(step, b, -1)
-
-    gone = own.doc > least[own.entry]
-    mark(own.first[gone], own.last[gone] + WINDOW)
-    order = np.argsort(own.entry, kind="stable")
-    begin = np.searchsorted(own.entry[order], np.arange(len(own.anchor) + 1))
-    number: dict[tuple[int, int], int] = {}
-    runs = [unpack(p, 5)[0] for k, p in zip(parts.column("kind").to_pylist(), parts.column("part").to_pylist(), strict=True) if k == 4]
-    if runs:
-        anchor, content, offset, n, document = (np.concatenate([r[i] for r in runs]) for i in range(5))
-        number = {k: i for i, k in enumerate(zip(own.anchor.tolist(), own.content.tolist(), strict=True))}
-        entry = np.array([number[k] for k in zip(anchor.tolist(), content.tolist(), strict=True)], np.int64)
-        times = begin[entry + 1] - begin[entry]
-        which = order[np.repeat(begin[entry] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())]
+    for part in parts.column("part").to_pylist():
+        (entry, offset, n, document), _ = unpack(part, 4)
+        entry = np.cumsum(entry)
+        times = own.begin[entry + 1] - own.begin[entry]
+        which = own.order[np.repeat(own.begin[entry] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())]
         offset, n, document = np.repeat(offset, times), np.repeat(n, times), np.repeat(document, times)
         hit = own.doc[which] > document
         a = own.first[which[hit]] + offset[hit]
-        mark(a, a + n[hit] + WINDOW - 1)
+        np.add.at(step, a, 1)
+        np.add.at(step, a + n[hit] + WINDOW - 1, -1)
     return np.cumsum(step[:-1]) > 0
 
 
@@ -397,11 +374,11 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
     blocks = materialise(blocks_of(docs, key, text, rest, block_bytes), "text-blocks", 4)
     total = blocks.agg(F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()[0]
     buckets = max(1, -(-total // bucket_bytes))
-    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(trimmed_group(decider(buckets)), PART), "decisions")
+    told = materialise(anchors(blocks, buckets).groupBy("bucket").applyInArrow(trimmed_group(decide), PART), "candidates")
     forget(spark)
     by_block = blocks.groupBy("block")
-    sent = by_block.cogroup(told.where("kind = 1").groupBy("block")).applyInArrow(trimmed_group(senders(buckets)), PART)
-    windows = materialise(sent.groupBy("bucket").cogroup(told.where("kind = 2").groupBy("bucket")).applyInArrow(trimmed_group(compare), PART), "windows")
+    sent = by_block.cogroup(told.groupBy("block")).applyInArrow(trimmed_group(senders(buckets)), PART)
+    windows = materialise(sent.groupBy("bucket").applyInArrow(trimmed_group(compare), PART), "windows")
     forget(spark)
 
     def last(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -409,9 +386,9 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
 
         own = opened(left)
         others = zstandard.ZstdDecompressor().decompress(left.column("rest")[0].as_py())
-        return finish(own, removed_bytes(own, right, buckets), pa.ipc.open_stream(others).read_all() if rest else None)
+        return finish(own, removed_bytes(own, right), pa.ipc.open_stream(others).read_all() if rest else None)
 
-    out = by_block.cogroup(told.where("kind = 1").unionByName(windows).groupBy("block")).applyInArrow(trimmed_group(last), schema)
+    out = by_block.cogroup(windows.groupBy("block")).applyInArrow(trimmed_group(last), schema)
     return right_sized(out, blocks)
 
 
@@ -438,17 +415,19 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", **sizes:
     return run_through(docs, key, text, [], digest_table, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", **sizes)
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
-    """The rows with what is left of their texts, and n_removed; texts that were null stay null."""
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = "n_removed", **sizes: int) -> DataFrame:
+    """The rows with what is left of their texts; texts that were null stay null. The number of removed bytes is in `count` (None: nowhere)."""
     others = [c for c in docs.columns if c != text]
-    keep = docs.withColumn("_was_null", F.col(text).isNull())
-    schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("_was_null", T.BooleanType()), T.StructField(text, T.StringType()), T.StructField("n_removed", T.LongType())])
+    numbered = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(text).alias("body"), F.col(text).isNull().alias("was_null"))
+    fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(others)]
+    schema = T.StructType([*fields, T.StructField("was_null", T.BooleanType()), T.StructField("body", T.StringType()), T.StructField("n_removed", T.LongType())])
 
     def finish(own: Block, removed: np.ndarray, rest: pa.Table) -> pa.Table:
         begins = np.r_[0, own.ends[:-1]].astype(np.int64).tolist()
         left = [own.raw[a:b][~removed[a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(begins, own.ends.tolist(), strict=True)]
         gone = [int(removed[a:b].sum()) for a, b in zip(begins, own.ends.tolist(), strict=True)]
-        return rest.append_column(text, pa.array(left, pa.string())).append_column("n_removed", pa.array(gone, pa.int64()))
+        return rest.append_column("body", pa.array(left, pa.string())).append_column("n_removed", pa.array(gone, pa.int64()))
 
-    out = run_through(keep, key, text, [*others, "_was_null"], finish, schema, **sizes)
-    return out.withColumn(text, F.when(~F.col("_was_null"), F.col(text))).select(*docs.columns, "n_removed")
+    out = run_through(numbered, f"c{others.index(key)}", "body", [*[f.name for f in fields], "was_null"], finish, schema, **sizes)
+    told = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text: F.when(~F.col("was_null"), F.col("body"))}
+    return out.select(*[told[c].alias(c) for c in docs.columns], *[F.col("n_removed").alias(count)] * (count is not None))

@@ -6,28 +6,32 @@ uses, and returns one capture line for each record. Only the lines of attempts t
 table, so files of lost attempts are never read.
 
 Index: capture lines are sorted by reversed-host URL key (range partitions) and cut into blocks of BLOCK_LINES lines,
-each compressed; the sparse directory has one row for each block, with its first and last key. A look-up finds the
-block by binary search in the directory, the lines by binary search in the block, and then reads the records' ranges.
+each compressed; tasks write the blocks to files of their own. The sparse directory is a table with one row for each
+block: its first and last key and its byte range. Reading goes through the directory: block range, lines, record
+ranges. A look-up bisects the keys of each part of the directory, reads only the blocks that it finds, bisects their
+lines, and then reads the records' ranges; parts are searched by tasks of their own, and nothing is collected.
 
 Payloads of DEDUP_BYTES bytes or more that are equal (SHA-1 and length) are stored once, with the largest page_id;
-the other captures are revisit records, which carry headers only.
+the other captures are revisit records, which carry headers only. A look-up resolves them.
 
-A null html is an empty payload and a null url an empty key. Repeated rows are records of their own; if they share
-the largest page_id of an equal payload, all of them are responses. Empty tables give empty archives, and other
-columns than id, url and html aren't read.
+A null html is an empty payload and a null url an empty key. Payloads of any length are whole; equal keys stand in the
+order of their ids and places. Repeated rows are records of their own; if they share the largest page_id of an equal
+payload, all of them are responses. Empty tables give empty archives, and other columns than id, url and html, whatever
+their names, aren't read.
 """
 
 from __future__ import annotations
 
 import bisect
 import gzip
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.common import materialise, trimmed, work_path
@@ -58,13 +62,14 @@ def safe_surt(url: str) -> str:
 
 
 def open_store(uri: str):
-    """(file system, path) of a shared folder's URI, by whatever Arrow can open."""
+    """(file system, path) of a shared folder's URI, by whatever Arrow can open; Hadoop's names of S3 are Arrow's s3."""
     from pyarrow import fs
 
+    uri = re.sub("^s3[an]://", "s3://", uri)
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, refers_to_url: str | None, revisit: bool) -> bytes:
     """One WARC/1.1 record as a gzip member."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     body = http if revisit else http + payload
@@ -82,6 +87,7 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>",
+            f"WARC-Refers-To-Target-URI: {' '.join((refers_to_url or '').split())}",
             f"X-Refers-To-Page: {refers_to}",
         ]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
@@ -102,9 +108,9 @@ def plan(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "utf-8")
     told = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("size"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     large = told.where(F.col("size") >= DEDUP_BYTES)
-    first = large.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = large.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.max_by("url", F.struct("page_id", "url")).alias("first_url"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     # narrow rows decide; the texts move once, by their ids
-    decided = materialise(large.select("page_id", "digest", "size").join(first, ["digest", "size"]).where("page_id is distinct from first").select(F.col("page_id").alias("revisit_id"), F.col("digest").alias("revisit_digest"), "first").distinct(), "revisits")
+    decided = materialise(large.select("page_id", "digest", "size").join(first, ["digest", "size"]).where("page_id is distinct from first").select(F.col("page_id").alias("revisit_id"), F.col("digest").alias("revisit_digest"), "first", "first_url").distinct(), "revisits")
     same = F.col("page_id").eqNullSafe(F.col("revisit_id")) & (F.col("digest") == F.col("revisit_digest"))
     joined = told.join(decided, same, "left")
     return joined.withColumn("revisit", F.col("first").isNotNull()).drop("revisit_id", "revisit_digest")
@@ -121,10 +127,10 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
         try:
             for batch in batches:
                 lines = []
-                for page_id, url, digest, html, first, revisit in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
+                for page_id, url, digest, html, first, first_url, revisit in zip(*[batch.column(i).to_pylist() for i in range(7)], strict=True):
                     if out is None:
                         out = store.open_output_stream(f"{path}/{name}", compression=None)
-                    member = record(page_id, url, html.encode(), digest, first, revisit)
+                    member = record(page_id, url, html.encode(), digest, first, first_url, revisit)
                     out.write(member)
                     lines.append((safe_surt(url), page_id, name, at, len(member)))
                     at += len(member)
@@ -133,31 +139,48 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
             if out is not None:
                 out.close()
 
-    return materialise(planned.select("page_id", "url", "digest", "html", "first", "revisit").mapInArrow(trimmed(run), CAPTURE), "captures")
+    return materialise(planned.select("page_id", "url", "digest", "html", "first", "first_url", "revisit").mapInArrow(trimmed(run), CAPTURE), "captures")
 
 
-def index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """The two levels in one stored table: first_key, last_key, n_lines (the directory) and block (compressed lines)."""
+DIRECTORY = "first_key string, last_key string, n_lines long, file string, start long, length long"
+
+
+def index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """Writes the blocks to the folder; the directory, stored in the shared folder, in the keys' order within and between its parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = open_store(folder)
+        store.create_dir(path, recursive=True)
+        name = f"captures-{uuid.uuid4().hex}.blocks"
+        at, out = 0, None
         waiting: list[tuple] = []
 
-        def block(lines: list[tuple]) -> pa.RecordBatch:
-            text = "\n".join(f"{k} {'' if p is None else p} {f} {s} {n}" for k, p, f, s, n in lines)
-            return pa.RecordBatch.from_arrays([pa.array([lines[0][0]]), pa.array([lines[-1][0]]), pa.array([len(lines)], pa.int64()), pa.array([zlib.compress(text.encode())], pa.binary())], names=["first_key", "last_key", "n_lines", "block"])
+        def written(lines: list[tuple]) -> pa.RecordBatch:
+            nonlocal at, out
+            if out is None:
+                out = store.open_output_stream(f"{path}/{name}", compression=None)
+            body = zlib.compress("\n".join(f"{k} {'' if p is None else p} {f} {s} {n}" for k, p, f, s, n in lines).encode())
+            out.write(body)
+            at += len(body)
+            row = [lines[0][0], lines[-1][0], len(lines), name, at - len(body), len(body)]
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["first_key", "last_key", "n_lines", "file", "start", "length"])
 
-        for batch in batches:
-            waiting += zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True)
-            while len(waiting) >= block_lines:
-                yield block(waiting[:block_lines])
-                waiting = waiting[block_lines:]
-        if waiting:
-            yield block(waiting)
+        try:
+            for batch in batches:
+                waiting += zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True)
+                while len(waiting) >= block_lines:
+                    yield written(waiting[:block_lines])
+                    waiting = waiting[block_lines:]
+            if waiting:
+                yield written(waiting)
+        finally:
+            if out is not None:
+                out.close()
 
     # blanks would part a line's fields; the id and place keep equal keys apart, so that ranges can split a common URL
     keyed = captures.withColumn("surt", F.regexp_replace("surt", r"\s", "%20"))
     ordered = keyed.repartitionByRange("surt", "page_id", "file", "start").sortWithinPartitions("surt", "page_id", "file", "start")
-    return materialise(ordered.mapInArrow(trimmed(run), "first_key string, last_key string, n_lines long, block binary"), "capture-index")
+    return materialise(ordered.mapInArrow(trimmed(run), DIRECTORY), "capture-directory")
 
 
 def lines_of(block: bytes) -> list[tuple[str, int | None, str, int, int]]:
@@ -168,64 +191,122 @@ def lines_of(block: bytes) -> list[tuple[str, int | None, str, int, int]]:
     return out
 
 
-def _records(entries: list[tuple], store, path: str) -> Iterator[dict]:
-    """Range reads: file by file, in the order of the places."""
-    opened, name = None, None
-    for _, _, file, start, length in sorted(entries, key=lambda e: (e[2], e[3])):
-        if file != name:
-            if opened is not None:
-                opened.close()
-            opened, name = store.open_input_file(f"{path}/{file}"), file
-        fields, payload = parse(opened.read_at(length, start))
-        yield {"fields": fields, "payload": payload}
-    if opened is not None:
-        opened.close()
+class Ranges:
+    """Range reads of a folder's files, one of which stays open."""
 
+    def __init__(self, folder: str) -> None:
+        self.store, self.path = open_store(folder)
+        self.name, self.file = None, None
 
-def read(indexed: DataFrame, folder: str) -> DataFrame:
-    """Every record of the archives, by the index: digest and length are taken from the payload where there is one."""
-    import hashlib
+    def read(self, name: str, start: int, length: int) -> bytes:
+        if name != self.name:
+            self.close()
+            self.name, self.file = name, self.store.open_input_file(f"{self.path}/{name}")
+        return self.file.read_at(length, start)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+def _records(entries: list[tuple], ranges: Ranges) -> Iterator[tuple[tuple, dict[str, str], bytes]]:
+    """(capture line, headers, payload): file by file, in the order of the places."""
+    for line in sorted(entries, key=lambda e: (e[2], e[3])):
+        yield line, *parse(ranges.read(*line[2:]))
+
+
+def _over_directory(directory: DataFrame, folder: str, chosen: Callable, row: Callable, schema: str) -> DataFrame:
+    """Rows of row(line, headers, payload) of the capture lines that chosen(first keys, last keys) finds: (block's number, lines' choice) pairs for a part of the directory."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = open_store(folder)
+        blocks, ranges = Ranges(folder), Ranges(folder)
+        types = pa.schema([(c.split()[0], {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[c.split()[1]]) for c in schema.split(", ")])
         for batch in batches:
-            for block in batch.column(0).to_pylist():
-                rows = []
-                for r in _records(lines_of(block), store, path):
-                    f, response = r["fields"], r["fields"]["WARC-Type"] == "response"
-                    rows.append({
-                        "page_id": int(f["X-Page-ID"]) if f["X-Page-ID"] else None,
-                        "payload_bytes": len(r["payload"]) if response else int(f["X-Payload-Length"]),
-                        "payload_digest": hashlib.sha1(r["payload"]).hexdigest() if response else f["WARC-Payload-Digest"].removeprefix("sha1:"),
-                        "record_type": f["WARC-Type"],
-                        "refers_to": None if response else int(f["X-Refers-To-Page"]),
-                        "target": f["WARC-Target-URI"],
-                    })
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("target", pa.string())]))
-
-    return indexed.select("block").mapInArrow(trimmed(run), RECORD)
-
-
-def lookup(spark: SparkSession, indexed: DataFrame, folder: str, urls: list[str]) -> list[tuple[dict[str, str], bytes]]:
-    """Headers and payloads of the captures of a few URLs: directory, block, range. A revisit's payload is that of the record it refers to, in the same index, by its own look-up."""
-    store, path = open_store(folder)
-    out = []
-    for url in urls:
-        key = safe_surt(url).replace(" ", "%20")
-        for row in indexed.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).select("block").collect():
-            lines = lines_of(row.block)
-            keys = [x[0] for x in lines]
-            hit = lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
-            out += [(r["fields"], r["payload"]) for r in _records(hit, store, path)]
-    return out
+            first, last, file, start, length = (batch.column(i).to_pylist() for i in range(5))
+            for i, choice in chosen(first, last):
+                lines = choice(lines_of(blocks.read(file[i], start[i], length[i])))
+                waiting, size = [], 0
+                for x in _records(lines, ranges):
+                    waiting.append(dict(zip(names, row(*x), strict=True)))
+                    size += len(x[2])
+                    if size > 4_000_000:
+                        yield pa.RecordBatch.from_pylist(waiting, schema=types)
+                        waiting, size = [], 0
+                yield pa.RecordBatch.from_pylist(waiting, schema=types)
+        blocks.close(), ranges.close()
+
+    return directory.select("first_key", "last_key", "file", "start", "length").mapInArrow(trimmed(run), schema)
+
+
+def read(directory: DataFrame, folder: str) -> DataFrame:
+    """Every record of the archives, by the directory: digest and length are taken from the payload where there is one."""
+    import hashlib
+
+    def row(_: tuple, f: dict[str, str], payload: bytes) -> tuple:
+        response = f["WARC-Type"] == "response"
+        return (
+            int(f["X-Page-ID"]) if f["X-Page-ID"] else None, len(payload) if response else int(f["X-Payload-Length"]), hashlib.sha1(payload).hexdigest() if response else f["WARC-Payload-Digest"].removeprefix("sha1:"),
+            f["WARC-Type"], None if response else int(f["X-Refers-To-Page"]), f["WARC-Target-URI"],
+        )
+
+    return _over_directory(directory, folder, lambda first, last: [(i, list) for i in range(len(first))], row, RECORD)
+
+
+CAPTURED = "surt string, page_id long, record_type string, payload_digest string, refers_to long, refers_to_url string, payload binary"
+
+
+def search(directory: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """CAPTURED rows of the captures with the given keys: each part of the directory is bisected for each key, then the blocks found are."""
+    asked = sorted(set(keys))
+
+    def chosen(first: list[str], last: list[str]) -> Iterator[tuple[int, Callable]]:
+        of: dict[int, list[str]] = {}
+        for key in asked:
+            for i in range(bisect.bisect_left(last, key), bisect.bisect_right(first, key)):
+                of.setdefault(i, []).append(key)
+        for i, own in of.items():
+            yield i, lambda lines, own=own: [x for k in own for x in lines[bisect.bisect_left(lines, k, key=lambda e: e[0]) : bisect.bisect_right(lines, k, key=lambda e: e[0])]]
+
+    def row(line: tuple, f: dict[str, str], payload: bytes) -> tuple:
+        revisit = f["WARC-Type"] == "revisit"
+        return line[0], line[1], f["WARC-Type"], f["WARC-Payload-Digest"].removeprefix("sha1:"), int(f["X-Refers-To-Page"]) if revisit else None, f["WARC-Refers-To-Target-URI"] if revisit else None, None if revisit else payload
+
+    return _over_directory(directory, folder, chosen, row, CAPTURED)
+
+
+#: Keys that one search takes.
+KEYS_AT_ONCE = 10_000
+
+
+def key_of(url: str) -> str:
+    return re.sub(r"\s", "%20", safe_surt(url))
+
+
+def lookup(directory: DataFrame, folder: str, urls: list[str]) -> DataFrame:
+    """surt, page_id, record_type, refers_to, payload of the captures of some URLs. A revisit's payload is that of the response it refers to, by a look-up of its own."""
+    found = materialise(search(directory, folder, [key_of(u) for u in urls]), "found")
+    originals = None
+    keys: list[str] = []
+
+    def more() -> DataFrame:
+        own = search(directory, folder, keys).where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload").alias("original"))
+        return own if originals is None else originals.unionByName(own)
+
+    for r in found.where("refers_to is not null").select("refers_to_url").distinct().toLocalIterator():
+        keys.append(key_of(r.refers_to_url))
+        if len(keys) == KEYS_AT_ONCE:
+            originals, keys = more(), []
+    originals = more().dropDuplicates(["refers_to", "payload_digest"])
+    return found.join(originals, ["refers_to", "payload_digest"], "left").select("surt", "page_id", "record_type", "refers_to", F.coalesce("payload", "original").alias("payload"))
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> tuple[DataFrame, str]:
-    """Writes the archives and their index: (index table, folder)."""
+    """Writes the archives and their index: (directory, folder)."""
     folder = folder or work_path(pages.sparkSession, "warc")
-    return index(write(plan(pages), folder)), folder
+    return index(write(plan(pages), folder), folder), folder
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    indexed, folder = archive(pages)
-    return read(indexed, folder)
+    directory, folder = archive(pages)
+    return read(directory, folder)

@@ -191,8 +191,8 @@ def test_warc(spark, tmp_path):
         revisit = len(b) >= 1000 and latest[h] != i
         want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if revisit else "response", latest[h] if revisit else 0))
     assert got == sorted(want)
-    found = warc.lookup(spark, indexed, folder, ["http://example.com/a?a=1&b=2", "http://b.net/x y", "http://nowhere.net/"])
-    assert sorted((f["X-Page-ID"], p) for f, p in found) == [("1", b""), ("2", big.encode()), ("5", b"small")]
+    found = warc.lookup(indexed, folder, ["http://example.com/a?a=1&b=2", "http://b.net/x y", "http://nowhere.net/"]).collect()
+    assert sorted((r.page_id, r.record_type, bytes(r.payload)) for r in found) == [(1, "revisit", big.encode()), (2, "response", big.encode()), (5, "response", b"small")]
     assert warc.round_trip(pages.limit(0)).count() == 0
     whole = gzip.decompress(next((tmp_path / "warc").glob("*.warc.gz")).read_bytes())
     assert whole.startswith(b"WARC/1.1\r\nWARC-Type: ")
@@ -202,11 +202,18 @@ def test_surt():
     assert warc.safe_surt("http://www.Example.com:80/A?b=2&a=1") == "com,example)/a?a=1&b=2"
 
 
-def test_index_blocks(spark):
-    captures = spark.createDataFrame([(f"com,h{i % 3})/", i, "f", 10 * i, 10) for i in range(50)], warc.CAPTURE)
-    blocks = warc.index(captures, block_lines=4).collect()
-    lines = [x for b in blocks for x in warc.lines_of(b.block)]
-    assert len(lines) == 50 and all(b.n_lines <= 4 and b.first_key <= b.last_key for b in blocks)
+def test_lookups_in_many_blocks(spark, tmp_path):
+    """Each URL by the directory against the plain captures; one URL fills many blocks."""
+    rows = [(i, f"http://h{i % 7}.com/{i % 3 if i % 7 else 0}", "x" * 1500 if i % 4 == 0 else f"page {i}") for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = str(tmp_path / "warc")
+    directory = warc.index(warc.write(warc.plan(pages), folder), folder, block_lines=4)
+    parts = directory.collect()
+    assert sum(p.n_lines for p in parts) == 120 and all(p.n_lines <= 4 and p.first_key <= p.last_key for p in parts)
+    for urls in (["http://h0.com/0"], ["http://h3.com/1", "http://www.h5.com/2"], sorted({u for _, u, _ in rows}), ["http://h9.com/"]):
+        got = sorted((r.page_id, bytes(r.payload).decode()) for r in warc.lookup(directory, folder, urls).collect())
+        keys = {warc.key_of(u) for u in urls}
+        assert got == sorted((i, h) for i, u, h in rows if warc.key_of(u) in keys)
 
 
 def test_pipeline(spark, tmp_path):

@@ -356,29 +356,111 @@ def test_exception_phrases():
 
 
 def full_alignment(template, words):
-    """Most equal words of any in-order alignment, without a band."""
-    row = [0] * (len(words) + 1)
-    for w in template:
-        new = [0]
-        for j, v in enumerate(words):
-            new.append(max(new[j], row[j + 1], row[j] + (v == w)))
-        row = new
-    return row[-1]
+    """(score, equal words, first, last) of the best alignment of any part of the template, without a band or an index: three for each equal word, less the words of the span."""
+    best, row = (0, 0, 0, -1), {}
+    ends = {}  # (template place, text place) of the last equal word -> best alignment so far
+    for i, w in enumerate(template):
+        for j, x in enumerate(words):
+            if x == w:
+                options = [(2, 1, j, j)]
+                for (a, b), (score, n, first, _) in ends.items():
+                    if a < i and b < j:
+                        options.append((score + 3 - (j - b), n + 1, first, j))
+                ends[i, j] = max(options, key=lambda o: (o[0], o[1]))
+    return max(ends.values(), key=lambda o: (o[0], o[1], -o[3]), default=best)
+
+
+def brute_scan(text, templates, least=0.8):
+    """Every template against the whole text, its name wherever it stands."""
+    words = licenses.WORD.findall(text.lower())
+    found = []
+    for (k, kind), t in templates.items():
+        t = licenses.Template.of(k, kind, t)
+        n = len(t.words)
+        if t.b > t.a:
+            spots = [p for p in range(len(words)) if tuple(words[p : p + t.b - t.a]) == t.words[t.a : t.b]]
+        else:
+            spots = [None]
+        for p in spots:
+            if p is None:
+                _, m, first, last = full_alignment(t.words, words)
+            else:
+                spare = int((1 - least) * n + 1e-9)
+                sides = []
+                for side, near in ((t.words[: t.a][::-1], words[max(0, p - t.a - spare) : p][::-1]), (t.words[t.b :], words[p + t.b - t.a : p - t.a + n + spare])):
+                    marked = full_alignment((None, *side), [None, *near])  # the name's end has to be in it
+                    sides.append((marked[1] - 1, marked[3]))
+                m, first, last = sides[0][0] + sides[1][0] + t.b - t.a, p - sides[0][1], p + t.b - t.a - 1 + sides[1][1]
+            if m >= least * n - 1e-9 and last - first + 1 - m <= (1 - least) * n + 1e-9:
+                found.append((k, kind, first, last, n, m))
+    return [(f[0], f[1], f[2], f[3], f[5]) for f in licenses.best_matches(found)]
+
+
+NOTICES = {("MIT", "a"): "Released under the {MIT License}", ("MIT", "b"): "Distributed under the terms of the {MIT License}", ("GPL-3.0", "a"): "This work is licensed under the {GNU General Public License, version 3}", ("Q", "a"): "a {b c} d e f g"}
+
+
+@given(st.lists(st.sampled_from(["released", "under", "the", "mit license", "mit", "gnu general public license version 3", "this work is licensed", "x", "terms of the", "distributed", "a b c", "d e", "f g", "d f g"]), max_size=12).map(" ".join))
+@settings(max_examples=400, deadline=None)
+def test_notices_against_every_alignment(text):
+    spans = [m.span() for m in licenses.WORD.finditer(text)]
+    got = [(k, kind, start, end, m) for k, kind, start, end, _, m, _, _ in licenses.scan_text(text, licenses.Index(NOTICES))]
+    assert got == [(k, kind, spans[a][0], spans[b][1], m) for k, kind, a, b, m in brute_scan(text, NOTICES)]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_edited_texts_against_every_alignment(seed):
+    """Words replaced, left out and put in: up to the limits, and beyond."""
+    r = np.random.default_rng(seed)
+    name = sorted(licenses.TEXTS)[seed % len(licenses.TEXTS)]
+    one = {(name, "text"): licenses.TEXTS[name]}
+    words = []
+    for w in licenses.WORD.findall(licenses.TEXTS[name].lower()):
+        x = r.random() * 60 / (seed + 4)
+        words += [] if x < 0.4 else ["foreign"] if x < 0.8 else [w, "more"] if x < 1.2 else [w]
+    text = "some words before " + " ".join(words) + " and some after"
+    spans = [m.span() for m in licenses.WORD.finditer(text)]
+    got = [(k, kind, start, end, m) for k, kind, start, end, _, m, _, _ in licenses.scan_text(text, licenses.Index(one))]
+    assert got == [(k, kind, spans[a][0], spans[b][1], m) for k, kind, a, b, m in brute_scan(text, one)]
 
 
 def test_licenses(spark):
-    mit = licenses.TEMPLATES["mit"]
-    index = licenses.Index(licenses.TEMPLATES)
+    mit = licenses.TEXTS["MIT"]
+    header = licenses.TEMPLATES["LGPL-3.0-or-later", "header 3"].replace("{", "").replace("}", "")
     texts = {
         1: "Intro. " + mit + " End.", 2: "x " + mit.replace("free of charge", "at no cost").replace("sublicense", "") + " y", 3: "Released under the MIT License.", 4: "Licensed under nothing at all.", 5: None, 6: "",
-        7: "Licensed under the Apache License, Version 2.0.\n" * 3, 8: mit[: len(mit) // 2],
+        7: "Licensed under the Apache License, Version 2.0.\n" * 3, 8: mit[: len(mit) // 2], 9: "Released under MIT License", 10: header, 11: "word " * 200_000 + "Licensed under CC BY-NC 4.0.",
     }
-    docs = spark.createDataFrame([(i, t, "z") for i, t in texts.items()], "doc_id long, text string, start string")
+    docs = spark.createDataFrame([(i, t, "z", 1.0) for i, t in [*texts.items(), (3, texts[3]), (None, texts[3])]], "doc_id long, text string, start string, coverage double")
     got = {}
     for r in licenses.scan(docs).collect():
         got.setdefault(r.doc_id, []).append(r)
-    assert {k: [x.license_id for x in v] for k, v in got.items()} == {1: ["mit"], 2: ["mit"], 3: ["mit-notice"], 7: ["apache-2.0-notice"] * 3}
+    assert {k: [x.license_id for x in v] for k, v in got.items()} == {1: ["MIT"], 2: ["MIT"], 3: ["MIT"] * 2, 7: ["Apache-2.0"] * 3, 9: ["MIT"], 10: ["LGPL-3.0-or-later"], 11: ["CC-BY-NC-4.0"], None: ["MIT"]}
     assert got[1][0].coverage == 1 and texts[1][got[1][0].start : got[1][0].end] == mit[:-1]
     words = licenses.WORD.findall(texts[2].lower())
-    assert got[2][0].matched_words == full_alignment(index.words["mit"], words)
+    _, m, first, last = full_alignment(licenses.Template.of("MIT", "text", mit).words, words)
+    assert (got[2][0].matched_words, got[2][0].inserted_words) == (m, last - first + 1 - m)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "license_id"),
+    [
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+        ("Licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("licensed under CC BY-NC-ND 4.0", "CC-BY-NC-ND-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-Whatever 4.0 License", None),
+        ("Licensed under the GNU Fancy General Public License, version 2", None),
+        ("The MIT License is a text.", None),
+        ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0-or-later"),
+    ],
+)
+def test_license_variants(text, license_id):
+    assert [f[0] for f in licenses.scan_text(text, licenses.Index(licenses.TEMPLATES))] == [license_id] * (license_id is not None)
+
+
+@pytest.mark.parametrize("license_id", sorted(licenses.TEXTS))
+def test_license_texts(license_id):
+    text = licenses.TEXTS[license_id]
+    found = licenses.scan_text("begin " + text + " end", licenses.Index(licenses.TEMPLATES))
+    assert [(f[0], f[-1]) for f in found] == [(license_id, 1.0)]
