@@ -47,7 +47,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 50 bytes that an earlier document has; a text that loses all is gone."""
-    left = suffix_dedup.deduplicate(docs).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
+    left = suffix_dedup.deduplicate(docs.select(COLUMNS)).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
     return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
