@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import codecs
+import functools
 import html
 import re
+import unicodedata
 from html.parser import HTMLParser
 from xml.parsers import expat
 
@@ -13,9 +16,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SENTENCE = re.compile(r"[.!?…]+[\"'”’)\]]*\s+(?=[^\s\W\d_]|[\"'“‘(\[\d])|\n{2,}")
-
-
 def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
@@ -25,9 +25,56 @@ SPANS = T.ArrayType(struct(start=NUMBER, end=NUMBER))
 EVENTS = T.ArrayType(struct(kind=TEXT, name=TEXT, attributes=T.MapType(TEXT, TEXT), text=TEXT))
 
 
+#: Fixed values of the sentence boundary rules: marks that end a sentence for sure, that may, that go on, and quotes that close.
+SURE, MAYBE, GOES_ON, QUOTES = "!?\u203c\u203d\u2047\u2048\u2049\u3002\ufe56\ufe57\uff01\uff1f\uff61\u061f\u06d4\u0964\u0965", ".\u2024\ufe52\uff0e", ",-:\u055d\u060c\u2013\u2014\u3001\ufe10\ufe11\ufe50\ufe51\ufe55\ufe58\ufe63\uff0c\uff0d\uff1a\uff64", "\"'"
+_SENTENCE_END = re.compile("P|[AT]C*S*P?")
+_THEN_LOWER = re.compile("[^OULPAT]*L")
+
+
+@functools.lru_cache(maxsize=65_536)
+def sentence_class(c: str) -> str:
+    """Class of a character in the sentence boundary rules: A maybe and T surely an end, C closing, S blank, P new paragraph, L U O letters, N digit, M going on, E part of the character before, X other."""
+    for marks, name in ((SURE, "T"), (MAYBE, "A"), (GOES_ON, "M"), (QUOTES, "C")):
+        if c in marks:
+            return name
+    kind = unicodedata.category(c)
+    if c in "\n\r\x85\u2028\u2029":
+        return "P"
+    if c.isspace():
+        return "S"
+    if kind in ("Mn", "Mc", "Me", "Cf"):
+        return "E"
+    if kind in ("Ps", "Pe", "Pi", "Pf"):
+        return "C"
+    if kind == "Nd":
+        return "N"
+    return {"Ll": "L", "Lu": "U", "Lt": "U"}.get(kind, "O" if kind[0] == "L" or kind == "Nl" else "X")
+
+
 def sentence_bounds(text: str) -> list[tuple[int, int]]:
-    """Spans that tile a text: a span ends after a sentence's end marks and the blanks behind them."""
-    cuts = [0, *(m.end() for m in _SENTENCE.finditer(text)), len(text)]
+    """Spans that tile a text, by Unicode's sentence boundary rules."""
+    of = {c: sentence_class(c) for c in set(text)}
+    at, classes = [], []
+    for i, c in enumerate(text):
+        if of[c] == "E" and classes and classes[-1] != "P":  # belongs to the character before
+            continue
+        if c == "\n" and i and text[i - 1] == "\r":  # one line end
+            continue
+        at.append(i)
+        classes.append("X" if of[c] == "E" else of[c])
+    at.append(len(text))
+    joined = "".join(classes)
+    cuts = [0]
+    for m in _SENTENCE_END.finditer(joined):
+        a, b = m.span()
+        if joined[b - 1] != "P":
+            then = joined[b : b + 1]
+            number = m[0] == "A" and then == "N"
+            initial = m[0] == "A" and a > 0 and joined[a - 1] in "UL" and then == "U"
+            if not then or then in "MAT" or number or initial or (joined[a] == "A" and _THEN_LOWER.match(joined, b)):
+                continue
+        cuts.append(at[b])
+    cuts.append(len(text))
     return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
@@ -72,18 +119,27 @@ def align_substring(needles: pd.Series, haystacks: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["cost", "start", "length"])
 
 
-def moved_to_words(text: str, start: int, length: int) -> tuple[bool, bool]:
-    """Whether a span begins and ends within a word of the text."""
-    end = start + length
-    inside = lambda i: 0 < i < len(text) and text[i - 1].isalnum() and text[i].isalnum()
-    return inside(start), inside(end)
+#: What may stand before a document's first element: blanks, instructions, comments of any content, a document type with its own declarations.
+_PROLOG = re.compile(r"""(?s)(?:\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE(?:[^\["'>]|"[^"]*"|'[^']*')*(?:\[(?:[^\]"'<]|"[^"]*"|'[^']*'|<!--.*?-->|<)*\]\s*)?>)*""")
+#: Byte marks and their encodings, the longest first.
+_MARKS = ((codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
+
+
+def decoded(content: bytes) -> str:
+    """A file's text by its byte mark, else by its first bytes or its declaration, else as ISO-8859-1."""
+    for mark, encoding in _MARKS:
+        if content.startswith(mark):
+            return content.decode(encoding, "replace")
+    for begin, encoding in ((b"<\0?\0", "utf-16-le"), (b"\0<\0?", "utf-16-be")):
+        if content.startswith(begin):
+            return content.decode(encoding, "replace")
+    told = re.match(rb"""\s*<\?xml[^>]*encoding=["']([\w-]+)""", content)
+    return content.decode(told[1].decode() if told else "iso-8859-1", "replace")
 
 
 def xml_events(content: bytes) -> list[dict]:
-    """Start, end, text and comment events in their order. Encoding by mark, else by declaration, else ISO-8859-1; a document type's entities stay as they are."""
-    told = re.match(rb"""\s*<\?xml[^>]*encoding=["']([\w-]+)""", content.removeprefix(b"\xef\xbb\xbf"))
-    encoding = "utf-8" if content.startswith(b"\xef\xbb\xbf") else told[1].decode() if told else "iso-8859-1"
-    body = re.sub(r"^(?:\s*<[?!][^>]*>)*", "", content.removeprefix(b"\xef\xbb\xbf").decode(encoding, "replace"), count=1)
+    """Start, end, text and comment events in their order. A document type's entities stay as they are."""
+    body = _PROLOG.sub("", decoded(content), count=1)
     out: list[dict] = []
 
     def add(kind: str, name: str | None = None, attributes: dict | None = None, text: str | None = None) -> None:
@@ -115,6 +171,29 @@ def parse_xml(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["events", "error"])
 
 
+#: Marks that stand for inline elements of annotated verse, on both sides of what they hold.
+SIGILS = {"I": "@", "H": "$", "SUP": "^", "KA": "°", "SMALLCAPS": "¨", "SUB": "ˇ", "FR": "€"}
+
+
+def marked_text(content: bytes) -> str:
+    """A piece of XML as text: SIGILS for inline elements, entities decoded, other elements left out but for what they hold."""
+    told = [SIGILS.get(e["name"], "") if e["kind"] in ("start", "end") else decode_entities(e["text"]) if e["kind"] == "text" else "" for e in xml_events(content)]
+    return "".join(told)
+
+
+@F.pandas_udf(TEXT)
+def inline_marks(pieces: pd.Series) -> pd.Series:
+    """marked_text of strings of mixed content; null for one that can't be read."""
+
+    def one(p: str | None) -> str | None:
+        try:
+            return None if p is None else marked_text(f'<?xml version="1.0" encoding="utf-8"?><_>{p}</_>'.encode())
+        except expat.ExpatError:
+            return None
+
+    return pieces.map(one)
+
+
 class _Paragraphs(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -210,10 +289,15 @@ def decode_entities(text: str, extra: dict[str, str] | None = None) -> str:
     return re.sub(r"&(#?\w+);", one, text)
 
 
+#: Functions that SQL gets, beside Spark's own.
+SQL_FUNCTIONS = {"sentence_spans": sentence_spans, "align_substring": align_substring, "parse_xml": parse_xml, "html_paragraphs": html_paragraphs, "html_markdown": html_markdown, "inline_marks": inline_marks}
+
+
 def register(spark: SparkSession) -> None:
-    """The functions under SQL names."""
-    spark.udf.register("sentence_spans", sentence_spans)
-    spark.udf.register("align_substring", align_substring)
-    spark.udf.register("parse_xml", parse_xml)
-    spark.udf.register("html_paragraphs", html_paragraphs)
-    spark.udf.register("html_markdown", html_markdown)
+    """The functions under SQL names, and table functions over a text's parts: its terms, its concordance and its TEI pages."""
+    for name, f in SQL_FUNCTIONS.items():
+        spark.udf.register(name, f)
+    from quillstream.functions import tables
+
+    for name, t in tables.SQL_TABLES.items():
+        spark.udtf.register(name, t)

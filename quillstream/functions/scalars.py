@@ -108,7 +108,8 @@ def yes_no_unknown(c: Column) -> Column:
 
 
 def flag_of(c: Column) -> Column:
-    return F.when(c == "0", "FALSE").otherwise("TRUE")
+    """FALSE for 0, TRUE for anything else; null stays null."""
+    return F.when(c == "0", "FALSE").when(c.isNotNull(), "TRUE")
 
 
 def section_level(kind: Column) -> Column:
@@ -173,3 +174,12 @@ def attributes_text(m: Column) -> Column:
 
 def issn_and_year(page: Column) -> tuple[Column, Column]:
     return F.regexp_extract(page, "^([^_]*)_", 1), F.regexp_extract(page, r"_(\d{4})-", 1).try_cast("int")
+
+
+#: Fixed value: a link that no end tag follows on its line, and its first word.
+OPEN_LINK = "<a([^>]*)>([^< ]*)(?!.*</a>)"
+
+
+def close_links(markup: Column) -> Column:
+    """Links that are never closed end after their first word."""
+    return F.regexp_replace(markup, OPEN_LINK, "<a$1>$2</a>")

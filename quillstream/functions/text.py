@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Editorial marks that the poem tokenizer deletes (fixed values).
 POEM_MARKS = "[]'^°@*|$€\"¨ˇ"
+#: White space at a text's ends, each run tried once.
+EDGE_BLANKS = r"^\s++|(?<!\s)\s++$"
 
 
 def trim_space(c: Column) -> Column:
@@ -23,11 +25,11 @@ def clean(c: Column) -> Column:
 
 def whitespace_tokens(text: Column) -> Column:
     """Tokens between white space; one that ends in a hyphen is joined with the next."""
-    return F.split(F.regexp_replace(F.trim(F.regexp_replace(text, r"^\s+|\s+$", "")), r"-\s+(?=\S)", ""), r"\s+")
+    return F.split(F.regexp_replace(F.regexp_replace(text, EDGE_BLANKS, ""), r"-\s++(?=\S)", ""), r"\s+")
 
 
 def strip_punctuation(token: Column) -> Column:
-    return F.regexp_replace(token, r"^\p{Punct}+|\p{Punct}+$", "")
+    return F.regexp_replace(token, r"^\p{Punct}++|(?<!\p{Punct})\p{Punct}++$", "")
 
 
 def analyzer(tokenizer: Callable[[Column], Column], *filters: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -48,9 +50,10 @@ def default_analyzer(text: Column) -> Column:
     """White-space tokens without punctuation at their ends, in lower case: what
     analyzer(whitespace_tokens, strip_punctuation, F.lower) gives, but with each rule applied once to the whole text
     instead of once to each token. Empty tokens stay, as they are gaps."""
-    joined = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), r"-\s+(?=\S)", "")
+    joined = F.regexp_replace(F.regexp_replace(text, EDGE_BLANKS, ""), r"-\s++(?=\S)", "")
     spaced = F.lower(F.regexp_replace(joined, r"\s+", " "))
-    return F.split(F.regexp_replace(spaced, r"(?<![^ ])\p{Punct}+|\p{Punct}+(?![^ ])", ""), " ")
+    # each run of punctuation is tried once, at its begin: runs of any length take linear time
+    return F.split(F.regexp_replace(spaced, r"(?<![^ ])\p{Punct}++|(?<!\p{Punct})\p{Punct}++(?![^ ])", ""), " ")
 
 
 def n_terms(tokens: Column) -> Column:
@@ -101,7 +104,7 @@ def poem_tokens(text: Column) -> Column:
     bare = F.regexp_replace(bare, r"(^|\n)[£∞≈]?\d+[\s_]*", "$1")
     mark = r"[\p{Punct}\p{InGeneral_Punctuation}°£∞≈€¨ˇ&&[^\[\]]]"
     edge = rf"(?:\[{mark}*\]|{mark})+"
-    kept = F.transform(F.split(bare, r"[\s_]+"), lambda t: F.regexp_replace(F.regexp_replace(t, rf"^{edge}|{edge}$", ""), r"[\[\]'^°@*|$€\"¨ˇ]", ""))
+    kept = F.transform(F.split(bare, r"[\s_]+"), lambda t: F.regexp_replace(F.regexp_replace(t, rf"^{edge}|{edge}$", ""), f"[{''.join(chr(92) + c if c in '[]^' else c for c in POEM_MARKS)}]", ""))
     return F.transform(F.filter(kept, lambda t: t != ""), F.lower)
 
 
@@ -135,6 +138,27 @@ def postings(tokens: Column) -> Column:
     return F.filter(placed, lambda p: p["term"] != "")
 
 
+def offset_postings(text: Column) -> Column:
+    """array<struct<pos, term, start, end>> of the default analyzer's tokens that aren't empty, with their places in the text.
+
+    A token's place is that of the white-space token it comes from; one joined over a line's end reaches over both parts.
+    """
+    raw = r"(?:[^\s]*-\s+)*[^\s]+"
+    gaps, hits = F.split(text, raw), F.regexp_extract_all(text, F.lit(raw), F.lit(0))
+    begins = piece_begins(gaps, hits)
+    term = lambda h: F.lower(strip_punctuation(F.regexp_replace(h, r"-\s++(?=\S)", "")))
+    placed = F.transform(F.arrays_zip(hits.alias("h"), F.slice(begins, F.lit(1), F.size(hits)).alias("b")), lambda z, i: F.struct(i.alias("pos"), term(z["h"]).alias("term"), z["b"].alias("start"), (z["b"] + F.length(z["h"])).alias("end")))
+    return F.filter(placed, lambda p: p["term"] != "")
+
+
+def piece_begins(gaps: Column, hits: Column) -> Column:
+    """Where each hit begins: gaps and hits stand in turn, so their lengths add up to the offsets."""
+    return F.aggregate(
+        F.arrays_zip(F.transform(gaps, F.length).alias("g"), F.transform(hits, F.length).alias("h")), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+        lambda a, x: F.struct((a["at"] + x["g"] + F.coalesce(x["h"], F.lit(0))).alias("at"), F.array_append(a["begins"], a["at"] + x["g"]).alias("begins")), lambda a: a["begins"],
+    )
+
+
 def kwic(text: Column, word: str, width: int = 120) -> Column:
     """array<struct<hit, offset, before, word, after>>: hits of a word between non-word characters, with their contexts."""
     pattern = r"(?i)((?:\W|^)" + quote(word) + r"(?:\W|$))"
@@ -142,11 +166,7 @@ def kwic(text: Column, word: str, width: int = 120) -> Column:
     gaps, hits = F.split(flat, pattern), F.regexp_extract_all(flat, F.lit(pattern), F.lit(1))
     before = lambda g: F.when(F.length(g) > width, F.regexp_replace(F.right(g, F.lit(width)), r"^[^ ]* ", "")).otherwise(g)
     after = lambda g: F.when(F.length(g) > width, F.regexp_replace(F.left(g, F.lit(width)), r" [^ ]*$", "")).otherwise(g)
-    # gaps and hits in turn: the text's pieces, whose lengths add up to the offsets
-    begins = F.aggregate(
-        F.arrays_zip(F.transform(gaps, F.length).alias("g"), F.transform(hits, F.length).alias("h")), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
-        lambda a, x: F.struct((a["at"] + x["g"] + F.coalesce(x["h"], F.lit(0))).alias("at"), F.array_append(a["begins"], a["at"] + x["g"]).alias("begins")), lambda a: a["begins"],
-    )
+    begins = piece_begins(gaps, hits)
     zipped = F.arrays_zip(hits.alias("word"), begins.alias("offset"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
     found = F.filter(zipped, lambda z: z["word"].isNotNull())
     return F.transform(found, lambda z, i: F.struct(i.alias("hit"), z["offset"].alias("offset"), before(z["gap"]).alias("before"), z["word"].alias("word"), after(z["next"]).alias("after")))

@@ -18,7 +18,7 @@ def counts_before(counted: DataFrame, keys: list[str], value: str, n: str, name:
     A group's values are cut at approximate quantiles, summed up for each piece, and ordered within pieces only: no
     group is sorted by one task, however many different values it has.
     """
-    cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, [i / PIECES for i in range(1, PIECES)], 10_000).alias("_cuts"))
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, [i / PIECES for i in range(1, PIECES)], 10_000).alias("_cuts"))  # a row of PIECES numbers for each group
     placed = counted.join(cuts, keys).withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     before = lambda w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = placed.groupBy(*keys, "_piece").agg(F.sum(n).alias(n)).withColumn("_off", before(Window.partitionBy(*keys).orderBy("_piece"))).drop(n)
@@ -26,18 +26,23 @@ def counts_before(counted: DataFrame, keys: list[str], value: str, n: str, name:
     return inner.join(pieces, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_off")).drop("_piece", "_off")
 
 
-def average_ranks(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Ranks of values within keys, ties at their mean."""
-    counted = counts_before(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), keys, value, "_n", "_before")
-    return rows.join(counted.select(*keys, value, (F.col("_before") + (F.col("_n") + 1) / 2).alias(name)), [*keys, value])
+def average_ranks(counted: DataFrame, keys: list[str], value: str, name: str, n: str = "_n") -> DataFrame:
+    """Ranks of values within keys, ties at their mean, of rows that stand for n rows each."""
+    of = counts_before(counted.groupBy(*keys, value).agg(F.sum(n).alias("_m")), keys, value, "_m", "_before")
+    return counted.join(of.select(*keys, value, (F.col("_before") + (F.col("_m") + 1) / 2).alias(name)), [*keys, value])
 
 
 def correlations(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """keys, n, pearson, spearman; null where there are fewer than two rows or no spread."""
-    both = average_ranks(average_ranks(rows, keys, x, "_rx"), keys, y, "_ry")
-    sure = lambda c: F.when(F.col("n") > 1, F.when(F.isnan(c), None).otherwise(c))
-    out = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("pearson"), F.corr("_rx", "_ry").alias("spearman"))
-    return out.withColumn("pearson", sure(F.col("pearson"))).withColumn("spearman", sure(F.col("spearman")))
+    """keys, n, pearson, spearman; null where there are fewer than two rows or no spread. Equal pairs are counted first, so only different ones meet their ranks."""
+    pairs = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n"))
+    both = average_ranks(average_ranks(pairs, keys, x, "_rx"), keys, y, "_ry")
+    plain = lambda c: F.col(c).cast("double")
+    middle = both.groupBy(*keys).agg(F.sum("_n").alias("n"), *[(F.sum(F.col("_n") * plain(c)) / F.sum("_n")).alias(f"_m{i}") for i, c in enumerate((x, y, "_rx", "_ry"))])
+    off = both.join(middle, keys)
+    d = [plain(c) - F.col(f"_m{i}") for i, c in enumerate((x, y, "_rx", "_ry"))]
+    summed = lambda a, b: F.sum(F.col("_n") * a * b)
+    of = lambda a, b: F.when(F.first("n") > 1, F.try_divide(summed(a, b), F.sqrt(summed(a, a) * summed(b, b))))
+    return off.groupBy(*keys).agg(F.first("n").alias("n"), of(d[0], d[1]).alias("pearson"), of(d[2], d[3]).alias("spearman"))
 
 
 def kendall_binary(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:

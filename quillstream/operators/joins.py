@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions.python import align_substring
+from quillstream.functions.text import quote
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], bin_size: int | None = None, closed: bool = False, names: tuple[str, str] = ("start", "end"), right_names: tuple[str, str] = ("start", "end")) -> DataFrame:
@@ -77,10 +78,12 @@ def bag_overlap(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: s
 
 
 def align_rows(rows: DataFrame, pages: DataFrame, keys: list[str], row: str, page: str) -> DataFrame:
-    """Each row with its cheapest substring of the page that shares its keys: cost, start, length, aligned text."""
+    """Each row with its cheapest substring of the page that shares its keys: cost, start, length, aligned text, and whether its ends lie within words (cut_start, cut_end)."""
     found = rows.join(pages, keys).withColumn("a", align_substring(F.col(row), F.col(page)))
+    end = F.col("a.start") + F.col("a.length")
     aligned = F.trim(F.substring(F.col(page), F.col("a.start") + 1, F.col("a.length")))
-    return found.select(*rows.columns, page, "a.cost", "a.start", "a.length", aligned.alias("aligned"))
+    inside = lambda at: (at > 0) & (at < F.length(page)) & F.substring(F.col(page), at, 2).rlike(r"^[\p{L}\p{N}]{2}")
+    return found.select(*rows.columns, page, "a.cost", "a.start", "a.length", aligned.alias("aligned"), inside(F.col("a.start")).alias("cut_start"), inside(end).alias("cut_end"))
 
 
 def haystacks(lines: DataFrame, pair: str, page: str, order: str, line: str) -> DataFrame:
@@ -97,7 +100,20 @@ def first_resolved(*styles: Column) -> Column:
 
 
 def link_titles(text: Column, titles: list[tuple[str, str]]) -> Column:
-    """Titles in a text as links, the longest first."""
-    for title, url in sorted(titles, key=lambda t: (-len(t[0]), t[0])):
-        text = F.replace(text, F.lit(title), F.lit(f'<a href="{url}">{title}</a>'))
-    return text
+    """Titles in a text as links. One pass from left to right: where several titles begin, the longest is taken, and nothing inside a link is linked again."""
+    if not titles:
+        return text
+    urls = dict(reversed(titles))  # a title given twice keeps its first link
+    pattern = "|".join(quote(t) for t in sorted(urls, key=lambda t: (-len(t), t)))
+    gaps, hits = F.split(text, pattern), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    link = F.create_map(*[F.lit(x) for t, u in sorted(urls.items()) for x in (t, f'<a href="{u}">{t}</a>')])
+    pieces = F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.coalesce(F.element_at(link, h), F.lit(""))))
+    return F.array_join(pieces, "")
+
+
+def with_fallback(facts: DataFrame, key: str, first: DataFrame, second: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
+    """(facts with a value of the first table or, where it has none, of the second, and `source`: 1 or 2; facts without any)."""
+    one, two = first.select(key, F.col(value).alias("_one")), second.select(key, F.col(value).alias("_two"))
+    both = facts.join(one, key, "left").join(two, key, "left").withColumn(value, F.coalesce("_one", "_two")).withColumn("source", F.when(F.col("_one").isNotNull(), 1).when(F.col("_two").isNotNull(), 2))
+    both = both.drop("_one", "_two")
+    return both.where(F.col("source").isNotNull()), both.where(F.col("source").isNull()).drop(value, "source")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions.python import sentence_spans
 from quillstream.functions.text import default_analyzer, heading_level, heading_text, n_tokens
+from quillstream.operators.aggregates import counts_before
 
 
 def before(order: Window) -> Window:
@@ -127,8 +128,27 @@ def token_offsets(tokens: DataFrame, key: str, order: list[str], word: str, gap:
     return tokens.withColumn("position", F.row_number().over(w) - 1).withColumn("end_offset", end).withColumn("start_offset", F.col("end_offset") - F.length(word))
 
 
+#: Ranges that keys are numbered in.
+RANGES = 1024
+
+
 def global_numbers(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """key, number from 0 of each distinct key in order: ranges are sorted apart, and each is numbered from where the last one ended."""
-    ordered = rows.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.sparkSession.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])), f"{key} {kind}, {name} long")
+    """key, number from 0 of each distinct key in order, the keys cut into ranges that are ordered apart.
+
+    The ranges begin at the keys whose hashes are divisible by a number that leaves about RANGES of them, so they follow
+    from the data alone; their sizes are added up, and no task orders more than a range.
+    """
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    step = max(1, keys.count() // RANGES)
+    begins = [r[0] for r in keys.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).orderBy(key).collect()]  # about RANGES keys
+    placed = keys.withColumn("_range", F.size(F.filter(F.array(*[F.lit(b) for b in begins]), lambda b: b <= F.col(key))) if begins else F.lit(0))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before(Window.partitionBy(F.lit(1)).orderBy("_range"))), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
+    return placed.withColumn("_at", inside).join(F.broadcast(starts), "_range").select(key, (F.col("_start") + F.col("_at")).alias(name))  # a row for each range
+
+
+def ordinals(rows: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """Rows with their number, from 1, within their keys, by a number that is different in each row; no group is sorted by one task."""
+    counted = counts_before(rows.select(*keys, order).withColumn("_one", F.lit(1)), keys, order, "_one", name)
+    return rows.join(counted.select(*keys, order, (F.col(name) + 1).cast("int").alias(name)), [*keys, order])

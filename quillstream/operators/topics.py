@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from quillstream.functions.text import topic_tokens
 
 
-def topic_model(docs: DataFrame, key: str, text: str, topics: int = 500, iterations: int = 20, stop_words: list[str] | None = None, vocabulary: int = 50_000, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def topic_model(docs: DataFrame, key: str, text: str, topics: int = 500, iterations: int = 20, stop_words: list[str] | None = None, least_documents: int = 2, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """(topic, rank, word, weight) of the five heaviest words, and (key, topic, weight) of topics above 0.2, five at most."""
     tokens = docs.select(key, F.filter(topic_tokens(F.col(text)), lambda t: ~t.rlike(r"^\d+$")).alias("tokens"))
-    counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=vocabulary, minDF=2)
+    counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=2**31 - 1, minDF=least_documents)  # every term of that many documents
     before = Pipeline(stages=[StopWordsRemover(inputCol="tokens", outputCol="words", stopWords=stop_words or []), NGram(n=2, inputCol="words", outputCol="pairs")]).fit(tokens).transform(tokens)
     terms = before.select(key, F.concat("words", "pairs").alias("terms"))
     counts = counter.fit(terms)

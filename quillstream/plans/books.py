@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from quillstream.functions.scalars import date_bounds, estc_id, flag_of, none_if_blank
 from quillstream.operators import joins, levels
 
-#: Kinds of the bibliographic table's columns (all others are strings).
-INT_COLUMNS = {"publication_year", "publication_decade", "pagecount", "volcount", "volnumber", "parts"}
-FLOAT_COLUMNS = {"longitude", "latitude", "width", "height", "area", "paper", "obl_area"}
+#: Kinds of the bibliographic table's columns (all others are strings), lists, and columns that are left out.
+INT_COLUMNS = {
+    "pagecount.orig", "document.items", "publication_year", "publication_decade", "publication_frequency_annual", "publication_interval_from", "publication_interval_till", "author_birth", "author_death", "publication_year_from",
+    "publication_year_to", "publication_year_till", "volnumber", "volcount", "parts", "publication_time",
+}
+FLOAT_COLUMNS = {"pagecount", "latitude", "longitude", "paper", "width", "height", "area"}
+LISTED = {"publication_geography", "publication_topic", "subject"}
 SKIPPED = {"original_row", "paper.check"}
 
 
@@ -98,28 +102,42 @@ def work_level(parts: DataFrame, documents: DataFrame) -> DataFrame:
     return levels.with_offsets(works, "document_id", "work", F.length("text"), 2).join(documents, "document_id")
 
 
+def number_or_zero(value: Column, kind: str, name: str) -> Column:
+    """A number; 0 for a missing one. Anything else that isn't a number is an error, never a number."""
+    read = value.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{name} isn't a number: "), value)).cast(kind)
+    return F.when(value.isNull(), F.lit(0).cast(kind)).when(read.isNull(), wrong).otherwise(read)
+
+
 def bibliographic(level: DataFrame, metadata: DataFrame, key: str = "estc_id") -> DataFrame:
-    """A level's rows with the bibliographic table's columns, on the normalised identifier; kinds by column name; defaults for what is missing."""
+    """A level's rows with the bibliographic table's columns (points in names made underscores), on the normalised identifier.
+
+    Kinds go by column name. An empty cell, NA and an identifier that the table hasn't are 0 in number columns, "" in
+    string columns, no entries in lists. Languages are what the language column says and those whose own column is TRUE.
+    """
     flags = [c for c in metadata.columns if c.startswith("language.")]
     columns: list[Column] = [estc_id(F.col(f"`{key}`")).alias("_key")]
+    missing: dict[str, Column] = {}
     for c in metadata.columns:
-        value = none_if_blank(F.col(f"`{c}`"))
-        if c == key or c in SKIPPED or c in flags:
+        value, name = none_if_blank(F.col(f"`{c}`")), c.replace(".", "_")
+        if c == key or c == "language" or c in SKIPPED or c in flags:
             continue
-        if c in INT_COLUMNS:
-            columns.append(F.coalesce(value.try_cast("int"), F.lit(0)).alias(c))
-        elif c in FLOAT_COLUMNS:
-            columns.append(F.coalesce(value.try_cast("float"), F.lit(0.0)).alias(c))
-        elif c == "obl":
-            columns.append(flag_of(value).alias(c))
-        elif c in ("publication_topic", "publication_geography"):
-            columns.append(F.coalesce(F.transform(F.split(value, ";"), lambda x: F.trim(x)), F.array().cast("array<string>")).alias(c))
+        if c in INT_COLUMNS or c in FLOAT_COLUMNS:
+            kind = "int" if c in INT_COLUMNS else "float"
+            columns.append(number_or_zero(value, kind, c).alias(name))
+            missing[name] = F.lit(0).cast(kind)
+        elif c in LISTED:
+            columns.append(F.coalesce(F.transform(F.split(value, ";"), lambda x: F.trim(x)), F.array().cast("array<string>")).alias(name))
+            missing[name] = F.array().cast("array<string>")
         else:
-            columns.append(F.coalesce(value, F.lit("")).alias(c.replace(".", "_")))
-    said = [F.when(F.upper(F.col(f"`{c}`")) == "TRUE", F.lit(c.removeprefix("language."))) for c in flags]
+            columns.append(F.coalesce(flag_of(value) if c == "obl" else value, F.lit("")).alias(name))
+            missing[name] = F.lit("")
+    said = [F.when(F.col(f"`{c}`") == "TRUE", F.lit(c.removeprefix("language."))) for c in flags]
     own = [none_if_blank(F.col("language"))] if "language" in metadata.columns else []
-    columns.append(F.array_sort(F.array_distinct(F.array_compact(F.array(*own, *said)))).alias("estc_language"))
-    return level.withColumn("_key", estc_id(F.col(key))).join(metadata.select(*columns).dropDuplicates(["_key"]), "_key", "left").drop("_key")
+    columns.append(F.array_sort(F.array_distinct(F.array_compact(F.array(*own, *said).cast("array<string>")))).alias("estc_language"))
+    missing["estc_language"] = F.array().cast("array<string>")
+    joined = level.withColumn("_key", estc_id(F.col(key))).join(metadata.select(*columns).dropDuplicates(["_key"]), "_key", "left").drop("_key")
+    return joined.withColumns({c: F.coalesce(c, v) for c, v in missing.items()})
 
 
 def reuse_fragments(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -132,9 +150,10 @@ def reuse_fragments(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
     return levels.measured(rows.join(by, "fragment_id")), rows.select("document_id", "start", "end", "fragment_id")
 
 
-def offset_store(payload: DataFrame) -> DataFrame:
-    """(document_id, offset) -> page and box, one row each: the last that was put."""
-    return payload.groupBy("document_id", "offset").agg(F.last(F.struct("page", "x", "y", "w", "h")).alias("box")).select("document_id", "offset", "box.*")
+def offset_store(payload: DataFrame, order: str | None = None) -> DataFrame:
+    """(document_id, offset) -> page and box, one row each: the last that was put, by `order`; without an order the greatest (page, x, y, w, h)."""
+    box = F.struct("page", "x", "y", "w", "h")
+    return payload.groupBy("document_id", "offset").agg(F.max_by(box, F.struct(order, "page", "x", "y", "w", "h") if order else box).alias("box")).select("document_id", "offset", "box.*")
 
 
 def by_ordinal(store: DataFrame, documents: DataFrame) -> DataFrame:

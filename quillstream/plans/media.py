@@ -11,8 +11,9 @@ from quillstream.operators import joins, levels
 
 TWEET = (
     "id_str string, created_at string, text string, full_text string, truncated boolean, lang string, source string, in_reply_to_user_id_str string, in_reply_to_screen_name string, retweet_count int, favorite_count int, "
-    "possibly_sensitive boolean, user struct<id_str:string,screen_name:string,name:string,followers_count:int,verified:boolean>, "
+    "possibly_sensitive boolean, user struct<id_str:string,screen_name:string,name:string,location:string,description:string,followers_count:int,friends_count:int,listed_count:int,favourites_count:int,verified:boolean,lang:string>, "
     "entities struct<hashtags:array<struct<text:string>>,user_mentions:array<struct<id_str:string,screen_name:string>>,urls:array<struct<expanded_url:string>>>, "
+    "extended_entities struct<media:array<struct<media_url:string,type:string>>>, "
     "place struct<id:string,full_name:string,country:string,place_type:string,bounding_box:struct<coordinates:array<array<array<double>>>>>, "
     "retweeted_status struct<id_str:string,text:string,full_text:string,user:struct<id_str:string,screen_name:string>,entities:struct<hashtags:array<struct<text:string>>,user_mentions:array<struct<id_str:string,screen_name:string>>,urls:array<struct<expanded_url:string>>>>, "
     "quoted_status struct<id_str:string,user:struct<id_str:string,screen_name:string>>"
@@ -27,9 +28,12 @@ def tweets(rows: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     content = F.when(kind == "retweet", F.concat(F.lit("RT @"), rt["user"]["screen_name"], F.lit(": "), F.coalesce(rt["text"], rt["full_text"]))).otherwise(own)
     entities = F.when(rt["entities"].isNotNull(), rt["entities"]).otherwise(F.col("entities"))
     names = lambda field, of: F.coalesce(F.array_sort(F.array_distinct(F.transform(entities[field], lambda e: e[of]))), F.array().cast("array<string>"))
+    media = lambda of: F.coalesce(F.array_sort(F.array_distinct(F.transform(F.col("extended_entities.media"), lambda e: e[of]))), F.array().cast("array<string>"))
     out = rows.select(
         F.col("id_str").alias("id"), scalars.tweet_time(F.col("created_at")).alias("created_at"), content.alias("text"), F.coalesce("truncated", F.lit(False)).alias("truncated"), F.col("lang").alias("language"), "source", kind.alias("type"),
         F.col("user.id_str").alias("user_id"), F.col("user.screen_name").alias("user_screen_name"), F.col("user.name").alias("user_name"), F.col("user.followers_count").alias("user_followers_count"), F.col("user.verified").alias("user_verified"),
+        *[F.col(f"user.{c}").alias(f"user_{c}") for c in ("location", "description", "friends_count", "listed_count", "favourites_count")], F.col("user.lang").alias("user_language"), rt["user"]["id_str"].alias("retweet_user_id"),
+        F.col("quoted_status.user.id_str").alias("quoted_user_id"), F.col("quoted_status.user.screen_name").alias("quoted_screen_name"), F.col("place.id").alias("place_id"), F.col("place.place_type").alias("place_type"), media("media_url").alias("media_urls"), media("type").alias("media_types"),
         F.col("in_reply_to_user_id_str").alias("in_reply_to_user_id"), F.col("in_reply_to_screen_name"), rt["id_str"].alias("retweet_id"), rt["user"]["screen_name"].alias("retweet_screen_name"), F.col("quoted_status.id_str").alias("quoted_id"),
         F.coalesce("retweet_count", F.lit(0)).alias("retweet_count"), F.coalesce("favorite_count", F.lit(0)).alias("favorite_count"), scalars.yes_no_unknown(F.col("possibly_sensitive")).alias("possibly_sensitive"),
         F.col("place.full_name").alias("place_full_name"), F.col("place.country").alias("country"), F.when(F.col("place.bounding_box.coordinates").isNotNull(), scalars.centroid(F.col("place.bounding_box.coordinates")[0])).alias("coordinates"),
@@ -137,19 +141,26 @@ def authority_rows(records: DataFrame) -> DataFrame:
 
 
 def kwic_rows(docs: DataFrame, words: DataFrame, key: str, text: str, pattern: str, width: int = 120) -> DataFrame:
-    """Concordance of words: hits (key, word) come from a join of tokens, contexts from the text around them."""
-    from quillstream.functions.text import letter_tokens
-
-    hits = docs.where(F.col(text).rlike(pattern)).select(key, text, F.explode(F.array_distinct(letter_tokens(F.col(text)))).alias("word")).join(words.select("word").distinct(), "word")
-    flat = F.regexp_replace(text, "\n", " ")
-    at = hits.select(key, "word", flat.alias("_t"), F.posexplode(F.split(flat, F.concat(F.lit(r"(?i)(?<!\w)(?="), "word", F.lit(r"(?!\w))")))).alias("hit", "piece"))
-    order = Window.partitionBy(key, "word").orderBy("hit")
-    offset = F.coalesce(F.sum(F.length("piece")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = at.withColumn("offset", offset).where(F.lower(F.substring("_t", F.col("offset") + 1, F.length("word"))) == F.col("word"))
-    start = F.greatest(F.col("offset") - width, F.lit(0))
-    before = F.substring("_t", start + 1, F.col("offset") - start)
-    after = F.substring("_t", F.col("offset") + F.length("word") + 1, F.lit(width))
-    return placed.select(key, "word", "offset", F.when(start > 0, F.regexp_replace(before, "^[^ ]* ", "")).otherwise(before).alias("before"), F.when(F.length(after) == width, F.regexp_replace(after, " [^ ]*$", "")).otherwise(after).alias("after"))
+    """Concordance of words (key, word): hits come from a join of distinct tokens, contexts from the text around them.
+
+    Only ids and words are joined; each text meets the list of its words once, and a hit's place follows from the
+    lengths before it within the row, so texts are neither copied for each word nor shuffled for each hit.
+    """
+    from quillstream.functions.text import letter_tokens, piece_begins
+
+    known = words.select("word").distinct()
+    found = docs.where(F.col(text).rlike(pattern))
+    hits = found.select(key, F.explode(F.array_distinct(letter_tokens(F.col(text)))).alias("word")).join(known, "word").groupBy(key).agg(F.array_sort(F.collect_set("word")).alias("_words"))
+    each = found.select(key, F.regexp_replace(text, "\n", " ").alias("_t")).join(hits, key)
+    at = lambda word: F.concat(F.lit(r"(?i)(?<!\w)"), word, F.lit(r"(?!\w)"))
+    places = F.transform("_words", lambda w: F.struct(w.alias("word"), F.slice(piece_begins(F.split("_t", at(w)), F.regexp_extract_all("_t", at(w), F.lit(0))), F.lit(1), F.size(F.regexp_extract_all("_t", at(w), F.lit(0)))).alias("begins")))
+    context = lambda word, begin: F.struct(
+        word.alias("word"), begin.alias("offset"), F.substring("_t", F.greatest(begin - width, F.lit(0)) + 1, F.least(begin, F.lit(width))).alias("before"), F.substring("_t", begin + F.length(word) + 1, F.lit(width)).alias("after")
+    )
+    listed = F.flatten(F.transform(places, lambda p: F.transform(p["begins"], lambda b: context(p["word"], b))))
+    rows = each.select(key, F.explode(listed).alias("k")).select(key, "k.*")
+    before, after = F.col("before"), F.col("after")
+    return rows.select(key, "word", "offset", F.when(F.col("offset") > width, F.regexp_replace(before, "^[^ ]* ", "")).otherwise(before).alias("before"), F.when(F.length(after) == width, F.regexp_replace(after, " [^ ]*$", "")).otherwise(after).alias("after"))
 
 
 def ocr_correlations(pages: DataFrame) -> DataFrame:
@@ -175,9 +186,3 @@ def xml_words(events: DataFrame, ignored: str = "foreign") -> DataFrame:
     order = Window.partitionBy("path").orderBy("event_no").rowsBetween(Window.unboundedPreceding, 0)
     step = F.when((F.col("name") == ignored) & (F.col("kind") == "start"), 1).when((F.col("name") == ignored) & (F.col("kind") == "end"), -1).otherwise(0)
     return events.withColumn("_depth", F.sum(step).over(order)).where((F.col("kind") == "text") & (F.col("_depth") == 0)).select("path", "event_no", "text")
-
-
-def sort_key(level: str) -> list[Column]:
-    """The clustered order of a level's table."""
-    chain = {"document": ["document_id"], "part": ["document_id", "part"], "section": ["document_id", "part", "section"], "paragraph": ["document_id", "part", "paragraph"], "sentence": ["document_id", "part", "paragraph", "sentence"]}
-    return [F.col(c) for c in chain[level]]

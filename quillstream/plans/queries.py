@@ -2,40 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
 from quillstream.operators import aggregates, geometry, joins, levels, tagging, topics
+from quillstream.plans import media
+from quillstream.plans.registry import ORACLE_SQL, QUERIES, SQL_LINES, SQL_SPANS, query, table
 from quillstream.streaming import events as event_windows
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
 #: The default analyzer's tokens in DuckDB.
 SQL_TOKENS = r"list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '-\s+(\S)', '\1', 'g'), '\s+'), lambda t: lower(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')))"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query, with the SQL that gives the same rows."""
-
-    def put(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def tokens(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, pos, term of the tokens that aren't empty."""
     return docs.select(key, F.explode(text.postings(text.default_analyzer(F.col("text")))).alias("p")).select(key, "p.pos", "p.term")
@@ -52,10 +32,6 @@ def doc_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", t.alias("t")).select("doc_id", "lang", text.n_terms(F.col("t")).alias("n_terms"), text.n_tokens(F.col("t")).alias("n_tokens"))
 
 
-SQL_LINES = "(SELECT doc_id, CAST(l.i - 1 AS INT) AS line_no, l.line AS line FROM (SELECT doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {'i': i, 'line': x})) AS l FROM documents))"
-SQL_SPANS = f"(SELECT *, start_offset + n_chars AS end_offset FROM (SELECT doc_id, line_no, length(line) AS n_chars, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset FROM {SQL_LINES}))"
-
-
 @query(f"SELECT doc_id, line_no, n_chars, start_offset, end_offset FROM {SQL_SPANS}")
 def doc_lines_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return levels.line_spans(table(spark, sf_dir, "documents"))
@@ -140,21 +116,25 @@ def line_keyword_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_WORDS = "list_filter(list_transform(string_split(text, ' '), lambda t: regexp_replace(t, '[^a-zA-Z0-9_]', '', 'g')), lambda t: t <> '')"
 
 
-@query(f"""WITH a AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({SQL_WORDS}) AS word FROM documents) GROUP BY ALL), b AS (SELECT item_id, word, count(*) AS m FROM (SELECT item_id, unnest({SQL_WORDS}) AS word FROM benchmark) GROUP BY ALL),
-  p AS (SELECT doc_id, doc_id % 40 AS item_id FROM documents)
+SQL_SHARED = f"(SELECT DISTINCT doc_id, item_id FROM {SQL_LINES} l JOIN (SELECT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark) b USING (line) WHERE line <> '')"
+
+
+@query(f"""WITH a AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({SQL_WORDS}) AS word FROM documents) GROUP BY ALL), b AS (SELECT item_id, word, count(*) AS m FROM (SELECT item_id, unnest({SQL_WORDS}) AS word FROM benchmark) GROUP BY ALL)
   SELECT doc_id, item_id, CAST(sum(least(n, coalesce(m, 0))) AS BIGINT) AS matched, CAST(sum(n) AS BIGINT) AS total, CAST(100 * sum(least(n, coalesce(m, 0))) // sum(n) AS BIGINT) AS rate
-  FROM p JOIN a USING (doc_id) LEFT JOIN b USING (item_id, word) GROUP BY doc_id, item_id""")
+  FROM {SQL_SHARED} p JOIN a USING (doc_id) LEFT JOIN b USING (item_id, word) GROUP BY doc_id, item_id""")
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and items that share a line, compared by their words."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    known = levels.lines(items, "item_id").where("line != ''").select("item_id", "line").distinct()
+    pairs = levels.lines(docs).where("line != ''").join(known, "line").select("doc_id", "item_id").distinct()
     words = lambda d, k: d.select(k, F.explode(text.word_characters(F.col("text"))).alias("word"))
-    found = joins.bag_overlap(docs.select("doc_id", (F.col("doc_id") % 40).alias("item_id")), words(docs, "doc_id"), words(items, "item_id"), "doc_id", "item_id")
-    return found.withColumn("rate", F.expr("100 * matched div total"))
+    return joins.bag_overlap(pairs, words(docs, "doc_id"), words(items, "item_id"), "doc_id", "item_id").withColumn("rate", F.expr("100 * matched div total"))
 
 
-@query(f"""SELECT l.doc_id, l.line_no, count(*) AS items, min(b.item_id) AS first_item FROM {SQL_LINES} l JOIN (SELECT DISTINCT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark) b USING (line) WHERE length(l.line) >= 20 GROUP BY l.doc_id, l.line_no""")
+@query(f"""SELECT l.doc_id, l.line_no, count(*) AS items, min(b.item_id) AS first_item FROM {SQL_LINES} l JOIN (SELECT DISTINCT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark) b USING (line) WHERE l.line <> '' GROUP BY l.doc_id, l.line_no""")
 def benchmark_passage_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.split("text", "\n")).alias("line")).distinct()
-    lines = levels.lines(table(spark, sf_dir, "documents")).where(F.length("line") >= 20)
+    known = levels.lines(table(spark, sf_dir, "benchmark"), "item_id").select("item_id", "line").distinct()
+    lines = levels.lines(table(spark, sf_dir, "documents")).where("line != ''")
     return lines.join(known, "line").groupBy("doc_id", "line_no").agg(F.count(F.lit(1)).alias("items"), F.min("item_id").alias("first_item"))
 
 
@@ -166,13 +146,13 @@ def kwic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(text.kwic(F.col("text"), "that")).alias("k")).select("doc_id", "k.*")
 
 
-SQL_FRAGMENTS = f"(SELECT doc_id, 'f' || CAST(line_no AS VARCHAR) AS fragment, start_offset AS s, start_offset + 400 AS e FROM {SQL_SPANS} WHERE line_no % 3 = 0)"
+SQL_FRAGMENTS = f"(SELECT doc_id, 'f' || CAST(line_no AS VARCHAR) AS fragment, start_offset AS s, start_offset + 400 AS e FROM {SQL_SPANS})"
 
 
 @query(f"""SELECT u.doc_id, u.line_no, count(f.fragment) AS reuses, coalesce(string_agg(f.fragment, ',' ORDER BY f.fragment), '') AS reuse_ids FROM {SQL_SPANS} u LEFT JOIN {SQL_FRAGMENTS} f ON u.doc_id = f.doc_id AND u.start_offset < f.e AND f.s < u.end_offset GROUP BY u.doc_id, u.line_no""")
 def reuse_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = levels.line_spans(table(spark, sf_dir, "documents")).select("doc_id", "line_no", F.col("start_offset").alias("start"), F.col("end_offset").alias("end"))
-    fragments = units.where("line_no % 3 = 0").select("doc_id", F.concat(F.lit("f"), F.col("line_no").cast("string")).alias("fragment"), "start", (F.col("start") + 400).alias("end"))
+    fragments = units.select("doc_id", F.concat(F.lit("f"), F.col("line_no").cast("string")).alias("fragment"), "start", (F.col("start") + 400).alias("end"))
     found = joins.overlap_counts(units, fragments, ["doc_id"], ["line_no"], "fragment", bin_size=2000)
     return found.select("doc_id", "line_no", F.col("reuses").cast("long").alias("reuses"), F.array_join("reuse_ids", ",").alias("reuse_ids"))
 
@@ -341,10 +321,22 @@ def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", py.html_markdown("html").alias("text"))
 
 
-@query("""SELECT conv_id, turn, role, CAST(first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'system' AS BOOLEAN) AS prompted, regexp_extract(text, '^\\s*(\\S+)', 1) = '-' AS in_quote FROM conversations""")
+@query("""SELECT conv_id, turn, CAST(i - 1 AS INT) AS at, word, first_value(word) OVER (PARTITION BY conv_id, turn ORDER BY i) = '-' AS in_quote FROM (SELECT conv_id, turn, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM
+  (SELECT conv_id, turn, string_split(text, ' ') AS ws FROM conversations))""")
 def quote_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", (F.first("role").over(w) == "system").alias("prompted"), (F.regexp_extract("text", r"^\s*(\S+)", 1) == "-").alias("in_quote"))
+    words = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("at", "word"))
+    return media.quoted_words(words, ["conv_id", "turn"])
+
+
+SQL_RAW = r"'(?:[^ \t\n\x0B\f\r]*-[ \t\n\x0B\f\r]+)*[^ \t\n\x0B\f\r]+'"
+
+
+@query(rf"""WITH s AS (SELECT doc_id, regexp_extract_all(text, {SQL_RAW}) AS hits, string_split_regex(text, {SQL_RAW}) AS gaps FROM documents), h AS (SELECT doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM s),
+  p AS (SELECT doc_id, CAST(i - 1 AS INT) AS pos, lower(regexp_replace(regexp_replace(hits[i], '-[ \t\n\x0B\f\r]+', '', 'g'), '^[[:punct:]]+|[[:punct:]]+$', '', 'g')) AS term, length(hits[i]) AS n,
+    CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS INT) AS start FROM h)
+  SELECT doc_id, pos, term, start, CAST(start + n AS INT) AS "end" FROM p WHERE term <> ''""")
+def offset_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(text.offset_postings(F.col("text"))).alias("p")).select("doc_id", "p.*")
 
 
 @query(f"""SELECT doc_id, page, coalesce(lag(last_line) OVER (PARTITION BY doc_id ORDER BY page), '') || chr(10) || body AS haystack FROM (SELECT doc_id, CAST(line_no // 5 AS BIGINT) AS page, string_agg(line, chr(10) ORDER BY line_no) AS body, arg_max(line, line_no) AS last_line FROM {SQL_LINES} GROUP BY ALL)""")
@@ -359,7 +351,7 @@ def argmin_edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = lines.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("page"))
     noisy = lines.where(F.length("line") > 0).withColumn("noisy", F.translate("line", "eai", "c0l"))
     found = joins.align_rows(noisy, page, ["key"], "noisy", "page")
-    return found.select("key", "line_no", "cost", "start", "length", "aligned")
+    return found.select("key", "line_no", "cost", "start", "length", "aligned", "cut_start", "cut_end")
 
 
 @query("""WITH m(lang, word) AS (VALUES ('en','the'),('en','and'),('en','of'),('fr','le'),('fr','de'),('fr','et'),('de','der'),('de','die'),('de','und'),('es','la'),('es','el'),('es','que')),
@@ -373,9 +365,18 @@ def lang_score_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.best_language(scores, "doc_id").withColumn("score", F.round("score", 6))
 
 
+def turn_topics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return topics.topic_model(table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text"), "key", "text", topics=8)
+
+
 @query()
 def lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.topic_model(table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text"), "key", "text", topics=8, iterations=5, vocabulary=5000)[0]
+    return turn_topics(spark, sf_dir)[0]
+
+
+@query()
+def lda_document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_topics(spark, sf_dir)[1]
 
 
 @query()
@@ -422,11 +423,9 @@ def page_sub_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.page_runs(rows, "user_id", "at", "event_type").select("user_id", "event_id", "event_type", "sub_page")
 
 
-@query("""SELECT source, CAST(count(*) AS BIGINT) AS units, CAST(max(length(text)) AS INT) AS longest, md5(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS members FROM documents GROUP BY source""")
+@query("SELECT conv_id, string_agg(text, '/' ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
 def roll_up_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.length("text").alias("n"))
-    members = F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",")
-    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("units"), F.max("n").alias("longest"), F.md5(members).alias("members"))
+    return levels.roll_up(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", "/")
 
 
 @query("""SELECT DISTINCT doc_id, regexp_extract(text, '(?i)([a-z]*able)', 1) AS hit FROM documents WHERE regexp_matches(text, '(?i)[a-z]*able') AND n_chars >= 500""")
@@ -451,9 +450,10 @@ def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def tagged_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", r"^(\S+ \S+)", 1).alias("name"), F.lit("ORG").alias("kind")).unionByName(table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", r"(\w{6,})", 1).alias("name"), F.lit("LOC").alias("kind"))).where("name != ''").distinct()
-    tagged = tagging.tag_names(table(spark, sf_dir, "benchmark"), names.dropDuplicates(["name"]), "item_id", "text", longest=2)
-    return tagged
+    """Documents tagged with the benchmark's first words and first long words."""
+    first = lambda pattern, kind: table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", pattern, 1).alias("name"), F.lit(kind).alias("kind"))
+    names = first(r"^(\S+ \S+)", "ORG").unionByName(first(r"(\w{6,})", "LOC")).where("name != ''").groupBy("name").agg(F.min("kind").alias("kind"))
+    return tagging.tag_names(table(spark, sf_dir, "documents"), names, "doc_id", "text", longest=2)
 
 
 @query("""SELECT doc_id, '<doc/' || CAST(doc_id AS VARCHAR) || '> <lang> "' || lang || '" .' AS value FROM documents UNION ALL SELECT doc_id, '<doc/' || CAST(doc_id AS VARCHAR) || '> <chars> "' || CAST(n_chars AS VARCHAR) || '" .' FROM documents""")
@@ -467,7 +467,7 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, source, lang, CAST(row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS INT) AS ordinal FROM documents")
 def typed_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.row_number().over(Window.partitionBy("source", "lang").orderBy("doc_id")).alias("ordinal"))
+    return levels.ordinals(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), ["source", "lang"], "doc_id", "ordinal")
 
 
 @query("SELECT l_returnflag, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, CAST(sum(CAST(round(l_discount * 100) AS INT)) // count(*) AS BIGINT) AS confidence FROM lineitem GROUP BY ALL")
@@ -476,11 +476,6 @@ def integer_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("l_returnflag", "l_shipdate").agg(F.expr("coalesce(sum(c), 0) div count(1)").alias("confidence"))
 
 
-@query("SELECT substr(p_name, 1, 1) AS c1, substr(p_name, 2, 1) AS c2, count(*) AS n, min(p_name) AS first_name FROM part GROUP BY ALL")
-def first_letter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").groupBy(F.substring("p_name", 1, 1).alias("c1"), F.substring("p_name", 2, 1).alias("c2")).agg(F.count(F.lit(1)).alias("n"), F.min("p_name").alias("first_name"))
-
-
 @query(f"SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS documents FROM {SQL_TERMS} WHERE term LIKE 'l%' GROUP BY term")
 def term_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = tokens(table(spark, sf_dir, "documents")).where(F.startswith("term", F.lit("l"))).groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
@@ -512,3 +507,6 @@ def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the range is on the column itself, so that it reaches the scan
     rows = table(spark, sf_dir, "events").where((F.col("ts") >= "2024-01-05") & (F.col("ts") < "2024-01-21"))
     return rows.groupBy("event_type", scalars.iso_date_number(F.date_format("ts", "yyyy-MM-dd")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+from quillstream.plans import format_queries  # noqa: E402, F401  registers its own

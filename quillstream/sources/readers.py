@@ -52,6 +52,8 @@ def read_csv(spark: SparkSession, path: str, schema: str, header: bool = False,
         spark.read.schema(full).option("header", header).option("sep", sep).option("escape", escape if escape else "\x00").option("multiLine", "true")
         .option("mode", "PERMISSIVE" if quarantine else "FAILFAST").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
     )
+    # a row is judged by all of its columns, also where only some are asked for: this reads them all and is always true
+    rows = rows.where(F.length(F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in fields])) >= 0)
     return rows.where(F.col("_corrupt").isNull()).drop("_corrupt"), rows.where(F.col("_corrupt").isNotNull())
 
 
@@ -88,16 +90,25 @@ def split_outside(schema: str) -> list[str]:
     return [*parts, now]
 
 
-def read_reuse_clusters(spark: SparkSession, path: str) -> DataFrame:
-    """cluster, doc_id, start, end, text of {"cluster_…": {"hits" or "Hits": [...]}} files."""
+def reuse_hits(objects: DataFrame) -> DataFrame:
+    """cluster, path, start, end, text of {"cluster_…": {"hits" or "Hits": [...]}} objects (value); either name, without a look into the texts."""
     hit = "array<struct<doc_id:string,original_indices:array<int>,encoded_indices:array<int>,text:string>>"
-    whole = spark.read.text(path, wholetext=True)
-    named = F.regexp_replace("value", r'"Hits"\s*:', '"hits":')
-    entries = whole.select(F.explode(F.from_json(named, f"map<string,struct<hits:{hit}>>")).alias("cluster", "found"))
-    hits = entries.select("cluster", F.explode("found.hits").alias("h"))
+    entries = objects.select(F.explode(F.from_json("value", "map<string,string>")).alias("cluster", "body"))
+    found = lambda name: F.from_json("body", f"struct<{name}:{hit}>")[name]
+    hits = entries.select("cluster", F.explode(F.coalesce(found("hits"), found("Hits"))).alias("h"))
     return hits.select(F.regexp_replace("cluster", "^cluster_", "").alias("cluster"), F.col("h.doc_id").alias("path"), F.get("h.original_indices", F.lit(0)).alias("start"), F.get("h.original_indices", F.lit(1)).alias("end"), "h.text")
 
 
+def read_reuse_clusters(spark: SparkSession, path: str) -> DataFrame:
+    """Hits of files that are one object each."""
+    return reuse_hits(spark.read.text(path, wholetext=True))
+
+
+def read_reuse_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Hits of files with an object on each line, which can be split among tasks."""
+    return reuse_hits(spark.read.text(path))
+
+
 def read_xml_events(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """path, event_no, kind, name, attributes, text, error of XML files with mixed content; a file that fails is one row with its error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstream.functions.scalars import attributes_text, escape_xml
+
 
 def write_level(rows: DataFrame, path: str, order: list[str], append: bool = False, partitions: int | None = None) -> None:
     """A level's table, clustered by `order`: range partitions, sorted within."""
@@ -12,9 +14,9 @@ def write_level(rows: DataFrame, path: str, order: list[str], append: bool = Fal
     dealt.sortWithinPartitions(*order).write.mode("append" if append else "overwrite").parquet(path)
 
 
-def compact(path: str, to: str, order: list[str], rows: DataFrame, files: int) -> None:
-    """A level's table rewritten as few files, in order."""
-    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(to)
+def compact(spark: SparkSession, path: str, to: str, order: list[str], files: int) -> None:
+    """The level's table at `path` rewritten as few files, in order, at `to`."""
+    spark.read.parquet(path).repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(to)
 
 
 def write_bucketed(rows: DataFrame, table: str, key: str, order: str, buckets: int) -> None:
@@ -58,10 +60,24 @@ def write_by_first_letters(rows: DataFrame, path: str, key: str) -> None:
     letters.write.mode("overwrite").partitionBy("c1", "c2").parquet(path)
 
 
-def html_report(rows: DataFrame, title: str, heading: str, line: str) -> DataFrame:
-    """One HTML page for each heading: its lines as a list, in order."""
-    listed = F.array_join(F.transform(F.array_sort(F.collect_set(line)), lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), "")
-    return rows.groupBy(heading).agg(F.concat(F.lit(f"<html><head><title>{title}</title></head><body><h1>"), F.first(heading), F.lit("</h1><ul>"), listed, F.lit("</ul></body></html>")).alias("page"))
+def html_report(rows: DataFrame, title: str, heading: str, line: str, orphans: DataFrame | None = None) -> DataFrame:
+    """One HTML page for each heading: its lines as a list, in order, and escaped. orphans (heading, line): lines that no heading has claimed, on their heading's page in a list of their own."""
+    items = lambda c: F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: F.concat(F.lit("<li>"), escape_xml(x), F.lit("</li>"))), "")
+    pages = rows.groupBy(heading).agg(items(line).alias("_listed"))
+    if orphans is not None:
+        pages = pages.join(orphans.groupBy(heading).agg(items(line).alias("_orphans")), heading, "full")
+    else:
+        pages = pages.withColumn("_orphans", F.lit(None).cast("string"))
+    head = escape_xml(F.col(heading))
+    first = F.concat(F.lit("<html><head><title>"), escape_xml(F.lit(title)), F.lit("</title></head><body><h1>"), head, F.lit("</h1><ul>"), F.coalesce("_listed", F.lit("")), F.lit("</ul>"))
+    second = F.when(F.col("_orphans").isNotNull(), F.concat(F.lit("<h2>Without a place</h2><ul>"), "_orphans", F.lit("</ul>"))).otherwise("")
+    return pages.select(heading, F.concat(first, second, F.lit("</body></html>")).alias("page"))
+
+
+def metadata_xml(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """key, value: one element a unit with its metadata as attributes, <unit k='v' …/>; empty and missing values are left out."""
+    entries = F.map_from_entries(F.array_compact(F.array(*[F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) != "", F.struct(F.lit(f), F.replace(escape_xml(F.col(f).cast("string")), F.lit("'"), F.lit("&#39;")))) for f in fields])))
+    return rows.select(key, F.concat(F.lit("<unit"), attributes_text(entries), F.lit("/>")).alias("value"))
 
 
 def tagged_tokens(rows: DataFrame, path: str, token: str, tag: str) -> None:

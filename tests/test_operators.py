@@ -150,3 +150,51 @@ def test_streams_equal_batches(spark, tmp_path):
         q.stop()
         if name == "t":
             assert sorted(spark.table("q_t").collect()) == sorted(plan(events).collect())
+
+
+def test_link_titles(spark):
+    titles = [("New York", "/ny"), ("York", "/y"), ("New York City", "/nyc"), ("a.b", "/ab"), ("York", "/other")]
+    text = "New York City, New York, York, a.b axb"
+    got = spark.createDataFrame([(text,), ("none",), ("York",)], "t string").select(joins.link_titles(F.col("t"), titles).alias("x")).collect()
+    assert [r.x for r in got] == ['<a href="/nyc">New York City</a>, <a href="/ny">New York</a>, <a href="/y">York</a>, <a href="/ab">a.b</a> axb', "none", '<a href="/y">York</a>']
+    assert spark.createDataFrame([("x",)], "t string").select(joins.link_titles(F.col("t"), []).alias("x")).first().x == "x"
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 3000])
+def test_global_numbers(spark, monkeypatch, n):
+    monkeypatch.setattr(levels, "RANGES", 16)
+    keys = [f"k{i:05d}" for i in range(n)]
+    rows = spark.createDataFrame([(k,) for k in keys + keys[:3]] + [(None,)], "k string").repartition(5)
+    assert {r.k: r.n for r in levels.global_numbers(rows, "k", "n").collect()} == {k: i for i, k in enumerate(keys)}
+
+
+def test_ordinals(spark):
+    rows = [("a", 5), ("a", 1), ("b", 9), ("a", 7), ("b", 2)]
+    got = levels.ordinals(spark.createDataFrame(rows, "g string, v int"), ["g"], "v", "n").collect()
+    assert {(r.g, r.v): r.n for r in got} == {("a", 1): 1, ("a", 5): 2, ("a", 7): 3, ("b", 2): 1, ("b", 9): 2}
+
+
+def test_fallback(spark):
+    facts = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    table = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    found, missing = joins.with_fallback(facts, "k", table((1, "a")), table((1, "b"), (2, "c")), "v")
+    assert sorted(found.collect()) == [(1, "a", 1), (2, "c", 2)] and missing.collect() == [(3,)]
+
+
+def test_csv_judges_rows_by_all_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,2\n2,x\n")
+    good, bad = readers.read_csv(spark, str(tmp_path / "a.csv"), "k int, v int")
+    assert good.select("k").collect() == [(1,)] and bad.select("k").collect() == [(2,)] and good.count() == bad.count() == 1
+
+
+def test_more_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "b"), (1, "a"), (3, "a")], "id int, t string")
+    sinks.write_level(rows, str(tmp_path / "level"), ["id"], partitions=3)
+    sinks.compact(spark, str(tmp_path / "level"), str(tmp_path / "few"), ["id"], 1)
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "few")).collect()] == [1, 2, 3] and len(list((tmp_path / "few").glob("*.parquet"))) == 1
+    page = sinks.html_report(rows.withColumn("line", F.lit("x < y")), "T & U", "t", "line", rows.where("id = 3").select("t", F.lit("lone").alias("line"))).orderBy("t").first().page
+    assert page == "<html><head><title>T &amp; U</title></head><body><h1>a</h1><ul><li>x &lt; y</li></ul><h2>Without a place</h2><ul><li>lone</li></ul></body></html>"
+    assert sinks.metadata_xml(rows.where("id = 2").withColumn("q", F.lit("it's")), "id", ["t", "q"]).first().value == "<unit q='it&#39;s' t='b'/>"
+    files = readers.list_files(spark, str(tmp_path), pattern="*.parquet")
+    assert readers.total_bytes(spark, str(tmp_path)).first().bytes >= files.agg(F.sum("size")).first()[0] > 0
+    assert spark.createDataFrame([("/x/ab_12.xml",)], "p string").select(readers.file_group(F.col("p"), r"^([a-z]+)_").alias("g")).first().g == "ab"

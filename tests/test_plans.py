@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillstream.plans import books, media, scans
@@ -29,7 +30,16 @@ def test_bibliographic(spark):
     meta = spark.createDataFrame([("T0001", "1720", "NA", "English", "TRUE", "FALSE", "a; b", "0")], "estc_id string, publication_year string, latitude string, language string, `language.Latin` string, `language.Greek` string, publication_topic string, obl string")
     got = {r.estc_id: r for r in books.bibliographic(level, meta).collect()}
     assert (got["T001"].publication_year, got["T001"].latitude, got["T001"].estc_language, got["T001"].publication_topic, got["T001"].obl) == (1720, 0.0, ["English", "Latin"], ["a", "b"], "FALSE")
-    assert got["N9"].publication_year is None
+    assert (got["N9"].publication_year, got["N9"].latitude, got["N9"].obl, got["N9"].estc_language) == (0, 0.0, "", [])
+
+
+def test_bibliographic_kinds(spark):
+    level = spark.createDataFrame([("T1",)], "estc_id string")
+    meta = lambda pages, born: spark.createDataFrame([("T1", pages, "12", born, "x; y", "1.5")], "estc_id string, pagecount string, `pagecount.orig` string, author_birth string, subject string, obl_area string")
+    row = books.bibliographic(level, meta("12.5", "1700")).first()
+    assert (row.pagecount, row.pagecount_orig, row.author_birth, row.subject, row.obl_area) == (12.5, 12, 1700, ["x", "y"], "1.5")
+    with pytest.raises(Exception, match="author_birth isn't a number"):
+        books.bibliographic(level, meta("1", "about 1700")).collect()
 
 
 def test_reuse(spark):
@@ -123,25 +133,103 @@ def test_ocr_xml(spark):
     assert got["headings"].first().heading == "## Index"
 
 
+def tei(body, **options):
+    return scans.tei_text(f'<?xml version="1.0" encoding="utf-8"?><ETS>{body}</ETS>'.encode(), **options)
+
+
 def test_tei():
     got = scans.tei_text(b'<TEI><DIV1><HEAD>Title</HEAD><P>One <HI>two</HI><NOTE>aside</NOTE> th|ree<PB REF="5"/> four</P><DIV2><HEAD>Sub</HEAD><P><GAP DISP="[..]"/>end</P></DIV2></DIV1></TEI>')
     assert got["text"] == "# Title\n\nOne *two* three four\n\n## Sub\n\n[..]end"
     assert [e["text"] for e in got["extracts"]] == ["aside"] and got["pages"][0]["page"] == "5" and got["gaps"][0]["text"] == "[..]"
 
 
+@pytest.mark.parametrize("name", sorted(scans.PASSED_THROUGH))
+def test_tei_passed_through(name):
+    assert tei(f"<P>a <{name}>b</{name}> c</P>")["text"] == "a b c"
+
+
+@pytest.mark.parametrize("name", sorted(scans.PARAGRAPHS - {"TEXT", "ARGUMENT"}))
+def test_tei_paragraphs(name):
+    assert tei(f"a<{name}>b</{name}>c")["text"] == "a\n\nb\n\nc"
+
+
+@pytest.mark.parametrize("name", sorted(scans.LINES))
+def test_tei_lines(name):
+    assert tei(f"a<{name}>b</{name}>c")["text"] == "a\nb\nc"
+
+
+@pytest.mark.parametrize("name", sorted(scans.NOTES))
+def test_tei_notes(name):
+    got = tei(f"<P>a<{name}>b</{name}>c</P>")
+    assert got["text"] == "ac" and [(e["kind"], e["offset"], e["text"]) for e in got["extracts"]] == [(name.lower(), 1, "b")]
+    assert tei(f"<P>a<{name}>b</{name}>c</P>", inline_notes=True)["text"] == "abc"
+
+
+def test_tei_structure():
+    assert tei("<DIV1><ARGUMENT>about</ARGUMENT><LABEL>L</LABEL>x<LIST><LABEL>l</LABEL><ITEM>i</ITEM></LIST></DIV1>")["text"] == "## about\n\n## L\n\nxl\n * i"
+    assert tei("<TABLE><ROW><CELL>a\n</CELL><CELL>b</CELL></ROW></TABLE>")["text"] == "| a | b |"
+    assert tei("<TABLE><ROW><CELL>a</CELL><CELL>b</CELL></ROW></TABLE>", structure=False)["text"] == "a b"
+    assert tei("<FIGURE><FIGDESC>map</FIGDESC></FIGURE>x<HI>y</HI>")["text"] == "〈 image: map 〉\n\nx*y*"
+    core = tei("x<FIGURE><FIGDESC>map</FIGDESC></FIGURE><HI>y</HI><GAP/>z", core=True, emphases=False)
+    assert core["text"] == "x\n\nyz" and core["extracts"][0]["kind"] == "image" and core["gaps"][0]["text"] == "〈?〉"
+    assert tei("so|ft and f\u2223ar", rehyphenate=True)["text"] == "so-\nft and f-\nar"
+    assert tei("<!-- unknown entity apos; -->x<!-- unknown entity abque; -->")["text"] == "'x〈abque〉"
+
+
+def test_tei_parts_and_pages():
+    got = tei('<TEXT><FRONT><P>f</P></FRONT><PB REF="2"/><BODY><P>b</P><PB REF="3"/><P>c</P><PB REF="3"/><P>d</P></BODY></TEXT>')
+    assert {p["part"]: p["text"] for p in got["parts"]} == {"1_text": "f\n\nb\n\nc\n\nd", "1_text_1_front": "f", "1_text_2_body": "b\n\nc\n\nd"}
+    assert [(p["page"], p["text"]) for p in got["page_texts"]] == [("0", "f"), ("2", "b"), ("3", "c"), ("3", "d")] and got["page_texts"][3]["sub_page"] == 2
+    assert [p["page"] for p in got["pages"]] == ["2", "3"]
+
+
+ALTO = b"""<alto><Styles><TextStyle ID="s0" FONTFAMILY="A" FONTSIZE="8" FONTSTYLE="bold italics"/><TextStyle ID="s1" FONTFAMILY="B" FONTSIZE="9"/><TextStyle ID="s2" FONTFAMILY="C" FONTSIZE="7"/></Styles>
+<preProcessingStep><softwareName>pre</softwareName></preProcessingStep><ocrProcessingStep><softwareName>ocr</softwareName><softwareVersion>1.2</softwareVersion></ocrProcessingStep><bindingIdentifier>77</bindingIdentifier><identifier>1234-5678</identifier>
+<Page WIDTH="100" HEIGHT="200"><PrintSpace WIDTH="90" HEIGHT="180"/>
+<ComposedBlock ID="C" HPOS="0" VPOS="0" WIDTH="9" HEIGHT="9"><TextBlock ID="A" HPOS="0" VPOS="0" WIDTH="40" HEIGHT="10" STYLEREFS="x s0"><TextLine WIDTH="20" HEIGHT="5" STYLEREFS="s1"><String CONTENT="ex-" WIDTH="2" HEIGHT="3" STYLEREFS="s2" SUBS_TYPE="HypPart1" SUBS_CONTENT="example"/></TextLine>
+<TextLine><String CONTENT="ample" SUBS_TYPE="HypPart2" WIDTH="5" HEIGHT="2"/><String CONTENT="text" WIDTH="4" HEIGHT="2" STYLEREFS="s1"/></TextLine></TextBlock></ComposedBlock><TextBlock ID="B" HPOS="50" VPOS="5" WIDTH="40" HEIGHT="10"><TextLine><String CONTENT="lone"/></TextLine></TextBlock></Page></alto>"""
+METS = b"""<mets><dmdSec ID="MODSMD_ISSUE1"><identifier type="ISSN">1234</identifier><identifier type="binding">77</identifier><dateIssued>1900-01-02</dateIssued></dmdSec>
+<amdSec ID="IMGPARAM00001"><PixelSize>0.5</PixelSize><ImageWidth>100</ImageWidth><ImageLength>200</ImageLength></amdSec>
+<structMap TYPE="PHYSICAL"><div TYPE="Newspaper"><div TYPE="PAGE"><fptr><par><area FILEID="IMG00001"/><area FILEID="ALTO00001"/></par></fptr></div></div></structMap>
+<structMap TYPE="LOGICAL"><div TYPE="Issue"><div TYPE="Article"><area FILEID="ALTO00001"/><area FILEID="ALTO00001"/></div><div TYPE="Ad"><area FILEID="ALTO00002"/></div></div></structMap></mets>"""
+
+
 def test_alto(spark):
-    alto = b'<alto><Page><ComposedBlock ID="C" HPOS="0" VPOS="0" WIDTH="9" HEIGHT="9"><TextBlock ID="A" HPOS="0" VPOS="0" WIDTH="40" HEIGHT="10" STYLEREFS="s0 s1"><TextLine><String CONTENT="ex-" SUBS_TYPE="HypPart1" SUBS_CONTENT="example"/></TextLine><TextLine><String CONTENT="ample" SUBS_TYPE="HypPart2"/><String CONTENT="text"/></TextLine></TextBlock></ComposedBlock><TextBlock ID="B" HPOS="50" VPOS="5" WIDTH="40" HEIGHT="10"><TextLine><String CONTENT="lone"/></TextLine></TextBlock></Page></alto>'
-    blocks = scans.parse_alto(spark.createDataFrame([("i", 1, bytearray(alto))], "issue string, page int, content binary"))
+    files = spark.createDataFrame([("i", 1, bytearray(ALTO)), ("i", 2, bytearray(b"<alto><Page/></alto>")), ("i", 3, bytearray(b"<broken"))], "issue string, page int, content binary")
+    tables = scans.alto_tables(files)
+    assert [(r.page, "ExpatError" in r.error) for r in tables["errors"].collect()] == [(3, True)]
+    blocks = tables["blocks"]
     areas = spark.createDataFrame([("i", "u1", "article", None, "d1", 0, "C")], "issue string, unit string, type string, parent_unit string, dmd_id string, place int, block string")
     got = scans.logical_units(blocks, areas, spark.createDataFrame([("d1", "Title")], "dmd_id string, title string"))
     assert got["units"].select("text", "pages", "ordinal", "title").first() == ("example\ntext", [1], 1, "Title")
     assert [r.block for r in got["unreferenced"].collect()] == ["B"]
     assert got["pages"].first().text == "example\ntext\n\nlone"
-    stats = scans.materiality(blocks, spark.createDataFrame([("i", 1, 100, 200, 0.1), ("i", 2, 100, 200, 0.1)], "issue string, page int, width int, height int, pixel_mm double"))
-    assert [(r.page, r.weighted_mode, r.median) for r in stats["columns"].orderBy("page").collect()] == [(1, 2, 2), (2, 0, 0)]
-    assert stats["words"].orderBy("page").first().words == 4 and stats["styles"].first().style == "s1"
-    paths = scans.unit_paths(spark.createDataFrame([("i", "a", None, "issue", 1), ("i", "b", "a", "article", 2)], "issue string, unit string, parent string, type string, ordinal int"))
-    assert sorted(r.path for r in paths.collect()) == ["issue_1", "issue_1_article_2"]
+    mets = scans.mets_tables(spark.createDataFrame([("m", bytearray(METS)), ("n", bytearray(b"no xml"))], "path string, content binary"))
+    stats = {k: v.collect() for k, v in scans.materiality(tables, mets).items()}
+    assert sorted((r.page, r.weighted_mode, r.median) for r in stats["columns"]) == [(1, 2, 2), (2, 0, 0)]
+    assert {r.page: r.words for r in stats["words"]} == {1: 4, 2: 0}
+    # block 400 less line 100 and string 8; line 100 less string 6; strings 6 and 8
+    assert {r.style: (r.font, r.bold, r.words, r.chars, r.area) for r in stats["styles"]} == {"s0": ("A", True, 1, 5, 400 - 100 - 8), "s1": ("B", False, 1, 4, 100 - 6 + 8), "s2": ("C", False, 1, 3, 6)}
+    assert {(r.page, r.width, r.height) for r in stats["page_sizes"]} == {(1, 100, 200), (2, 0, 0)} and [(r.width, r.height) for r in stats["print_spaces"]] == [(90, 180)]
+    assert [(r.binding, r.pre_software, r.pre_version, r.ocr_version) for r in stats["software"] if r.page == 1] == [("77", "pre", "?", "1.2")]
+    assert ("77", "1234-5678", "?") in stats["issues"] and stats["mets_issues"] == [("77", "1234", "1900-01-02")]
+    assert stats["sizes"] == [("77", 1, 50.0, 100.0)]
+    assert sorted((r.page, r.type) for r in stats["page_types"]) == [(1, "issue_article"), (2, "issue_ad")]
+    assert mets["errors"].count() == 1
+
+
+def test_unit_paths(spark):
+    rows = [("i", f"u{k}", f"u{k - 1}" if k else None, "t", k) for k in range(20)] + [("i", "x", "nowhere", "t", 1)]
+    paths = {r.unit: r.path for r in scans.unit_paths(spark.createDataFrame(rows, "issue string, unit string, parent string, type string, ordinal int")).collect()}
+    assert paths == {f"u{k}": "_".join(f"t_{i}" for i in range(k + 1)) for k in range(20)}
+    assert scans.unit_paths(spark.createDataFrame([], "issue string, unit string, parent string, type string, ordinal int")).count() == 0
+
+
+def test_bad_files_do_not_end_others(spark):
+    files = spark.createDataFrame([("a", bytearray(b"<T>x</T>")), ("b", bytearray(b"<T>"))], "path string, content binary")
+    assert {r.path: (r.text, r.error is None) for r in scans.convert_tei(files).collect()} == {"a": ("x", True), "b": (None, False)}
+    ocr = scans.ocr_tables(spark.createDataFrame([("a", bytearray(b'<b><page><p><wd pos="0,0,1,1">w</wd></p></page></b>')), ("b", bytearray(b"<b"))], "path string, content binary"))
+    assert [r.path for r in ocr["errors"].collect()] == ["b"] and ocr["words"].count() == 1
 
 
 def test_passim(spark):
@@ -180,3 +268,5 @@ def test_offset_stores(spark):
     payload = spark.createDataFrame([("b", 0, 1, 2, 3, 4, 5), ("a", 7, 1, 2, 3, 4, 5)], "document_id string, offset int, page int, x int, y int, w int, h int")
     store = books.offset_store(payload)
     assert sorted((r.ordinal, r.offset, r.w) for r in books.by_ordinal(store, store).collect()) == [(0, 7, 4), (1, 0, 4)]
+    puts = spark.createDataFrame([("a", 1, 1, 9, 9, 9, 9, 1), ("a", 1, 2, 1, 1, 1, 1, 3), ("a", 1, 3, 5, 5, 5, 5, 2)], "document_id string, offset int, page int, x int, y int, w int, h int, put int")
+    assert books.offset_store(puts, "put").first().page == 2 and books.offset_store(puts).first().page == 3

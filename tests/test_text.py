@@ -99,3 +99,57 @@ def test_bad_xml_is_isolated(spark):
     rows = spark.createDataFrame([(bytearray(b"<a>1</a>"),), (bytearray(b"<a>"),)], "c binary").select(py.parse_xml("c").alias("p")).select("p.*").collect()
     assert rows[0].error is None and len(rows[0].events) == 3
     assert rows[1].events is None and "ExpatError" in rows[1].error
+
+
+def test_analyzer_is_linear(spark):
+    """Long runs of punctuation and of blanks within a text."""
+    import time
+
+    value = "a" + "-" * 300_000 + "b " + " " * 300_000 + "c" + "!" * 300_000 + " d"
+    start = time.time()
+    got = one(spark, value, F.transform(text.default_analyzer(F.col("t")), F.length))
+    assert got == [300_002, 1, 1] and time.time() - start < 20
+
+
+@pytest.mark.parametrize(
+    ("value", "sentences"),
+    [
+        ("One. Two", ["One. ", "Two"]), ("e.g. this. And", ["e.g. this. ", "And"]), ("U.S.A. is", ["U.S.A. is"]), ("It is 3.14. Yes", ["It is 3.14. ", "Yes"]), ("He said (no.) Then", ["He said (no.) ", "Then"]), ("What?! No", ["What?! ", "No"]),
+        ("“Stop.” he said. “Go.” She", ["“Stop.” he said. ", "“Go.” ", "She"]), ("a\nb", ["a\n", "b"]), ("a\r\nb", ["a\r\n", "b"]), ("まず。次", ["まず。", "次"]), ("End. 5 more", ["End. 5 more"]), ("End. 5 More", ["End. ", "5 More"]), ("end. – then", ["end. – then"]), ("Oh! dear", ["Oh! ", "dear"]), ("", []), ("x", ["x"]),
+    ],
+)
+def test_sentence_boundaries(value, sentences):
+    assert [value[a:b] for a, b in py.sentence_bounds(value)] == sentences
+
+
+def test_offset_postings(spark):
+    value = "Foo, co-\n operate (now)  ... end-"
+    got = one(spark, value, text.offset_postings(F.col("t")))
+    assert [(p.pos, p.term, value[p.start : p.end]) for p in got] == [(0, "foo", "Foo,"), (1, "cooperate", "co-\n operate"), (2, "now", "(now)"), (4, "end", "end-")]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32"])
+def test_xml_encodings(encoding):
+    events = py.xml_events('<?xml version="1.0"?><a>é漢</a>'.encode(encoding))
+    assert [e["text"] for e in events if e["kind"] == "text"] == ["é漢"]
+
+
+def test_xml_prologs():
+    head = '<?xml version="1.0" encoding="utf-8"?>\n<!-- a > b <c> --><!DOCTYPE d PUBLIC "x>y" "z" [<!ENTITY e "]>"><!-- ] > --><!ELEMENT d ANY>] >\n'
+    events = py.xml_events(f"{head}<d>&e;x</d>".encode())
+    assert [(e["kind"], e["name"] or e["text"]) for e in events] == [("start", "d"), ("text", "&e;x"), ("end", "d")]
+
+
+def test_inline_marks(spark):
+    got = one(spark, "a<I>b</I> <FR>c</FR>&amp;&foo; <Z>d</Z>", py.inline_marks("t"))
+    assert got == "a@b@ €c€&〈foo〉 d"
+    assert one(spark, "a<I>b", py.inline_marks("t")) is None
+
+
+def test_sql_functions(spark):
+    py.register(spark)
+    rows = spark.sql("SELECT * FROM concordance('the cat saw The\ndog; other', 'the', 6)").collect()
+    assert [(r.hit, r.offset, r.before, r.word, r.after) for r in rows] == [(0, 0, "", "the ", "cat"), (1, 11, "saw", " The ", "dog;")]
+    assert [tuple(r) for r in spark.sql("SELECT * FROM text_terms('co-\n op, x')").collect()] == [(0, "coop", 0, 8), (1, "x", 9, 10)]
+    assert [r.text for r in spark.sql("SELECT * FROM tei_pages('<T>a<PB REF=\"2\"/>b</T>')").collect()] == ["a", "b"]
+    assert spark.sql("SELECT size(sentence_spans('One. Two.')) AS n").first().n == 2
