@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstream.llm import bpe, decontamination, licenses, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from quillstream.llm.common import table
+from quillstream.llm.sql import ORACLE_SQL  # noqa: F401  offered beside the queries
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,5 +66,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -430,4 +430,4 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", count:
 
     out = run_through(numbered, f"c{others.index(key)}", "body", [*[f.name for f in fields], "was_null"], finish, schema, **sizes)
     told = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text: F.when(~F.col("was_null"), F.col("body"))}
-    return out.select(*[told[c].alias(c) for c in docs.columns], *[F.col("n_removed").alias(count)] * (count is not None))
+    return out.select(*[told[c].alias(c) for c in docs.columns], *([] if count is None else [F.col("n_removed").alias(count)]))

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.compute  # noqa: F401  for tables' filters
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,12 +115,47 @@ def test_suffix_dedup(spark):
     for sizes in ({}, {"block_bytes": 3000, "bucket_bytes": 2000}):
         got = sorted((2**63 - 1 if q.doc_id is None else q.doc_id, q.n_bytes, q.n_removed, q.n_spans, q.kept_sha256) for q in suffix_dedup.removals(docs, **sizes).collect())
         assert got == brute_removals(rows)
+    assert suffix_dedup.deduplicate(docs, count=None).columns == ["doc_id", "text", "n_removed"]
+    clashing = {c: F.lit(c) for c in ("_text", "_id", "_was_null", "body", "c0", "was_null", "block", "rest")}
+    assert {tuple(r)[3:] for r in suffix_dedup.deduplicate(docs.withColumns(clashing), count="gone").select("doc_id", "text", "gone", *clashing).collect()} == {tuple(clashing)}
     cut = suffix_dedup.deduplicate(docs.drop("n_removed").withColumn("lang", F.lit("en")))
     assert cut.columns == ["doc_id", "text", "lang", "n_removed"]
     assert sorted(str(q.text) for q in cut.where("doc_id = 3").collect() if q.text is None) == ["None"]
     assert suffix_dedup.removals(docs.limit(0)).count() == 0
 
 
+def test_hashes_decide_nothing(spark, monkeypatch):
+    """With hashes that hardly differ all results are the same: bytes and the suffix order decide."""
+    plain = suffix_dedup.stretches
+
+    def weak(*args):
+        first, last, anchor, content = plain(*args)
+        return first, last, anchor & ~((1 << (suffix_dedup.ANCHOR_BITS - 2)) - 1), content * 0
+
+    monkeypatch.setattr(suffix_dedup, "stretches", weak)
+    r = random.Random(12)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(200))
+    rows = [(i, "".join(r.choice("abc ") for _ in range(r.choice([0, 60, 200]))) + passage[r.randrange(60) : 90 + r.randrange(90)] * r.choice([0, 1, 2])) for i in range(40)]
+    got = []
+    blocks = [rows[:15], rows[15:25], rows[25:]]
+    own = []
+    for b in blocks:  # blocks made here, as the weak hash isn't known to workers
+        bodies = [t.encode() for _, t in b]
+        own.append((np.array([i for i, _ in b], "<i8").tobytes(), np.cumsum([len(x) for x in bodies]).astype("<i8").tobytes(), __import__("zstandard").ZstdCompressor().compress(b"".join(bodies))))
+    opened = [suffix_dedup.Block(*x) for x in own]
+    packed = [suffix_dedup.pack(np.diff(o.anchor, prepend=0), o.least, o.several, np.arange(len(o.anchor))) for o in opened]
+    told = suffix_dedup.decide(suffix_dedup.part_rows([(k, 0, 0, p) for k, p in enumerate(packed)]))
+    left = [suffix_dedup.pa.table({"block": [k], "ids": [x[0]], "ends": [x[1]], "body": [x[2]]}) for k, x in enumerate(own)]
+    send = suffix_dedup.senders(1)
+    sent = [send(left[k], told.filter(suffix_dedup.pa.compute.equal(told["block"], k))) for k in range(3)]
+    whole = suffix_dedup.pa.concat_tables(sent)
+    found = suffix_dedup.pa.concat_tables([suffix_dedup.compare(whole.filter(suffix_dedup.pa.compute.equal(whole["bucket"], b))) for b in set(whole["bucket"].to_pylist())])
+    for k, o in enumerate(opened):
+        gone = suffix_dedup.removed_bytes(o, found.filter(suffix_dedup.pa.compute.equal(found["block"], k)))
+        got += [tuple(x.values()) for x in suffix_dedup.digest_table(o, gone, None).to_pylist()]
+    assert sorted(got) == brute_removals(rows) and sum(x[2] for x in got) > 1000
+
+
 def test_long_text_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
     r = random.Random(5)
@@ -254,7 +290,7 @@ def test_stages_take_odd_tables(spark, tmp_path):
         "quality_rules": [1, 1, 2, 2, None, 5, 6], "simhash_near_dedup": [1, 1, 2, 3, 5, None], "suffix_array_dedup": [1, 1, 2, 2, 3, 4, 5, None, None], "benchmark_decontamination": [1, 1, 2, 2, 3, 4, 5, 6, None, None],
     }
     for name, stage in corpus_pipeline.STAGES:
-        for given in (docs, docs.limit(0), docs.withColumns({"fp": F.lit("x"), "component_id": F.lit(1), "n_removed": F.lit("y"), "words": F.lit(2)}) if name != "suffix_array_dedup" else docs):
+        for given in (docs, docs.limit(0), docs.withColumns({c: F.lit(i) for i, c in enumerate(("fp", "component_id", "n_removed", "words", "_text", "_was_null", "body", "c0", "row", "key1", "model_lang", "_model_lang", "kept", "text_key", "_id", "group"))})):
             got = stage(spark, given, str(tmp_path))
             if name in want:
                 assert got.columns == corpus_pipeline.COLUMNS
@@ -291,3 +327,35 @@ def test_kept_documents_are_the_judged_ones(spark):
     docs = spark.createDataFrame([(i, t + (" " + t if i % 7 == 0 else ""), "en") for i, t in enumerate(near_texts(120))], "doc_id long, text string, lang string")
     kept = sorted(x.doc_id for x in quality.kept_documents(docs).collect())
     assert kept == sorted(x.doc_id for x in quality.judge(docs).where("kept").collect()) and 0 < len(kept) < 120
+
+
+def test_bands_against_numpy(spark):
+    """Verdicts from losses by the definition: pools of neighbouring lengths, medians, widths."""
+    from quillstream.llm import quality
+
+    docs = spark.createDataFrame([(i, t, "en" if i % 3 else "deu") for i, t in enumerate(near_texts(300, 7))], "doc_id long, text string, lang string")
+    rows = {x.doc_id: x for x in quality.judge(docs).collect()}
+    good = {}
+    for x in rows.values():
+        if not x.base_failed:
+            good.setdefault((x.model_lang, x.n_chars.bit_length() - 1), {})[docs_key(docs, x.doc_id)] = np.log(x.perplexity)
+    sizes = {k: len(v) for k, v in good.items()}
+    lower_median = lambda v: sorted(v)[(len(v) - 1) // 2]
+    for x in rows.values():
+        cell = (x.model_lang, x.n_chars.bit_length() - 1)
+        if x.base_failed or cell not in good:
+            assert not x.kept
+            continue
+        pool = [(loss, np.sqrt(2.0 ** (g - cell[1]))) for k, own, g in quality.pools(sizes, quality.LEAST_TEXTS) if (k, own) == cell for loss in good[k, g].values()]
+        middle = lower_median([p[0] for p in pool])
+        spread = 1.4826 * lower_median([abs(p[0] - middle) * p[1] for p in pool])
+        wider = 1 + quality.FEW / len(pool)
+        low = middle - wider * max(quality.LOW_SPREADS * spread, quality.LOW_LEAST / x.n_chars**0.5)
+        high = middle + wider * max(quality.HIGH_SPREADS * spread, quality.HIGH_LEAST)
+        assert (x.low, x.high) == (pytest.approx(low, abs=1e-6), pytest.approx(high, abs=1e-6)) and x.kept == (low <= np.log(x.perplexity) <= high)
+
+
+def docs_key(docs, i, cache={}):  # noqa: B006
+    if not cache:
+        cache.update({r.doc_id: r.text for r in docs.collect()})
+    return cache[i]

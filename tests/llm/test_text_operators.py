@@ -347,6 +347,69 @@ def test_toxicity(spark):
     assert [round(x.score, 6) for x in nothing] == [toxicity.PRIOR]
 
 
+def plain_lexicon(rows):
+    """Weights and exceptions from (text, toxic) rows, by the definition."""
+    folded = {(i, toxicity.fold(t or "")): (toxicity.near_key(toxicity.fold(t or "")), y) for i, t, y in rows}
+    near = Counter(k for k, _ in folded.values())
+    seen = {False: Counter(), True: Counter()}
+    pairs = {False: Counter(), True: Counter()}
+    total = Counter()
+    for (_, t), (k, y) in folded.items():
+        w = 1 / near[k]
+        total[y > 0] += w
+        words = t.split()
+        for x in set(words):
+            seen[y > 0][x] += w
+        for x in {f"{a} {b}" for a, b in zip(words, words[1:])}:
+            pairs[y > 0][x] += w
+    share = total[True] / (total[True] + total[False])
+    known = [x for x in seen[True].keys() | seen[False].keys() if seen[True][x] + seen[False][x] >= toxicity.LEAST_DOCS - 1e-6]
+    weights = {}
+    for x in known:
+        a, b = seen[True][x], seen[False][x]
+        gain = 2 * (a * np.log(max(a, 0.5) / (a + b) / share) + b * np.log(max(b, 0.5) / (a + b) / (1 - share)))
+        odds = np.log((a + 0.5) / (total[True] + 1)) - np.log((b + 0.5) / (total[False] + 1))
+        if odds > 1.5 and gain > 2 * np.log(max(2, len(known))):
+            weights[x] = odds
+    spared = {x for x, n in pairs[False].items() if n >= toxicity.LEAST_DOCS - 1e-6 and n * share > 4 * pairs[True][x] * (1 - share) and set(x.split()) & weights.keys()}
+    return weights, spared
+
+
+def test_toxicity_against_the_definition(spark):
+    """The lexicon, near copies, repeated rows, odd labels and columns."""
+    r = np.random.default_rng(4)
+    plain = [f"w{i}x" for i in range(200)]
+    rows = []
+    for i in range(500):
+        words = list(r.choice(plain, 40))
+        if i % 4 == 0:
+            words[5:7] = [str(r.choice(["fiend", "wretch"])), str(r.choice(["now", "then"]))]
+        elif i % 25 == 1:
+            words[5:7] = ["dear", "fiend"]
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    rows += [(600 + i, rows[0][1] + f" end{i}", 1) for i in range(30)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(700, 1), (701, None)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, t, 1.0, 1, "x") for i, t, _ in [*rows, *rows[:50], (700, None, 1), (702, "w1x", 0)]], "doc_id long, text string, score double, toxic int, folded string")
+    lexicon = toxicity.learn(docs, labels)
+    trained = [(i, t, y) for i, t, y in [*rows, (700, None, 1)] if zlib.crc32(str(i).encode()) % 3 != 1]
+    weights, spared = plain_lexicon(trained)
+    assert lexicon.weights == pytest.approx(weights) and {"fiend", "wretch"} <= weights.keys()
+    assert lexicon.exceptions == spared and "dear fiend" in spared
+    got = toxicity.judge(docs, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted", "weighted"] and got.count() == docs.count()
+    long = spark.createDataFrame([(1, "w1x " * 200_000 + "fiend wretch " * 50_000), (2, "w1x " * 200_000)], "doc_id long, text string")
+    scores = {x.doc_id: x.score for x in toxicity.score(long, lexicon).collect()}
+    assert scores[1] > scores[2]
+
+
+@pytest.mark.parametrize("rows", [10, 60])
+def test_training_rows_are_bounded(spark, rows):
+    """Also where one id stands at many texts."""
+    docs = spark.createDataFrame([(i % 20, f"text number {i} of many") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    assert 0 < toxicity.training_rows(docs, labels, rows).count() <= rows
+
+
 def test_exception_phrases():
     lexicon = toxicity.Lexicon({"fiend": 3.0}, frozenset({"dear fiend"}))
     a = lexicon.automaton()
