@@ -7,12 +7,13 @@ position list from left to right, and each merge updates the lists of the pairs
 breaks aren't searched: a position counts only if its pair still stands there. A symbol's own merge always ranks
 before those it takes part in, so ascending order over all pre-tokens is the order within each.
 
-Results of pre-tokens are kept in the worker, in two stores of half of CACHE entries each: a full one replaces the older
-one, from which what is met again moves over. So memory is bounded, and frequent pre-tokens stay. Tasks of other operators in the same worker empty both.
-Special strings are cut out first, and each is one id.
+Results of pre-tokens are kept in the worker, in two stores of half of STORE_BYTES each: a full one replaces the older
+one, from which what is met again moves over. So memory is bounded, and frequent pre-tokens stay; long ones aren't kept.
+Tasks of other operators in the same worker empty both. Special strings are cut out first, and each is one id.
 
-Null texts are empty texts: no ids, and the digests of nothing. Repeated rows give repeated results, an empty table
-gives none, and other columns than the id and the text aren't read.
+Null texts are empty texts: no ids, and the digests of nothing. Texts of any length are encoded whole; a batch's
+pre-tokens are encoded LEARN_BYTES at a time, and a longer one by itself, over arrays of 4 bytes a symbol. Repeated rows
+give repeated results, an empty table gives none, and other columns than the id and the text aren't read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,10 @@ from pyspark.sql import DataFrame
 
 from quillstream.llm.common import stores, trimmed
 
-CACHE = 800_000
-PIECES = 30_000
+STORE_BYTES = 180_000_000
+#: What an entry takes besides its strings; pre-tokens longer than KEPT characters have none.
+ENTRY_BYTES, KEPT = 200, 1000
+LEARN_BYTES = 400_000
 #: Bits of a symbol in a pair's number.
 PAIR_BITS = 24
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -81,11 +85,12 @@ class Codec:
         self.special = {s: i.to_bytes(4, "little") for s, i in special.items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.split = regex.compile(SPLIT).findall
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict(self.special)
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encodes distinct pre-tokens together, and keeps their ids as little-endian 32-bit integers."""
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pre-tokens, encoded together, as little-endian 32-bit integers."""
         raw = [p.encode() for p in pieces]
         ends = np.cumsum([len(r) + 1 for r in raw]) - 1
         start = self.first[np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)]
@@ -99,15 +104,16 @@ class Codec:
         places, ranks = places[order], ranks[order]
         cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(ranks) else np.zeros(0, np.int64)
         active: list[int] = ranks[cuts].tolist()  # in order, so a heap
-        where: dict[int, list[int]] = {r: p.tolist() for r, p in zip(active, np.split(places, cuts[1:]), strict=len(cuts) > 0)}
-        symbol: list[int] = start.tolist()
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # Python's own integers are quicker; a long sequence's would take a hundred bytes each
+        listed = np.ndarray.tolist if n <= 2 * LEARN_BYTES else lambda a: array("i", a.astype(np.int32).tobytes())
+        where = {r: listed(p) for r, p in zip(active, np.split(places, cuts[1:]), strict=len(cuts) > 0)}
+        symbol, after, before = listed(start), listed(np.arange(1, n + 1)), listed(np.arange(-1, n - 1))
+        del start, key, at, places, ranks, order
         find, by_rank, pop, push = self.rank.get, self.by_rank, heapq.heappop, heapq.heappush
         while active:
             rank = pop(active)
             a, b, new = by_rank[rank]
-            found = where.pop(rank)
-            found.sort()
+            found = sorted(where.pop(rank))
             left, right = new << PAIR_BITS, new
             for i in found:
                 if symbol[i] != a:
@@ -135,7 +141,7 @@ class Codec:
         alive = final >= 0
         ids = final[alive].astype("<u4").tobytes()
         until = (4 * np.cumsum(alive)[ends]).tolist()
-        self.known.update(zip(pieces, [ids[x:y] for x, y in zip([0, *until], until)]))
+        return dict(zip(pieces, [ids[x:y] for x, y in zip([0, *until], until)]))
 
     def cut_text(self, text: str) -> list[str]:
         """Pre-tokens and special strings, in order."""
@@ -151,15 +157,18 @@ class Codec:
         out: list[bytes] = []
         for at in range(0, len(texts), 256):
             cut = [self.cut_text(t) for t in texts[at : at + 256]]
-            if len(self.known) > CACHE // 2:
-                self.older, self.known = self.known, {}
+            if self.size > STORE_BYTES // 2:
+                self.older, self.known, self.size = self.known, dict(self.special), 0
             known, older = self.known, self.older
-            known.update(self.special)
             unknown = set().union(*cut).difference(known)
-            known.update([(p, older[p]) for p in unknown if p in older])
-            new = list(unknown.difference(older))
-            for k in range(0, len(new), PIECES):
-                self.learn(new[k : k + PIECES])
+            fresh = {p: older[p] for p in unknown if p in older}
+            for group in by_bytes(unknown.difference(older)):
+                fresh |= self.learn(group)
+            long = {p: fresh.pop(p) for p in [p for p in fresh if len(p) > KEPT]}
+            known.update(fresh)
+            self.size += sum(ENTRY_BYTES + len(p) + len(x) for p, x in fresh.items())
+            if long:
+                known = known | long
             find = known.__getitem__
             out.extend([b"".join(map(find, pieces)) for pieces in cut])
         return out
@@ -169,6 +178,19 @@ class Codec:
         return b"".join(map(find, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
+def by_bytes(pieces: Iterable[str]) -> Iterator[list[str]]:
+    """Pieces in groups of about LEARN_BYTES characters; a longer one by itself."""
+    group, size = [], 0
+    for p in pieces:
+        if size and size + len(p) > LEARN_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(p)
+        size += len(p)
+    if group:
+        yield group
+
+
 def codec(path: str) -> Codec:
     """One codec for each worker process."""
     if path not in _loaded:

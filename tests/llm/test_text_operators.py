@@ -69,6 +69,19 @@ def test_bpe_of_any_text(text):
     assert own.decode(found) == text
 
 
+@pytest.mark.parametrize("learn_bytes", [3, 50, 400_000])
+def test_bpe_of_long_words(monkeypatch, learn_bytes):
+    """Unbroken words beyond what is encoded together, or kept; stores that are always full."""
+    monkeypatch.setattr(bpe, "LEARN_BYTES", learn_bytes)
+    monkeypatch.setattr(bpe, "KEPT", 20)
+    monkeypatch.setattr(bpe, "STORE_BYTES", 3000)
+    own, t = bpe.Codec(bpe.default_vocabulary()), token_counts.load(token_counts.default_tokenizer())
+    r = np.random.default_rng(1)
+    texts = ["".join(r.choice(list("abcdefgh éü"[:k]), n)) for k, n in ((8, 3000), (11, 5000), (2, 900), (9, 20))] + ["<|endoftext|>" + "x" * 70, ""]
+    for _ in range(3):
+        assert [list(memoryview(e).cast("I")) for e in own.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_sharding(docs, spark, tmp_path):
     placed, slot_map = sharding.shard(docs, shards=3, slots=64)
     rows = placed.collect()
