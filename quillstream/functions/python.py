@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import functools
 import html
+import json
 import re
 import unicodedata
 from html.parser import HTMLParser
@@ -289,6 +290,31 @@ def decode_entities(text: str, extra: dict[str, str] | None = None) -> str:
     return re.sub(r"&(#?\w+);", one, text)
 
 
+def found_within(value: object, name: str) -> list:
+    """Everything under a name at any depth of a JSON value, outer before inner, in order."""
+    if isinstance(value, list):
+        return [x for v in value for x in found_within(v, name)]
+    if isinstance(value, dict):
+        return [*([value[name]] if name in value else []), *(x for v in value.values() for x in found_within(v, name))]
+    return []
+
+
+def deep_search(column: str, name: str):
+    """Values of a name at any depth of JSON strings, as an array of JSON strings; null for what isn't JSON."""
+
+    @F.pandas_udf(T.ArrayType(TEXT))
+    def search(values: pd.Series) -> pd.Series:
+        def one(v: str | None) -> list | None:
+            try:
+                return None if v is None else [json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in found_within(json.loads(v), name)]
+            except ValueError:
+                return None
+
+        return values.map(one)
+
+    return search(column)
+
+
 #: Functions that SQL gets, beside Spark's own.
 SQL_FUNCTIONS = {"sentence_spans": sentence_spans, "align_substring": align_substring, "parse_xml": parse_xml, "html_paragraphs": html_paragraphs, "html_markdown": html_markdown, "inline_marks": inline_marks}
 

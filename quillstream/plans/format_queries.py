@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
-from quillstream.operators import aggregates, joins, levels, tagging
+from quillstream.operators import aggregates, joins, languages, levels, tagging
 from quillstream.plans import books, media, newspapers, scans
 from quillstream.plans.registry import SQL_LINES, SQL_SPANS, query, table
 from quillstream.sources import readers, scratch, sinks
@@ -557,3 +557,30 @@ def sql_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     py.register(spark)
     table(spark, sf_dir, "benchmark").createOrReplaceTempView("_benchmark_items")
     return spark.sql("SELECT item_id AS doc_id, CAST(t.pos AS BIGINT) AS pos, t.term FROM _benchmark_items, LATERAL text_terms(text) t")
+
+
+@query("SELECT event_id, list_transform(json_extract('{\"a\": {\"k\": ' || event_id || '}, \"b\": [' || props || ', {\"c\": 1}]}', '$..k'), lambda x: CAST(x AS VARCHAR)) AS found FROM events")
+def deep_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands under a name, at any depth."""
+    nested = F.concat(F.lit('{"a": {"k": '), F.col("event_id").cast("string"), F.lit('}, "b": ['), "props", F.lit(', {"c": 1}]}'))
+    return table(spark, sf_dir, "events").select("event_id", nested.alias("j")).select("event_id", py.deep_search("j", "k").alias("found"))
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def analysis_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.folder(spark, "analyses")
+    sinks.write_pretty_json(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"), path, "s_suppkey")
+    found = spark.read.text(f"{path}/*/*.txt", wholetext=True).select(F.regexp_extract(F.input_file_name(), r"s_suppkey=(\d+)", 1).cast("long").alias("s_suppkey"), F.from_json("value", "s_name string, s_nationkey int").alias("o"))
+    return found.select("s_suppkey", "o.*")
+
+
+SQL_TRIGRAMS = "(SELECT k, substr(p, i, 3) AS gram, count(*) AS n FROM (SELECT k, p, unnest(range(1, greatest(length(p) - 2, 1) + 1)) AS i FROM (SELECT %s AS k, regexp_replace(lower(' ' || text || ' '), '[^\\p{L}]+', ' ', 'g') AS p FROM %s)) GROUP BY ALL)"
+
+
+@query(f"""WITH c AS (SELECT k AS lang, gram, n FROM {SQL_TRIGRAMS % ('lang', 'documents')}), s AS (SELECT lang, sum(n) + count(*) AS w FROM c GROUP BY lang), g AS (SELECT k, gram, n FROM {SQL_TRIGRAMS % ('item_id', 'benchmark')}), a AS (SELECT k, sum(n) AS al FROM g GROUP BY k),
+  r AS (SELECT a.k, s.lang, coalesce(q.gain, 0) / al + ln(1 / w) AS score FROM a CROSS JOIN s LEFT JOIN (SELECT k, c.lang, sum(g.n * (ln((c.n + 1) / w) - ln(1 / w))) AS gain FROM g JOIN c USING (gram) JOIN s ON s.lang = c.lang GROUP BY k, c.lang) q ON q.k = a.k AND q.lang = s.lang)
+  SELECT k AS item_id, lang, round(exp(score), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang) AS p FROM r) WHERE p = 1""")
+def detected_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items by trigram profiles of the documents' languages: one detector's scores, the best of them."""
+    known = languages.profiles(table(spark, sf_dir, "documents"))
+    return aggregates.best_language(languages.scores(table(spark, sf_dir, "benchmark"), known, "item_id"), "item_id", detectors=1).withColumn("score", F.round("score", 6))

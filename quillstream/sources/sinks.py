@@ -37,6 +37,12 @@ def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def write_pretty_json(rows: DataFrame, path: str, key: str) -> None:
+    """One folder for each row's key with its other columns as an indented JSON object: for analyses that people read."""
+    rest = F.struct(*[F.col(c) for c in rows.columns if c != key])
+    rows.select(key, F.to_json(rest, {"pretty": "true"}).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+
+
 def triples(rows: DataFrame, subject: Column, pairs: list[tuple[str, Column]]) -> DataFrame:
     """N-Triples lines: for each row and (predicate, value) one line; null values give none."""
     quoted = lambda v: F.concat(F.lit('"'), F.replace(F.replace(v.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))

@@ -270,3 +270,30 @@ def test_offset_stores(spark):
     assert sorted((r.ordinal, r.offset, r.w) for r in books.by_ordinal(store, store).collect()) == [(0, 7, 4), (1, 0, 4)]
     puts = spark.createDataFrame([("a", 1, 1, 9, 9, 9, 9, 1), ("a", 1, 2, 1, 1, 1, 1, 3), ("a", 1, 3, 5, 5, 5, 5, 2)], "document_id string, offset int, page int, x int, y int, w int, h int, put int")
     assert books.offset_store(puts, "put").first().page == 2 and books.offset_store(puts).first().page == 3
+
+
+def test_programs(spark, tmp_path):
+    from quillstream.__main__ import main
+
+    (tmp_path / "in/issue").mkdir(parents=True)
+    (tmp_path / "in/issue/a_1.xml").write_bytes(ALTO)
+    (tmp_path / "in/issue/mets.xml").write_bytes(METS)
+    main(["alto", "--files", str(tmp_path / "in"), "--to", str(tmp_path / "alto"), "--order", "issue,page"], spark)
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    assert read("alto/words").first().words == 4
+    assert read("alto/page_types").count() == 2 and read("alto/errors").count() == 0
+    (tmp_path / "tei").mkdir()
+    (tmp_path / "tei/x.xml").write_text("<T><P>a<HI>b</HI></P></T>")
+    (tmp_path / "tei/bad.xml").write_text("<T>")
+    main(["tei", "--files", str(tmp_path / "tei"), "--to", str(tmp_path / "out"), "--omit-emphases"], spark)
+    assert [r.text for r in read("out/documents").collect()] == ["ab"] and read("out/errors").count() == 1
+    (tmp_path / "t.json").write_text('{"id_str": "1", "text": "x"}\n{"id_str": "2", "text": "y", "in_reply_to_user_id_str": "3"}\n')
+    main(["tweets", "--files", str(tmp_path / "t.json"), "--to", str(tmp_path / "tw"), "--skip", "reply"], spark)
+    assert [r.id for r in read("tw/tweets").collect()] == ["1"]
+
+
+def test_nested_blocks(spark):
+    blocks = spark.createDataFrame([("i", 1, "A", "ComposedBlock", None, 0, ""), ("i", 1, "B", "ComposedBlock", "A", 0, ""), ("i", 1, "C", "ComposedBlock", "B", 0, ""), ("i", 1, "t", "TextBlock", "C", 5, "deep"), ("i", 1, "u", "TextBlock", "A", 9, "flat"), ("i", 1, "v", "TextBlock", None, 12, "lone")], "issue string, page int, block string, kind string, parent string, vpos int, text string")
+    areas = spark.createDataFrame([("i", "x", "article", None, "d", 0, "A")], "issue string, unit string, type string, parent_unit string, dmd_id string, place int, block string")
+    got = scans.logical_units(blocks, areas, spark.createDataFrame([("d", "T")], "dmd_id string, title string"))
+    assert got["units"].first().text == "deep\n\nflat" and [r.block for r in got["unreferenced"].collect()] == ["v"]
