@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
-from quillstream.operators import aggregates, joins, languages, levels, tagging
+from quillstream.operators import aggregates, geometry, joins, languages, levels, tagging
 from quillstream.plans import books, media, newspapers, scans
 from quillstream.plans.registry import SQL_LINES, SQL_SPANS, query, table
 from quillstream.sources import readers, scratch, sinks
@@ -584,3 +584,36 @@ def detected_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items by trigram profiles of the documents' languages: one detector's scores, the best of them."""
     known = languages.profiles(table(spark, sf_dir, "documents"))
     return aggregates.best_language(languages.scores(table(spark, sf_dir, "benchmark"), known, "item_id"), "item_id", detectors=1).withColumn("score", F.round("score", 6))
+
+
+@query("SELECT doc_id, CAST(1 AS INT) AS event_no, lang AS text FROM documents UNION ALL SELECT doc_id, CAST(5 AS INT), source FROM documents")
+def words_outside_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    markup = F.concat(F.lit('<?xml version="1.0" encoding="utf-8"?><d>'), "lang", F.lit("<foreign>x</foreign>"), "source", F.lit("</d>"))
+    events = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.posexplode(py.parse_xml(F.encode(markup, "utf-8"))["events"]).alias("event_no", "e")).select("path", "event_no", "e.kind", "e.name", "e.text")
+    return media.xml_words(events).withColumnRenamed("path", "doc_id")
+
+
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber, count(*) AS k, CAST(floor(min(l_extendedprice)) AS INT) AS position FROM lineitem GROUP BY ALL), u AS (SELECT * FROM b WHERE k = 1), f AS (SELECT l_orderkey, min(l_linenumber) AS ref FROM u GROUP BY l_orderkey),
+  p AS (SELECT u.*, l_linenumber = ref AS referenced, max(CASE WHEN l_linenumber = ref THEN position END) OVER (PARTITION BY u.l_orderkey) AS rp FROM u JOIN f USING (l_orderkey))
+  SELECT l_orderkey, l_linenumber AS block, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY position, CASE WHEN referenced THEN 1 ELSE 0 END, l_linenumber) - 1 AS INT) AS place FROM p""")
+def reading_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of a page of which one is referred to: the others stand around it by their places."""
+    once = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("k"), F.floor(F.min("l_extendedprice")).cast("int").alias("position")).where("k = 1")
+    first = once.groupBy("l_orderkey").agg(F.min("l_linenumber").alias("ref"))
+    blocks = once.join(first, "l_orderkey").select("l_orderkey", F.col("l_linenumber").alias("block"), "position", F.when(F.col("l_linenumber") == F.col("ref"), 1).alias("logical"))
+    return geometry.reading_order(blocks, ["l_orderkey"]).select("l_orderkey", "block", "place")
+
+
+@query("SELECT t || '.parquet' AS name FROM (SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) AS t) WHERE t NOT LIKE '%e%s'")
+def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the tables' files, tested before anything is opened."""
+    return readers.list_files(spark, sf_dir, pattern="*.parquet").where(~F.col("name").rlike("e.*s[.]parquet$")).select("name")
+
+
+@query("""SELECT conv_id, min(turn) AS first_turn, count(*) AS turns FROM conversations GROUP BY conv_id""")
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A level's rows by SQL over the library's own functions: sentences tile each turn, so their ends are its length."""
+    py.register(spark)
+    table(spark, sf_dir, "conversations").createOrReplaceTempView("_turns")
+    whole = spark.sql("SELECT conv_id, turn, length(text) AS n, sentence_spans(text) AS s FROM _turns").where("n = 0 OR s[size(s) - 1].end = n")
+    return whole.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.count(F.lit(1)).alias("turns"))
