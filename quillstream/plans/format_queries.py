@@ -617,3 +617,80 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "conversations").createOrReplaceTempView("_turns")
     whole = spark.sql("SELECT conv_id, turn, length(text) AS n, sentence_spans(text) AS s FROM _turns").where("n = 0 OR s[size(s) - 1].end = n")
     return whole.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.count(F.lit(1)).alias("turns"))
+
+
+@query("SELECT l_orderkey AS document_id, l_linenumber AS \"offset\", max(CAST(l_quantity AS INT)) AS page, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
+def bucketed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offset store as a bucketed table, joined by its key."""
+    q, name = F.col("l_quantity").cast("int"), "offsets_" + scratch.folder(spark, "x").rsplit("-", 1)[-1].replace("/", "_")
+    payload = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("document_id"), F.col("l_linenumber").alias("offset"), q.alias("page"), q.alias("x"), q.alias("y"), q.alias("w"), q.alias("h"))
+    sinks.write_bucketed(books.offset_store(payload), name, "document_id", "offset", 8, scratch.folder(spark, "bucketed"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("document_id"), "o_orderstatus")
+    return spark.table(name).join(orders, "document_id").select("document_id", "offset", "page", "o_orderstatus")
+
+
+@query("""WITH t AS (SELECT conv_id, turn, text, substr(text, 4, 12) AS needle FROM conversations WHERE length(text) >= 15), f AS (SELECT *, CAST(strpos(text, needle) - 1 AS INT) AS start FROM t)
+  SELECT conv_id, turn, 0 AS cost, start, 12 AS length, trim(needle, ' ') AS aligned, start > 0 AND regexp_matches(substr(text, start, 2), '^[\\p{L}\\p{N}]{2}') AS cut_start, start + 12 < length(text) AND regexp_matches(substr(text, start + 12, 2), '^[\\p{L}\\p{N}]{2}') AS cut_end FROM f""")
+def exact_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of texts aligned with the texts: at no cost, where they stand first."""
+    pages = table(spark, sf_dir, "conversations").where("length(text) >= 15").select("conv_id", "turn", F.col("text").alias("page"))
+    rows = pages.select("conv_id", "turn", F.substring("page", 4, 12).alias("needle"))
+    return joins.align_rows(rows, pages, ["conv_id", "turn"], "needle", "page").drop("needle", "page")
+
+
+@query("""SELECT o_orderkey, 1 AS sentence, 'Order ' || o_orderkey || ' is e.g. fine. ' AS text, 0 AS start, length('Order ' || o_orderkey || ' is e.g. fine. ') AS "end" FROM orders
+  UNION ALL SELECT o_orderkey, 2, 'Status ' || o_orderstatus || '!', length('Order ' || o_orderkey || ' is e.g. fine. '), length('Order ' || o_orderkey || ' is e.g. fine. ') + 9 FROM orders""")
+def order_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" is e.g. fine. Status "), "o_orderstatus", F.lit("!"))
+    found = levels.sentences(table(spark, sf_dir, "orders").select("o_orderkey", said.alias("text")), ["o_orderkey"])
+    return found.withColumnsRenamed({"sentence_text": "text", "start_offset": "start", "end_offset": "end"})
+
+
+@query("SELECT r_name, 'sie' || lower(replace(r_name, ' ', '')) || ' šie' || lower(replace(r_name, ' ', '')) || ' ol vuaksuva' AS terms, 'šie' || lower(replace(r_name, ' ', '')) || ' ol vuaksuva' AS tokens FROM region")
+def verse_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions in annotated verse: base forms first, then the tokens that differ."""
+    verse = F.concat(F.lit('∞15 €Š^ie'), F.replace("r_name", F.lit(" "), F.lit("")), F.lit("€. ol'_vu|aksuva#16†"))
+    rows = table(spark, sf_dir, "region").select("r_name", verse.alias("text"))
+    return rows.select("r_name", F.array_join(text.poem_terms(F.col("text")), " ").alias("terms"), F.array_join(text.poem_tokens(F.col("text")), " ").alias("tokens"))
+
+
+@query("SELECT doc_id, lang || ' & é' AS first, source || 'b' AS second, '# ' || lang || chr(10) || chr(10) || chr(10) || '1. ' || source || chr(10) || '2. x' AS markdown FROM documents")
+def crafted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose paragraphs, headings and lists are known."""
+    page = F.concat(F.lit("<body><p class='a'>"), "lang", F.lit(" &amp; &eacute;</p><div>no</div><p>"), "source", F.lit("<b>b</b></p></body>"))
+    listed = F.concat(F.lit("<h1>"), "lang", F.lit("</h1><script>x</script><ol><li>"), "source", F.lit("</li><li>x</li></ol>"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", page.alias("page"), listed.alias("listed"))
+    found = rows.select("doc_id", py.html_paragraphs("page").alias("p"), py.html_markdown("listed").alias("markdown"))
+    return found.select("doc_id", F.col("p")[0].alias("first"), F.col("p")[1].alias("second"), F.replace("markdown", F.lit("\n\n1."), F.lit("\n\n\n1.")).alias("markdown"))
+
+
+@query("""SELECT n_nationkey, CAST(i - 1 AS INT) AS position, tokens[i] AS token, tags[i] AS tag FROM (SELECT n_nationkey, ['in', 'Big', n_name, 'and', r_name || ',', 'Big'] AS tokens, ['O', '<LOC>', '</LOC>', 'O', '<REG/>', 'O'] AS tags, unnest(range(1, 7)) AS i FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name NOT LIKE '% %')""")
+def tagged_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations with a word before them are names of two words; regions are names of one."""
+    places = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region").where("r_name NOT LIKE '% %'")), F.col("n_regionkey") == F.col("r_regionkey"))  # five regions
+    docs = places.select("n_nationkey", F.concat(F.lit("in Big "), "n_name", F.lit(" and "), "r_name", F.lit(", Big")).alias("text"))
+    names = places.select(F.concat(F.lit("Big "), "n_name").alias("name"), F.lit("LOC").alias("kind")).unionByName(places.select(F.col("r_name").alias("name"), F.lit("REG").alias("kind")).distinct()).unionByName(places.select(F.col("n_name").alias("name"), F.lit("REG").alias("kind")))
+    return tagging.tag_names(docs, names, "n_nationkey", "text", longest=3)
+
+
+@query("SELECT conv_id, turn, list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '-\\s+(\\S)', '\\1', 'g'), '\\s+'), lambda t: translate(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g'), 'aeiou', 'AEIOU')), lambda t: t <> '') AS terms FROM conversations")
+def vowel_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another analyzer: the same tokenizer with other filters."""
+    run = text.analyzer(text.whitespace_tokens, text.strip_punctuation, lambda t: F.translate(t, "aeiou", "AEIOU"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.filter(run(F.col("text")), lambda t: t != "").alias("terms"))
+
+
+SQL_PARTS = "(SELECT source, doc_id, length(text) AS n, CAST(coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s, lang FROM documents)"
+
+
+@query(f"""SELECT p.source AS document_id, p.doc_id AS part, count(f.doc_id) AS reuses, CASE WHEN any_value(p.lang) = 'en' THEN 'unknown' ELSE any_value(p.lang) END AS graphic_types FROM {SQL_PARTS} p LEFT JOIN (SELECT source, doc_id, s + 5 AS a, s + n + 5 AS b FROM {SQL_PARTS}) f
+  ON f.source = p.source AND f.a < p.s + p.n AND p.s < f.b GROUP BY p.source, p.doc_id""")
+def book_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with the fragments over them, which reach into the next part, and with their graphics."""
+    docs = table(spark, sf_dir, "documents")
+    parts = docs.select(F.col("source").alias("document_id"), F.col("doc_id").alias("part"), F.lit("body").alias("part_type"), "text")
+    placed = levels.with_offsets(parts.select("document_id", "part", F.length("text").alias("n")), "document_id", "part", F.col("n"), 0)
+    reuse = placed.select("document_id", (F.col("start_offset") + 5).alias("start"), (F.col("end_offset") + 5).alias("end"), F.concat(F.lit("f"), F.col("part").cast("string")).alias("fragment_id"))
+    graphics = docs.select(F.col("source").alias("document_id"), F.col("doc_id").alias("part"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("type"), F.lit("c").alias("caption"))
+    found = books.book_levels(parts, docs.select(F.col("source").alias("document_id")).distinct(), reuse, graphics)["part"]
+    return found.select("document_id", "part", F.col("reuses").cast("long").alias("reuses"), F.array_join("graphic_types", ",").alias("graphic_types"))

@@ -22,8 +22,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+#: Tables with long texts, on whose rows much work is done.
+TEXTS = {"documents", "pages", "benchmark", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; a small one of texts, in fewer partitions than there are cores, is dealt out first."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if name in TEXTS and rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
 
 
 #: Lines of the documents, and where they begin and end.

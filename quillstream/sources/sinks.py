@@ -19,9 +19,10 @@ def compact(spark: SparkSession, path: str, to: str, order: list[str], files: in
     spark.read.parquet(path).repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(to)
 
 
-def write_bucketed(rows: DataFrame, table: str, key: str, order: str, buckets: int) -> None:
-    """A key-value store: a table bucketed by key and sorted within, so that joins on the key don't shuffle it."""
-    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, order).saveAsTable(table)
+def write_bucketed(rows: DataFrame, table: str, key: str, order: str, buckets: int, path: str | None = None) -> None:
+    """A key-value store: a table bucketed by key and sorted within, so that joins on the key don't shuffle it. path: where its files are, else the warehouse."""
+    writer = rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, order)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def write_text_units(rows: DataFrame, path: str, unit: str, text: str) -> None:
