@@ -92,6 +92,33 @@ TEXTS = {
         "and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, "
         "unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor." + _MIT_REST
     ),
+    "X11": (
+        _MIT_GRANT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+        + _MIT_REST.replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM")
+        + " Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium."
+    ),
+    "BSD-1-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. " + _DISCLAIMER
+    ),
+    "BSD-3-Clause-Clear": _BSD_TWO.replace("are permitted provided that", "are permitted (subject to the limitations in the disclaimer below) provided that") + _BSD_ENDORSE + "NO EXPRESS OR IMPLIED LICENSES TO ANY PARTY'S PATENT RIGHTS ARE GRANTED BY THIS LICENSE. " + _DISCLAIMER,
+    "PostgreSQL": (
+        "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph "
+        "and the following two paragraphs appear in all copies. IN NO EVENT SHALL THE PROVIDER BE LIABLE TO ANY PARTY FOR DIRECT, INDIRECT, SPECIAL, INCIDENTAL, OR CONSEQUENTIAL DAMAGES, INCLUDING LOST PROFITS, ARISING OUT OF THE USE OF "
+        "THIS SOFTWARE AND ITS DOCUMENTATION, EVEN IF THE PROVIDER HAS BEEN ADVISED OF THE POSSIBILITY OF SUCH DAMAGE. THE PROVIDER SPECIFICALLY DISCLAIMS ANY WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE. THE SOFTWARE PROVIDED HEREUNDER IS ON AN \"AS IS\" BASIS, AND THE PROVIDER HAS NO OBLIGATIONS TO PROVIDE MAINTENANCE, SUPPORT, UPDATES, ENHANCEMENTS, OR MODIFICATIONS."
+    ),
+    "WTFPL": (
+        "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR "
+        "COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO."
+    ),
+    "FSFAP": "Copying and distribution of this file, with or without modification, are permitted in any medium without royalty provided the copyright notice and this notice are preserved. This file is offered as-is, without any warranty.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. This work is published from the country of the author.",
+    "NTP": (
+        "Permission to use, copy, modify, and distribute this software and its documentation for any purpose with or without fee is hereby granted, provided that the above copyright notice appears in all copies and that both the "
+        "copyright notice and this permission notice appear in supporting documentation, and that the name of the trademark holder not be used in advertising or publicity pertaining to distribution of the software without specific, "
+        "written prior permission. The trademark holder makes no representations about the suitability this software for any purpose. It is provided \"as is\" without express or implied warranty."
+    ),
 }
 #: Longer notices, with their names.
 HEADERS = {

@@ -13,6 +13,9 @@ leaves of higher number only, so each pair of shards meets once. (One tree over
 radius 4 two thirds of the points cross each border: copies grow with the power 1.75 of the points. By blocks they grow
 in proportion, but for the first block's.)
 
+Beyond TREE_POINTS points a block has too few values for shards of a bounded size. Then shards go by several blocks that
+are equal: of 6 blocks any 2, of 7 any 3, and so on, with as many bits as the points ask for.
+
 Within a shard a vantage-point tree over all 64 bits of its own points answers all queries together, pruned by the same
 bounds, down to leaves that are compared bit by bit.
 
@@ -27,6 +30,7 @@ aren't read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -43,6 +47,8 @@ SHINGLE = 4
 SEED = 42
 BLOCKS = 4
 SHARD_POINTS = 8192
+#: Points beyond which a block's 16 bits leave shards too large, and shards go by several equal blocks.
+TREE_POINTS = 2**27
 SAMPLE = 20_000
 LEAF = 48
 #: Comparisons made at once.
@@ -186,10 +192,22 @@ def block_values(fp: np.ndarray, blocks: int = BLOCKS) -> list[np.ndarray]:
     return [(fp >> np.uint64(a)) & np.uint64(2 ** (b - a) - 1) for a, b in zip(at, at[1:])]
 
 
+def masks(n: int, radius: int, shard_points: int) -> list[np.uint64]:
+    """Bits in which points within `radius` agree for one mask at least, so many that a shard of n points has about `shard_points`: of b blocks, any b - radius."""
+    for b in range(radius + 2, 33):
+        k = b - radius
+        if n >> min(63, 64 * k // b) <= shard_points:
+            break
+    at = [64 * i // b for i in range(b + 1)]
+    block = [(1 << hi) - (1 << lo) for lo, hi in zip(at, at[1:])]
+    return [np.uint64(sum(block[i] for i in c)) for c in itertools.combinations(range(b), k)]
+
+
 def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POINTS, blocks: int = BLOCKS) -> DataFrame:
     """points (fp, id): distinct fingerprints -> edges (a, b) that connect exactly those within `radius` over any steps."""
     n = points.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_points))))
+    by_masks = masks(n, radius, shard_points) if n > TREE_POINTS else []
+    depth = 0 if by_masks else max(0, int(np.ceil(np.log2(max(1, n) / shard_points))))
     sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
     values = [np.unique(v) for v in block_values(sample, blocks)]
     if depth > np.log2(SAMPLE / 4):  # more leaves than the sample can tell apart: fitted on each block's whole space
@@ -203,8 +221,11 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             ids = batch.column(1).to_numpy(zero_copy_only=False)
+            for i, mask in enumerate(by_masks):  # shards that get one number are compared together
+                shard = (fp & mask) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(i) * np.uint64(0xC2B2AE3D27D4EB4F)
+                yield pa.RecordBatch.from_arrays([pa.array(shard.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(ids), pa.array(np.ones(len(fp), bool))], names=["shard", "fp", "id", "own"])
             for block, (values, (reach, router)) in enumerate(zip(block_values(fp, blocks), routers, strict=True)):
-                if reach < 0:
+                if reach < 0 or by_masks:
                     continue
                 seen = list(router.visits(values, reach))
                 home = np.zeros(len(fp), np.int32)
@@ -214,7 +235,7 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
                     keep = own | (home[who] < leaf)
                     who, own = who[keep], own[keep]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(who), first_leaf[block] + leaf, np.int32)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
+                        [pa.array(np.full(len(who), first_leaf[block] + leaf, np.int64)), pa.array(fp[who].view(np.int64)), pa.array(ids[who]), pa.array(own)], names=["shard", "fp", "id", "own"]
                     )
 
     def connect(shard: pa.Table) -> pa.Table:
@@ -226,7 +247,7 @@ def links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHARD_POI
         moved = np.flatnonzero(least != np.arange(len(ids)))
         return pa.table({"a": ids[moved], "b": ids[least[moved]]})
 
-    routed = points.select("fp", "id").mapInArrow(trimmed(route), "shard int, fp long, id long, own boolean")
+    routed = points.select("fp", "id").mapInArrow(trimmed(route), "shard long, fp long, id long, own boolean")
     return routed.groupBy("shard").applyInArrow(trimmed_group(connect), "a long, b long")
 
 

@@ -47,8 +47,9 @@ def brute_components(prints, radius=4):
     return {i: root(i) for i in ids}
 
 
-@pytest.mark.parametrize("shard_points", [8192, 16])
-def test_simhash(spark, shard_points):
+@pytest.mark.parametrize(("shard_points", "tree_points"), [(8192, 2**27), (16, 2**27), (16, 0), (1, 0)])
+def test_simhash(spark, monkeypatch, shard_points, tree_points):
+    monkeypatch.setattr(simhash, "TREE_POINTS", tree_points)
     texts = near_texts(240)
     rows = [*enumerate(texts), (900, None), (901, ""), (902, " \n"), (7, texts[7]), (None, texts[0]), (None, "quite another text than any of the others here")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fp string")
@@ -63,6 +64,17 @@ def test_simhash(spark, shard_points):
     assert simhash.components(docs.limit(0)).count() == 0
 
 
+def test_masks():
+    """Any two points that differ in 4 bits agree in one mask's bits; masks grow with the points."""
+    r = random.Random(3)
+    for n in (10, 2**28, 2**36, 2**45):
+        found = [int(m) for m in simhash.masks(n, 4, 8192)]
+        assert n / 2 ** min(m.bit_count() for m in found) <= 2 * 8192
+        for _ in range(200):
+            off = sum(1 << b for b in r.sample(range(64), 4))
+            assert any(not m & off for m in found)
+
+
 def test_block_radii():
     for radius in range(7):
         for blocks in range(1, 8):
