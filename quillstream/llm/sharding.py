@@ -24,7 +24,7 @@ from quillstream.llm.common import materialise, work_path
 
 SLOTS = 8192
 #: Parts that a slot's rows are numbered in.
-PARTS = 16
+PARTS = 8
 ROW_OVERHEAD = 16
 MAP_SCHEMA = "version int, vslot bigint, shard int, bytes bigint, n_rows bigint, start bigint"
 
@@ -142,6 +142,6 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, key: str = "doc
     spark = docs.sparkSession
     folder = folder or work_path(spark, "slot-maps")
     digests = materialise(digest(docs, key, text, slots), "shard-digests")
-    version = save_map(plan_map(slot_sizes(part_sizes(digests)), shards), folder)
+    version = save_map(materialise(plan_map(slot_sizes(part_sizes(digests)), shards), "slot-map"), folder)  # planned once
     slot_map = load_map(spark, folder, version)
     return place(digests, slot_map, key), slot_map
