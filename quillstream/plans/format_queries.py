@@ -143,7 +143,7 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_CLUSTERS = f"(SELECT md5(line) AS fragment_id, '2' || doc_id AS document_id, CAST(start_offset + 10 AS INT) AS start, CAST(end_offset + 10 AS INT) AS \"end\", line FROM (SELECT s.*, l.line FROM {SQL_SPANS} s JOIN {SQL_LINES} l USING (doc_id, line_no)) WHERE line <> '')"
 
 
-@query(f"""SELECT fragment_id, document_id, start, "end", length(line) AS content_length, count(*) OVER (PARTITION BY fragment_id) AS n, CAST(sum(length(line)) OVER (PARTITION BY fragment_id) // count(*) OVER (PARTITION BY fragment_id) AS BIGINT) AS avg_length FROM {SQL_CLUSTERS}""")
+@query(f"""SELECT fragment_id, document_id, start, "end", CAST(length(line) AS INT) AS content_length, count(*) OVER (PARTITION BY fragment_id) AS n, CAST(sum(length(line)) OVER (PARTITION BY fragment_id) // count(*) OVER (PARTITION BY fragment_id) AS BIGINT) AS avg_length FROM {SQL_CLUSTERS}""")
 def reuse_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal lines as clusters in the reuse format, read again and made fragments."""
     path = scratch.folder(spark, "clusters")
@@ -260,7 +260,7 @@ def unit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.unit_paths(divisions)
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS binding, CAST(n_regionkey + 1 AS INT) AS page, 'issue_article' AS type, 'S' || n_regionkey AS issn, n_nationkey * 0.5 AS width FROM nation")
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS binding, CAST(n_regionkey + 1 AS INT) AS page, 'issue_article' AS type, 'S' || n_regionkey AS issn, CAST(n_nationkey * 0.5 AS DOUBLE) AS width FROM nation")
 def mets_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as issues with one page each."""
     k, page = F.col("n_nationkey").cast("string"), F.lpad((F.col("n_regionkey") + 1).cast("string"), 5, "0")
@@ -296,7 +296,7 @@ def verse_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_BOOK_LINES = "(SELECT source, doc_id, line_no, line, CASE WHEN line <> '' AND (line_no = 0 OR lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) = '') THEN 1 ELSE 0 END AS begins FROM %s JOIN documents USING (doc_id))" % SQL_LINES
 
 
-@query(f"""SELECT source AS document_id, doc_id AS part, CAST(coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, length(text) AS content_length, coalesce(p.n, 0) AS paragraphs,
+@query(f"""SELECT source AS document_id, doc_id AS part, CAST(coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, CAST(length(text) AS INT) AS content_length, coalesce(p.n, 0) AS paragraphs,
   count(*) OVER (PARTITION BY source) AS parts FROM documents LEFT JOIN (SELECT doc_id, CAST(sum(begins) AS BIGINT) AS n FROM {SQL_BOOK_LINES} GROUP BY doc_id) p USING (doc_id)""")
 def book_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as books whose parts are the documents: parts with their places and numbers of paragraphs."""
@@ -348,7 +348,7 @@ def bibliography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT CAST(conv_id AS VARCHAR) AS path, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS post, role AS nick, CASE WHEN row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1 THEN 'T' ELSE 'F' END AS is_thread_starter,
-  array_to_string(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''), ' ') AS text, TIMESTAMP '2020-01-01 10:00:00' AS datetime, 3 AS views FROM conversations WHERE regexp_matches(text, '\\S')""")
+  array_to_string(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''), ' ') AS text, CAST(epoch(TIMESTAMP '2020-01-01 10:00:00') AS BIGINT) AS datetime, 3 AS views FROM conversations WHERE regexp_matches(text, '\\S')""")
 def forum_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as verticalised threads: a turn is a post of one sentence, a word a line."""
     words = F.transform(F.filter(F.split("text", r"\s+"), lambda x: x != ""), lambda w: F.concat(w, F.lit("\t_\tL\tN")))
@@ -357,7 +357,7 @@ def forum_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").where(F.col("text").rlike(r"\S")).select("conv_id", F.struct("turn", lines.alias("lines")).alias("t"))
     whole = turns.groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.flatten(F.transform(F.array_sort(F.collect_list("t")), lambda x: x["lines"])).alias("lines"))
     rows = readers.vrt_rows(whole.select("path", F.posexplode("lines").alias("line_no", "line")))
-    return media.forum_levels(rows)["post"].select("path", "post", "nick", "is_thread_starter", "text", "datetime", "views")
+    return media.forum_levels(rows)["post"].select("path", "post", "nick", "is_thread_starter", "text", F.unix_seconds("datetime").alias("datetime"), "views")
 
 
 SQL_POEM = f"(SELECT doc_id, line_no, line, CASE line_no % 4 WHEN 0 THEN 'verse' WHEN 1 THEN 'comment' WHEN 2 THEN 'caption' ELSE 'other' END AS kind FROM {SQL_LINES})"
@@ -383,7 +383,7 @@ def poems(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_ISSUES = "(SELECT source, doc_id, length(text) AS n, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place FROM documents)"
 
 
-@query(f"""SELECT source AS issue_id, doc_id AS article_id, CAST(coalesce(sum(n + 2) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, n AS content_length, CAST((70 + place % 9 + 800) // 2 AS INT) AS ocr_confidence, 2 AS pages, 18900000 AS date_start FROM {SQL_ISSUES}""")
+@query(f"""SELECT source AS issue_id, doc_id AS article_id, CAST(coalesce(sum(n + 2) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, CAST(n AS INT) AS content_length, CAST((70 + place % 9 + 800) // 2 AS INT) AS ocr_confidence, 2 AS pages, 18900000 AS date_start FROM {SQL_ISSUES}""")
 def newspaper_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources as issues whose articles are the documents, one paragraph each."""
     docs = levels.ordinals(table(spark, sf_dir, "documents").select("source", "doc_id", "lang", "text"), ["source"], "doc_id", "ordinal").withColumn("place", F.col("ordinal") - 1)
@@ -397,7 +397,7 @@ def newspaper_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT conv_id || '-' || turn AS id, CASE WHEN turn % 4 = 0 THEN 'retweet' WHEN turn % 4 = 1 THEN 'quoted' WHEN turn % 4 = 2 THEN 'reply' ELSE 'tweet' END AS type, CASE WHEN turn % 4 = 0 THEN 'RT @' || role || ': ' || text ELSE text END AS text,
-  CASE WHEN turn % 2 = 0 THEN 'true' ELSE 'unknown' END AS possibly_sensitive, 'b,a' AS hashtags, TIMESTAMP '2018-10-10 20:19:24' AS created_at, 2.5 AS lat, 'p.jpg' AS media_urls FROM conversations WHERE turn % 4 <> 2""")
+  CASE WHEN turn % 2 = 0 THEN 'true' ELSE 'unknown' END AS possibly_sensitive, 'b,a' AS hashtags, CAST(epoch(TIMESTAMP '2018-10-10 20:19:24') AS BIGINT) AS created_at, CAST(2.5 AS DOUBLE) AS lat, 'p.jpg' AS media_urls FROM conversations WHERE turn % 4 <> 2""")
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as tweets of four kinds, replies left out."""
     turn = F.col("turn") % 4
@@ -410,7 +410,7 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.folder(spark, "tweets")
     sinks.write_json(table(spark, sf_dir, "conversations").select(row.alias("t")).select("t.*"), path)
     found = media.tweets(readers.read_json_objects(spark, path, media.TWEET), skip=("reply",))
-    return found.select("id", "type", "text", "possibly_sensitive", F.array_join("hashtags", ",").alias("hashtags"), "created_at", "coordinates.lat", F.array_join("media_urls", ",").alias("media_urls"))
+    return found.select("id", "type", "text", "possibly_sensitive", F.array_join("hashtags", ",").alias("hashtags"), F.unix_seconds("created_at").alias("created_at"), "coordinates.lat", F.array_join("media_urls", ",").alias("media_urls"))
 
 
 @query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, 'Personal' AS name_type, s_name || '\\; x' AS pref_labels, 'N' || s_nationkey || ':3;Z:1' AS countries, 'alt ' || s_suppkey AS alt_labels, CASE WHEN s_suppkey % 2 = 0 THEN '1700' END AS birth_date FROM supplier""")
@@ -504,7 +504,7 @@ def paragraph_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""SELECT o_orderkey, 'a | b' AS cleaned, o_orderpriority AS trimmed, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderstatus END AS blank, regexp_replace('x<&>"', '', '') || '' AS raw_xml, 'x&lt;&amp;&gt;&quot;' AS xml, 'a\"b' AS json, 'a\;b' AS label,
   '10' || o_orderkey AS early, CASE WHEN o_orderkey % 2 = 0 THEN 'FALSE' ELSE 'TRUE' END AS flag, CASE o_orderstatus WHEN 'O' THEN 3 WHEN 'P' THEN 2 ELSE 1 END AS section, CAST('12345' || o_orderkey AS BIGINT) AS theme, 'Member' AS role, CAST(o_orderkey * 300 // 254 AS INT) AS pixels,
-  'v w' AS verse, '1234-5678' AS issn, CAST(strftime(o_orderdate, '%Y') AS INT) AS year, 'soft' AS soft, '<a x>b</a> c' AS link, o_orderpriority AS attribute, o_orderdate AS forum FROM orders""")
+  'v w' AS verse, '1234-5678' AS issn, CAST(strftime(o_orderdate, '%Y') AS INT) AS year, 'soft' AS soft, '<a x>b</a> c' AS link, o_orderpriority AS attribute, CAST(epoch(o_orderdate) AS BIGINT) AS forum FROM orders""")
 def scalar_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules on strings, each on a value that holds what the rule is about."""
     k, s = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
@@ -515,7 +515,7 @@ def scalar_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         scalars.early_book_number(F.concat(F.lit("A"), k)).alias("early"), scalars.flag_of((F.col("o_orderkey") % 2).cast("string")).alias("flag"), scalars.section_level(F.when(s == "O", "other").when(s == "P", "section").otherwise("part")).alias("section"),
         scalars.theme_number(F.concat(F.lit("T12345x"), k)).alias("theme"), scalars.role_label(F.lit("x" * 36 + "member")).alias("role"), scalars.pixels(F.col("o_orderkey")).alias("pixels"), scalars.verse(F.lit("12 v#3 [w]")).alias("verse"),
         issn.alias("issn"), year.alias("year"), scalars.soft_hyphens(F.lit("so|ft")).alias("soft"), scalars.close_links(F.lit("<a x>b c")).alias("link"), scalars.attribute(F.concat(F.lit('<t a="'), "o_orderpriority", F.lit('">')), "a").alias("attribute"),
-        scalars.forum_time(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("00:00")).alias("forum"),
+        F.unix_seconds(scalars.forum_time(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("00:00"))).alias("forum"),
     )
 
 
@@ -559,11 +559,11 @@ def sql_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT item_id AS doc_id, CAST(t.pos AS BIGINT) AS pos, t.term FROM _benchmark_items, LATERAL text_terms(text) t")
 
 
-@query("SELECT event_id, list_transform(json_extract('{\"a\": {\"k\": ' || event_id || '}, \"b\": [' || props || ', {\"c\": 1}]}', '$..k'), lambda x: CAST(x AS VARCHAR)) AS found FROM events")
+@query("SELECT event_id, array_to_string(list_transform(json_extract('{\"a\": {\"k\": ' || event_id || '}, \"b\": [' || props || ', {\"c\": 1}]}', '$..k'), lambda x: CAST(x AS VARCHAR)), ' ') AS found FROM events")
 def deep_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stands under a name, at any depth."""
     nested = F.concat(F.lit('{"a": {"k": '), F.col("event_id").cast("string"), F.lit('}, "b": ['), "props", F.lit(', {"c": 1}]}'))
-    return table(spark, sf_dir, "events").select("event_id", nested.alias("j")).select("event_id", py.deep_search("j", "k").alias("found"))
+    return table(spark, sf_dir, "events").select("event_id", nested.alias("j")).select("event_id", F.array_join(py.deep_search("j", "k"), " ").alias("found"))
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
@@ -638,8 +638,8 @@ def exact_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.align_rows(rows, pages, ["conv_id", "turn"], "needle", "page").drop("needle", "page")
 
 
-@query("""SELECT o_orderkey, 1 AS sentence, 'Order ' || o_orderkey || ' is e.g. fine. ' AS text, 0 AS start, length('Order ' || o_orderkey || ' is e.g. fine. ') AS "end" FROM orders
-  UNION ALL SELECT o_orderkey, 2, 'Status ' || o_orderstatus || '!', length('Order ' || o_orderkey || ' is e.g. fine. '), length('Order ' || o_orderkey || ' is e.g. fine. ') + 9 FROM orders""")
+@query("""SELECT o_orderkey, 1 AS sentence, 'Order ' || o_orderkey || ' is e.g. fine. ' AS text, 0 AS start, CAST(length('Order ' || o_orderkey || ' is e.g. fine. ') AS INT) AS "end" FROM orders
+  UNION ALL SELECT o_orderkey, 2, 'Status ' || o_orderstatus || '!', CAST(length('Order ' || o_orderkey || ' is e.g. fine. ') AS INT), CAST(length('Order ' || o_orderkey || ' is e.g. fine. ') + 9 AS INT) FROM orders""")
 def order_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" is e.g. fine. Status "), "o_orderstatus", F.lit("!"))
     found = levels.sentences(table(spark, sf_dir, "orders").select("o_orderkey", said.alias("text")), ["o_orderkey"])
@@ -673,11 +673,11 @@ def tagged_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_names(docs, names, "n_nationkey", "text", longest=3)
 
 
-@query("SELECT conv_id, turn, list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '-\\s+(\\S)', '\\1', 'g'), '\\s+'), lambda t: translate(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g'), 'aeiou', 'AEIOU')), lambda t: t <> '') AS terms FROM conversations")
+@query("SELECT conv_id, turn, array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '-\\s+(\\S)', '\\1', 'g'), '\\s+'), lambda t: translate(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g'), 'aeiou', 'AEIOU')), lambda t: t <> ''), ' ') AS terms FROM conversations")
 def vowel_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another analyzer: the same tokenizer with other filters."""
     run = text.analyzer(text.whitespace_tokens, text.strip_punctuation, lambda t: F.translate(t, "aeiou", "AEIOU"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.filter(run(F.col("text")), lambda t: t != "").alias("terms"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.filter(run(F.col("text")), lambda t: t != ""), " ").alias("terms"))
 
 
 SQL_PARTS = "(SELECT source, doc_id, length(text) AS n, CAST(coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s, lang FROM documents)"
