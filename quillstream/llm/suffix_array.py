@@ -6,14 +6,14 @@ import numpy as np
 
 
 def names_of(first: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(stable order, name from 1 on in order: equal rows have equal names) of rows given by their columns."""
+    """(order, name from 1 on in order: equal rows have equal names) of rows given by their columns."""
     key = first
     for column in rest:
         width = int(column.max(initial=0)) + 1
         if int(key.max(initial=0)) >= 2**62 // width:
             key = names_of(key)[1]
         key = key * width + column
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ordered = key[order]
     names = np.empty(len(key), np.int64)
     names[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]]) if len(key) else 0
@@ -50,7 +50,7 @@ def suffix_array(s: np.ndarray, prefix: int) -> np.ndarray:
     most = len(cover) + 2
     symbols = int(t.max()) + 1
     key0 = t[zeros] * most + rank[zeros + 1]
-    at0 = np.argsort(key0, kind="stable")
+    at0 = np.argsort(key0)
     zeros, key0 = zeros[at0], key0[at0]
     is_one = sorted12 % 3 == 1
     one, two = sorted12[is_one], sorted12[~is_one]

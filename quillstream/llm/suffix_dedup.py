@@ -128,7 +128,7 @@ class Block:
         found = [stretches(self.raw, self.ends, a, min(len(self.raw), a + CHUNK)) for a in range(0, len(self.raw), CHUNK)] or [(np.zeros(0, np.int64),) * 4]
         self.first, self.last, anchor, content = (np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
         self.doc = self.ids[np.searchsorted(self.ends, self.first, side="right")]
-        order = np.lexsort((content, anchor))
+        order = content_order(anchor, content)
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0)
         new = parted(self.raw, self.first[order], self.last[order] + WINDOW - self.first[order], new)
@@ -140,6 +140,14 @@ class Block:
         self.several = (np.maximum.reduceat(self.doc[order], begin) > self.least if len(begin) else self.doc).astype(np.int64)
 
 
+def content_order(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Order by anchor, equal contents together: by one number with a part of the content's hash, unless that part is equal where the whole isn't."""
+    key = (anchor << (63 - ANCHOR_BITS)) | (content & ((1 << (63 - ANCHOR_BITS)) - 1))
+    order = np.argsort(key)
+    alike = (np.diff(key[order]) == 0) & (np.diff(content[order]) != 0)
+    return np.lexsort((content, anchor)) if alike.any() else order
+
+
 def gathered(text: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """text[b : b + l] of each place, one after the other."""
     return text[np.repeat(begin - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())] if len(begin) else text[:0]
@@ -247,7 +255,7 @@ def decide(bucket: pa.Table) -> pa.Table:
     anchor = np.concatenate([np.cumsum(f[0]) for f in found])
     least, several, place = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
     source = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-    order = np.argsort(anchor, kind="stable")
+    order = np.argsort(anchor)
     begin = np.flatnonzero(np.r_[True, np.diff(anchor[order]) != 0])
     shared = (np.minimum.reduceat(least[order], begin) < np.maximum.reduceat(least[order], begin)) | (np.maximum.reduceat(several[order], begin) > 0)
     where = np.sort(order[np.repeat(shared, np.diff(np.r_[begin, len(order)]))])
@@ -320,7 +328,7 @@ def compare(bucket: pa.Table) -> pa.Table:
     text = np.frombuffer(b"".join(f[1] for f in found), np.uint8)
     del found
     begin = np.r_[0, np.cumsum(length)[:-1]]
-    order = np.lexsort((content, anchor))
+    order = content_order(anchor, content)
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(content[order]) != 0)
     new = parted(text, begin[order], length[order], new)
