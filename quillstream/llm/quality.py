@@ -176,7 +176,7 @@ def added(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """(hi, lo, count, holder) lists as one, in the order of the hashes."""
     hi, lo, n, holder = (np.concatenate(x) for x in zip(*found, strict=True))
     h = hashed(hi, lo)
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     begin = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
     return hi[order[begin]], lo[order[begin]], np.add.reduceat(n[order], begin), common(holder[order], begin)
 
@@ -221,7 +221,7 @@ def counted(texts: list[str]) -> tuple[np.ndarray, ...]:
         alike, kind = np.unique(signature[order[numbers]], return_inverse=True)
         if len(alike) < len(numbers):
             key = of * len(alike) + kind[part]
-            by = np.argsort(key, kind="stable")
+            by = np.argsort(key)
             begin = np.flatnonzero(np.r_[True, np.diff(key[by]) > 0])
             of, count, part = of[by[begin]], np.maximum.reduceat(count[by], begin), part[by[begin]]
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
@@ -237,6 +237,8 @@ def losses(texts: list[str], logp: np.ndarray) -> np.ndarray:
     hashes = np.zeros(0, np.uint64)
     for _, (hi, lo, *_) in pieces or made():
         hashes = np.union1d(hashes, hashed(hi, lo))
+    if len(logp) != len(hashes):
+        raise ValueError("the texts aren't those that the model was asked about: they have to be the same each time they are read")
     total = np.zeros(len(texts))
     for numbers, (hi, lo, of, part, count) in pieces or made():
         own = logp[np.searchsorted(hashes, hashed(hi, lo))].astype(np.float64)
@@ -265,7 +267,7 @@ def repeated_words(words: list[bytes]) -> int:
     else:  # their product wouldn't fit
         pairs = np.unique(ids[:-2] * len(number) + ids[1:-1], return_inverse=True)[1]
         windows = pairs * len(number) + ids[2:]
-    order = np.argsort(windows, kind="stable")
+    order = np.argsort(windows)
     same = windows[order[1:]] == windows[order[:-1]]
     if not same.any():
         return 0
@@ -445,7 +447,7 @@ def arrays(model: DataFrame, shards: int) -> DataFrame:
 
     def one(rows: pa.Table) -> pa.Table:
         h = rows.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h, kind="stable")
+        order = np.argsort(h)
         body = pack(h[order].view(np.int64), text=rows.column("logp").to_numpy()[order].astype("<f4").tobytes())
         return pa.table({"lang": rows.column("lang").slice(0, 1), "shard": rows.column("shard").slice(0, 1), "kind": pa.array([0], pa.int32()), "unit": pa.array([0], pa.int64()), "body": pa.array([body], pa.binary())})
 
