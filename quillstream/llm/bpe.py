@@ -100,7 +100,7 @@ class Codec:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         places = np.flatnonzero((self.pairs[at] == key) & (start[:-1] >= 0) & (start[1:] >= 0))
         ranks = self.pair_ranks[at[places]]
-        order = np.argsort(ranks, kind="stable")
+        order = np.argsort(ranks)
         places, ranks = places[order], ranks[order]
         cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(ranks) else np.zeros(0, np.int64)
         active: list[int] = ranks[cuts].tolist()  # in order, so a heap
