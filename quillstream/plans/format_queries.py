@@ -80,8 +80,7 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.folder(spark, "collections")
     table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")).write.parquet(f"{path}/a")
     table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")).write.parquet(f"{path}/b")
-    at = path.removeprefix("file:") if path.startswith("file:") else path  # a colon parts an argument
-    return readers.read_collections(spark, [f"{at}/a:n", f"{at}/b+:r"], lambda s, p: s.read.schema("id int, name string").parquet(p))
+    return readers.read_collections(spark, [f"{path}/a:n", f"{path}/b+:r"], lambda s, p: s.read.schema("id int, name string").parquet(p))
 
 
 @query("SELECT doc_id, source, n_chars FROM documents")

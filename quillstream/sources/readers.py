@@ -32,7 +32,7 @@ def read_collections(spark: SparkSession, arguments: list[str], read) -> DataFra
     """Rows of several path:collection arguments (a + after the path sets guess_paragraphs), each with its constants."""
     parts = []
     for a in arguments:
-        path, _, collection = a.partition(":")
+        path, _, collection = a.rpartition(":")  # a path may have a scheme
         guess = path.endswith("+")
         parts.append(read(spark, path.removesuffix("+")).withColumn("collection_id", F.lit(collection)).withColumn("guess_paragraphs", F.lit(guess)))
     return reduce(DataFrame.unionByName, parts)
