@@ -11,14 +11,16 @@ that can be equal, and it is distributed by content:
    bytes on average). Stretches of a block with equal bytes are one entry, and each entry's anchor hash is shuffled.
 3. Candidates. An anchor that only one document has can't be on a repeated window. Of all others, every block sends the
    text of its entries. Hashes decide nothing else: a false match only sends a text in vain.
+   Near copies of one text that differ in one place all have the anchors around it, each with a text of its own. Such
+   anchors, with more than DIFFERENT entries in one block or MANY in all, are hot: their windows are sent one by one, to
+   where the window's own hash says, so that no task gets an anchor whole.
 4. Suffix order. The texts meet by anchor. Equal ones, byte for byte, are one string from there; the strings' suffixes
    are sorted by the difference-cover algorithm: sampled triples, recursion on their names, the remaining suffixes
    merged in. Neighbours in that order with equal prefixes of WINDOW bytes are the same window, and the least document
    of each window is told to the blocks that hold it.
 5. Blocks again: every window marks its bytes if an earlier document has it.
 
-Buckets hold BUCKET_BYTES of text on average, whatever the input's size; one bucket sorts at most SORT_BYTES at once,
-but for an anchor that has more different strings by itself.
+Buckets hold BUCKET_BYTES of text on average, whatever the input's size; one bucket sorts about SORT_BYTES at once.
 
 A null or empty text has no bytes; texts of any length are whole, long ones are searched in overlapping chunks. A null
 id counts as larger than all others. Rows with one id are one document: they don't remove from each other. Empty
@@ -50,6 +52,9 @@ BUCKET_BYTES = 2_000_000
 SORT_BYTES = 500_000
 FINER = 2
 NO_ID = 2**63 - 1
+DIFFERENT, MANY = 32, 100_000
+#: Windows that are gathered at once.
+WINDOWS = 200_000
 #: Hash bits of an anchor; the lower bits of its key are its place in a chunk.
 ANCHOR_BITS, PLACE_BITS = 41, 23
 PLACE = np.uint64(2**PLACE_BITS - 1)
@@ -139,6 +144,31 @@ class Block:
         self.least = np.minimum.reduceat(self.doc[order], begin) if len(begin) else self.doc
         self.several = (np.maximum.reduceat(self.doc[order], begin) > self.least if len(begin) else self.doc).astype(np.int64)
 
+    def windows_of(self, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(entry, offset) of every window of all entries on the anchors that some entries are on, about WINDOWS at once."""
+        anchor = np.unique(self.anchor[place])
+        a, b = np.searchsorted(self.anchor, anchor), np.searchsorted(self.anchor, anchor, side="right")
+        entry = np.repeat(a - np.r_[0, np.cumsum(b - a)[:-1]], b - a) + np.arange((b - a).sum()) if len(anchor) else anchor
+        n = self.last[self.example[entry]] + 1 - self.first[self.example[entry]]
+        cut = np.flatnonzero(np.r_[True, np.diff(np.cumsum(n) // WINDOWS) > 0]) if len(entry) else []
+        for x, y in zip(cut, [*cut[1:], len(entry)]):
+            own, m = entry[x:y], n[x:y]
+            yield np.repeat(own, m), np.arange(m.sum()) - np.repeat(np.r_[0, np.cumsum(m)[:-1]], m)
+
+    def told(self) -> tuple[np.ndarray, ...]:
+        """anchor, least document, whether there are several, place, hot of each entry; the entries of an anchor with more than DIFFERENT as one, at the first's place."""
+        n = len(self.anchor)
+        if not n:
+            return (np.zeros(0, np.int64),) * 5
+        first = np.flatnonzero(np.r_[True, np.diff(self.anchor) != 0])
+        size = np.diff(np.r_[first, n])
+        hot = np.repeat(size > DIFFERENT, size)
+        keep = ~hot
+        keep[first] = True
+        least = np.where(hot, np.repeat(np.minimum.reduceat(self.least, first), size), self.least)
+        several = np.where(hot, np.repeat((np.maximum.reduceat(self.least, first) > np.minimum.reduceat(self.least, first)) | (np.maximum.reduceat(self.several, first) > 0), size), self.several)
+        return self.anchor[keep], least[keep], several[keep].astype(np.int64), np.flatnonzero(keep), hot[keep].astype(np.int64)
+
 
 def content_order(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
     """Order by anchor, equal contents together: by one number with a part of the content's hash, unless that part is equal where the whole isn't."""
@@ -235,38 +265,63 @@ def part_rows(rows: list[tuple]) -> pa.Table:
 
 
 def anchors(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, kind 0: anchors, least documents, whether there are several, places) of each block's entries."""
+    """(block, bucket, kind 0: anchors, least documents, whether there are several, places, whether hot) of each block's entries; a hot anchor's are one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, ends, body in rows_of(batches):
             own = Block(ids, ends, body)
             rows = []
-            for bucket, k in bucket_slices(own.anchor, buckets):
-                rows.append((number, bucket, 0, pack(np.diff(own.anchor[k], prepend=0), own.least[k], own.several[k], np.arange(k.start, k.stop))))
+            anchor, least, several, place, hot = own.told()
+            for bucket, k in bucket_slices(anchor, buckets):
+                rows.append((number, bucket, 0, pack(np.diff(anchor[k], prepend=0), least[k], several[k], place[k], hot[k])))
             yield from part_rows(rows).to_batches()
 
     return blocks.select("block", "ids", "ends", "body").mapInArrow(trimmed(run), PART)
 
 
 def decide(bucket: pa.Table) -> pa.Table:
-    """For each block (kind 1): the places of its entries on anchors that several documents have."""
+    """For each block (kind 1): the places of its entries on anchors that several documents have, and whether those are hot."""
     numbers = bucket.column("block").to_pylist()
-    found = [unpack(p, 4)[0] for p in bucket.column("part").to_pylist()]
+    found = [unpack(p, 5)[0] for p in bucket.column("part").to_pylist()]
     anchor = np.concatenate([np.cumsum(f[0]) for f in found])
-    least, several, place = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3))
+    least, several, place, hot = (np.concatenate([f[i] for f in found]) for i in (1, 2, 3, 4))
     source = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
     order = np.argsort(anchor)
     begin = np.flatnonzero(np.r_[True, np.diff(anchor[order]) != 0])
     shared = (np.minimum.reduceat(least[order], begin) < np.maximum.reduceat(least[order], begin)) | (np.maximum.reduceat(several[order], begin) > 0)
-    where = np.sort(order[np.repeat(shared, np.diff(np.r_[begin, len(order)]))])
+    size = np.diff(np.r_[begin, len(order)])
+    hot[order] = np.repeat((np.maximum.reduceat(hot[order], begin) > 0) | (size > MANY), size)
+    where = np.sort(order[np.repeat(shared, size)])
     cut = np.searchsorted(source[where], np.arange(len(found) + 1))
-    return part_rows([(number, bucket.column("bucket")[0].as_py(), 1, pack(np.diff(place[where[a:b]], prepend=0))) for number, a, b in zip(numbers, cut, cut[1:]) if b > a])
+    return part_rows([(number, bucket.column("bucket")[0].as_py(), 1, pack(np.diff(place[where[a:b]], prepend=0), hot[where[a:b]])) for number, a, b in zip(numbers, cut, cut[1:]) if b > a])
 
 
 def opened(left: pa.Table) -> Block:
     return Block(left.column("ids")[0].as_py(), left.column("ends")[0].as_py(), left.column("body")[0].as_py())
 
 
+def window_hashes(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows that begin somewhere, in the forms of an anchor's and of a content's."""
+    words = np.zeros((len(begin), -(-WINDOW // 8) * 8), np.uint8)
+    words[:, :WINDOW] = raw[begin[:, None] + np.arange(WINDOW)]
+    h = np.full(len(begin), 0x243F6A8885A308D3, np.uint64)
+    for column in words.view("<u8").T:
+        h = (h ^ column) * MIX[0]
+        h ^= h >> np.uint64(29)
+    h *= MIX[3]
+    h ^= h >> np.uint64(32)
+    return (h >> np.uint64(64 - ANCHOR_BITS)).astype(np.int64), (h & np.uint64(2**48 - 1)).astype(np.int64)
+
+
+def sent_rows(own: Block, number: int, buckets: int, anchor: np.ndarray, content: np.ndarray, entry: np.ndarray, offset: np.ndarray, begin: np.ndarray, length: np.ndarray) -> list[tuple]:
+    """Rows of texts by bucket, from columns in the anchors' order."""
+    rows = []
+    for bucket, k in bucket_slices(anchor, buckets * FINER):
+        e = entry[k]
+        rows.append((number, bucket, 3, pack(np.diff(anchor[k], prepend=0), content[k], own.least[e], own.several[e], np.diff(e, prepend=0), length[k], offset[k], text=gathered(own.raw, begin[k], length[k]).tobytes())))
+    return rows
+
+
 def senders(buckets: int):
     """Map of a block and its candidates: the entries' texts, by bucket."""
 
@@ -274,12 +329,16 @@ def senders(buckets: int):
         rows: list[tuple] = []
         if left.num_rows and right.num_rows:
             own = opened(left)
-            sent = np.sort(np.concatenate([np.cumsum(unpack(p, 1)[0][0]) for p in right.column("part").to_pylist()]))
-            for bucket, k in bucket_slices(own.anchor[sent], buckets * FINER):
-                e = sent[k]
-                begin = own.first[own.example[e]]
-                length = own.last[own.example[e]] + WINDOW - begin
-                rows.append((left.column("block")[0].as_py(), bucket, 3, pack(np.diff(own.anchor[e], prepend=0), own.content[e], own.least[e], own.several[e], np.diff(e, prepend=0), length, text=gathered(own.raw, begin, length).tobytes())))
+            told = [unpack(p, 2)[0] for p in right.column("part").to_pylist()]
+            place, hot = np.concatenate([np.cumsum(t[0]) for t in told]), np.concatenate([t[1] for t in told]) > 0
+            number, sent = left.column("block")[0].as_py(), np.sort(place[~hot])
+            begin = own.first[own.example[sent]]
+            rows += sent_rows(own, number, buckets, own.anchor[sent], own.content[sent], sent, np.zeros(len(sent), np.int64), begin, own.last[own.example[sent]] + WINDOW - begin)
+            for entry, offset in own.windows_of(place[hot]):
+                begin = own.first[own.example[entry]] + offset
+                anchor, content = window_hashes(own.raw, begin)
+                order = np.argsort(anchor)
+                rows += sent_rows(own, number, buckets, anchor[order], content[order], entry[order], offset[order], begin[order], np.full(len(begin), WINDOW))
         return part_rows(rows)
 
     return run
@@ -321,9 +380,9 @@ def earlier_windows(least: np.ndarray, length: np.ndarray, text: np.ndarray) ->
 
 def compare(bucket: pa.Table) -> pa.Table:
     """Texts of a bucket's candidates -> (kind 4) for each block, runs of windows that an earlier document has: (place of the entry, offset, windows, document)."""
-    found = [unpack(p, 6) for p in bucket.column("part").to_pylist()]
+    found = [unpack(p, 7) for p in bucket.column("part").to_pylist()]
     anchor, place = (np.concatenate([np.cumsum(f[0][i]) for f in found]) for i in (0, 4))
-    content, least, several, length = (np.concatenate([f[0][i] for f in found]) for i in (1, 2, 3, 5))
+    content, least, several, length, shift = (np.concatenate([f[0][i] for f in found]) for i in (1, 2, 3, 5, 6))
     source = np.repeat(np.arange(len(found)), [len(f[0][0]) for f in found])
     text = np.frombuffer(b"".join(f[1] for f in found), np.uint8)
     del found
@@ -356,7 +415,7 @@ def compare(bucket: pa.Table) -> pa.Table:
     edges = np.searchsorted(source[entry], np.arange(bucket.num_rows + 1))
     for block, a, b in zip(bucket.column("block").to_pylist(), edges, edges[1:]):
         if b > a:
-            rows.append((block, bucket.column("bucket")[0].as_py(), 4, pack(np.diff(place[entry[a:b]], prepend=0), offset[at[a:b]], n[at[a:b]], document[at[a:b]])))
+            rows.append((block, bucket.column("bucket")[0].as_py(), 4, pack(np.diff(place[entry[a:b]], prepend=0), offset[at[a:b]] + shift[entry[a:b]], n[at[a:b]], document[at[a:b]])))
     return part_rows(rows)
 
 

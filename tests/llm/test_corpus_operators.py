@@ -136,7 +136,22 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.removals(docs.limit(0)).count() == 0
 
 
-def test_hashes_decide_nothing(spark, monkeypatch):
+def test_hot_anchors(spark):
+    """Many near copies that differ in one place, in each of several blocks: their windows are sent apart."""
+    r = random.Random(13)
+    whole = "".join(r.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, whole[:200] + f" {r.randrange(10**9)} " + whole[200:]) for i in range(300)] + [(1000 + i, whole[150:260]) for i in range(5)]
+    rows += [(2000 + i, "".join(r.choice("xyz ") for _ in range(120))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    own = suffix_dedup.Block(np.arange(300).astype("<i8").tobytes(), np.cumsum([len(t) for _, t in rows[:300]]).astype("<i8").tobytes(), __import__("zstandard").ZstdCompressor().compress("".join(t for _, t in rows[:300]).encode()))
+    assert own.told()[4].any()  # there are hot ones
+    for sizes in ({}, {"block_bytes": 20_000, "bucket_bytes": 5000}):
+        got = sorted((q.doc_id, q.n_bytes, q.n_removed, q.n_spans, q.kept_sha256) for q in suffix_dedup.removals(docs, **sizes).collect())
+        assert got == brute_removals(rows)
+
+
+@pytest.mark.parametrize("different", [32, 1, 0])
+def test_hashes_decide_nothing(spark, monkeypatch, different):
     """With hashes that hardly differ all results are the same: bytes and the suffix order decide."""
     plain = suffix_dedup.stretches
 
@@ -145,6 +160,8 @@ def test_hashes_decide_nothing(spark, monkeypatch):
         return first, last, anchor & ~((1 << (suffix_dedup.ANCHOR_BITS - 2)) - 1), content * 0
 
     monkeypatch.setattr(suffix_dedup, "stretches", weak)
+    monkeypatch.setattr(suffix_dedup, "DIFFERENT", different)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", 50)
     r = random.Random(12)
     passage = "".join(r.choice("abcdefgh ") for _ in range(200))
     rows = [(i, "".join(r.choice("abc ") for _ in range(r.choice([0, 60, 200]))) + passage[r.randrange(60) : 90 + r.randrange(90)] * r.choice([0, 1, 2])) for i in range(40)]
@@ -155,7 +172,7 @@ def test_hashes_decide_nothing(spark, monkeypatch):
         bodies = [t.encode() for _, t in b]
         own.append((np.array([i for i, _ in b], "<i8").tobytes(), np.cumsum([len(x) for x in bodies]).astype("<i8").tobytes(), __import__("zstandard").ZstdCompressor().compress(b"".join(bodies))))
     opened = [suffix_dedup.Block(*x) for x in own]
-    packed = [suffix_dedup.pack(np.diff(o.anchor, prepend=0), o.least, o.several, np.arange(len(o.anchor))) for o in opened]
+    packed = [suffix_dedup.pack(np.diff(x[0], prepend=0), *x[1:]) for x in (o.told() for o in opened)]
     told = suffix_dedup.decide(suffix_dedup.part_rows([(k, 0, 0, p) for k, p in enumerate(packed)]))
     left = [suffix_dedup.pa.table({"block": [k], "ids": [x[0]], "ends": [x[1]], "body": [x[2]]}) for k, x in enumerate(own)]
     send = suffix_dedup.senders(1)
