@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quillstream.llm.decontamination import LOWER, UPPER, WINDOW_WORDS
+from quillstream.llm.quality import MAX_REPEATED, MIN_WORDS
 from quillstream.llm.suffix_dedup import WINDOW
 from quillstream.llm.warc import DEDUP_BYTES
 
@@ -49,4 +50,18 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= {DE
   array_to_string(list_filter(string_split_regex(url, '\\s+'), lambda x: x <> ''), ' ') AS target FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op5_decontamination": DECONTAMINATION, "op7_warc": WARC}
+WORD = "[^\\x20\\x09-\\x0D]"
+
+QUALITY_COUNTS = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS ws FROM documents),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+w AS MATERIALIZED (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+g AS (SELECT doc_id, g FROM w GROUP BY doc_id, g HAVING count(*) > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM w JOIN g USING (doc_id, g)) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+  coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(ws) < {MIN_WORDS} OR 100 * coalesce(r.n, 0) > {int(100 * MAX_REPEATED)} * len(ws) AS base_failed FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
+"""
+
+SHARD_LAWS = "SELECT count(*) AS n_rows, CAST(sum(octet_length(encode(coalesce(text, ''))) + 16) AS BIGINT) AS bytes, CAST(least(40, count(*)) AS BIGINT) AS shards, true AS gapless, true AS even FROM documents"
+
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op5_decontamination": DECONTAMINATION, "op7_warc": WARC, "quality_base_counts": QUALITY_COUNTS, "shard_laws": SHARD_LAWS}

@@ -34,7 +34,8 @@ def test_query(spark, name):
 def test_odd_rows(spark, name, tmp_path):
     passage = "Überall one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
     docs = [(1, passage), (2, f"x {passage.upper()} y"), (3, None), (4, ""), (5, passage * 40), (6, "a" * 300), (7, "é" * 200), (8, f"{passage}|{passage}"), (9, "one"), (10, "aé" * 100)]
-    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs += [(11, "# one *two*\n\n \n# one *two*\nà b c à b c\x0bd"), (12, "w " * 60)]
+    spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, passage), (2, "One!"), (3, None), (4, ", "), (5, f"{passage} more")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     pages = [(1, "http://a.b/ x", "z" * 2000), (2, None, "z" * 2000), (3, "u", None), (4, "u", "z" * 999), (5, "u", "z" * 999), (6, "v", "é" * 500)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
