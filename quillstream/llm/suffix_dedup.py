@@ -113,7 +113,8 @@ def stretches(raw: np.ndarray, ends: np.ndarray, a: int, b: int) -> tuple[np.nda
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (whole[1:] != whole[:-1])])
     last = np.r_[first[1:], n_windows] - 1
     first, last = first[whole[first]], last[whole[first]]
-    anchor = (key[first] >> np.uint64(PLACE_BITS)).astype(np.int64)
+    # least hashes are small ones; mixed once more they are dealt evenly to the buckets
+    anchor = (((key[first] >> np.uint64(PLACE_BITS)) * MIX[0]) & np.uint64(2**ANCHOR_BITS - 1)).astype(np.int64)
     before = np.zeros(n + 1, np.uint64)  # polynomial hash of the bytes before each place
     np.cumsum(BYTE[body] * powers(n, pow(BASE, -1, 2**64)), out=before[1:])
     content = (before[last + WINDOW] - before[first]) * powers(n, BASE)[first]
