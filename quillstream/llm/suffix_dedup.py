@@ -48,7 +48,7 @@ WINDOW = 50
 ANCHOR = 20
 BLOCK_BYTES = 8_000_000
 CHUNK = 500_000
-BUCKET_BYTES = 2_000_000
+BUCKET_BYTES = 8_000_000
 SORT_BYTES = 500_000
 FINER = 2
 NO_ID = 2**63 - 1
