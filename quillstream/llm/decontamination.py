@@ -34,6 +34,8 @@ SHINGLE_WORDS = 3
 SLICE_BYTES = 32_000_000
 #: A broadcast row's bytes beside its strings.
 ROW_BYTES = 64
+#: Bytes of items whose windows make a file.
+ITEM_BYTES = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words, before lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -128,9 +130,9 @@ def matches(docs: DataFrame, windows: DataFrame, size: int, key: str, text: str,
 
 def scan(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document row: doc_id, n_words, n_hit, n_items, item_ids (sorted strings), spans (merged), contaminated."""
-    windows = materialise(window_shingles(item_windows(items)).coalesce(8), "benchmark-shingles")
+    windows = materialise(right_sized(window_shingles(item_windows(items)), items, ITEM_BYTES), "benchmark-shingles")
     sizes = sorted({SHINGLE_WORDS, *(r.k for r in windows.select("k").distinct().collect())})
-    prefixes = materialise(rarest(docs, windows, key, text).coalesce(8), "benchmark-prefixes")
+    prefixes = materialise(right_sized(rarest(docs, windows, key, text), items, ITEM_BYTES), "benchmark-prefixes")
     size = F.octet_length("window_text") + F.aggregate("item_ids", F.lit(ROW_BYTES), lambda n, x: n + F.octet_length(x) + 16)
     slices = max(1, -(-prefixes.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0] // SLICE_BYTES))
     parts = []
