@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.common import forget, grouped, materialise, pack, right_sized, rows_of, trimmed, trimmed_group, unpack
@@ -54,6 +54,8 @@ HIGH_SPREADS, HIGH_LEAST = 10.0, 0.9
 #: Distinct texts that a band is made of, if the language has so many; one of n texts is 1 + FEW / n times as wide.
 LEAST_TEXTS = 200
 FEW = 10
+#: Medians are exact to this part of a nat.
+STEPS = 10_000
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
 UNIT_BYTES = 8_000_000
@@ -530,9 +532,20 @@ def bands(scored: DataFrame) -> DataFrame:
     pool = scored.sparkSession.createDataFrame(pools(sizes, LEAST_TEXTS), "model_lang string, pool int, length_group int")
     scale = F.sqrt(F.pow(F.lit(2.0), F.col("length_group") - F.col("pool")))  # a neighbour's spread at this length
     good = good.join(F.broadcast(pool), ["model_lang", "length_group"]).select("model_lang", F.col("pool").alias("length_group"), "loss", scale.alias("scale"))
-    middle = good.groupBy("model_lang", "length_group").agg(F.percentile_approx("loss", 0.5, 10_000).alias("middle"))
-    off = good.join(F.broadcast(middle), ["model_lang", "length_group"]).withColumn("off", F.abs(F.col("loss") - F.col("middle")) * F.col("scale"))
-    return off.groupBy("model_lang", "length_group").agg(F.first("middle").alias("middle"), (1.4826 * F.percentile_approx("off", 0.5, 10_000)).alias("spread"), (1 + FEW / F.count(F.lit(1))).alias("wider"))
+    cell = ["model_lang", "length_group"]
+    middle = medians(good, cell, F.col("loss"), "middle")
+    off = good.join(F.broadcast(middle), cell).withColumn("off", F.abs(F.col("loss") - F.col("middle")) * F.col("scale"))
+    spread = medians(off, cell, F.col("off"), "off").withColumn("spread", 1.4826 * F.col("off")).drop("off")
+    counts = good.groupBy(*cell).agg((1 + FEW / F.count(F.lit(1))).alias("wider"))
+    return middle.join(spread, cell).join(counts, cell)
+
+
+def medians(rows: DataFrame, cell: list[str], value: Column, name: str) -> DataFrame:
+    """cell, the lower median of the values to 1 / STEPS, by exact counts: the same in each run. A loss is below 20 nats, so a cell has 20 * STEPS different values at most."""
+    counted = rows.groupBy(*cell, F.round(value * STEPS).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*cell)
+    placed = counted.select(*cell, "v", F.sum("n").over(whole.orderBy("v")).alias("until"), F.sum("n").over(whole).alias("all"))
+    return placed.where(2 * F.col("until") >= F.col("all")).groupBy(*cell).agg((F.min("v") / STEPS).alias(name))
 
 
 def judged_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
