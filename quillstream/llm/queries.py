@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import bpe, decontamination, licenses, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from quillstream.llm import bpe, chat, decontamination, licenses, merkle, quality, ranking, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from quillstream.llm.common import table
 from quillstream.llm.sql import ORACLE_SQL  # noqa: F401  offered beside the queries
 
@@ -54,6 +54,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.judge(table(spark, sf_dir, "documents")))
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranking.best_lines(spark.read.parquet(f"{sf_dir}/sale_lines.parquet"))
+    return found.select(*(F.col(c).cast("long").alias(c) for c in ("vendor_id", "part", "month", "pos")), F.col("pos").cast("long").alias("place"),
+                        *(F.col(c).cast("long").alias(c) for c in ("sale_id", "line_no", "quantity", "percent", "amount_cents", "tied", "rank", "dense")))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = [F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")]
+    more = spark.range(2).select(*row, F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.round_trip(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op10_quality SQL can express."""
     return op10_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -80,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_ranking": op11_ranking,
+    "op12_chat": op12_chat,
+    "op13_merkle": op13_merkle,
     "quality_base_counts": quality_base_counts,
     "shard_laws": shard_laws,
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from quillstream.llm.chat import TEMPLATE
 from quillstream.llm.decontamination import LOWER, UPPER, WINDOW_WORDS
+from quillstream.llm.merkle import FANOUT
 from quillstream.llm.quality import MAX_REPEATED, MIN_WORDS
 from quillstream.llm.suffix_dedup import WINDOW
 from quillstream.llm.warc import DEDUP_BYTES
@@ -64,4 +66,69 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_t
 
 SHARD_LAWS = "SELECT count(*) AS n_rows, CAST(sum(octet_length(encode(coalesce(text, ''))) + 16) AS BIGINT) AS bytes, CAST(least(40, count(*)) AS BIGINT) AS shards, true AS gapless, true AS even FROM documents"
 
-ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op5_decontamination": DECONTAMINATION, "op7_warc": WARC, "quality_base_counts": QUALITY_COUNTS, "shard_laws": SHARD_LAWS}
+#: crc32 of a short ASCII text: the table by its rule, then byte by byte.
+CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS tab)"
+
+
+def crc32(column: str) -> str:
+    """Over a relation that CRC_TABLE is joined to."""
+    codes = f"list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {codes}), lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])))"
+
+
+RANKING = f"""
+WITH s AS (SELECT sale_id, {crc32('sale_id')} % 5 = 0 AS whole FROM (SELECT DISTINCT sale_id FROM sale_lines WHERE sale_id IS NOT NULL), {CRC_TABLE}),
+l AS (SELECT CASE WHEN whole THEN -1 ELSE vendor_id END AS vendor_id, CASE WHEN whole THEN -1 ELSE coalesce(item_id % 5, -1) END AS part, CASE WHEN whole THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END AS month,
+  l.sale_id, CAST(line_no AS BIGINT) AS line_no, CAST(quantity AS BIGINT) AS quantity, CAST(floor(100 * discount + 0.5) AS BIGINT) AS percent, CAST(floor(100 * amount + 0.5) AS BIGINT) AS amount_cents, floor(quantity / 10) AS tens
+  FROM sale_lines l LEFT JOIN s USING (sale_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS FIRST, percent NULLS FIRST, sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+  rank() OVER p AS rank, dense_rank() OVER p AS dense, count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied FROM l WINDOW p AS (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS FIRST, percent NULLS FIRST))
+SELECT vendor_id, CAST(part AS BIGINT) AS part, CAST(month AS BIGINT) AS month, pos, pos AS place, sale_id, line_no, quantity, percent, amount_cents, tied, rank, dense FROM r WHERE pos <= 2
+"""
+
+
+def escaped(column: str) -> str:
+    return f"regexp_replace({column}, '{TEMPLATE.pattern('')}', '\\1\\\\\\2\\3', 'g')"
+
+
+CHAT = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({escaped('role')}) + length({escaped('text')}) + {len(TEMPLATE.turn + TEMPLATE.text + TEMPLATE.end)}) AS BIGINT) AS formatted_chars FROM c GROUP BY conv_id
+"""
+
+
+def merkle_tree(name: str, rows: str, levels: int) -> str:
+    """CTEs over `rows` (g, i, n, h, start): {name}_f has the root h, the siblings' text and what start folds to, for each g and i."""
+    out = [f"{name}0 AS MATERIALIZED ({rows})"]
+    for k in range(levels):
+        near = f"OVER (PARTITION BY g, i // {FANOUT} ORDER BY i ROWS BETWEEN"
+        out.append(f"{name}s{k} AS MATERIALIZED (SELECT g, i, n, h, coalesce(string_agg(h, '') {near} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b, coalesce(string_agg(h, '') {near} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {name}{k})")
+        out.append(f"{name}{k + 1} AS MATERIALIZED (SELECT g, i // {FANOUT} AS i, any_value((n + {FANOUT - 1}) // {FANOUT}) AS n, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY g, i // {FANOUT})")
+    fold, joined = "start", f"{name}0 t"
+    for k in range(levels):
+        fold = f"CASE WHEN s{k}.n = 1 THEN {fold} ELSE sha256(s{k}.b || {fold} || s{k}.a) END"
+        joined += f" JOIN {name}s{k} s{k} ON s{k}.g = t.g AND s{k}.i = t.i // {FANOUT**k}"
+    siblings = " || ".join(f"s{k}.b || s{k}.a" for k in range(levels))
+    steps = "list_filter([" + ", ".join(f"{{'n': s{k}.n, 'b': s{k}.b, 'a': s{k}.a}}" for k in range(levels)) + "], lambda x: x.n > 1)"
+    return ",\n".join([*out, f"{name}_f AS (SELECT t.*, r.h AS root, {siblings} AS siblings, {steps} AS steps, {fold} AS folded FROM {joined} JOIN {name}{levels} r ON r.g = t.g)"])
+
+
+def merkle_field(column: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || {column}, '-')"
+
+
+def merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(merkle_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce('+' || lang, '') AS g, {merkle_leaf('text')} AS h, CASE WHEN {crc32('doc_id')} % 3 = 0 THEN {merkle_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {merkle_leaf('text')} END AS start FROM documents, {CRC_TABLE}),
+{merkle_tree('d', 'SELECT doc_id, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n, h, start FROM d', 7)},
+{merkle_tree('t', "SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, g AS lang, h, h AS start FROM d7", 3)}
+SELECT d.doc_id, d.h AS leaf, d.root AS subroot, t.root AS root, sha256(d.siblings || t.siblings) AS proof_sha256, list_reduce(list_concat([d.folded], list_transform(t.steps, lambda x: x.b || '>' || x.a)), lambda v, x: sha256(string_split(x, '>')[1] || v || string_split(x, '>')[2])) AS folded_root,
+  list_reduce(list_concat([d.folded], list_transform(t.steps, lambda x: x.b || '>' || x.a)), lambda v, x: sha256(string_split(x, '>')[1] || v || string_split(x, '>')[2])) = t.root AS verified FROM d_f d JOIN t_f t ON t.lang = d.g
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUFFIX_DEDUP, "op5_decontamination": DECONTAMINATION, "op7_warc": WARC, "quality_base_counts": QUALITY_COUNTS, "shard_laws": SHARD_LAWS, "op11_ranking": RANKING, "op12_chat": CHAT, "op13_merkle": MERKLE}
