@@ -130,8 +130,8 @@ def forest(rows: DataFrame, order: Sequence[Column], fanout: int = FANOUT, parts
     schema = "kind string, g string, total long, level int, index long, digest string"
     made = leaves.select("part", "place", "leaf").groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(trimmed_group(first_pass), schema)
     made = materialise(made, "mountains")
-    peaks, edges = made.where(F.col("kind") == PEAK).drop("kind"), made.where(F.col("kind") == PEAK).drop("kind")
-    merged = None
+    peaks = made.where(F.col("kind") == PEAK).drop("kind")
+    edges, merged = peaks, None
     roots = made.where(F.col("kind") == ROOT).drop("kind")
     for level in range(levels - 1):  # what stands at a level waits for the other members of its run, and nothing else
         waiting = peaks.where(F.col("level") == level)
@@ -246,7 +246,8 @@ def manifest(df: DataFrame, group: str = "lang", key: str = "doc_id", fields: Se
 def proofs(of: Manifest) -> DataFrame:
     """key, leaf, subroot, root, proof_sha256 of each row, and the root that its second digest (else its leaf) and its siblings give."""
     ways = with_steps(of.whole, None, [("g", "string"), ("subroot", "string"), ("steps", STEPS)], lambda row, _, steps: (row["key"], row["leaf"], [{"before": b, "after": a} for b, a in steps]))
-    upper = ways.crossJoin(F.broadcast(of.whole.roots.select(F.col("digest").alias("root"))))  # one row: the root
+    root = of.whole.roots.first()
+    upper = ways.withColumn("root", F.lit(root["digest"] if root else None).cast("string"))
 
     def told(row: dict, span: dict, steps: list[tuple[str, str]]) -> tuple:
         folded = fold(row["other"] or row["leaf"], steps)
