@@ -10,20 +10,14 @@ from quillstream.functions import scalars, text
 from quillstream.operators import aggregates, geometry, joins, levels, tagging, topics
 from quillstream.plans import media
 from quillstream.plans.registry import ORACLE_SQL, QUERIES, SQL_LINES, SQL_SPANS, query, table
+from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
 from quillstream.streaming import events as event_windows
 
-#: The default analyzer's tokens in DuckDB.
-SQL_TOKENS = r"list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '-\s+(\S)', '\1', 'g'), '\s+'), lambda t: lower(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')))"
-
-
 def tokens(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, pos, term of the tokens that aren't empty."""
     return docs.select(key, F.explode(text.postings(text.default_analyzer(F.col("text")))).alias("p")).select(key, "p.pos", "p.term")
 
 
-SQL_TERMS = f"(SELECT doc_id, t.pos - 1 AS pos, t.term AS term FROM (SELECT doc_id, unnest(list_transform({SQL_TOKENS}, lambda x, i: {{'pos': i, 'term': x}})) AS t FROM documents) WHERE t.term <> '')"
-
-
 @query(f"""SELECT doc_id, lang, CAST(len(list_filter(toks, lambda t: t <> '')) AS INT) AS n_terms,
   CAST(coalesce(list_max(list_transform(toks, lambda t, i: CASE WHEN t <> '' THEN i ELSE 0 END)), 0) AS INT) AS n_tokens
   FROM (SELECT doc_id, lang, {SQL_TOKENS} AS toks FROM documents)""")
@@ -509,4 +503,4 @@ def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event_type", scalars.iso_date_number(F.date_format("ts", "yyyy-MM-dd")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-from quillstream.plans import format_queries  # noqa: E402, F401  registers its own
+from quillstream.plans import format_queries, search_queries  # noqa: E402, F401  register their own

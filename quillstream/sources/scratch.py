@@ -37,3 +37,27 @@ def _clean() -> None:
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
         except Exception:  # noqa: BLE001  the session may have gone
             return
+
+
+#: What may be broadcast, by the bytes of its files.
+BROADCAST_BYTES = 16_000_000
+
+
+def kept(df, name: str):
+    """`df` written as a Parquet table in a scratch folder and read back: its lineage ends, and its size is known."""
+    path = folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_bytes(df) -> int:
+    """Bytes of the files that a table is read from."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small(df, name: str):
+    """`df` kept, and with a broadcast hint if its files show that it is small; else joins shuffle it."""
+    from pyspark.sql import functions as F
+
+    stored = kept(df, name)
+    return F.broadcast(stored) if file_bytes(stored) <= BROADCAST_BYTES else stored
