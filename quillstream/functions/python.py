@@ -109,9 +109,53 @@ def substring_distances(needle: str, haystack: str) -> list[tuple[int, int, int]
     return [(e - k, k, d) for e, (k, d) in enumerate(zip(length.tolist(), cost.tolist(), strict=True)) if e - k >= 0]
 
 
-def best_substring(needle: str, haystack: str) -> tuple[int, int, int]:
-    """(cost, start, length), the least."""
-    return min((d, s, k) for s, k, d in substring_distances(needle, haystack)) if needle or haystack else (0, 0, 0)
+def end_costs(needle: str, haystack: str, anchored: bool = False) -> list[int]:
+    """The least cost of a substring that ends at each place (anchored: of the one from the start), a column of the table at a time.
+
+    The steps down a column differ by one at most, so they are two bit sets, and one addition carries along runs of matches.
+    """
+    m = len(needle)
+    whole, top = (1 << m) - 1, 1 << max(m - 1, 0)
+    equal: dict[str, int] = {}
+    for i, c in enumerate(needle):
+        equal[c] = equal.get(c, 0) | 1 << i
+    up, down, cost, out = whole, 0, m, [m]
+    if not m:
+        return [i if anchored else 0 for i in range(len(haystack) + 1)]
+    for c in haystack:
+        match = equal.get(c, 0)
+        vertical = match | down
+        horizontal = (((match & up) + up) ^ up) | match
+        more, less = down | ~(horizontal | up) & whole, up & horizontal
+        cost += 1 if more & top else -1 if less & top else 0
+        more, less = (more << 1 | anchored) & whole, less << 1 & whole
+        up, down = less | ~(vertical | more) & whole, more & vertical
+        out.append(cost)
+    return out
+
+
+def best_substring(needle: str, haystack: str, expected: int | None = None, below: int | None = None) -> tuple[int, int, int]:
+    """(cost, start, length), the least; with an expected start, the nearest to it of those of the least cost; place 0 for a cost that isn't `below`.
+
+    Costs are found for every end at once; only ends of the least cost that can still win are traced back, in the piece of the
+    haystack that can have a part in it: an alignment of cost c is c letters longer than the needle at most.
+    """
+    costs, m = end_costs(needle, haystack), len(needle)
+    least = min(costs)
+    if below is not None and least >= below:
+        return least, 0, 0
+    ends = [e for e, c in enumerate(costs) if c == least]
+    off = (lambda start: start) if expected is None else (lambda start: abs(start - expected))
+    nearest = (lambda e: max(0, e - m - least)) if expected is None else (lambda e: max(0, abs(e - m - expected) - least))
+    found: tuple[int, int, int] | None = None
+    for e in sorted(ends, key=nearest):
+        if found is not None and nearest(e) > found[0]:
+            break
+        a = max(0, e - m - 2 * least - 1)
+        for start, length, cost in substring_distances(needle, haystack[a:e]):
+            if cost == least and start + length == e - a:
+                found = min(found or (off(a + start), a + start, length), (off(a + start), a + start, length))
+    return (least, *(found or (0, 0, 0))[1:])
 
 
 @F.pandas_udf(struct(cost=NUMBER, start=NUMBER, length=NUMBER))
@@ -120,6 +164,14 @@ def align_substring(needles: pd.Series, haystacks: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["cost", "start", "length"])
 
 
+@F.pandas_udf(struct(cost=NUMBER, start=NUMBER, length=NUMBER))
+def align_near(needles: pd.Series, haystacks: pd.Series, expected: pd.Series, below: pd.Series) -> pd.DataFrame:
+    """As align_substring, with expected starts (null: the first counts) and with the costs below which a place is asked for (null: all)."""
+    number = lambda x: None if pd.isna(x) else int(x)
+    rows = [best_substring(n or "", h or "", number(x), number(b)) for n, h, x, b in zip(needles, haystacks, expected, below, strict=True)]
+    return pd.DataFrame(rows, columns=["cost", "start", "length"])
+
+
 #: What may stand before a document's first element: blanks, instructions, comments of any content, a document type with its own declarations.
 _PROLOG = re.compile(r"""(?s)(?:\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE(?:[^\["'>]|"[^"]*"|'[^']*')*(?:\[(?:[^\]"'<]|"[^"]*"|'[^']*'|<!--.*?-->|<)*\]\s*)?>)*""")
 #: Byte marks and their encodings, the longest first.

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstream.functions.python import align_substring
 from quillstream.functions.text import quote
 
 
@@ -77,15 +76,6 @@ def bag_overlap(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: s
     return joined.groupBy(left_key, right_key).agg(F.sum(F.least("n", F.coalesce("m", F.lit(0)))).alias("matched"), F.sum("n").alias("total"))
 
 
-def align_rows(rows: DataFrame, pages: DataFrame, keys: list[str], row: str, page: str) -> DataFrame:
-    """Each row with its cheapest substring of the page that shares its keys: cost, start, length, aligned text, and whether its ends lie within words (cut_start, cut_end)."""
-    found = rows.join(pages, keys).withColumn("a", align_substring(F.col(row), F.col(page)))
-    end = F.col("a.start") + F.col("a.length")
-    aligned = F.trim(F.substring(F.col(page), F.col("a.start") + 1, F.col("a.length")))
-    inside = lambda at: (at > 0) & (at < F.length(page)) & F.substring(F.col(page), at, 2).rlike(r"^[\p{L}\p{N}]{2}")
-    return found.select(*rows.columns, page, "a.cost", "a.start", "a.length", aligned.alias("aligned"), inside(F.col("a.start")).alias("cut_start"), inside(end).alias("cut_end"))
-
-
 def haystacks(lines: DataFrame, pair: str, page: str, order: str, line: str) -> DataFrame:
     """Pages as texts, each after the last line of the page before."""
     listed = F.array_sort(F.collect_list(F.struct(order, line)))

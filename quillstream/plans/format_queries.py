@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
-from quillstream.operators import aggregates, geometry, joins, languages, levels, tagging
+from quillstream.operators import alignment, aggregates, geometry, joins, languages, levels, tagging
 from quillstream.plans import books, media, newspapers, scans
 from quillstream.plans.registry import SQL_LINES, SQL_SPANS, query, table
 from quillstream.sources import readers, scratch, sinks
@@ -634,7 +634,7 @@ def exact_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of texts aligned with the texts: at no cost, where they stand first."""
     pages = table(spark, sf_dir, "conversations").where("length(text) >= 15").select("conv_id", "turn", F.col("text").alias("page"))
     rows = pages.select("conv_id", "turn", F.substring("page", 4, 12).alias("needle"))
-    return joins.align_rows(rows, pages, ["conv_id", "turn"], "needle", "page").drop("needle", "page")
+    return alignment.align_rows(rows, pages, ["conv_id", "turn"], "needle", "page").drop("needle", "page", "word_start", "word_end")
 
 
 @query("""SELECT o_orderkey, 1 AS sentence, 'Order ' || o_orderkey || ' is e.g. fine. ' AS text, 0 AS start, CAST(length('Order ' || o_orderkey || ' is e.g. fine. ') AS INT) AS "end" FROM orders

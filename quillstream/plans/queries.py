@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
-from quillstream.operators import aggregates, geometry, joins, levels, tagging, topics
+from quillstream.operators import alignment, aggregates, geometry, joins, levels, tagging, topics
 from quillstream.plans import media
 from quillstream.plans.registry import ORACLE_SQL, QUERIES, SQL_LINES, SQL_SPANS, query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
@@ -344,7 +344,7 @@ def argmin_edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = levels.lines(table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text"), "key")
     page = lines.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("page"))
     noisy = lines.where(F.length("line") > 0).withColumn("noisy", F.translate("line", "eai", "c0l"))
-    found = joins.align_rows(noisy, page, ["key"], "noisy", "page")
+    found = alignment.align_rows(noisy, page, ["key"], "noisy", "page")
     return found.select("key", "line_no", "cost", "start", "length", "aligned", "cut_start", "cut_end")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import text
-from quillstream.operators import search
+from quillstream.operators import alignment, search
 from quillstream.plans.registry import query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
 from quillstream.sources import scratch
@@ -42,3 +42,18 @@ def near_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = item_terms(spark, sf_dir).where(F.size("ts") >= 6).select(F.col("item_id").alias("query"), F.array(F.col("ts")[0], F.col("ts")[3], F.col("ts")[5]).alias("terms"))
     found = search.near(document_index(spark, sf_dir), asked, 8)
     return found.select(F.col("query").alias("item_id"), F.col("doc").alias("doc_id"), F.size("starts").cast("long").alias("hits"), F.col("starts")[0].alias("first"))
+
+
+#: Names with letters changed, put in and left out: the cheapest of all substrings of the page, by trying each.
+NOISY = "substr(replace(replace(p_name, 'a', 'e'), 'l', 'll'), 3, 14)"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, p_name, {NOISY} AS needle FROM part), c AS (SELECT p_partkey, needle, p_name, a, unnest(range(0, length(p_name) - a + 1)) AS n FROM (SELECT *, unnest(range(0, length(p_name) + 1)) AS a FROM t))
+  SELECT p_partkey, CAST(min(levenshtein(needle, substr(p_name, a + 1, n))) AS INT) AS cost, true AS attained FROM c GROUP BY p_partkey""")
+def noisy_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts' names with errors against the names themselves: the least cost, and that the substring found has it."""
+    parts = table(spark, sf_dir, "part")
+    rows = parts.select("p_partkey", F.expr(NOISY).alias("needle"))
+    found = alignment.align_rows(rows, parts.select("p_partkey", "p_name"), ["p_partkey"], "needle", "p_name", gram=3)
+    piece = F.substring(F.col("p_name"), F.col("start") + 1, F.col("length"))
+    return found.select("p_partkey", F.col("cost").cast("int").alias("cost"), (F.levenshtein("needle", piece) == F.col("cost")).alias("attained"))
