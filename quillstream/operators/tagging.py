@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstream.operators.dictionary import named_words
 
-def tag_names(docs: DataFrame, names: DataFrame, key: str, text: str, longest: int = 6) -> DataFrame:
+
+def tag_names(docs: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
     """key, position, token, tag of each token: X of a name of one word is <X/>, of more <X> … </X>, everything else O.
 
-    Names (name, kind) meet the texts' word n-grams in a join; of names that overlap the longer one stands.
+    Names (name, kind) of any number of words; of names that overlap the longer one stands.
     """
     tokens = docs.select(key, F.posexplode(F.split(text, r"\s+")).alias("position", "token")).where("token != ''")
-    bare = F.regexp_replace("token", r"\W+$", "")
-    by = Window.partitionBy(key).orderBy("position")
-    n_words = F.size(F.split("name", r"\s+"))
-    known = names.select("name", "kind", n_words.alias("n")).where(F.col("n") <= longest)
-    spans = None
-    for n in range(1, longest + 1):
-        gram = F.concat_ws(" ", *[F.lead("token", i).over(by) for i in range(n - 1)], F.lead(bare, n - 1).over(by))
-        complete = F.lead("token", n - 1).over(by).isNotNull()
-        found = tokens.withColumn("name", F.when(complete, gram)).join(known.where(F.col("n") == n), "name").select(key, "position", "kind", "n")
-        spans = found if spans is None else spans.unionByName(found)
+    spans = named_words(docs, names.select("name", F.col("kind").alias("value")), key, text).select(key, F.col("first").alias("position"), F.col("value").alias("kind"), "n")
     words = spans.select(key, F.col("position").alias("first"), "kind", "n", F.explode(F.sequence(F.col("position"), F.col("position") + F.col("n") - 1)).alias("position"))
     best = words.groupBy(key, "position").agg(F.max_by(F.struct("first", "kind", "n"), F.struct("n", -F.col("first"))).alias("s"))
     whole = best.groupBy(key, "s").agg(F.collect_list("position").alias("ps")).where(F.size("ps") == F.col("s.n"))  # no part of it went to a longer one

@@ -669,7 +669,7 @@ def tagged_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region").where("r_name NOT LIKE '% %'")), F.col("n_regionkey") == F.col("r_regionkey"))  # five regions
     docs = places.select("n_nationkey", F.concat(F.lit("in Big "), "n_name", F.lit(" and "), "r_name", F.lit(", Big")).alias("text"))
     names = places.select(F.concat(F.lit("Big "), "n_name").alias("name"), F.lit("LOC").alias("kind")).unionByName(places.select(F.col("r_name").alias("name"), F.lit("REG").alias("kind")).distinct()).unionByName(places.select(F.col("n_name").alias("name"), F.lit("REG").alias("kind")))
-    return tagging.tag_names(docs, names, "n_nationkey", "text", longest=3)
+    return tagging.tag_names(docs, names, "n_nationkey", "text")
 
 
 @query("SELECT conv_id, turn, array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '-\\s+(\\S)', '\\1', 'g'), '\\s+'), lambda t: translate(regexp_replace(t, '^[[:punct:]]+|[[:punct:]]+$', '', 'g'), 'aeiou', 'AEIOU')), lambda t: t <> ''), ' ') AS terms FROM conversations")

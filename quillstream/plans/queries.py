@@ -447,7 +447,7 @@ def tagged_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents tagged with the benchmark's first words and first long words."""
     first = lambda pattern, kind: table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", pattern, 1).alias("name"), F.lit(kind).alias("kind"))
     names = first(r"^(\S+ \S+)", "ORG").unionByName(first(r"(\w{6,})", "LOC")).where("name != ''").groupBy("name").agg(F.min("kind").alias("kind"))
-    return tagging.tag_names(table(spark, sf_dir, "documents"), names, "doc_id", "text", longest=2)
+    return tagging.tag_names(table(spark, sf_dir, "documents"), names, "doc_id", "text")
 
 
 @query("""SELECT doc_id, '<doc/' || CAST(doc_id AS VARCHAR) || '> <lang> "' || lang || '" .' AS value FROM documents UNION ALL SELECT doc_id, '<doc/' || CAST(doc_id AS VARCHAR) || '> <chars> "' || CAST(n_chars AS VARCHAR) || '" .' FROM documents""")

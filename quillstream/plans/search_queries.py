@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import text
-from quillstream.operators import alignment, search
+from quillstream.operators import alignment, dictionary, search
 from quillstream.plans.registry import query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
 from quillstream.sources import scratch
@@ -57,3 +57,21 @@ def noisy_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align_rows(rows, parts.select("p_partkey", "p_name"), ["p_partkey"], "needle", "p_name", gram=3)
     piece = F.substring(F.col("p_name"), F.col("start") + 1, F.col("length"))
     return found.select("p_partkey", F.col("cost").cast("int").alias("cost"), (F.levenshtein("needle", piece) == F.col("cost")).alias("attained"))
+
+
+@query("""SELECT doc_id, regexp_replace(text, (SELECT string_agg(t, '|' ORDER BY length(t) DESC, t) FROM (SELECT DISTINCT regexp_extract(text, '[a-z]{5,}', 0) AS t FROM benchmark) WHERE t <> ''), '<a href="/\\0">\\0</a>', 'g') AS text FROM documents""")
+def linked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first long word of each benchmark item as a link wherever it stands in the documents: titles from a table."""
+    titles = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", "[a-z]{5,}", 0).alias("title")).withColumn("url", F.concat(F.lit("/"), "title"))
+    return dictionary.link_titles(table(spark, sf_dir, "documents").select("doc_id", "text"), titles, "doc_id", "text")
+
+
+@query(r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda t: t <> '') AS ws FROM documents), n AS (SELECT DISTINCT array_to_string(string_split_regex(text, '\s+')[1:8], ' ') AS name, 8 AS n FROM benchmark WHERE len(string_split_regex(text, '\s+')) >= 8),
+  g AS (SELECT doc_id, array_to_string(ws[i:i + 6], ' ') || ' ' || regexp_replace(ws[i + 7], '[^\w]+$', '') AS name FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w))
+  SELECT doc_id, count(*) AS hits, CAST(count(*) * 8 AS BIGINT) AS words FROM g JOIN n USING (name) GROUP BY doc_id""")
+def named_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of eight words: the beginnings of the benchmark's items in the documents."""
+    words = F.split("text", r"\s+")
+    names = table(spark, sf_dir, "benchmark").where(F.size(words) >= 8).select(F.array_join(F.slice(words, 1, 8), " ").alias("name"), F.lit("x").alias("value"))
+    found = dictionary.named_words(table(spark, sf_dir, "documents"), names, "doc_id", "text")
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"), F.sum("n").cast("long").alias("words"))
