@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstream.sources import scratch
+
 
 #: Pieces that a group's value range is cut into before its values are numbered.
 PIECES = 64
@@ -58,41 +60,70 @@ def kendall_binary(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFram
     return summed.select(*keys, n.alias("n"), F.when(bottom > 0, F.col("_s") / bottom).alias("kendall"))
 
 
-def kendall_of(x: np.ndarray, y: np.ndarray) -> float | None:
-    """Tau-b of two columns, by counting inversions in a merge sort."""
-    n = len(x)
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-
-    def ties(*columns: np.ndarray) -> int:
-        _, c = np.unique(np.column_stack(columns), axis=0, return_counts=True)
-        return int((c.astype(np.int64) * (c - 1) // 2).sum())
-
-    swaps, ranks = 0, np.unique(y, return_inverse=True)[1]
-    width = 1
-    while width < n:
-        for a in range(0, n, 2 * width):
-            left, right = ranks[a : a + width], ranks[a + width : a + 2 * width]
-            if len(right):
-                swaps += int((len(left) - np.searchsorted(left, right, side="right")).sum())
-                ranks[a : a + 2 * width] = np.sort(ranks[a : a + 2 * width])
-        width *= 2
-    pairs = n * (n - 1) // 2
-    tx, ty, both = ties(x), ties(y), ties(x, y)
-    bottom = float(pairs - tx) * float(pairs - ty)
-    return (pairs - tx - ty + both - 2 * swaps) / bottom**0.5 if bottom > 0 else None
+def concordance(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
+    """Concordant less discordant pairs of points that stand for n rows each.
 
-
-def kendall(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """keys, n, kendall (tau-b) of any two numbers; a group is one task's work."""
+    Two different values of x, as ranks, first differ in one bit: there one is on the left of a block and the other on its
+    right. For each bit the points are sorted by block and y, and running sums over the left ones tell how many each right one
+    has below and above it. Ties in x or y count for neither.
+    """
+    if not len(x):
+        return 0.0
+    rx, ry = np.unique(x, return_inverse=True)[1].astype(np.int64), np.unique(y, return_inverse=True)[1].astype(np.int64)
+    wide, score = int(ry.max()) + 1, np.longdouble(0)
+    for bit in range(int(rx.max()).bit_length()):
+        block = rx >> (bit + 1)
+        order = np.argsort(block * wide + ry, kind="stable")
+        b, side, w = block[order], (rx[order] >> bit) & 1, n[order]
+        key = b * wide + ry[order]
+        left = np.concatenate(([0], np.cumsum(np.where(side == 0, w, 0))))
+        first = lambda k: np.concatenate(([0], np.flatnonzero(np.diff(k)) + 1))
+        runs, blocks = first(key), first(b)
+        length = lambda starts: np.diff(np.concatenate((starts, [len(key)])))
+        spread = lambda values, starts: np.repeat(values, length(starts))
+        base, end = spread(left[blocks], blocks), spread(left[np.concatenate((blocks[1:], [len(key)]))], blocks)
+        below, upto = spread(left[runs], runs), spread(left[np.concatenate((runs[1:], [len(key)]))], runs)
+        right = side == 1
+        score += np.dot(w[right].astype(np.longdouble), ((below - base) - (end - upto))[right].astype(np.longdouble))
+    return float(score)
+
+
+#: Different pairs of values in a piece; the most pieces that a column is cut into.
+PAIRS_EACH, MOST_PIECES = 200_000, 2_000
+
+
+def kendall(rows: DataFrame, keys: list[str], x: str, y: str, pieces: int | None = None) -> DataFrame:
+    """keys, n, kendall (tau-b) of any two numbers; null where there is no spread. Rows with a null are left out.
+
+    Equal rows are counted first. Both columns are cut at approximate quantiles, a value that is a cut being a piece of its own.
+    Pairs of points in one piece of x are counted there, those in different pieces of x but one of y in the latter, and
+    all others by the numbers of points in the pieces: no task has more than a piece, or the table of pieces, whatever
+    the sizes of the groups and of ties.
+    """
+    counted = scratch.kept(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count(F.lit(1)).alias("_n")), "pairs")
+    n_pieces = pieces or min(MOST_PIECES, max(8, -(-counted.count() // PAIRS_EACH)))
+    at = [i / n_pieces for i in range(1, n_pieces)]
+    cuts = counted.groupBy(*keys).agg(*[F.array_distinct(F.percentile_approx(c, at, 100_000)).alias(f"{c}_cuts") for c in ("_x", "_y")])
+    met = counted.join(scratch.small(cuts, "cuts"), keys)
+    place = lambda c: 2 * F.size(F.filter(f"{c}_cuts", lambda v: v < F.col(c))) + F.array_contains(F.col(f"{c}_cuts"), F.col(c)).cast("int")
+    placed = scratch.kept(met.select(*keys, "_x", "_y", "_n", place("_x").alias("_px"), place("_y").alias("_py")), "placed")
+    row = lambda kind, piece, a, b: [*keys, F.lit(kind).alias("_kind"), piece.cast("int").alias("_piece"), F.col(a).cast("double").alias("_a"), F.col(b).cast("double").alias("_b")]
+    within = placed.where("_px % 2 = 0").select(*row(0, F.col("_px"), "_x", "_y"), "_n")  # other pieces are one value
+    beside = placed.where("_py % 2 = 0").groupBy(*row(1, F.col("_py"), "_px", "_y")).agg(F.sum("_n").alias("_n"))
+    across = placed.groupBy(*row(2, F.lit(0), "_px", "_py")).agg(F.sum("_n").alias("_n"))
 
     def one(p: pd.DataFrame) -> pd.DataFrame:
         out = p[keys].head(1).copy()
-        out["n"], out["kendall"] = len(p), kendall_of(p[x].to_numpy(), p[y].to_numpy())
+        out["s"] = concordance(p["_a"].to_numpy(), p["_b"].to_numpy(), p["_n"].to_numpy(np.int64))
         return out
 
-    schema = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.select(*keys, x, y).dropna().groupBy(*keys).applyInPandas(one, f"{schema}, n long, kendall double")
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    scores = within.unionByName(beside).unionByName(across).groupBy(*keys, "_kind", "_piece").applyInPandas(one, f"{schema}, s double")
+    tied = lambda c: placed.groupBy(*keys, c).agg(F.sum("_n").cast("double").alias("m")).groupBy(*keys).agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias(f"t{c}"))
+    total = placed.groupBy(*keys).agg(F.sum("_n").alias("n")).join(scores.groupBy(*keys).agg(F.sum("s").alias("s")), keys).join(tied("_x"), keys).join(tied("_y"), keys)
+    pairs = F.col("n").cast("double") * (F.col("n") - 1) / 2
+    bottom = F.sqrt(pairs - F.col("t_x")) * F.sqrt(pairs - F.col("t_y"))
+    return total.select(*keys, "n", F.when(bottom > 0, F.col("s") / bottom).alias("kendall"))
 
 
 def weighted_mode(rows: DataFrame, keys: list[str], value: str, weight: Column) -> DataFrame:

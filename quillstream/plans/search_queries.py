@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import text
-from quillstream.operators import alignment, dictionary, search
+from quillstream.operators import aggregates, alignment, dictionary, gibbs, search
 from quillstream.plans.registry import query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
 from quillstream.sources import scratch
@@ -75,3 +75,37 @@ def named_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "benchmark").where(F.size(words) >= 8).select(F.array_join(F.slice(words, 1, 8), " ").alias("name"), F.lit("x").alias("value"))
     found = dictionary.named_words(table(spark, sf_dir, "documents"), names, "doc_id", "text")
     return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"), F.sum("n").cast("long").alias("words"))
+
+
+def turn_model(spark: SparkSession, sf_dir: str) -> gibbs.Model:
+    turns = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text")
+    return gibbs.sample(gibbs.terms(turns, "key", "text", [], 2), topics=8, rounds=4)
+
+
+@query()
+def gibbs_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gibbs.top_words(turn_model(spark, sf_dir))
+
+
+@query()
+def gibbs_document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gibbs.document_topics(turn_model(spark, sf_dir))
+
+
+@query(r"""WITH t AS (SELECT conv_id || '-' || turn AS key, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), lambda t: NOT regexp_matches(t, '^\d+$')) AS w FROM conversations),
+  e AS (SELECT key, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS word FROM t),
+  n AS (SELECT word, count(*) AS tokens FROM e GROUP BY word HAVING count(DISTINCT key) >= 2)
+  SELECT r.round AS round, (SELECT CAST(sum(tokens) AS BIGINT) FROM n) AS tokens, (SELECT count(*) FROM n) AS words FROM (SELECT unnest(range(4)) AS round) r""")
+def gibbs_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the merged counts of each round add up to: all tokens, and all different words."""
+    return spark.createDataFrame(turn_model(spark, sf_dir).rounds, "round long, tokens long, words long")
+
+
+@query("""WITH p AS MATERIALIZED (SELECT l_returnflag AS flag, l_quantity AS x, floor(l_extendedprice / 1000) AS y, count(*) AS n FROM lineitem GROUP BY ALL), t AS (SELECT flag, sum(n) AS n FROM p GROUP BY flag),
+  s AS (SELECT a.flag, sum(CAST(a.n * b.n AS DOUBLE) * sign(b.y - a.y)) AS s FROM p a JOIN p b ON a.flag = b.flag AND a.x < b.x GROUP BY a.flag),
+  tx AS (SELECT flag, sum(m * (m - 1) / 2) AS tx FROM (SELECT flag, x, CAST(sum(n) AS DOUBLE) AS m FROM p GROUP BY flag, x) GROUP BY flag), ty AS (SELECT flag, sum(m * (m - 1) / 2) AS ty FROM (SELECT flag, y, CAST(sum(n) AS DOUBLE) AS m FROM p GROUP BY flag, y) GROUP BY flag)
+  SELECT flag, CAST(n AS BIGINT) AS n, round(s / (sqrt(CAST(n AS DOUBLE) * (n - 1) / 2 - tx) * sqrt(CAST(n AS DOUBLE) * (n - 1) / 2 - ty)), 6) AS kendall FROM t JOIN s USING (flag) JOIN tx USING (flag) JOIN ty USING (flag)""")
+def kendall_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tau-b of quantity and price in thousands, by return flag."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("x"), F.floor(F.col("l_extendedprice") / 1000).alias("y"))
+    return aggregates.kendall(rows, ["flag"], "x", "y").withColumn("kendall", F.round("kendall", 6))
