@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.plans import books, media, scans
+from quillstream.plans import tei as tei_plan
 from quillstream.sources import readers, sinks
 
 
@@ -21,7 +22,7 @@ def contents(spark: SparkSession, paths: list[str], pattern: str) -> DataFrame:
 
 def tei(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
     options = {"inline_notes": o.inline_notes, "emphases": not o.omit_emphases, "structure": not o.omit_structure, "core": o.only_core, "rehyphenate": o.rehyphenate}
-    rows = scans.convert_tei(contents(spark, o.files, "*.xml"), **options)
+    rows = tei_plan.convert_tei(contents(spark, o.files, "*.xml"), **options)
     return {"documents": rows.where("error is null").drop("error"), "errors": rows.where("error is not null").select("path", "error")}
 
 

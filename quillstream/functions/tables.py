@@ -43,10 +43,9 @@ class TeiPages:
     """Pages of a TEI document, given as a string."""
 
     def eval(self, document: str) -> Iterator[tuple]:
-        from quillstream.plans.scans import tei_text
+        from quillstream.plans.tei import page_rows
 
-        for p in tei_text(b'<?xml version="1.0" encoding="utf-8"?>' + (document or "<TEXT/>").encode())["page_texts"]:
-            yield p["page"], p["sub_page"], p["text"]
+        yield from page_rows(b'<?xml version="1.0" encoding="utf-8"?>' + (document or "<TEXT/>").encode())
 
 
 SQL_TABLES = {"text_terms": Terms, "concordance": Concordance, "tei_pages": TeiPages}

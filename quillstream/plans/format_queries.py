@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
 from quillstream.operators import alignment, aggregates, geometry, joins, languages, levels, tagging
-from quillstream.plans import books, media, newspapers, scans
+from quillstream.plans import books, media, newspapers, scans, tei
 from quillstream.plans.registry import SQL_LINES, SQL_SPANS, query, table
 from quillstream.sources import readers, scratch, sinks
 
@@ -279,7 +279,7 @@ def tei_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<?xml version="1.0" encoding="utf-8"?><ETS><DIV1><HEAD>Doc '), k, F.lit("</HEAD><P><HI>"), "lang", F.lit("</HI> by <NOTE>aside "), k, F.lit('</NOTE><ABBR>'), "source", F.lit('</ABBR></P><PB REF="2"/><TABLE><ROW><CELL>'), F.col("n_chars").cast("string"),
         F.lit("</CELL><CELL>x</CELL></ROW></TABLE><LIST><ITEM>one</ITEM>\n<ITEM>two</ITEM></LIST></DIV1></ETS>"),
     )
-    found = scans.convert_tei(table(spark, sf_dir, "documents").select(k.alias("path"), F.encode(markup, "utf-8").alias("content")))
+    found = tei.convert_tei(table(spark, sf_dir, "documents").select(k.alias("path"), F.encode(markup, "utf-8").alias("content")))
     return found.select(F.col("path").cast("long").alias("doc_id"), "text", F.col("extracts")[0]["text"].alias("note"), F.col("pages")[0]["page"].alias("second_page"))
 
 

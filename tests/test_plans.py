@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstream.plans import books, media, scans
+from quillstream.plans import tei as plans_tei
 from quillstream.sources import readers
 
 
@@ -133,54 +134,60 @@ def test_ocr_xml(spark):
     assert got["headings"].first().heading == "## Index"
 
 
-def tei(body, **options):
-    return scans.tei_text(f'<?xml version="1.0" encoding="utf-8"?><ETS>{body}</ETS>'.encode(), **options)
+def tei(spark, *bodies, **options):
+    """The conversions of several documents."""
+    rows = [(f"{i:04}", bytearray(b if isinstance(b, bytes) else f'<?xml version="1.0" encoding="utf-8"?><ETS>{b}</ETS>'.encode())) for i, b in enumerate(bodies)]
+    found = plans_tei.convert_tei(spark.createDataFrame(rows, "path string, content binary"), **options).collect()
+    return [r.asDict(recursive=True) for r in sorted(found, key=lambda r: r.path)]
 
 
-def test_tei():
-    got = scans.tei_text(b'<TEI><DIV1><HEAD>Title</HEAD><P>One <HI>two</HI><NOTE>aside</NOTE> th|ree<PB REF="5"/> four</P><DIV2><HEAD>Sub</HEAD><P><GAP DISP="[..]"/>end</P></DIV2></DIV1></TEI>')
+def test_tei(spark):
+    whole = b'<TEI><DIV1><HEAD>Title</HEAD><P>One <HI>two</HI><NOTE>aside</NOTE> th|ree<PB REF="5"/> four</P><DIV2><HEAD>Sub</HEAD><P><GAP DISP="[..]"/>end</P></DIV2></DIV1></TEI>'
+    got, broken, empty = tei(spark, whole, b"<TEI>", b"<TEI/>")
     assert got["text"] == "# Title\n\nOne *two* three four\n\n## Sub\n\n[..]end"
     assert [e["text"] for e in got["extracts"]] == ["aside"] and got["pages"][0]["page"] == "5" and got["gaps"][0]["text"] == "[..]"
+    assert "ExpatError" in broken["error"] and broken["text"] is None and broken["parts"] is None
+    assert (empty["text"], empty["parts"], empty["error"]) == ("", [], None)
 
 
-@pytest.mark.parametrize("name", sorted(scans.PASSED_THROUGH))
-def test_tei_passed_through(name):
-    assert tei(f"<P>a <{name}>b</{name}> c</P>")["text"] == "a b c"
+def test_tei_elements(spark):
+    through, paragraphs, lines, notes = sorted(plans_tei.PASSED_THROUGH), sorted(plans_tei.PARAGRAPHS - {"TEXT", "ARGUMENT"}), sorted(plans_tei.LINES), sorted(plans_tei.NOTES)
+    bodies = [f"<P>a <{n}>b</{n}> c</P>" for n in through] + [f"a<{n}>b</{n}>c" for n in paragraphs + lines] + [f"<P>a<{n}>b</{n}>c</P>" for n in notes]
+    got = tei(spark, *bodies)
+    assert [g["text"] for g in got] == ["a b c"] * len(through) + ["a\n\nb\n\nc"] * len(paragraphs) + ["a\nb\nc"] * len(lines) + ["ac"] * len(notes)
+    assert [[(e["kind"], e["offset"], e["text"]) for e in g["extracts"]] for g in got[-len(notes) :]] == [[(n.lower(), 1, "b")] for n in notes]
+    assert {g["text"] for g in tei(spark, *bodies[-len(notes) :], inline_notes=True)} == {"abc"}
 
 
-@pytest.mark.parametrize("name", sorted(scans.PARAGRAPHS - {"TEXT", "ARGUMENT"}))
-def test_tei_paragraphs(name):
-    assert tei(f"a<{name}>b</{name}>c")["text"] == "a\n\nb\n\nc"
-
-
-@pytest.mark.parametrize("name", sorted(scans.LINES))
-def test_tei_lines(name):
-    assert tei(f"a<{name}>b</{name}>c")["text"] == "a\nb\nc"
-
-
-@pytest.mark.parametrize("name", sorted(scans.NOTES))
-def test_tei_notes(name):
-    got = tei(f"<P>a<{name}>b</{name}>c</P>")
-    assert got["text"] == "ac" and [(e["kind"], e["offset"], e["text"]) for e in got["extracts"]] == [(name.lower(), 1, "b")]
-    assert tei(f"<P>a<{name}>b</{name}>c</P>", inline_notes=True)["text"] == "abc"
-
-
-def test_tei_structure():
-    assert tei("<DIV1><ARGUMENT>about</ARGUMENT><LABEL>L</LABEL>x<LIST><LABEL>l</LABEL><ITEM>i</ITEM></LIST></DIV1>")["text"] == "## about\n\n## L\n\nxl\n * i"
-    assert tei("<TABLE><ROW><CELL>a\n</CELL><CELL>b</CELL></ROW></TABLE>")["text"] == "| a | b |"
-    assert tei("<TABLE><ROW><CELL>a</CELL><CELL>b</CELL></ROW></TABLE>", structure=False)["text"] == "a b"
-    assert tei("<FIGURE><FIGDESC>map</FIGDESC></FIGURE>x<HI>y</HI>")["text"] == "〈 image: map 〉\n\nx*y*"
-    core = tei("x<FIGURE><FIGDESC>map</FIGDESC></FIGURE><HI>y</HI><GAP/>z", core=True, emphases=False)
+def test_tei_structure(spark):
+    listed, table, figure, comment = tei(
+        spark, "<DIV1><ARGUMENT>about</ARGUMENT><LABEL>L</LABEL>x<LIST><LABEL>l</LABEL><ITEM>i</ITEM></LIST></DIV1>", "<TABLE><ROW><CELL>a\n</CELL><CELL>b</CELL></ROW></TABLE>",
+        "<FIGURE><FIGDESC>map</FIGDESC></FIGURE>x<HI>y</HI>", "<!-- unknown entity apos; -->x<!-- unknown entity abque; -->",
+    )
+    assert listed["text"] == "## about\n\n## L\n\nxl\n * i"
+    assert table["text"] == "| a | b |"
+    assert figure["text"] == "〈 image: map 〉\n\nx*y*"
+    assert comment["text"] == "'x〈abque〉"
+    assert tei(spark, "<TABLE><ROW><CELL>a</CELL><CELL>b</CELL></ROW></TABLE>", structure=False)[0]["text"] == "a b"
+    core = tei(spark, "x<FIGURE><FIGDESC>map</FIGDESC></FIGURE><HI>y</HI><GAP/>z", core=True, emphases=False)[0]
     assert core["text"] == "x\n\nyz" and core["extracts"][0]["kind"] == "image" and core["gaps"][0]["text"] == "〈?〉"
-    assert tei("so|ft and f\u2223ar", rehyphenate=True)["text"] == "so-\nft and f-\nar"
-    assert tei("<!-- unknown entity apos; -->x<!-- unknown entity abque; -->")["text"] == "'x〈abque〉"
+    assert tei(spark, "so|ft and f\u2223ar", rehyphenate=True)[0]["text"] == "so-\nft and f-\nar"
 
 
-def test_tei_parts_and_pages():
-    got = tei('<TEXT><FRONT><P>f</P></FRONT><PB REF="2"/><BODY><P>b</P><PB REF="3"/><P>c</P><PB REF="3"/><P>d</P></BODY></TEXT>')
+def test_tei_parts_and_pages(spark):
+    got, nested = tei(
+        spark, '<TEXT><FRONT><P>f</P></FRONT><PB REF="2"/><BODY><P>b</P><PB REF="3"/><P>c</P><PB REF="3"/><P>d</P></BODY></TEXT>',
+        '<TEXT>ahead<BODY><P>one<NOTE>n<NOTE>inner</NOTE></NOTE></P><TEXT><P>two<GAP DISP="?"/></P></TEXT><PB REF="9"/><P>three<NOTE>late</NOTE></P></BODY><BACK> </BACK></TEXT>',
+    )
     assert {p["part"]: p["text"] for p in got["parts"]} == {"1_text": "f\n\nb\n\nc\n\nd", "1_text_1_front": "f", "1_text_2_body": "b\n\nc\n\nd"}
     assert [(p["page"], p["text"]) for p in got["page_texts"]] == [("0", "f"), ("2", "b"), ("3", "c"), ("3", "d")] and got["page_texts"][3]["sub_page"] == 2
     assert [p["page"] for p in got["pages"]] == ["2", "3"]
+    assert {p["part"]: p["text"] for p in nested["parts"]} == {
+        "1_text": "ahead\n\none\n\ntwo?\n\nthree", "1_text_1_prebody": "ahead", "1_text_2_body": "one\n\ntwo?\n\nthree", "1_text_2_body_1_pretext": "one", "1_text_2_body_2_text": "two?",
+    }
+    assert [(e["kind"], e["text"], e["part"], e["page"]) for e in nested["extracts"]] == [("note", "n", "1_text_2_body", "0"), ("note", "inner", "1_text_2_body_note_at_3", "0"), ("note", "late", "1_text_2_body", "9")]
+    assert [(g["offset"], g["page"]) for g in nested["gaps"]] == [(17, "0")]
+    assert [(p["page"], p["text"]) for p in nested["page_texts"]] == [("0", "ahead" + "onen" + "inner" + "\n\ntwo?"), ("9", "threelate")]
 
 
 ALTO = b"""<alto><Styles><TextStyle ID="s0" FONTFAMILY="A" FONTSIZE="8" FONTSTYLE="bold italics"/><TextStyle ID="s1" FONTFAMILY="B" FONTSIZE="9"/><TextStyle ID="s2" FONTFAMILY="C" FONTSIZE="7"/></Styles>
