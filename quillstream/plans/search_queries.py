@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import text
-from quillstream.operators import aggregates, alignment, dictionary, gibbs, search
+from quillstream.operators import aggregates, alignment, dictionary, gibbs, hierarchy, prefixes, search
 from quillstream.plans.registry import query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
 from quillstream.sources import scratch
@@ -109,3 +109,36 @@ def kendall_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tau-b of quantity and price in thousands, by return flag."""
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("x"), F.floor(F.col("l_extendedprice") / 1000).alias("y"))
     return aggregates.kendall(rows, ["flag"], "x", "y").withColumn("kendall", F.round("kendall", 6))
+
+
+@query("""SELECT p.p_partkey, p.p_name, q.p_partkey AS r_p_partkey, q.prefix AS r_prefix FROM part p JOIN (SELECT p_partkey, substr(p_name, 1, 4 + p_partkey % 9) AS prefix FROM part) q ON starts_with(p.p_name, q.prefix)""")
+def prefix_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with the beginnings of other parts' names that they share."""
+    parts = table(spark, sf_dir, "part")
+    probes = parts.select("p_partkey", F.expr("substr(p_name, 1, 4 + p_partkey % 9)").alias("prefix"))
+    return prefixes.prefix_join(parts.select("p_partkey", "p_name"), "p_name", probes, "prefix")
+
+
+@query("""WITH q AS (SELECT DISTINCT unnest([substr(c_name, 1, length(c_name) - 1), substr(c_name, 1, length(c_name) - 2), substr(c_name, 1, 8)]) AS prefix FROM customer) SELECT prefix, count(*) AS n FROM customer JOIN q ON starts_with(c_name, prefix) GROUP BY prefix""")
+def prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many customers' names begin with each shortened name: long prefixes of few, and one that all share."""
+    names = table(spark, sf_dir, "customer").select("c_name")
+    cut = [F.expr("substr(c_name, 1, length(c_name) - 1)"), F.expr("substr(c_name, 1, length(c_name) - 2)"), F.expr("substr(c_name, 1, 8)")]
+    return prefixes.prefix_counts(names, "c_name", names.select(F.explode(F.array(*cut)).alias("prefix")), "prefix")
+
+
+#: Each turn hangs below the turn before it; the first below another conversation's first, down to conversation 0; every seventh conversation hangs below its own last turn.
+SQL_TURNS = """(SELECT conv_id * 1000 + turn AS node, conv_id, turn, CASE WHEN turn > 0 THEN conv_id * 1000 + turn - 1 WHEN conv_id % 7 = 3 THEN conv_id * 1000 + last WHEN conv_id > 0 THEN (conv_id - CASE WHEN conv_id % 7 = 4 THEN 2 ELSE 1 END) * 1000 END AS parent
+  FROM (SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations))"""
+
+
+@query(f"""WITH t AS {SQL_TURNS}, c AS (SELECT DISTINCT conv_id FROM t), d AS (SELECT conv_id, (SELECT count(*) FROM c b WHERE b.conv_id < a.conv_id AND b.conv_id % 7 <> 3) AS above FROM c a)
+  SELECT node, conv_id % 7 = 3 AS cyclic, CASE WHEN conv_id % 7 <> 3 THEN above + turn END AS depth, CASE WHEN conv_id % 7 <> 3 THEN 0 END AS root FROM t JOIN d USING (conv_id)""")
+def turn_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hierarchy as deep as there are conversations, and cycles: depth and root of each turn by pointer jumping."""
+    at = F.col("conv_id") * 1000
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    first = F.when(F.col("conv_id") % 7 == 3, at + F.col("last")).when(F.col("conv_id") > 0, at - F.when(F.col("conv_id") % 7 == 4, 2000).otherwise(1000))
+    rows = turns.join(last, "conv_id").select((at + F.col("turn")).alias("node"), F.when(F.col("turn") > 0, at + F.col("turn") - 1).otherwise(first).alias("parent"))
+    return hierarchy.climbed(rows, "node", "parent").select("node", "cyclic", "depth", "root")
