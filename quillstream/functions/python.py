@@ -155,6 +155,10 @@ def best_substring(needle: str, haystack: str, expected: int | None = None, belo
         for start, length, cost in substring_distances(needle, haystack[a:e]):
             if cost == least and start + length == e - a:
                 found = min(found or (off(a + start), a + start, length), (off(a + start), a + start, length))
+    for e in () if found else ends:  # the table's own lengths can reach before the haystack: back from the end, letter by letter
+        for length, cost in enumerate(end_costs(needle[::-1], haystack[max(0, e - m - least) : e][::-1], anchored=True)):
+            if cost == least:
+                found = min(found or (off(e - length), e - length, length), (off(e - length), e - length, length))
     return (least, *(found or (0, 0, 0))[1:])
 
 
