@@ -1,17 +1,18 @@
 """Sharding by fixed virtual slots.
 
-Every row hashes by its id and text into one of `slots` virtual slots; a row without an id by its place in the stored
-table as well, so that neither a common id nor a missing one fills a slot by itself. Bytes and rows are summed per slot
-(a map-side combined aggregate of at most `slots` times PARTS groups), and a slot-to-shard map is planned from those
-sums: largest slot first, always to the lightest shard. Rows never move by themselves: rebalancing edits the map.
+Every row hashes by its id and text into one of `slots` virtual slots. A row without an id, and one of an id and text that
+repeat, hashes by its place in the table as well where together
+they have more than a slot's share of the bytes: neither a common id nor a repeated row fills a slot by itself. Bytes and rows are summed per slot (a map-side
+combined aggregate of at most `slots` times PARTS groups), and a slot-to-shard map is planned from those sums: largest slot
+first, always to the lightest shard. Rows never move by themselves: rebalancing edits the map.
 `grow` makes the next version, in which slots move into the added shard only, `move` one with given slots moved.
 Versions are stored as a table each (`save_map`), listed (`versions`) and read again (`load_map`).
 
 All of it is DataFrame expressions; the map has `slots` rows at most, whatever the input's size, so it is broadcast, as
 are the places where each slot's PARTS begin.
 
-Null ids have places of their own, null texts have no bytes, texts of any length count whole, repeated rows share a
-slot and get places of their own, slots of equal size are placed by their number, empty tables give empty maps and
+Null ids have places of their own, null texts have no bytes, texts of any length count whole, repeated rows are spread
+over slots and get places of their own, slots of equal size are placed by their number, empty tables give empty maps and
 results, and columns besides the id and the text are left alone.
 """
 
@@ -34,18 +35,33 @@ def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
 
 
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """One narrow row for each input row: id, size, crc32 of the text's bytes, virtual slot, part. To be stored: a row's place is in its part."""
+    """One narrow row for each input row: id, size, crc32 of the text's bytes, virtual slot, part, the hash of id and text, and a number by its place. To be stored: a row's place is in the last three."""
     body = F.coalesce(F.col(text), F.lit(""))
     place = F.monotonically_increasing_id()
+    row_key = F.xxhash64(F.struct(F.col(key), F.xxhash64(text, F.col(text).isNull()), F.when(F.col(key).isNull(), place)))
     return docs.select(
         F.col(key),
         (F.octet_length(body).cast("long") + ROW_OVERHEAD).alias("size"),
         F.crc32(F.encode(body, "utf-8")).alias("text_crc32"),
-        virtual_slot(F.struct(F.col(key), F.xxhash64(text, F.col(text).isNull()), F.when(F.col(key).isNull(), place)), slots).alias("vslot"),
+        F.pmod(row_key, F.lit(slots)).alias("vslot"),
         F.pmod(place, F.lit(PARTS)).cast("int").alias("part"),
+        row_key.alias("row_key"),
+        F.pmod(place, F.lit(slots)).cast("int").alias("spot"),
     )
 
 
+def spread(digests: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The digests with equal rows that exceed a slot's share dealt over all slots by their place.
+
+    Each of these takes more than one of `slots` shares, so there are fewer of them than slots: they are broadcast.
+    """
+    total = digests.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    each = digests.groupBy("row_key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    heavy = materialise(each.where((F.col("n") > 1) & (F.col("bytes") * slots > total)).select("row_key", F.lit(True).alias("heavy")), "heavy-rows")
+    slot = F.when(F.col("heavy"), virtual_slot(F.struct("row_key", "spot"), slots)).otherwise(F.col("vslot"))
+    return digests.join(F.broadcast(heavy), "row_key", "left").withColumn("vslot", slot).drop("heavy", "row_key", "spot")
+
+
 def part_sizes(digests: DataFrame) -> DataFrame:
     return digests.groupBy("vslot", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"))
 
@@ -134,14 +150,14 @@ def place(digests: DataFrame, slot_map: DataFrame, key: str = "doc_id") -> DataF
     parts = part_sizes(digests).withColumn("before", before).select("vslot", "part", "before")
     small = parts.join(F.broadcast(slot_map.select("vslot", "shard", "start", "version")), "vslot")
     ranked = digests.withColumn("at", F.row_number().over(Window.partitionBy("vslot", "part").orderBy(key, "text_crc32", "size")) - 1)
-    return ranked.join(F.broadcast(small), ["vslot", "part"]).withColumn("slot", F.col("start") + F.col("before") + F.col("at")).drop("start", "before", "at", "part")
+    return ranked.join(F.broadcast(small), ["vslot", "part"]).withColumn("slot", F.col("start") + F.col("before") + F.col("at")).drop("start", "before", "at", "part", "row_key", "spot")
 
 
 def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, key: str = "doc_id", text: str = "text", folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(placed rows, slot map of version 1). The texts are read once; the map is stored in `folder`, where its next versions belong."""
     spark = docs.sparkSession
     folder = folder or work_path(spark, "slot-maps")
-    digests = materialise(digest(docs, key, text, slots), "shard-digests")
+    digests = spread(materialise(digest(docs, key, text, slots), "shard-digests"), slots)
     version = save_map(materialise(plan_map(slot_sizes(part_sizes(digests)), shards), "slot-map"), folder)  # planned once
     slot_map = load_map(spark, folder, version)
     return place(digests, slot_map, key), slot_map

@@ -125,6 +125,15 @@ def test_sharding_without_telling_ids(spark, key):
     assert all(sorted(r.slot for r in placed if r.shard == s) == list(range(sum(r.shard == s for r in placed))) for s in range(8))
 
 
+def test_sharding_repeated_rows(spark):
+    """A third of the rows are one id and one text: they are dealt over the slots, so the law holds."""
+    docs = spark.range(0, 6_000, 1, 4).selectExpr("if(id % 3 = 0, 7L, id) as doc_id", "if(id % 3 = 0, 'the same text', repeat(cast(id as string), 3)) as text", "1 as row_key", "2 as spot")
+    placed = sharding.shard(docs, shards=8)[0].collect()
+    loads = [sum(r.size for r in placed if r.shard == s) for s in range(8)]
+    assert len(placed) == 6_000 and max(loads) - min(loads) < 0.02 * sum(loads) / 8
+    assert all(sorted(r.slot for r in placed if r.shard == s) == list(range(sum(r.shard == s for r in placed))) for s in range(8))
+
+
 def brute_fingerprint(text):
     t = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", t)
