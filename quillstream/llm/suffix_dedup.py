@@ -51,6 +51,7 @@ CHUNK = 500_000
 BUCKET_BYTES = 8_000_000
 SORT_BYTES = 500_000
 FINER = 2
+#: The order of a row without an id: that of the greatest one, with which it counts as one document. Results have the ids as they were.
 NO_ID = 2**63 - 1
 DIFFERENT, MANY = 32, 100_000
 #: Windows that are gathered at once.
@@ -460,7 +461,7 @@ def run_through(docs: DataFrame, key: str, text: str, rest: list[str], finish, s
     return right_sized(out, blocks)
 
 
-def digest_table(own: Block, removed: np.ndarray, _: pa.Table | None) -> pa.Table:
+def digest_table(own: Block, removed: np.ndarray, rest: pa.Table) -> pa.Table:
     begins = np.r_[0, own.ends[:-1]].astype(np.int64)
     sizes = own.ends - begins
     total = np.r_[0, np.cumsum(removed)]
@@ -474,13 +475,13 @@ def digest_table(own: Block, removed: np.ndarray, _: pa.Table | None) -> pa.Tabl
     for a, b, n in zip(begins.tolist(), own.ends.tolist(), n_removed.tolist(), strict=True):
         body = own.raw[a:b]
         hashes.append(hashlib.sha256((body[~removed[a:b]] if n else body).tobytes()).hexdigest())
-    ids = pa.array(own.ids, mask=own.ids == NO_ID)
-    return pa.table({"doc_id": ids, "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(runs[own.ends] - runs[begins], pa.int64()), "kept_sha256": pa.array(hashes, pa.string())})
+    return pa.table({"doc_id": rest.column("id"), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(runs[own.ends] - runs[begins], pa.int64()), "kept_sha256": pa.array(hashes, pa.string())})
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of each row."""
-    return run_through(docs, key, text, [], digest_table, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", **sizes)
+    narrow = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return run_through(narrow, "id", "text", ["id"], digest_table, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", **sizes)
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = "n_removed", **sizes: int) -> DataFrame:

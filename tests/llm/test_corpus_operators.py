@@ -134,6 +134,8 @@ def test_suffix_dedup(spark):
     assert cut.columns == ["doc_id", "text", "lang", "n_removed"]
     assert sorted(str(q.text) for q in cut.where("doc_id = 3").collect() if q.text is None) == ["None"]
     assert suffix_dedup.removals(docs.limit(0)).count() == 0
+    most = spark.createDataFrame([(2**63 - 1, "x"), (None, "y")], "doc_id long, text string")
+    assert sorted((q.doc_id or 0, q.n_bytes) for q in suffix_dedup.removals(most).collect()) == [(0, 1), (2**63 - 1, 1)]
 
 
 def test_hot_anchors(spark):
