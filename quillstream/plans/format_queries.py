@@ -10,6 +10,7 @@ from quillstream.functions import scalars, text
 from quillstream.operators import alignment, aggregates, geometry, joins, languages, levels, tagging
 from quillstream.plans import books, media, newspapers, scans, tei
 from quillstream.plans.registry import SQL_LINES, SQL_SPANS, query, table
+from quillstream.plans.sql import SQL_TRIGRAMS
 from quillstream.sources import readers, scratch, sinks
 
 # ---------------------------------------------------------------- sources and sinks
@@ -573,9 +574,6 @@ def analysis_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("s_suppkey", "o.*")
 
 
-SQL_TRIGRAMS = "(SELECT k, substr(p, i, 3) AS gram, count(*) AS n FROM (SELECT k, p, unnest(range(1, greatest(length(p) - 2, 1) + 1)) AS i FROM (SELECT %s AS k, regexp_replace(lower(' ' || text || ' '), '[^\\p{L}]+', ' ', 'g') AS p FROM %s)) GROUP BY ALL)"
-
-
 @query(f"""WITH c AS (SELECT k AS lang, gram, n FROM {SQL_TRIGRAMS % ('lang', 'documents')}), s AS (SELECT lang, sum(n) + count(*) AS w FROM c GROUP BY lang), g AS (SELECT k, gram, n FROM {SQL_TRIGRAMS % ('item_id', 'benchmark')}), a AS (SELECT k, sum(n) AS al FROM g GROUP BY k),
   r AS (SELECT a.k, s.lang, coalesce(q.gain, 0) / al + ln(1 / w) AS score FROM a CROSS JOIN s LEFT JOIN (SELECT k, c.lang, sum(g.n * (ln((c.n + 1) / w) - ln(1 / w))) AS gain FROM g JOIN c USING (gram) JOIN s ON s.lang = c.lang GROUP BY k, c.lang) q ON q.k = a.k AND q.lang = s.lang)
   SELECT k AS item_id, lang, round(exp(score), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang) AS p FROM r) WHERE p = 1""")

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import text
-from quillstream.operators import aggregates, alignment, dictionary, gibbs, hierarchy, prefixes, search
+from quillstream.operators import aggregates, alignment, dictionary, gibbs, hierarchy, languages, prefixes, search
+from quillstream.operators import levels as level_rows
+from quillstream.plans import themes
 from quillstream.plans.registry import query, table
-from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
+from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS, SQL_TRIGRAMS
 from quillstream.sources import scratch
+from quillstream.streaming import levels as arriving
 
 SQL_ITEM_TERMS = f"(SELECT item_id, list_filter({SQL_TOKENS}, lambda t: t <> '') AS ts FROM benchmark)"
 
@@ -142,3 +145,61 @@ def turn_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.when(F.col("conv_id") % 7 == 3, at + F.col("last")).when(F.col("conv_id") > 0, at - F.when(F.col("conv_id") % 7 == 4, 2000).otherwise(1000))
     rows = turns.join(last, "conv_id").select((at + F.col("turn")).alias("node"), F.when(F.col("turn") > 0, at + F.col("turn") - 1).otherwise(first).alias("parent"))
     return hierarchy.climbed(rows, "node", "parent").select("node", "cyclic", "depth", "root")
+
+
+@query("""WITH n AS (SELECT n_nationkey, n_name, n_regionkey, (SELECT string_agg('<li>' || s_name || ' (0)</li>', '' ORDER BY s_name) FROM supplier WHERE s_nationkey = n_nationkey) AS parts, (SELECT count(DISTINCT c_mktsegment) FROM customer WHERE c_nationkey = n_nationkey) AS k,
+    (SELECT string_agg('<li>' || m || '</li>', '' ORDER BY m) FROM (SELECT DISTINCT c_mktsegment AS m FROM customer WHERE c_nationkey = n_nationkey)) AS items FROM nation),
+  np AS (SELECT *, '<li>' || n_name || ' (' || k || ')' || CASE WHEN parts IS NULL THEN coalesce('<ul>' || items || '</ul>', '') ELSE '<ul>' || parts || '</ul>' || coalesce('<ul class="orphans">' || items || '</ul>', '') END || '</li>' AS page FROM n),
+  r AS (SELECT r_regionkey, r_name, CAST(sum(k) AS BIGINT) AS total, string_agg(page, '' ORDER BY n_name) AS parts FROM region JOIN np ON n_regionkey = r_regionkey GROUP BY ALL)
+  SELECT 's' || s_suppkey AS theme, 2 AS depth, 0 AS total, 0 AS orphans, '<li>' || s_name || ' (0)</li>' AS page FROM supplier UNION ALL SELECT 'n' || n_nationkey, 1, k, CASE WHEN parts IS NULL THEN 0 ELSE k END, page FROM np
+  UNION ALL SELECT 'r' || r_regionkey, 0, total, 0, '<li>' || r_name || ' (' || total || ')<ul>' || parts || '</ul></li>' FROM r""")
+def theme_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions, nations and suppliers as a tree of themes; market segments of a nation's customers are its orphans."""
+    mark = lambda m, c: F.concat(F.lit(m), F.col(c).cast("string"))
+    tree = table(spark, sf_dir, "region").select(mark("r", "r_regionkey").alias("theme"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("title"))
+    tree = tree.unionByName(table(spark, sf_dir, "nation").select(mark("n", "n_nationkey").alias("theme"), mark("r", "n_regionkey").alias("parent"), F.col("n_name").alias("title")))
+    tree = tree.unionByName(table(spark, sf_dir, "supplier").select(mark("s", "s_suppkey").alias("theme"), mark("n", "s_nationkey").alias("parent"), F.col("s_name").alias("title")))
+    items = table(spark, sf_dir, "customer").select(mark("n", "c_nationkey").alias("theme"), F.col("c_mktsegment").alias("line")).distinct()
+    return themes.nested_report(tree, items).select("theme", "depth", "total", "orphans", "page")
+
+
+@query("SELECT doc_id, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY doc_id")
+def arriving_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents that arrive in two deliveries, a part of which comes twice: built batch by batch from the new files."""
+    docs, source, to = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch.folder(spark, "inbox"), scratch.folder(spark, "built")
+    plan = lambda units: {"lines": level_rows.lines(units)}
+    for part in (docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1 OR doc_id % 10 = 0")):
+        part.write.mode("append").parquet(source)
+        arriving.build(spark, source, "doc_id long, text string", to, "doc_id", plan, files_each=4)
+    arriving.build(spark, source, "doc_id long, text string", to, "doc_id", plan)  # nothing is new
+    return arriving.latest(spark, to, "lines", "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).alias("chars"))
+
+
+SQL_RANKED = "(SELECT k, gram, row_number() OVER (PARTITION BY k ORDER BY n DESC, gram) AS rank FROM %s QUALIFY rank <= 300)"
+
+
+@query(f"""WITH p AS {SQL_RANKED % (SQL_TRIGRAMS % ('lang', 'documents'))}, g AS {SQL_RANKED % (SQL_TRIGRAMS % ('item_id', 'benchmark'))}, b AS (SELECT k, count(*) AS n FROM g GROUP BY k), l AS (SELECT DISTINCT k AS lang FROM p)
+  SELECT b.k AS item_id, l.lang, round(coalesce(near, 0) / (n * 300.0), 6) AS score FROM b CROSS JOIN l LEFT JOIN (SELECT g.k, p.k AS lang, sum(300 - abs(g.rank - p.rank)) AS near FROM g JOIN p USING (gram) GROUP BY ALL) q ON q.k = b.k AND q.lang = l.lang""")
+def rank_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items by the distance of their trigrams' ranks from the documents' languages."""
+    found = languages.rank_scores(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
+    return found.withColumn("score", F.round("score", 6))
+
+
+SQL_LETTERS = ", ".join(f"CAST(len(regexp_extract_all(text, '{p}')) AS BIGINT) AS c{i}" for i, p in enumerate(["[a-zA-Z]", r"[\x{00C0}-\x{024F}]", r"[\x{0370}-\x{03FF}]", r"[\x{0400}-\x{04FF}]"]))
+
+
+@query(f"""WITH d AS (SELECT lang, {SQL_LETTERS}, CAST(len(regexp_extract_all(text, '\\p{{L}}')) AS BIGINT) AS every FROM documents), i AS (SELECT item_id, {SQL_LETTERS}, CAST(len(regexp_extract_all(text, '\\p{{L}}')) AS BIGINT) AS every FROM benchmark),
+  s AS (SELECT lang, sum(c0) + 1 AS s0, sum(c1) + 1 AS s1, sum(c2) + 1 AS s2, sum(c3) + 1 AS s3, sum(every - c0 - c1 - c2 - c3) + 1 AS s4 FROM d GROUP BY lang), t AS (SELECT *, CAST(s0 + s1 + s2 + s3 + s4 AS DOUBLE) AS a FROM s)
+  SELECT item_id, lang, round(CASE WHEN every = 0 THEN 1 ELSE exp((c0 * ln(s0 / a) + c1 * ln(s1 / a) + c2 * ln(s2 / a) + c3 * ln(s3 / a) + (every - c0 - c1 - c2 - c3) * ln(s4 / a)) / every) END, 6) AS score FROM i CROSS JOIN t""")
+def script_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items by their letters' groups."""
+    found = languages.script_scores(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query()
+def ensemble_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language with the greatest mean of the three detectors for each benchmark item."""
+    found = languages.ensemble(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
+    return aggregates.best_language(found.select("item_id", "lang", "score"), "item_id", detectors=1).withColumn("score", F.round("score", 6))
