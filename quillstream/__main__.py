@@ -1,4 +1,4 @@
-"""Programs: `python -m quillstream PROGRAM --files PATH … --to FOLDER` writes a format's tables as Parquet."""
+"""Programs: `python -m quillstream PROGRAM --files PATH … --to FOLDER` writes tables as Parquet: those of a format, or what an operator finds in tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.plans import books, media, scans
+from quillstream.functions import text
+from quillstream.operators import aggregates, alignment, dictionary, gibbs, languages, levels, search, tagging
+from quillstream.plans import books, media, scans, themes
 from quillstream.plans import tei as tei_plan
 from quillstream.sources import readers, sinks
+from quillstream.streaming import levels as stream_levels
 
 
 def contents(spark: SparkSession, paths: list[str], pattern: str) -> DataFrame:
@@ -51,7 +54,72 @@ def reuse(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
     return {"fragments": rows, "spans": spans}
 
 
-PROGRAMS = {"tei": tei, "ocr": ocr, "alto": alto, "tweets": tweets, "forum": forum, "reuse": reuse}
+def rows_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """A table from Parquet, CSV with a header, or JSON lines, by its name's ending."""
+    kind = "csv" if paths[0].endswith(".csv") else "json" if paths[0].endswith((".json", ".jsonl")) else "parquet"
+    return getattr(spark.read.option("header", "true"), kind)(*paths) if kind != "json" else spark.read.json(paths)
+
+
+def words(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    each = rows_of(spark, o.files).select(F.explode(text.letter_tokens(F.col(o.text))).alias("word"))
+    return {"words": each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))}
+
+
+def index(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    search.build(rows_of(spark, o.files), o.key, o.text, f"{o.to}/index")
+    return {}
+
+
+def phrases(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--files: an index; --other: a table of queries (key, text)."""
+    asked = rows_of(spark, [o.other]).select(F.col(o.key).alias("query"), F.filter(text.default_analyzer(F.col(o.text)), lambda t: t != "").alias("terms"))
+    found = search.load(spark, o.files[0])
+    return {"hits": search.phrases(found, asked) if o.within is None else search.near(found, asked, o.within)}
+
+
+def align(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--files: rows (key, text); --other: pages (key, page)."""
+    return {"aligned": alignment.align_rows(rows_of(spark, o.files), rows_of(spark, [o.other]), [o.key], o.text, "page").drop("page")}
+
+
+def tag(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--other: names (name, kind)."""
+    return {"tokens": tagging.tag_names(rows_of(spark, o.files), rows_of(spark, [o.other]), o.key, o.text)}
+
+
+def links(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--other: titles (title, url)."""
+    return {"texts": dictionary.link_titles(rows_of(spark, o.files), rows_of(spark, [o.other]), o.key, o.text)}
+
+
+def topics(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    model = gibbs.sample(gibbs.terms(rows_of(spark, o.files), o.key, o.text, [], 2), topics=o.topics, rounds=o.rounds)
+    return {"words": gibbs.top_words(model), "documents": gibbs.document_topics(model)}
+
+
+def language(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--other: texts with their language (lang, text)."""
+    scored = languages.ensemble(rows_of(spark, o.files), rows_of(spark, [o.other]).withColumnRenamed("text", o.text), o.key, o.text)
+    return {"scores": scored, "languages": aggregates.best_language(scored.select(o.key, "lang", "score"), o.key, detectors=1)}
+
+
+def report(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--files: themes (theme, parent, title); --other: items (theme, line)."""
+    return {"pages": themes.nested_report(rows_of(spark, o.files), rows_of(spark, [o.other]))}
+
+
+def arriving(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """Lines of the texts in --files, a folder of Parquet; a further run reads what is new."""
+    schema = spark.read.parquet(o.files[0]).schema
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    stream_levels.build(spark, o.files[0], shape, f"{o.to}/levels", o.key, lambda units: {"lines": levels.lines(units, o.key, o.text)})
+    return {"lines": stream_levels.latest(spark, f"{o.to}/levels", "lines", o.key)}
+
+
+PROGRAMS = {
+    "tei": tei, "ocr": ocr, "alto": alto, "tweets": tweets, "forum": forum, "reuse": reuse, "words": words, "index": index, "phrases": phrases, "align": align, "tag": tag, "links": links,
+    "topics": topics, "language": language, "report": report, "arriving": arriving,
+}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -62,6 +130,14 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--files", nargs="+", required=True, help="folders or files")
         one.add_argument("--to", required=True, help="a folder for the tables")
         one.add_argument("--order", default="", help="columns that tables are clustered by, where they have them")
+        one.add_argument("--key", default="id", help="the column that names a row")
+        one.add_argument("--text", default="text", help="the column of texts")
+        one.add_argument("--other", help="a second table, where a program takes one")
+        if name == "phrases":
+            one.add_argument("--within", type=int, help="positions that a query's words may stand apart; without it they are a phrase")
+        if name == "topics":
+            one.add_argument("--topics", type=int, default=500)
+            one.add_argument("--rounds", type=int, default=400, help="rounds of five sweeps")
         if name == "tei":
             for flag in ("--inline-notes", "--omit-emphases", "--omit-structure", "--only-core", "--rehyphenate"):
                 one.add_argument(flag, action="store_true")

@@ -20,12 +20,13 @@ def counts_before(counted: DataFrame, keys: list[str], value: str, n: str, name:
     A group's values are cut at approximate quantiles, summed up for each piece, and ordered within pieces only: no
     group is sorted by one task, however many different values it has.
     """
+    counted = scratch.kept(counted, "counted")
     cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, [i / PIECES for i in range(1, PIECES)], 10_000).alias("_cuts"))  # a row of PIECES numbers for each group
-    placed = counted.join(cuts, keys).withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    placed = counted.join(scratch.small(cuts, "cuts"), keys).withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     before = lambda w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = placed.groupBy(*keys, "_piece").agg(F.sum(n).alias(n)).withColumn("_off", before(Window.partitionBy(*keys).orderBy("_piece"))).drop(n)
     inner = placed.withColumn(name, before(Window.partitionBy(*keys, "_piece").orderBy(value)))
-    return inner.join(pieces, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_off")).drop("_piece", "_off")
+    return inner.join(scratch.small(pieces, "pieces"), [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_off")).drop("_piece", "_off")
 
 
 def average_ranks(counted: DataFrame, keys: list[str], value: str, name: str, n: str = "_n") -> DataFrame:
@@ -36,7 +37,7 @@ def average_ranks(counted: DataFrame, keys: list[str], value: str, name: str, n:
 
 def correlations(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """keys, n, pearson, spearman; null where there are fewer than two rows or no spread. Equal pairs are counted first, so only different ones meet their ranks."""
-    pairs = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = scratch.kept(rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_n")), "pairs")
     both = average_ranks(average_ranks(pairs, keys, x, "_rx"), keys, y, "_ry")
     plain = lambda c: F.col(c).cast("double")
     middle = both.groupBy(*keys).agg(F.sum("_n").alias("n"), *[(F.sum(F.col("_n") * plain(c)) / F.sum("_n")).alias(f"_m{i}") for i, c in enumerate((x, y, "_rx", "_ry"))])

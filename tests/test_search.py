@@ -177,3 +177,75 @@ def test_hierarchies(spark):
     assert [got["y", i] for i in range(1, 7)] == [(None, None, True)] * 3 + [(4, 0, False), (4, 1, False), (None, None, True)]
     paths = {(x["k"], x["node"]): x["path"] for x in hierarchy.climbed(frame.where("k = 'y' OR node < 40"), "node", "up", ["k"], "name", "/").collect()}
     assert paths["x", 39] == "/".join(f"p{i}" for i in range(40)) and paths["y", 5] == "d/e" and paths["y", 1] is None
+
+
+def test_arriving_levels(spark, tmp_path):
+    from quillstream.operators import levels
+    from quillstream.streaming import levels as arriving
+
+    source, to, seen = str(tmp_path / "in"), str(tmp_path / "out"), []
+
+    def plan(units):
+        seen.append(sorted(x["id"] for x in units.collect()))
+        return {"lines": levels.lines(units, "id", "t")}
+
+    def deliver(*rows):
+        spark.createDataFrame(list(rows), "id int, t string").coalesce(1).write.mode("append").parquet(source)
+        return arriving.build(spark, source, "id int, t string", to, "id", plan)
+
+    told = lambda: sorted((x["id"], x["line"]) for x in arriving.latest(spark, to, "lines", "id").collect())
+    assert deliver((1, "a\nb"), (2, "c"), (None, "x")) == 1 and told() == [(1, "a"), (1, "b"), (2, "c")]
+    deliver((2, "d"), (3, "e\nf"))
+    assert told() == [(1, "a"), (1, "b"), (2, "d"), (3, "e"), (3, "f")]  # a unit that comes again replaces its rows
+    arriving.build(spark, source, "id int, t string", to, "id", plan)
+    assert seen == [[1, 2], [2, 3]]  # each file once
+    deliver((1, None))
+    assert told() == [(2, "d"), (3, "e"), (3, "f")]
+
+
+def test_theme_report(spark):
+    from quillstream.plans import themes
+
+    tree = spark.createDataFrame([("a", None, "A & B"), ("b", "a", "x"), ("c", "a", "w"), ("d", "b", "deep"), ("l", "m", "loop"), ("m", "l", "loop")], "theme string, parent string, title string")
+    items = spark.createDataFrame([("a", "own"), ("b", "1<2"), ("b", "1<2"), ("d", "z"), ("nowhere", "lost")], "theme string, line string")
+    got = {x["theme"]: x for x in themes.nested_report(tree, items).collect()}
+    assert {k: (x["depth"], x["total"], x["orphans"]) for k, x in got.items()} == {"a": (0, 4, 1), "b": (1, 3, 2), "c": (1, 0, 0), "d": (2, 1, 0)}
+    deep = "<li>deep (1)<ul><li>z</li></ul></li>"
+    b = f'<li>x (3)<ul>{deep}</ul><ul class="orphans"><li>1&lt;2</li><li>1&lt;2</li></ul></li>'
+    assert got["a"]["page"] == f'<li>A &amp; B (4)<ul><li>w (0)</li>{b}</ul><ul class="orphans"><li>own</li></ul></li>'
+    assert themes.nested_report(tree.where("false"), items).count() == 0
+
+
+def test_language_ensemble(spark):
+    from quillstream.operators import languages
+
+    known = spark.createDataFrame([("en", "the ship and the sea and the whale"), ("fi", "meri ja laiva ja valas ja ranta"), ("el", "η θάλασσα και το πλοίο"), (None, "the")], "lang string, text string")
+    rows = spark.createDataFrame([(1, "the whale and"), (2, "laiva ja meri"), (3, "θάλασσα"), (4, ""), (5, None), (6, "123")], "id int, text string")
+    got = {}
+    for x in languages.ensemble(rows, known, "id").collect():
+        got.setdefault(x["id"], {})[x["lang"]] = x
+    assert set(got) == {1, 2, 3, 4, 6} and all(len(v) == 3 for v in got.values())
+    assert [max(got[i], key=lambda k: got[i][k]["score"]) for i in (1, 2, 3)] == ["en", "fi", "el"]
+    for v in got.values():
+        assert abs(sum(x["script"] for x in v.values()) - 1) < 1e-9 and all(abs(x["score"] - (x["trigram"] + x["rank"] + x["script"]) / 3) < 1e-9 for x in v.values())
+
+
+def test_programs(spark, tmp_path):
+    from quillstream.__main__ import main
+
+    docs, names = str(tmp_path / "docs.jsonl"), str(tmp_path / "names.csv")
+    (tmp_path / "docs.jsonl").write_text('{"id": 1, "text": "the white whale in New York"}\n{"id": 2, "text": "a white ship"}\n')
+    (tmp_path / "names.csv").write_text("name,kind,title,url\nNew York,LOC,whale,/w\n")
+    (tmp_path / "asked.jsonl").write_text('{"id": "q", "text": "white whale"}\n')
+    to = str(tmp_path / "out")
+    main(["index", "--files", docs, "--to", to], spark)
+    main(["phrases", "--files", f"{to}/index", "--other", str(tmp_path / "asked.jsonl"), "--to", to], spark)
+    assert [(x["query"], x["doc"], list(x["starts"])) for x in spark.read.parquet(f"{to}/hits").collect()] == [("q", 1, [1])]
+    main(["phrases", "--files", f"{to}/index", "--other", str(tmp_path / "asked.jsonl"), "--to", to, "--within", "5"], spark)
+    assert spark.read.parquet(f"{to}/hits").count() == 1
+    main(["tag", "--files", docs, "--other", names, "--to", to], spark)
+    assert spark.read.parquet(f"{to}/tokens").where("tag = '</LOC>'").first()["token"] == "York"
+    main(["links", "--files", docs, "--other", names, "--to", to], spark)
+    assert '<a href="/w">whale</a>' in spark.read.parquet(f"{to}/texts").where("id = 1").first()["text"]
+    main(["words", "--files", docs, "--to", to], spark)
+    assert spark.read.parquet(f"{to}/words").where("word = 'white'").first()["n"] == 2
