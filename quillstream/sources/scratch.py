@@ -39,8 +39,8 @@ def _clean() -> None:
             return
 
 
-#: What may be broadcast, by the bytes of its files.
-BROADCAST_BYTES = 16_000_000
+#: What may be broadcast, by the bytes of its files; in memory a table is some ten times as large.
+BROADCAST_BYTES = 4_000_000
 
 
 def kept(df, name: str):
