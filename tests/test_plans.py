@@ -234,7 +234,7 @@ def test_unit_paths(spark):
 
 def test_bad_files_do_not_end_others(spark):
     files = spark.createDataFrame([("a", bytearray(b"<T>x</T>")), ("b", bytearray(b"<T>"))], "path string, content binary")
-    assert {r.path: (r.text, r.error is None) for r in scans.convert_tei(files).collect()} == {"a": ("x", True), "b": (None, False)}
+    assert {r.path: (r.text, r.error is None) for r in plans_tei.convert_tei(files).collect()} == {"a": ("x", True), "b": (None, False)}
     ocr = scans.ocr_tables(spark.createDataFrame([("a", bytearray(b'<b><page><p><wd pos="0,0,1,1">w</wd></p></page></b>')), ("b", bytearray(b"<b"))], "path string, content binary"))
     assert [r.path for r in ocr["errors"].collect()] == ["b"] and ocr["words"].count() == 1
 
