@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import text
 from quillstream.operators import aggregates, alignment, dictionary, gibbs, languages, levels, search, tagging
-from quillstream.plans import books, media, scans, themes
+from quillstream.plans import articles, books, media, scans, themes
 from quillstream.plans import tei as tei_plan
 from quillstream.sources import readers, sinks
 from quillstream.streaming import levels as stream_levels
@@ -116,9 +116,32 @@ def arriving(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]
     return {"lines": stream_levels.latest(spark, f"{o.to}/levels", "lines", o.key)}
 
 
+def app_articles(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    read = lambda p: readers.read_json_objects(spark, p, articles.APP, "" if o.arrays else None)
+    return articles.app_articles(reduce(DataFrame.unionByName, map(read, o.files)), o.site)
+
+
+def broadcast_articles(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    read = lambda p: readers.read_json_objects(spark, p, articles.BROADCAST, "" if o.arrays else None)
+    return articles.broadcast_articles(reduce(DataFrame.unionByName, map(read, o.files)))
+
+
+def listed_articles(spark: SparkSession, o: argparse.Namespace) -> dict[str, DataFrame]:
+    """--files: CSV lists; --other: the folder of the analyses."""
+    listed = [readers.read_csv(spark, p, articles.LISTED) for p in o.files]
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.analysis.json").text(o.other)
+    root = spark._jvm.org.apache.hadoop.fs.Path(o.other)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    parts = lambda path: F.split(F.regexp_replace(path, "^[^/]*:/*", ""), "/")  # noqa: E731  without the scheme
+    depth = F.size(parts(F.lit(root)))
+    below = F.array_join(F.slice(parts(F.col("_metadata.file_path")), depth + 1, F.size(parts(F.col("_metadata.file_path")))), "/")
+    found, missing = articles.listed_articles(reduce(DataFrame.unionByName, [good for good, _ in listed]), files.select(below.alias("path"), F.col("value").alias("content")), o.site)
+    return found | {"missing": missing, "errors": reduce(DataFrame.unionByName, [bad for _, bad in listed])}
+
+
 PROGRAMS = {
     "tei": tei, "ocr": ocr, "alto": alto, "tweets": tweets, "forum": forum, "reuse": reuse, "words": words, "index": index, "phrases": phrases, "align": align, "tag": tag, "links": links,
-    "topics": topics, "language": language, "report": report, "arriving": arriving,
+    "topics": topics, "language": language, "report": report, "arriving": arriving, "app-articles": app_articles, "broadcast-articles": broadcast_articles, "listed-articles": listed_articles,
 }
 
 
@@ -141,6 +164,9 @@ def parser() -> argparse.ArgumentParser:
         if name == "tei":
             for flag in ("--inline-notes", "--omit-emphases", "--omit-structure", "--only-core", "--rehyphenate"):
                 one.add_argument(flag, action="store_true")
+        if name.endswith("-articles"):
+            one.add_argument("--site", default="", help="what an article's address begins with")
+            one.add_argument("--arrays", action="store_true", help="files hold one object or array over several lines each, not an object a line")
         if name == "tweets":
             one.add_argument("--skip", nargs="*", default=[], choices=["retweet", "quoted", "reply", "tweet"])
     return p

@@ -503,4 +503,4 @@ def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event_type", scalars.iso_date_number(F.date_format("ts", "yyyy-MM-dd")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-from quillstream.plans import format_queries, search_queries  # noqa: E402, F401  register their own
+from quillstream.plans import article_queries, format_queries, search_queries  # noqa: E402, F401  register their own
