@@ -12,7 +12,12 @@ ranges. A look-up bisects the keys of each part of the directory, reads only the
 lines, and then reads the records' ranges; parts are searched by tasks of their own, and nothing is collected.
 
 Payloads of DEDUP_BYTES bytes or more that are equal (SHA-1 and length) are stored once, with the largest page_id;
-the other captures are revisit records, which carry headers only. A look-up resolves them.
+the other captures are revisit records, which carry headers only and name the response's URL, page and digest (its
+record's id isn't known to the task that writes the revisit). A look-up resolves them.
+
+Each archive begins with a warcinfo record. A record's id is made of its archive's name, which no other has, and its
+place there, so repeated rows and null ids have ids of their own. The date is when the archive was begun, unless the
+pages' capture time is given.
 
 A null html is an empty payload and a null url an empty key. Payloads of any length are whole; equal keys stand in the
 order of their ids and places. Repeated rows are records of their own; if they share the largest page_id of an equal
@@ -28,6 +33,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -69,16 +75,30 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, refers_to_url: str | None, revisit: bool) -> bytes:
-    """One WARC/1.1 record as a gzip member."""
+def record_id(archive: str, place: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}#{place}')}>"
+
+
+def member(head: list[str], body: bytes) -> bytes:
+    """A record as a gzip member of its own."""
+    return gzip.compress("\r\n".join(["WARC/1.1", *head, f"Content-Length: {len(body)}"]).encode() + b"\r\n\r\n" + body + b"\r\n\r\n", 4, mtime=0)
+
+
+def info(archive: str, date: str) -> bytes:
+    """The warcinfo record that an archive begins with."""
+    body = b"software: quillstream\r\nformat: WARC File Format 1.1\r\n"
+    return member(["WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(archive, 0)}", f"WARC-Date: {date}", f"WARC-Filename: {archive}", "Content-Type: application/warc-fields"], body)
+
+
+def record(name: str, date: str, page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, refers_to_url: str | None, revisit: bool) -> bytes:
+    """One WARC/1.1 record as a gzip member; name: the record's id."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     body = http if revisit else http + payload
     head = [
-        "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>",
+        f"WARC-Record-ID: {name}",
         f"WARC-Target-URI: {' '.join(url.split())}",
-        "WARC-Date: 2024-01-01T00:00:00Z",
+        f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {len(payload)}",
         f"X-Page-ID: {'' if page_id is None else page_id}",
@@ -86,12 +106,10 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
     if revisit:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>",
             f"WARC-Refers-To-Target-URI: {' '.join((refers_to_url or '').split())}",
             f"X-Refers-To-Page: {refers_to}",
         ]
-    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
-    return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n", 4, mtime=0)
+    return member([*head, "Content-Type: application/http; msgtype=response"], body)
 
 
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -103,10 +121,11 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, body.partition(b"\r\n\r\n")[2]
 
 
-def plan(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Each page with its digest, its record type and what it refers to."""
+def plan(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", captured: str | None = None) -> DataFrame:
+    """Each page with its digest, its record type, what it refers to and its date; captured: a column of timestamps."""
+    date = F.date_format(F.to_utc_timestamp(captured, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'") if captured else F.lit(None).cast("string")
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "utf-8")
-    told = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("size"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    told = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("size"), F.coalesce(F.col(html), F.lit("")).alias("html"), date.alias("date"))
     large = told.where(F.col("size") >= DEDUP_BYTES)
     first = large.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.max_by("url", F.struct("page_id", "url")).alias("first_url"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     # narrow rows decide; the texts move once, by their ids
@@ -123,23 +142,27 @@ def write(planned: DataFrame, folder: str) -> DataFrame:
         store, path = open_store(folder)
         store.create_dir(path, recursive=True)
         name = f"pages-{uuid.uuid4().hex}.warc.gz"
+        began = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
         at, out = 0, None
         try:
             for batch in batches:
                 lines = []
-                for page_id, url, digest, html, first, first_url, revisit in zip(*[batch.column(i).to_pylist() for i in range(7)], strict=True):
+                for page_id, url, digest, html, first, first_url, revisit, date in zip(*[batch.column(i).to_pylist() for i in range(8)], strict=True):
                     if out is None:
                         out = store.open_output_stream(f"{path}/{name}", compression=None)
-                    member = record(page_id, url, html.encode(), digest, first, first_url, revisit)
-                    out.write(member)
-                    lines.append((safe_surt(url), page_id, name, at, len(member)))
-                    at += len(member)
+                        head = info(name, began)
+                        out.write(head)
+                        at = len(head)
+                    body = record(record_id(name, at), date or began, page_id, url, html.encode(), digest, first, first_url, revisit)
+                    out.write(body)
+                    lines.append((safe_surt(url), page_id, name, at, len(body)))
+                    at += len(body)
                 yield pa.RecordBatch.from_pylist([dict(zip(("surt", "page_id", "file", "start", "length"), x, strict=True)) for x in lines], schema=pa.schema([("surt", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("start", pa.int64()), ("length", pa.int64())]))
         finally:
             if out is not None:
                 out.close()
 
-    return materialise(planned.select("page_id", "url", "digest", "html", "first", "first_url", "revisit").mapInArrow(trimmed(run), CAPTURE), "captures")
+    return materialise(planned.select("page_id", "url", "digest", "html", "first", "first_url", "revisit", "date").mapInArrow(trimmed(run), CAPTURE), "captures")
 
 
 DIRECTORY = "first_key string, last_key string, n_lines long, file string, start long, length long"

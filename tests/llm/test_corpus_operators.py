@@ -265,6 +265,35 @@ def test_warc(spark, tmp_path):
     assert whole.startswith(b"WARC/1.1\r\nWARC-Type: ")
 
 
+def headers_of(archive):
+    """The headers of each record of an archive, read from its start to its end without the index."""
+    raw, out = gzip.decompress(archive.read_bytes()), []
+    while raw:
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:] if ": " in x)
+        raw = rest[int(fields["Content-Length"]) + 4 :]
+        out.append(fields)
+    return out
+
+
+def test_warc_records(spark, tmp_path):
+    """Ids of their own for repeated rows and null ids, an archive's first record, dates in UTC, very long payloads."""
+    big, huge = "z" * 1500, "long " * 400_000
+    rows = [(1, "http://a.net/", big, "2023-05-06 07:08:09")] * 3 + [(None, "http://b.net/", "n", None)] * 2 + [(2, "http://c.net/", big, "2024-02-29 00:00:00"), (3, "http://d.net/", huge, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, at string").withColumn("date", F.lit("clash")).withColumn("at", F.col("at").cast("timestamp")).repartition(3)
+    folder = str(tmp_path / "warc")
+    directory = warc.index(warc.write(warc.plan(pages, captured="at"), folder), folder)
+    archives = [headers_of(p) for p in (tmp_path / "warc").glob("*.warc.gz")]
+    assert all(a[0]["WARC-Type"] == "warcinfo" for a in archives)
+    records = [f for a in archives for f in a[1:]]
+    ids = [f["WARC-Record-ID"] for a in archives for f in a]
+    assert len(records) == len(rows) and len(set(ids)) == len(ids)
+    dated = {(f.get("X-Page-ID"), f["WARC-Date"]) for f in records if f.get("X-Page-ID") in ("1", "2")}
+    assert dated == {("1", "2023-05-06T07:08:09Z"), ("2", "2024-02-29T00:00:00Z")}
+    assert {f["WARC-Type"] for f in records if f.get("X-Page-ID") == "1"} == {"revisit"}
+    assert max(r.payload_bytes for r in warc.read(directory, folder).collect()) == len(huge)
+
+
 def test_surt():
     assert warc.safe_surt("http://www.Example.com:80/A?b=2&a=1") == "com,example)/a?a=1&b=2"
 
