@@ -41,7 +41,7 @@ def app_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "analyzedTitle": analysis(F.concat_ws(" ", "lang", "source")), "analyzedLead": analysis(F.substring_index("text", "\n", 1)), "analyzedBody": analysis(F.col("text")),
     }
     path = scratch.folder(spark, "app-articles")
-    sinks.write_json(table(spark, sf_dir, "documents").select(*[c.alias(n) for n, c in fields.items()]), path)
+    sinks.write_json(table(spark, sf_dir, "documents").select(*[c.alias(n) for n, c in fields.items()]), path, "gzip")
     return readers.read_json_objects(spark, path, articles.APP)
 
 
@@ -78,7 +78,7 @@ def broadcast_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the analysis is an object in some rows and an array in others
     written = F.concat(F.regexp_replace(F.to_json(fields), "[}]$", ""), F.coalesce(F.concat(F.lit(',"analyzedText":'), analysed), F.lit("")), F.lit("}"))
     path = scratch.folder(spark, "broadcast-articles")
-    table(spark, sf_dir, "documents").select(written.alias("value")).write.text(path)
+    table(spark, sf_dir, "documents").select(written.alias("value")).write.text(path, compression="gzip")
     rows = articles.broadcast_articles(readers.read_json_objects(spark, path, articles.BROADCAST))["article"]
     return rows.select("article_id", "publisher", "first_keyword", "published_ms", "paragraphs", "sentences", "content_tokens", "content_length", F.md5("text").alias("text_md5"))
 

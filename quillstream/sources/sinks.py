@@ -34,8 +34,8 @@ def write_csv(rows: DataFrame, path: str, header: bool = True, escape: str = '"'
     rows.write.mode("overwrite").option("header", header).option("escape", escape).csv(path)
 
 
-def write_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").json(path)
+def write_json(rows: DataFrame, path: str, compression: str = "none") -> None:
+    rows.write.mode("overwrite").json(path, compression=compression)
 
 
 def write_pretty_json(rows: DataFrame, path: str, key: str) -> None:
