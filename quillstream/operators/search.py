@@ -8,9 +8,12 @@ by term, part and document, where sorted position lists are intersected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from quillstream.sources import scratch
 
 #: Documents in a part of a term's postings; query terms that are named in the scan's filter.
 PART_DOCUMENTS, NAMED_TERMS = 100_000, 1_000
+#: Tokens whose positions are grouped at once; a longer text is grouped whole.
+BATCH_TOKENS = 1_000_000
 
 
 @dataclass
@@ -33,6 +38,47 @@ def part_of(doc: str, parts: str) -> Column:
     return F.pmod(F.xxhash64(doc), F.col(parts)).cast("int")
 
 
+def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """term, doc, positions of rows (doc, terms: the tokens in order, empty ones being gaps), one for each term of a row."""
+    for batch in batches:
+        lengths = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            # rows of some BATCH_TOKENS tokens at a time, one row at least
+            to = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + BATCH_TOKENS, "right")))
+            docs, terms = (c.slice(at, to - at) for c in (batch.column("doc"), batch.column("terms")))
+            at = to
+            row, tokens = pc.list_parent_indices(terms).to_numpy().astype(np.int64), terms.flatten()
+            index = np.arange(len(row))
+            begins = np.maximum.accumulate(np.where(np.diff(row, prepend=-1) != 0, index, 0)) if len(row) else index
+            some = pc.fill_null(pc.not_equal(tokens, ""), False).to_numpy(zero_copy_only=False)
+            coded = tokens.filter(pa.array(some)).dictionary_encode()
+            code, row, pos = coded.indices.to_numpy(), row[some], (index - begins)[some].astype(np.int32)
+            key = row * max(len(coded.dictionary), 1) + code
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0)
+            positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(pos[order]))
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[order][first])), docs.take(pa.array(row[order][first])), positions], ["term", "doc", "positions"])
+
+
+def document_postings(docs: DataFrame, analyze: Callable[[Column], Column]) -> DataFrame:
+    """term, doc, positions of docs (doc, text), one row for each term and document.
+
+    A document that is one row has its positions grouped within that row, by Arrow batches, so its words aren't shuffled.
+    Those of repeated documents are merged by term and document. If these are too many to be broadcast, all are merged.
+    """
+    kind = docs.schema["doc"].dataType.simpleString()
+    each = lambda rows: rows.select("doc", analyze(F.coalesce("text", F.lit(""))).alias("terms")).mapInArrow(grouped, f"term string, doc {kind}, positions array<int>")
+    merged = lambda rows: rows.select("term", "doc", F.explode("positions").alias("pos")).groupBy("term", "doc").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    repeated = scratch.kept(docs.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "repeated")
+    if scratch.file_bytes(repeated) > scratch.BROADCAST_BYTES:
+        return merged(each(docs))
+    if repeated.isEmpty():
+        return each(docs)
+    once, more = (docs.join(F.broadcast(repeated), F.col("doc").eqNullSafe(F.col("again")), how) for how in ("left_anti", "left_semi"))
+    return each(once).unionByName(merged(each(more)))
+
+
 def build(docs: DataFrame, key: str, text: str, path: str, analyze: Callable[[Column], Column] = texts.default_analyzer, part_documents: int = PART_DOCUMENTS) -> Index:
     """Writes the index of `docs` below `path`.
 
@@ -40,8 +86,7 @@ def build(docs: DataFrame, key: str, text: str, path: str, analyze: Callable[[Co
     A null key is a document of its own.
     """
     spark = docs.sparkSession
-    tokens = docs.select(F.col(key).alias("doc"), F.explode(texts.postings(analyze(F.coalesce(F.col(text), F.lit(""))))).alias("p")).select("doc", "p.term", "p.pos")
-    each = scratch.kept(tokens.groupBy("term", "doc").agg(F.sort_array(F.collect_set(F.col("pos").cast("int"))).alias("positions")), "postings")
+    each = scratch.kept(document_postings(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), analyze), "postings")
     counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("occurrences"))
     told = counted.withColumn("parts", F.ceil(F.col("documents") / part_documents).cast("int"))
     told.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/dictionary")

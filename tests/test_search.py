@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +44,32 @@ def test_phrases_and_proximity(spark, corpus, tmp_path, part_documents):
     assert close == want
 
 
+def test_postings_of_repeated_documents(spark, monkeypatch):
+    """Rows of one key or of none are one document; extra columns, empty and null texts and gaps don't matter."""
+    rows = [("x", "a b a"), ("x", "b b - a"), ("y", "  ! a\na "), (None, "a c"), (None, "d c"), ("z", None), ("w", ""), ("v", "long " * 3000)]
+    docs = spark.createDataFrame(rows, "doc string, text string")
+    want = {}
+    for key, text in rows:
+        for pos, term in enumerate(w.strip("!-") for w in (text or "").split()):
+            if term:
+                want.setdefault((term, key), set()).add(pos)
+    plain = lambda c: F.transform(F.split(F.regexp_replace(c, r"^\s+|\s+$", ""), r"\s+"), lambda t: F.regexp_replace(t, "[!-]", ""))
+    batches = [100, 1_000_000]
+    for broadcast, tokens in [(0, 100), (4_000_000, 1_000_000)]:
+        monkeypatch.setattr(search.scratch, "BROADCAST_BYTES", broadcast)
+        monkeypatch.setattr(search, "BATCH_TOKENS", tokens)
+        got = search.document_postings(docs, plain).collect()
+        assert {(r["term"], r["doc"]): r["positions"] for r in got} == {k: sorted(v) for k, v in want.items()}
+        assert len(got) == len(want)
+    assert search.document_postings(docs.limit(0), plain).count() == 0
+    # within the function itself, whatever the size of its pieces
+    batch = pa.RecordBatch.from_pylist([{"doc": k, "terms": None if t is None else [w.strip("!-") for w in t.split()]} for k, t in rows[2:]])
+    for n in batches:
+        monkeypatch.setattr(search, "BATCH_TOKENS", n)
+        got = [r for b in search.grouped([batch]) for r in b.to_pylist()]
+        assert sorted((r["term"], r["doc"] or "", r["positions"]) for r in got) == sorted([("a", "y", [1, 2]), ("a", "", [0]), ("c", "", [1]), ("d", "", [0]), ("c", "", [1]), ("long", "v", list(range(3000)))])
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
