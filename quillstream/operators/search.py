@@ -23,7 +23,7 @@ from quillstream.sources import scratch
 #: Documents in a part of a term's postings; query terms that are named in the scan's filter.
 PART_DOCUMENTS, NAMED_TERMS = 100_000, 1_000
 #: Tokens whose positions are grouped at once; a longer text is grouped whole.
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 2_000_000
 
 
 @dataclass
@@ -39,7 +39,7 @@ def part_of(doc: str, parts: str) -> Column:
 
 
 def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """term, doc, positions of rows (doc, terms: the tokens in order, empty ones being gaps), one for each term of a row."""
+    """term, doc, positions of rows (doc, terms: the tokens in order, empty ones being gaps), one for each term of a row; those of a term together."""
     for batch in batches:
         lengths = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False))
         at = 0
@@ -47,14 +47,15 @@ def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # rows of some BATCH_TOKENS tokens at a time, one row at least
             to = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + BATCH_TOKENS, "right")))
             docs, terms = (c.slice(at, to - at) for c in (batch.column("doc"), batch.column("terms")))
-            at = to
+            n_rows, at = to - at, to
             row, tokens = pc.list_parent_indices(terms).to_numpy().astype(np.int64), terms.flatten()
             index = np.arange(len(row))
             begins = np.maximum.accumulate(np.where(np.diff(row, prepend=-1) != 0, index, 0)) if len(row) else index
             some = pc.fill_null(pc.not_equal(tokens, ""), False).to_numpy(zero_copy_only=False)
             coded = tokens.filter(pa.array(some)).dictionary_encode()
             code, row, pos = coded.indices.to_numpy(), row[some], (index - begins)[some].astype(np.int32)
-            key = row * max(len(coded.dictionary), 1) + code
+            # by term, then row: rows of one term side by side are small in files and shuffles
+            key = code.astype(np.int64) * n_rows + row
             order = np.argsort(key, kind="stable")
             first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0)
             positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(pos[order]))
