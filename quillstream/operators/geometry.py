@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import bisect
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PLACES = T.ArrayType(T.IntegerType())
 
 
 def line_numbers(words: list[tuple[int, int, int, int]]) -> list[int]:
@@ -29,16 +33,19 @@ def line_numbers(words: list[tuple[int, int, int, int]]) -> list[int]:
     return out
 
 
+@F.pandas_udf(PLACES)
+def page_lines(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
+    """Lines of the words of whole pages."""
+    return pd.Series([line_numbers(list(zip(*(c.tolist() for c in boxes), strict=True))) for boxes in zip(x1, y1, x2, y2, strict=True)], dtype=object)
+
+
 def words_to_lines(words: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Words (x1, y1, x2, y2) with `line`: depends on the line so far, so it is a function of a whole page."""
 
-    def one(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(order)
-        p["line"] = line_numbers(list(p[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None)))
-        return p
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema) + ", line int"
-    return words.groupBy(*keys).applyInPandas(one, schema)
+    rest = [c for c in words.columns if c != order]
+    pages = words.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, *rest))).alias("_rows"))
+    placed = pages.select("_rows", page_lines(*[F.col(f"_rows.{c}") for c in ("x1", "y1", "x2", "y2")]).alias("_lines"))
+    return placed.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_lines").alias("line"))).alias("z")).select(*[F.col(f"z.r.{c}") for c in words.columns], "z.line")
 
 
 def line_boxes(words: DataFrame, keys: list[str], order: str, text: str = "word") -> DataFrame:
@@ -87,22 +94,31 @@ def block_columns(blocks: DataFrame, page: list[str], block: str) -> DataFrame:
     return beside.groupBy(*page, block).agg(column_count(spans).alias("columns"), F.first((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).alias("area"))
 
 
-def reading_order(blocks: DataFrame, page: list[str]) -> DataFrame:
-    """Blocks (block, position, logical order or null) with `place`: referenced ones in logical order; each other one, by position, before the first that isn't above it."""
+@F.pandas_udf(PLACES)
+def block_places(positions: pd.Series, blocks: pd.Series, logicals: pd.Series) -> pd.Series:
+    """Places of the blocks of whole pages, which come by position and block; absent positions come last."""
 
-    def one(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["position", "block"])
-        known = p[p["logical"].notna()].sort_values("logical")
-        order = list(zip(known["block"], known["position"], strict=True))
-        for b, y in zip(p.loc[p["logical"].isna(), "block"], p.loc[p["logical"].isna(), "position"], strict=True):
-            at = next((i for i, (_, other) in enumerate(order) if y <= other), len(order)) if len(known) else len(order)
-            order.insert(at, (b, y))
+    def one(ys, names, marks) -> list[int]:
+        rows = [(math.nan if y is None else y, b, None if m is None or m != m else m) for y, b, m in zip(ys.tolist(), names.tolist(), marks.tolist(), strict=True)]
+        order = [(b, y) for y, b, _ in sorted((r for r in rows if r[2] is not None), key=lambda r: r[2])]
+        known = bool(order)
+        for y, b, m in rows:
+            if m is None:
+                at = next((i for i, (_, other) in enumerate(order) if y <= other), len(order)) if known else len(order)
+                order.insert(at, (b, y))
         place = {b: i for i, (b, _) in enumerate(order)}
-        p["place"] = p["block"].map(place)
-        return p
+        return [place[b] for _, b, _ in rows]
+
+    return pd.Series([one(*r) for r in zip(positions, blocks, logicals, strict=True)], dtype=object)
+
+
+def reading_order(blocks: DataFrame, page: list[str]) -> DataFrame:
+    """Blocks (block, position, logical order or null) with `place`: referenced ones in logical order; each other one, by position, before the first that isn't above it."""
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema) + ", place int"
-    return blocks.groupBy(*page).applyInPandas(one, schema)
+    place = [c for c in blocks.columns if c not in ("position", "block")]
+    rows = F.array_sort(F.collect_list(F.struct(F.col("position").isNull().alias("_last"), "position", "block", *place)))
+    pages = blocks.groupBy(*page).agg(rows.alias("_rows")).select("_rows", block_places(F.col("_rows.position"), F.col("_rows.block"), F.col("_rows.logical")).alias("_places"))
+    return pages.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_places").alias("place"))).alias("z")).select(*[F.col(f"z.r.{c}") for c in blocks.columns], "z.place")
 
 
 def own_areas(elements: DataFrame) -> DataFrame:

@@ -1,7 +1,12 @@
 """What larger tables and odd files showed: tables as folders, marks in names, long texts."""
 
-from quillstream.operators import dictionary
-from quillstream.plans import format_queries
+import time
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from quillstream.operators import dictionary, geometry, languages
+from quillstream.plans import format_queries, scans
 
 
 def test_file_list_of_folders_and_strangers(spark, tmp_path):
@@ -16,3 +21,36 @@ def test_names_end_with_ascii_word_characters(spark):
     names = spark.createDataFrame([("a caf", "short"), ("a café", "long")], "name string, value string")
     found = dictionary.named_words(docs, names, "id", "text")
     assert sorted((r.id, r.value) for r in found.collect()) == [(1, "short"), (2, "short")]
+
+
+def test_pages_are_batched(spark):
+    """Pages reach Python many at once: a call for each group of rows took most of the time."""
+    blocks = spark.createDataFrame([(p, f"b{b}", b * 7 % 5, b if b == 2 else None) for p in range(50) for b in range(4)], "page int, block string, position int, logical int")
+    words = spark.createDataFrame([(p, n, n % 3 * 30, n // 3 * 12, n % 3 * 30 + 20, n // 3 * 12 + 10) for p in range(50) for n in range(7)], "page int, n int, x1 int, y1 int, x2 int, y2 int")
+    placed, lined = geometry.reading_order(blocks, ["page"]), geometry.words_to_lines(words, ["page"], "n")
+    for df in (placed, lined):
+        assert "FlatMapGroups" not in df._jdf.queryExecution().toString()
+    assert {tuple(r.block for r in placed.where(F.col("page") == p).orderBy("place").collect()) for p in (0, 49)} == {("b0", "b3", "b1", "b2")}
+    assert {(r.n, r.line) for r in lined.collect()} == {(n, n // 3) for n in range(7)}
+
+
+def test_parsed_files_leave_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(scans, "PARSED_BYTES", 100)
+    files = spark.createDataFrame([(str(i), b"<book><page type='t'><p><wd pos='1,2,3,4'>w</wd></p></page></book>" if i else b"<book>") for i in range(9)], "path string, content binary").coalesce(1)
+    parsed = scans.parsed_files(files, ["path"], scans.ocr_file, scans.OCR)
+    told = {r.path: r.p for r in parsed.collect()}
+    assert len(told) == 9 and told["0"].words is None and "ExpatError" in told["0"].error
+    assert all(len(told[str(i)].words) == 1 and told[str(i)].error is None for i in range(1, 9))
+
+
+def test_trigrams_of_a_long_text(spark):
+    """Time grew with the square of a text's length."""
+    text = "abcdefghij " * 60_000
+    grams = languages.trigrams(spark.createDataFrame([("x", text), ("y", ""), ("z", "ab")], "k string, text string"), "k")
+    begun = time.monotonic()
+    found = {(r.k, r.gram): r.n for r in grams.collect()}
+    assert time.monotonic() - begun < 60
+    plain = {k: " ".join(f" {t} ".split(" ")) for k, t in (("x", text.strip()), ("y", ""), ("z", "ab"))}
+    plain["y"] = " "
+    want = Counter((k, t[i : i + 3]) for k, t in plain.items() for i in range(max(len(t) - 2, 1)))
+    assert found == dict(want)
