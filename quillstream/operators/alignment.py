@@ -19,8 +19,8 @@ GRAM, BLOCK, DIAGONALS = 5, 256, 64
 
 def blocks(page: Column, overlap: int) -> Column:
     """at, body of a page's blocks, each with the first letters of the next."""
-    cut = F.regexp_extract_all(page, F.lit(f"(?s).{{1,{BLOCK}}}"), 0)
-    return F.transform(cut, lambda b, i: F.struct((i * BLOCK).alias("at"), F.concat(b, F.substring(F.coalesce(F.get(cut, i + 1), F.lit("")), 1, overlap)).alias("body")))
+    cut = F.regexp_extract_all(page, F.lit(f"(?s)(?=(.{{1,{BLOCK + overlap}}})).{{1,{BLOCK}}}"), 1)  # the page is gone through once
+    return F.transform(cut, lambda b, i: F.struct((i * BLOCK).alias("at"), b.alias("body")))
 
 
 def page_grams(pages: DataFrame, keys: list[str], page: str, gram: int) -> DataFrame:

@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstream.operators.alignment import BLOCK, blocks
+from quillstream.sources import scratch
+
 SIZE = 3
 
 
 def trigrams(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key, gram, n: strings of SIZE characters of the text in lower case, runs of anything but letters made one blank."""
     plain = F.regexp_replace(F.lower(F.concat(F.lit(" "), text, F.lit(" "))), r"\PL+", " ")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_p") - SIZE + 1, F.lit(1))), lambda i: F.substring("_p", i, F.lit(SIZE)))
-    return rows.select(key, plain.alias("_p")).select(key, F.explode(grams).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
+    # a substring far into a long text is slow, so it is cut into blocks that reach into the next one
+    cut = rows.select(key, F.posexplode(blocks(plain, SIZE - 1)).alias("_i", "_b")).select(key, "_i", F.col("_b.body").alias("_p"))
+    most = F.least(F.lit(BLOCK), F.length("_p") - SIZE + 1)
+    places = F.when(most > 0, F.sequence(F.lit(1), F.greatest(most, F.lit(1)))).when(F.col("_i") == 0, F.array(F.lit(1)))
+    return cut.select(key, "_p", F.explode(places).alias("_at")).select(key, F.substring("_p", F.col("_at"), F.lit(SIZE)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profiles(rows: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """lang, gram, logp, and unseen (the language's value for a trigram that it hasn't): one more than each count, over all counts and different trigrams."""
-    counted = trigrams(rows.where(F.col(lang).isNotNull()), lang, text).withColumnRenamed(lang, "lang")
+    counted = scratch.kept(trigrams(rows.where(F.col(lang).isNotNull()), lang, text).withColumnRenamed(lang, "lang"), "profiles")
     sizes = counted.groupBy("lang").agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_kinds"))
     whole = F.col("_all") + F.col("_kinds")
     return counted.join(F.broadcast(sizes), "lang").select("lang", "gram", F.log((F.col("n") + 1) / whole).alias("logp"), F.log(1 / whole).alias("unseen"))  # a row for each language
@@ -50,7 +56,7 @@ def rank_scores(rows: DataFrame, known: DataFrame, key: str, text: str = "text",
     A trigram that the language's profile lacks is RANKS away. known: texts with their language.
     """
     own = ranked(trigrams(rows, key, text), key).select(key, "gram", F.col("rank").alias("at"))
-    profile = ranked(trigrams(known.where(F.col(lang).isNotNull()), lang, text).withColumnRenamed(lang, "lang"), "lang")
+    profile = scratch.kept(ranked(trigrams(known.where(F.col(lang).isNotNull()), lang, text).withColumnRenamed(lang, "lang"), "lang"), "ranks")
     names = [r.lang for r in profile.select("lang").distinct().orderBy("lang").collect()]  # an entry for each language
     base = own.groupBy(key).agg(F.count(F.lit(1)).alias("grams")).withColumn("lang", F.explode(F.lit(names).cast("array<string>")))
     near = own.join(profile.select("lang", "gram", "rank"), "gram").groupBy(key, "lang").agg(F.sum(RANKS - F.abs(F.col("at") - F.col("rank"))).alias("near"))
