@@ -57,17 +57,19 @@ def align_rows(rows: DataFrame, pages: DataFrame, keys: list[str], row: str, pag
     numbered = scratch.kept(rows.withColumns({"_id": F.monotonically_increasing_id(), "_expected": place, "_pieces": pieces}), "rows")
     spans = windows(numbered, pages, keys, row, page, gram)
     text = F.substring(F.col(page), (F.col("low") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
-    tried = spans.join(numbered.select("_id", *keys, F.col(row).alias("_row"), "_expected", "_pieces"), "_id").join(pages.select(*keys, page), keys)
+    pages = pages.select(*keys, page).hint("merge")  # tables of like rows are small in files and large in memory, so none is broadcast by its file's size
+    spread = numbered.hint("merge")
+    tried = spans.join(numbered.select("_id", *keys, F.col(row).alias("_row"), "_expected", "_pieces").hint("merge"), "_id").join(pages, keys)
     dealt = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_id")  # noqa: E731  by work, not by bytes
     tried = dealt(tried.select("_id", "_pieces", "_expected", "low", "_row", text.alias("_text")))
     tried = tried.select("_id", "_pieces", "_expected", "low", align_near(F.col("_row"), F.col("_text"), F.col("_expected") - F.col("low"), F.col("_pieces")).alias("a"))
     start = F.col("low") + F.col("a.start")
     found = tried.select("_id", "_pieces", F.struct("a.cost", F.coalesce(F.abs(start - F.col("_expected")), F.lit(0)).alias("off"), start.cast("int").alias("start"), "a.length").alias("a"))
     sure = scratch.kept(found.groupBy("_id").agg(F.min("a").alias("a"), F.first("_pieces").alias("n")).where("a.cost < n").select("_id", "a.cost", "a.start", "a.length"), "aligned")
-    rest = numbered.join(sure, "_id", "left_anti").join(pages.select(*keys, page), keys)
+    rest = spread.join(sure.hint("merge"), "_id", "left_anti").join(pages, keys)
     whole = dealt(rest.select("_id", "_expected", F.col(row).alias("_row"), F.col(page).alias("_text")))
     whole = whole.select("_id", align_near(F.col("_row"), F.col("_text"), F.col("_expected"), F.lit(None).cast("long")).alias("a")).select("_id", "a.cost", "a.start", "a.length")
-    told = numbered.join(sure.unionByName(whole), "_id").join(pages.select(*keys, page), keys)
+    told = spread.join(sure.unionByName(whole), "_id").join(pages, keys)
     end = F.col("start") + F.col("length")
     inside = lambda at: (at > 0) & (at < F.length(page)) & F.substring(F.col(page), at, F.lit(2)).rlike(r"^[\p{L}\p{N}]{2}")
     ahead = F.regexp_extract(F.substring(F.col(page), F.lit(1), F.col("start")), r"[\p{L}\p{N}]*$", 0)

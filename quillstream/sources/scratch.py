@@ -41,6 +41,8 @@ def _clean() -> None:
 
 #: What may be broadcast, by the bytes of its files; in memory a table is some ten times as large.
 BROADCAST_BYTES = 4_000_000
+#: Rows that may be broadcast, of whatever size in files.
+BROADCAST_ROWS = 200_000
 
 
 def kept(df, name: str):
@@ -56,8 +58,10 @@ def file_bytes(df) -> int:
 
 
 def small(df, name: str):
-    """`df` kept, and with a broadcast hint if its files show that it is small; else joins shuffle it."""
+    """`df` kept, and with a merge hint unless its files and its rows show that it is small: equal rows are next to nothing in files, but not in memory."""
     from pyspark.sql import functions as F
 
     stored = kept(df, name)
-    return F.broadcast(stored) if file_bytes(stored) <= BROADCAST_BYTES else stored
+    if file_bytes(stored) > BROADCAST_BYTES or stored.count() > BROADCAST_ROWS:
+        return stored.hint("merge")
+    return F.broadcast(stored)

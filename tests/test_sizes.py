@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.operators import dictionary, geometry, languages
 from quillstream.plans import format_queries, scans
+from quillstream.sources import scratch
 
 
 def test_file_list_of_folders_and_strangers(spark, tmp_path):
@@ -54,3 +55,11 @@ def test_trigrams_of_a_long_text(spark):
     plain["y"] = " "
     want = Counter((k, t[i : i + 3]) for k, t in plain.items() for i in range(max(len(t) - 2, 1)))
     assert found == dict(want)
+
+
+def test_many_equal_rows_are_not_broadcast(spark):
+    """A million equal rows are some bytes in a file, and were broadcast."""
+    large = scratch.small(spark.range(1_000_000).select(F.lit("the same words in each row").alias("k")), "large")
+    small = scratch.small(spark.range(10).select(F.lit("the same words in each row").alias("k")), "small")
+    plan = lambda df: spark.range(5).select(F.lit("x").alias("k")).join(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(small) and "strategy=broadcast" not in plan(large)
