@@ -45,13 +45,23 @@ BROADCAST_BYTES = 4_000_000
 BROADCAST_ROWS = 200_000
 
 
-def kept(df, name: str):
-    """`df` written as a Parquet table in a scratch folder and read back: its lineage ends, and its size is known."""
+def kept(df, name: str, by: str | None = None):
+    """`df` written as a Parquet table in a scratch folder, a folder for each value of `by`, and read back: its lineage ends, and its size is known."""
     path = folder(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*kept_tables) -> None:
+    """Removes the files of kept tables that nothing reads again."""
+    for df in kept_tables:
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            jvm = df.sparkSession.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(file)
+            where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def file_bytes(df) -> int:
     """Bytes of the files that a table is read from."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
