@@ -194,6 +194,21 @@ def test_prefixes(spark, tmp_path):
     assert prefixes.prefix_join(left.where("false"), "s", right, "prefix").count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 7, 1_000])
+def test_prefixes_of_many_copies(spark, tmp_path, monkeypatch, block):
+    """Copies on both sides: every pair is there, but pairs pass no exchange."""
+    monkeypatch.setattr(prefixes, "BLOCK", block, raising=False)
+    strings = [("hot ring", i) for i in range(60)] + [("hot rod", i) for i in range(40)] + [("new bolt", i) for i in range(5)]
+    asked = ["hot r"] * 50 + ["hot ro"] * 3 + ["", "hot x"]
+    spark.createDataFrame(strings, "s string, n int").write.parquet(str(tmp_path / "s"))
+    left, right = spark.read.parquet(str(tmp_path / "s")), spark.createDataFrame([(p, i) for i, p in enumerate(asked)], "p string, id int")
+    found = prefixes.prefix_join(left, "s", right, "p", 3)
+    rows = sorted((x["s"], x["n"], x["r_id"]) for x in found.collect())
+    assert rows == sorted((s, n, i) for s, n in strings for i, p in enumerate(asked) if s.startswith(p))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(_right") < plan.index("Join") and plan.index("explode(_left") < plan.index("Join")
+
+
 def test_hierarchies(spark):
     n = 10_000
     rows = [("x", i, i - 1 if i else None, f"p{i}") for i in range(n)] + [("y", 1, 2, "a"), ("y", 2, 1, "b"), ("y", 3, 2, "c"), ("y", 4, 77, "d"), ("y", 5, 4, "e"), ("y", 6, 6, "f"), ("y", None, 1, "g")]
