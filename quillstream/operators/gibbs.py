@@ -10,23 +10,24 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions.text import topic_tokens
 from quillstream.sources import scratch
 
-#: Tokens in a partition.
-PART_TOKENS = 500_000
+#: Tokens times topics in a partition.
+PART_CELLS = 4_000_000
 
 
 @dataclass
 class Model:
-    """tokens: part, doc, words, topics; counts: word, topic, n; rounds: round, tokens, words (what each round's counts sum up to); alpha and beta: the priors."""
+    """tokens: part, doc, words, topics; counts: word, topic, n; known: id, word, by which words stand in both, in the words' order; rounds: round, tokens, words (what each round's counts sum up to); alpha and beta: the priors."""
 
     tokens: DataFrame
     counts: DataFrame
+    known: DataFrame
     rounds: list[tuple[int, int, int]]
     topics: int
     alpha: float
@@ -45,41 +46,39 @@ def terms(docs: DataFrame, key: str, text: str, stop_words: list[str], least_doc
     return scratch.kept(met.select("doc", F.col("all.word").alias("words")), "words")
 
 
-def sweeps(words: list[np.ndarray], topics: list[np.ndarray], table: np.ndarray, totals: np.ndarray, of: int, alpha: float, beta: float, times: int, draw: np.random.Generator) -> list[np.ndarray]:
+def sweeps(words: np.ndarray, topics: np.ndarray, lengths: np.ndarray, table: np.ndarray, totals: np.ndarray, of: int, alpha: float, beta: float, times: int, draw: np.random.Generator) -> np.ndarray:
     """Samples every token's topic `times` times: the first tokens of all documents, then the second ones, and so on.
 
     A document's own counts are those of its last sample; a word's and the totals are those of the step before. words: row
-    numbers in `table` (words by topics), which is changed, as are the totals; of: words in the whole vocabulary.
+    numbers in `table` (words by topics), which is changed, as are the totals; of: words in the whole vocabulary. Documents stand
+    one after the other in words and topics, so memory goes with the tokens, however long one document is.
     """
-    k, n = table.shape[1], len(words)
-    lengths = np.array([len(w) for w in words])
-    order = np.argsort(-lengths, kind="stable")
-    width = int(lengths.max(initial=0))
-    w, z = np.zeros((n, width), np.int64), np.zeros((n, width), np.int64)
-    mine = np.zeros((n, k))
-    for row, d in enumerate(order):
-        w[row, : lengths[d]], z[row, : lengths[d]] = words[d], topics[d]
-        mine[row] = np.bincount(topics[d], minlength=k)
-    at = [int((lengths[order] > j).sum()) for j in range(width)]
+    k, n = table.shape[1], len(lengths)
+    rank = np.empty(n, np.int64)
+    rank[np.argsort(-lengths, kind="stable")] = np.arange(n)
+    row, place = np.repeat(rank, lengths), np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    by_step = np.lexsort((row, place))
+    w, z, cells = words[by_step], topics[by_step], table.reshape(-1)
+    mine = np.bincount(row * k + topics, minlength=n * k).reshape(n, k).astype(float)
+    ends = np.cumsum(np.bincount(place))
     for _ in range(times):
-        for j in range(width):
-            rows = np.arange(at[j])
-            word, old = w[: at[j], j], z[: at[j], j]
+        for begin, end in zip(np.append(0, ends[:-1]), ends, strict=True):
+            rows = np.arange(end - begin)
+            word, old = w[begin:end], z[begin:end].copy()
             mine[rows, old] -= 1
             own = table[word]
             own[rows, old] -= 1
             less = np.broadcast_to(totals, own.shape).copy()
             less[rows, old] -= 1
-            chance = np.cumsum((mine[: at[j]] + alpha) * (np.maximum(own, 0) + beta) / (np.maximum(less, 0) + of * beta), axis=1)
-            new = (chance < (draw.random(at[j]) * chance[:, -1])[:, None]).sum(axis=1)
-            z[: at[j], j] = new
+            chance = np.cumsum((mine[: len(rows)] + alpha) * (np.maximum(own, 0) + beta) / (np.maximum(less, 0) + of * beta), axis=1)
+            new = (chance < (draw.random(len(rows)) * chance[:, -1])[:, None]).sum(axis=1)
+            z[begin:end] = new
             mine[rows, new] += 1
-            np.subtract.at(table, (word, old), 1)
-            np.add.at(table, (word, new), 1)
+            np.subtract.at(cells, word * k + old, 1)
+            np.add.at(cells, word * k + new, 1)
             totals += np.bincount(new, minlength=k) - np.bincount(old, minlength=k)
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * n
-    for row, d in enumerate(order):
-        out[d] = z[row, : lengths[d]]
+    out = np.empty_like(topics)
+    out[by_step] = z
     return out
 
 
@@ -93,26 +92,31 @@ def sample(words: DataFrame, topics: int = 500, rounds: int = 20, sweeps_each: i
 
     Documents of one key are sampled each for itself. Without documents the model is empty.
     """
-    size = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.count_distinct("doc")).first()
-    n_parts, alpha = parts or max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size[0] // PART_TOKENS)), alpha_sum / topics
-    spread = lambda w, i: F.pmod(F.xxhash64("doc", w, i, F.lit(seed)), F.lit(topics)).cast("int")
-    tokens = scratch.kept(words.select(F.pmod(F.xxhash64("doc"), F.lit(n_parts)).cast("int").alias("part"), "doc", "words", F.transform("words", spread).alias("topics")), "tokens")
+    words = scratch.kept(words.select(F.monotonically_increasing_id().alias("row"), "doc", "words"), "rows")
+    size, alpha = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0], alpha_sum / topics
+    n_parts = parts or max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size * topics // PART_CELLS))
+    spread = lambda w, i: F.struct(i.alias("i"), w.alias("word"), F.pmod(F.xxhash64("doc", w, i, F.lit(seed)), F.lit(topics)).cast("int").alias("topic"))
+    known = scratch.kept(words.select(F.explode("words").alias("word")).distinct().orderBy("word").select(F.monotonically_increasing_id().alias("id"), "word"), "known")
+    each = words.select("row", "doc", F.explode(F.transform("words", spread)).alias("t")).select("row", "doc", "t.*").join(known, "word")
+    dealt = each.groupBy("row", "doc").agg(F.sort_array(F.collect_list(F.struct("i", "id", "topic"))).alias("all"))
+    tokens = scratch.kept(dealt.select(F.pmod(F.xxhash64("doc"), F.lit(n_parts)).cast("int").alias("part"), "doc", F.col("all.id").alias("words"), F.col("all.topic").alias("topics")), "tokens")
     own = scratch.kept(tokens.select("part", F.explode(F.array_distinct("words")).alias("word")).distinct(), "own")
     told, counts = [], counted(tokens)
     vocabulary = counts.agg(F.count_distinct("word")).first()[0]
 
     def one_round(number: int, totals: np.ndarray):
-        def run(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-            mine, known = mine.sort_values("doc", kind="stable", ignore_index=True), known.sort_values("word", ignore_index=True)
-            place = {w: i for i, w in enumerate(known["word"])}
-            table = np.zeros((len(place), topics))
-            for i, pairs in enumerate(known["topics"]):
-                for p in pairs:
-                    table[i, p["topic"]] = p["n"]
-            draw = np.random.Generator(np.random.Philox([seed, number, int(mine["part"].iloc[0])])) if len(mine) else None
-            rows = [np.array([place[w] for w in ws], np.int64) for ws in mine["words"]]
-            mine["topics"] = sweeps(rows, [np.array(z, np.int64) for z in mine["topics"]], table, totals.copy(), vocabulary, alpha, beta, sweeps_each, draw) if len(mine) else []
-            return mine
+        def run(mine: pa.Table, known: pa.Table) -> pa.Table:
+            if not len(mine):
+                return mine
+            mine, known = mine.sort_by("doc"), known.sort_by("word")
+            words, old, n = (t.combine_chunks() for t in (mine["words"], mine["topics"], known["n"]))
+            table = np.zeros((len(known), topics))
+            table[np.repeat(np.arange(len(known)), np.diff(n.offsets.to_numpy())), known["topic"].combine_chunks().flatten().to_numpy()] = n.flatten().to_numpy()
+            draw = np.random.Generator(np.random.Philox([seed, number, mine["part"][0].as_py()]))
+            rows, lengths = np.searchsorted(known["word"].to_numpy(), words.flatten().to_numpy()), np.diff(words.offsets.to_numpy())
+            new = sweeps(rows, old.flatten().to_numpy().astype(np.int64), lengths, table, totals.copy(), vocabulary, alpha, beta, sweeps_each, draw)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(new, pa.int32()))
+            return mine.set_column(mine.schema.get_field_index("topics"), "topics", lists)
 
         return run
 
@@ -122,18 +126,20 @@ def sample(words: DataFrame, topics: int = 500, rounds: int = 20, sweeps_each: i
         for r in sums:
             totals[r.topic] = r.n
         told.append((number, int(totals.sum()), counts.agg(F.count_distinct("word")).first()[0]))
-        by_word = counts.groupBy("word").agg(F.collect_list(F.struct("topic", "n")).alias("topics"))
-        known = own.join(by_word, "word").select("part", "word", "topics")
-        tokens = scratch.kept(tokens.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(one_round(number, totals), tokens.schema), "tokens")
-        counts = counted(tokens)
-    return Model(tokens, counts, told, topics, alpha, beta)
+        by_word = counts.groupBy("word").agg(F.collect_list(F.struct("topic", "n")).alias("all")).select("word", F.col("all.topic").alias("topic"), F.col("all.n").alias("n"))
+        mine = own.join(by_word, "word").select("part", "word", "topic", "n")
+        sampled = scratch.kept(tokens.groupBy("part").cogroup(mine.groupBy("part")).applyInArrow(one_round(number, totals), tokens.schema), "tokens")
+        scratch.dropped(tokens, counts)
+        tokens, counts = sampled, counted(sampled)
+    return Model(tokens, counts, known, told, topics, alpha, beta)
 
 
 def top_words(model: Model, n: int = 5) -> DataFrame:
     """topic, rank, word, weight (the word's share of the topic's tokens) of each topic's most frequent words."""
     share = F.col("n") / F.sum("n").over(Window.partitionBy("topic"))
     ranked = model.counts.withColumn("weight", share).withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("n"), "word")))
-    return ranked.where(F.col("rank") <= n).select("topic", "rank", "word", "weight")
+    best = ranked.where(F.col("rank") <= n).withColumnRenamed("word", "id")  # ids are in the words' order
+    return best.join(model.known, "id").select("topic", "rank", "word", "weight")
 
 
 def document_topics(model: Model, least: float = 0.2, n: int = 5) -> DataFrame:

@@ -1,12 +1,13 @@
 """Variational topics against a plain version, and what stays off the driver."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.operators import topics
+from quillstream.operators import gibbs, topics
 
 
 def planted(spark):
@@ -68,3 +69,25 @@ def test_planted_topics_without_the_vocabulary_on_the_driver(spark):
 def test_no_documents(spark):
     top, of = topics.topic_model(planted(spark).where("false"), "id", "t", topics=2)
     assert top.collect() == [] and of.collect() == []
+
+
+def test_a_long_document_takes_no_more_memory_than_its_tokens():
+    """Every document was padded to the longest one: 4,000 short ones beside one of 40,000 tokens took some GB."""
+    lengths = np.array([10] * 4_000 + [40_000])
+    r = np.random.default_rng(1)
+    words, old = r.integers(0, 50, lengths.sum()), r.integers(0, 2, lengths.sum())
+    table = np.bincount(words * 2 + old, minlength=100).reshape(50, 2).astype(float)
+    tracemalloc.start()
+    totals = table.sum(axis=0)
+    new = gibbs.sweeps(words, old, lengths, table, totals, 50, 0.1, 0.01, 1, r)
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
+    assert (np.bincount(words * 2 + new, minlength=100).reshape(50, 2) == table).all() and (totals == table.sum(axis=0)).all()
+
+
+def test_gibbs_rounds_hold_numbers_for_words(spark):
+    """The words were strings in every round's tables."""
+    model = gibbs.sample(gibbs.terms(planted(spark), "id", "t", [], 2), topics=2, rounds=1)
+    assert dict(model.counts.dtypes)["word"] == "bigint" and dict(model.tokens.dtypes)["words"] == "array<bigint>"
+    words = [r.word for r in model.known.orderBy("id").collect()]
+    assert words == sorted(words) and {r.word for r in gibbs.top_words(model).collect()} <= set(words)
