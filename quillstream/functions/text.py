@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstream.functions.python import running_begins
+
 #: Editorial marks that the poem tokenizer deletes (fixed values).
 POEM_MARKS = "[]'^°@*|$€\"¨ˇ"
 #: White space at a text's ends, each run tried once.
@@ -145,9 +147,9 @@ def offset_postings(text: Column) -> Column:
     """
     raw = r"(?:[^\s]*-\s+)*[^\s]+"
     gaps, hits = F.split(text, raw), F.regexp_extract_all(text, F.lit(raw), F.lit(0))
-    begins = piece_begins(gaps, hits)
+    begins = running_begins(F.transform(gaps, F.length), F.transform(hits, F.length))
     term = lambda h: F.lower(strip_punctuation(F.regexp_replace(h, r"-\s++(?=\S)", "")))
-    placed = F.transform(F.arrays_zip(hits.alias("h"), F.slice(begins, F.lit(1), F.size(hits)).alias("b")), lambda z, i: F.struct(i.alias("pos"), term(z["h"]).alias("term"), z["b"].alias("start"), (z["b"] + F.length(z["h"])).alias("end")))
+    placed = F.transform(F.arrays_zip(hits.alias("h"), begins.alias("b")), lambda z, i: F.struct(i.alias("pos"), term(z["h"]).alias("term"), z["b"].alias("start"), (z["b"] + F.length(z["h"])).alias("end")))
     return F.filter(placed, lambda p: p["term"] != "")
 
 
