@@ -7,23 +7,32 @@ from pyspark.sql import functions as F
 
 from quillstream.plans import articles
 from quillstream.plans.registry import query, table
-from quillstream.sources import readers, scratch, sinks
+from quillstream.sources import readers, scratch
 
-PIECES = "[^ \\n\\t]+|[ \\n\\t]+"
+#: A piece of a text inside a JSON string, by its escapes; and a word of an analysis as JSON.
+WORD, BLANK = r'(?:[^ \\"\x01]++|\\[^nt])*+', r"(?: |\\[nt])++"
+ENTRY = '{"word":"%s","analysis":[{"weight":1.0,"globalTags":[{%s}]}]},'
+FIRST, WHITESPACE = '"FIRST_IN_SENTENCE":["TRUE"]', '"WHITESPACE":["TRUE"]'
 
 
 def analysis(text: Column) -> Column:
-    """Words and blanks of a text; a sentence begins with the text and with each word behind one that ends in a full stop."""
-    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
-    tags = lambda *names: F.array(F.create_map(*[x for n in names for x in (F.lit(n), F.array(F.lit("TRUE")))]) if names else F.create_map().cast("map<string,array<string>>"))
+    """Words and blanks of a text as JSON; a sentence begins with the text, if with a word, and with each word behind one that ends in a full stop.
 
-    def word(w: Column, last: Column) -> Column:
-        blank = w.rlike("^[ \\n\\t]")
-        found = F.when(blank, tags("WHITESPACE")).when(F.endswith(last, F.lit(".")), tags("FIRST_IN_SENTENCE")).otherwise(tags())
-        return F.struct(w.alias("word"), F.array(F.struct(F.lit(1.0).cast("float").alias("weight"), found.alias("globalTags"))).alias("analysis"))
+    Written into the text as a JSON string, two patterns for the whole text: a call for each word took most of the time.
+    \\x01, which is escaped in JSON, stands before the first words until the end.
+    """
+    marked = F.regexp_replace(F.to_json(F.array(text)), rf'(^\["|\.{BLANK})(?![" ]|\\[nt])', "$1\x01")
+    # words and the blanks, or the end, behind them; an empty word is before a blank at the begin, or at the end
+    words = F.regexp_replace(marked, rf'(\x01?+)({WORD})({BLANK}|"\]$)', ENTRY % ("$2", "$1") + ENTRY % ("$3", WHITESPACE))
+    for found, put in ((ENTRY % ("", ""), ""), ("," + ENTRY % ('"]', WHITESPACE), "]"), ("\x01", FIRST)):
+        words = F.replace(words, F.lit(found), F.lit(put))
+    return F.when(text == "", F.lit("[]")).when(text.isNotNull(), F.concat(F.lit("["), F.substr(words, F.lit(3))))
 
-    # each piece beside the one two before it, as words and blanks alternate; the first one has a full stop there
-    return F.zip_with(pieces, F.slice(F.concat(F.array(F.lit("."), F.lit("")), pieces), F.lit(1), F.size(pieces)), word)
+
+def with_analyses(fields: Column, **analyses: Column) -> Column:
+    """A struct as a JSON object, with further fields that are JSON already; null ones are left out."""
+    more = [F.coalesce(F.concat(F.lit(f',"{name}":'), value), F.lit("")) for name, value in analyses.items()]
+    return F.concat(F.regexp_replace(F.to_json(fields), "[}]$", ""), *more, F.lit("}"))
 
 
 #: Pieces of the documents' lines (or of whole texts), with the number of their sentence; rid tells repeated rows apart.
@@ -36,12 +45,11 @@ SQL_PARTS = "(SELECT rid, doc_id, l.i - 1 AS paragraph, l.x AS part FROM (SELECT
 
 def app_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as objects of the app's feed, written as JSON lines and read again."""
-    fields = {
-        "article_id": F.col("doc_id").cast("string"), "category": F.col("source"), "published_at": F.lit("2024-01-02T03:04:05Z"), "news_value": F.col("n_chars").cast("int"), "authors": F.concat_ws(",", "lang", "source", F.lit("")),
-        "analyzedTitle": analysis(F.concat_ws(" ", "lang", "source")), "analyzedLead": analysis(F.substring_index("text", "\n", 1)), "analyzedBody": analysis(F.col("text")),
-    }
+    fields = {"article_id": F.col("doc_id").cast("string"), "category": F.col("source"), "published_at": F.lit("2024-01-02T03:04:05Z"), "news_value": F.col("n_chars").cast("int"), "authors": F.concat_ws(",", "lang", "source", F.lit(""))}
+    lead = F.substring_index("text", "\n", 1)
+    written = with_analyses(F.struct(*[c.alias(n) for n, c in fields.items()]), analyzedTitle=analysis(F.concat_ws(" ", "lang", "source")), analyzedLead=analysis(lead), analyzedBody=analysis(F.col("text")))
     path = scratch.folder(spark, "app-articles")
-    sinks.write_json(table(spark, sf_dir, "documents").select(*[c.alias(n) for n, c in fields.items()]), path, "gzip")
+    table(spark, sf_dir, "documents").select(written.alias("value")).write.text(path, compression="lz4")
     return readers.read_json_objects(spark, path, articles.APP)
 
 
@@ -59,7 +67,7 @@ def app_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM (SELECT rid, doc_id, s, regexp_replace(string_agg(piece, '' ORDER BY i), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS text, count(*) AS n, bool_and(blank) AS blank FROM {SQL_SENTENCES % SQL_WHOLE} GROUP BY ALL) WHERE NOT blank""")
 def app_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences of the app's articles, by the analysis's marks."""
-    return articles.app_articles(app_objects(spark, sf_dir))["sentence"].select("article_id", "sentence", "text", "content_length", "content_tokens")
+    return articles.app_articles(app_objects(spark, sf_dir), with_words=False)["sentence"].select("article_id", "sentence", "text", "content_length", "content_tokens")
 
 
 @query(f"""WITH p AS MATERIALIZED {SQL_PARTS}, s AS (SELECT rid, paragraph, count(DISTINCT s) FILTER (NOT blank) AS n, count(*) AS tokens FROM {SQL_SENTENCES % 'p'} GROUP BY ALL),
@@ -69,16 +77,15 @@ def app_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def broadcast_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles whose analysis is an object of paragraphs, or one array if there is one line."""
     lines = F.split("text", "\n")
-    several = F.to_json(F.map_from_arrays(F.transform(lines, lambda _, i: F.concat(F.lit("p"), i.cast("string"))), F.transform(lines, analysis)))
-    analysed = F.when(F.size(lines) > 1, several).otherwise(F.to_json(analysis(F.col("text"))))
+    several = F.array_join(F.transform(lines, lambda x, i: F.concat(F.lit('"p'), i.cast("string"), F.lit('":'), analysis(x))), ",")
+    # the analysis is an object in some rows and an array in others
+    analysed = F.when(F.size(lines) > 1, F.concat(F.lit("{"), several, F.lit("}"))).otherwise(analysis(F.col("text")))
     fields = F.struct(
         F.col("doc_id").cast("string").alias("id"), F.struct(F.lit("u").alias("full")).alias("url"), F.struct(F.col("source").alias("name")).alias("publisher"), F.lit("2024-01-02T05:04:05+02:00").alias("datePublished"), F.lit(None).cast("string").alias("coverage"),
         F.struct(F.col("lang").alias("full")).alias("headline"), F.col("source").alias("lead"), F.array(F.struct(F.struct(F.col("lang").alias("fi")).alias("title"))).alias("subjects"),
     )
-    # the analysis is an object in some rows and an array in others
-    written = F.concat(F.regexp_replace(F.to_json(fields), "[}]$", ""), F.coalesce(F.concat(F.lit(',"analyzedText":'), analysed), F.lit("")), F.lit("}"))
     path = scratch.folder(spark, "broadcast-articles")
-    table(spark, sf_dir, "documents").select(written.alias("value")).write.text(path, compression="gzip")
+    table(spark, sf_dir, "documents").select(with_analyses(fields, analyzedText=analysed).alias("value")).write.text(path, compression="lz4")
     rows = articles.broadcast_articles(readers.read_json_objects(spark, path, articles.BROADCAST))["article"]
     return rows.select("article_id", "publisher", "first_keyword", "published_ms", "paragraphs", "sentences", "content_tokens", "content_length", F.md5("text").alias("text_md5"))
 
@@ -97,7 +104,7 @@ def listed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("article_id"), none.alias("node_id"), F.col("o_orderstatus").alias("node_title"), F.lit("2024-01-02 03:04").alias("start_date"), none.alias("modified_date"), F.col("o_orderpriority").alias("title"), none.alias("byline"), none.alias("ingress"), none.alias("body")
     )
     hashed, flat = articles.analysis_paths(F.col("id"))
-    file = lambda path, mark: F.struct(path.alias("path"), F.to_json(F.array(analysis(F.concat_ws(" ", F.lit(mark), "o_orderpriority")))).alias("content"))
+    file = lambda path, mark: F.struct(path.alias("path"), F.concat(F.lit("["), analysis(F.concat_ws(" ", F.lit(mark), "o_orderpriority")), F.lit("]")).alias("content"))
     files = orders.select(F.explode(F.when(F.col("o_orderstatus") == "F", F.array(file(hashed, "hashed"), file(flat, "flat"))).when(F.col("o_orderstatus") == "P", F.array(file(flat, "flat")))).alias("f")).select("f.*")
     found, missing = articles.listed_articles(rows, scratch.kept(files, "analyses"), "https://news.example/")
     return found["article"].select("article_id", "analysis_path", "text", "url").unionByName(missing, allowMissingColumns=True)

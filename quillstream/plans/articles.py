@@ -36,15 +36,37 @@ def text_of(words: Column) -> Column:
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """Each run of blanks is tried once, at its begin."""
+    return F.regexp_replace(text, r"^[\x00-\x20]++|(?<![\x00-\x20])[\x00-\x20]++\z", "")
 
 
-def sentences_of(words: Column) -> Column:
-    """Arrays of the words of each sentence that isn't blank."""
-    begins = F.array_compact(F.transform(words, lambda w, i: F.when((i == 0) | tagged(w, "FIRST_IN_SENTENCE"), i)))
-    # each sentence reaches to where the next one begins
+#: Sentences in a string of kinds, and those that aren't blank: words before the first sentence's mark are one too.
+SENTENCE, SPOKEN = "^.[wb]*+|[Ff][wb]*+", "F[wb]*+|(?:^|f)b*+w[wb]*+"
+#: What stands before a sentence in a paragraph's marked text; its first character is followed by a full stop where it is the text's own.
+MARK = "\x01"
+
+
+def kinds_of(words: Column) -> Column:
+    """A letter for each word: F begins a sentence, w doesn't, f and b likewise but blank."""
+    def kind(w: Column) -> Column:
+        first = tagged(w, "FIRST_IN_SENTENCE")
+        return F.when(tagged(w, "WHITESPACE"), F.when(first, "f").otherwise("b")).otherwise(F.when(first, "F").otherwise("w"))
+
+    return F.array_join(F.transform(words, kind), "")
+
+
+def sentence_texts(words: Column) -> Column:
+    """The text of each sentence, blank ones included, with MARK followed by a full stop; in one pass, however many there are."""
+    said = lambda w: F.replace(F.coalesce(w["word"], F.lit("")), F.lit(MARK), F.lit(f"{MARK}."))
+    marked = F.transform(words, lambda w, i: F.when((i > 0) & tagged(w, "FIRST_IN_SENTENCE"), F.concat(F.lit(f"{MARK}|"), said(w))).otherwise(said(w)))
+    return F.split(F.array_join(marked, ""), f"{MARK}[|]")
+
+
+def sentence_words(words: Column, kinds: Column) -> Column:
+    """Arrays of the words of each sentence, blank ones included."""
+    begins = F.array_compact(F.transform(F.split(kinds, ""), lambda k, i: F.when((i == 0) | k.isin("F", "f"), i)))
     spans = F.zip_with(begins, F.slice(F.concat(begins, F.array(F.size(words))), F.lit(2), F.size(begins)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.filter(F.transform(spans, lambda s: F.slice(words, s["a"] + 1, s["b"] - s["a"])), lambda ws: F.exists(ws, lambda w: ~tagged(w, "WHITESPACE")))
+    return F.transform(spans, lambda s: F.slice(words, s["a"] + 1, s["b"] - s["a"]))
 
 
 def analysed_field(words: Column, name: str) -> list[Column]:
@@ -52,30 +74,32 @@ def analysed_field(words: Column, name: str) -> list[Column]:
     return [text_of(words).alias(name), F.when(words.isNotNull(), F.size(words)).alias(f"{name}_tokens"), words.alias(f"{name}_analysis")]
 
 
-def article_tables(articles: DataFrame, facts: list[str]) -> dict[str, DataFrame]:
+def article_tables(articles: DataFrame, facts: list[str], with_words: bool = True) -> dict[str, DataFrame]:
     """article, paragraph and sentence tables of rows with `paragraphs` (arrays of words); each level inherits the facts.
 
     paragraph and sentence are numbers from 0, of an article's paragraphs and of a paragraph's sentences that are kept.
+    Without with_words sentences have no analysis of their own. Each word's tags are looked up once for a level: a
+    paragraph's sentences are found in its kinds, a letter for each word, and their texts are cut at marks.
     """
     empty = F.array().cast(f"array<{WORDS}>")
     rows = articles.select(*facts, F.transform(F.coalesce("paragraphs", empty), lambda p: F.coalesce(p, F.array().cast(WORDS))).alias("_ps"))
-    parts = F.transform("_ps", lambda p: F.struct(
-        text_of(p).alias("text"), F.size(p).alias("content_tokens"), p.alias("analysis"),
-        F.transform(sentences_of(p), lambda s: F.struct(trimmed(text_of(s)).alias("text"), F.size(s).alias("content_tokens"), s.alias("analysis"))).alias("_sentences"),
-    ))
-    cut = rows.select(*facts, parts.alias("_parts"))
+    parts = F.transform("_ps", lambda p: F.struct(text_of(p).alias("text"), kinds_of(p).alias("kinds")))
     total = lambda f: F.aggregate("_parts", F.lit(0), lambda n, p: n + f(p))
-    article = cut.select(
-        *facts, F.array_join(F.transform(F.filter("_parts", lambda p: p["content_tokens"] > 0), lambda p: p["text"]), PARAGRAPH_MARK).alias("text"), F.size("_parts").alias("paragraphs"),
-        total(lambda p: F.size(p["_sentences"])).alias("sentences"), total(lambda p: p["content_tokens"]).alias("content_tokens"),
+    article = rows.select(*facts, parts.alias("_parts")).select(
+        *facts, F.array_join(F.transform(F.filter("_parts", lambda p: p["kinds"] != ""), lambda p: p["text"]), PARAGRAPH_MARK).alias("text"), F.size("_parts").alias("paragraphs"),
+        total(lambda p: F.regexp_count(p["kinds"], F.lit(SPOKEN))).alias("sentences"), total(lambda p: F.length(p["kinds"])).alias("content_tokens"),
     )
-    each = cut.select(*facts, F.posexplode("_parts").alias("paragraph", "_p"))
-    paragraph = each.select(*facts, "paragraph", "_p.text", F.size("_p._sentences").alias("sentences"), "_p.content_tokens", "_p.analysis")
-    sentence = each.select(*facts, "paragraph", F.posexplode("_p._sentences").alias("sentence", "_s")).select(*facts, "paragraph", "sentence", "_s.text", "_s.content_tokens", "_s.analysis")
+    each = rows.select(*facts, F.posexplode("_ps").alias("paragraph", "analysis")).withColumn("_kinds", kinds_of(F.col("analysis")))
+    paragraph = each.select(*facts, "paragraph", text_of(F.col("analysis")).alias("text"), F.regexp_count("_kinds", F.lit(SPOKEN)).alias("sentences"), F.length("_kinds").alias("content_tokens"), "analysis")
+    fields = [sentence_texts(F.col("analysis")).alias("text"), F.regexp_extract_all("_kinds", F.lit(SENTENCE), F.lit(0)).alias("kinds")]
+    fields += [sentence_words(F.col("analysis"), F.col("_kinds")).alias("analysis")] if with_words else []
+    spoken = F.filter(F.arrays_zip(*fields), lambda s: F.coalesce(s["kinds"].rlike("[Fw]"), F.lit(False)))
+    told = [trimmed(F.replace("_s.text", F.lit(f"{MARK}."), F.lit(MARK))).alias("text"), F.length("_s.kinds").alias("content_tokens"), *(["_s.analysis"] if with_words else [])]
+    sentence = each.select(*facts, "paragraph", F.posexplode(spoken).alias("sentence", "_s")).select(*facts, "paragraph", "sentence", *told)
     return {k: v.withColumn("content_length", F.length("text")) for k, v in {"article": article, "paragraph": paragraph, "sentence": sentence}.items()}
 
 
-def app_articles(objects: DataFrame, site: str = "") -> dict[str, DataFrame]:
+def app_articles(objects: DataFrame, site: str = "", with_words: bool = True) -> dict[str, DataFrame]:
     """Levels of APP objects: one paragraph; headline and lead have analyses of their own. The url is the site and the id."""
     names = F.split(F.regexp_replace("authors", ",+$", ""), ",")
     rows = objects.select(
@@ -83,7 +107,7 @@ def app_articles(objects: DataFrame, site: str = "") -> dict[str, DataFrame]:
         F.when(F.col("authors") != "", F.filter(names, lambda a: a != "")).alias("authors"), *analysed_field(F.col("analyzedTitle"), "headline"), *analysed_field(F.col("analyzedLead"), "lead"),
         F.when(F.col("analyzedBody").isNotNull(), F.array("analyzedBody")).alias("paragraphs"),
     )
-    return article_tables(rows, [c for c in rows.columns if c != "paragraphs"])
+    return article_tables(rows, [c for c in rows.columns if c != "paragraphs"], with_words)
 
 
 def paragraphs_of(analysis: Column) -> Column:
