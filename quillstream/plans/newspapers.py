@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstream.functions.python import feed_items
 from quillstream.functions.scalars import confidence_number, date_bounds, iso_date_number
 from quillstream.operators import levels
+from quillstream.sources import scratch
 
 #: The mark between an article's paragraphs, and between an issue's articles.
 PARAGRAPH_MARK = "\n\n"
@@ -63,19 +65,18 @@ def feed_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """XML news items (id, record) -> article metadata, and (article_id, subject) rows.
 
     Subjects with the prefixes of departments and versions are columns; of dates that stand twice the later one that
-    isn't empty counts.
+    isn't empty counts. A record is parsed once for all of its fields and both tables.
     """
-    many = lambda p: F.xpath("record", F.lit(p))
-    last = lambda p: F.try_element_at(F.filter(many(p), lambda v: v != ""), F.lit(-1))
-    of = lambda prefix: F.transform(F.filter("codes", lambda c: c.startswith(prefix)), lambda c: F.regexp_replace(c, "^[^:]*:", ""))
-    rows = records.withColumn("codes", F.concat(many("//subject/@qcode"), many("//genre/@qcode")))
+    last = lambda name: F.try_element_at(F.filter(f"r.{name}", lambda v: v != ""), F.lit(-1))
     first = lambda a: F.get(a, F.lit(0))
-    facts = rows.select(
-        F.col("id").alias("article_id"), first(of("sttdepartment:")).alias("department"), first(of("sttversion:")).alias("version"), first(of("sttgenre:")).alias("genre"), last("//contentCreated/text() | //versionCreated/text()").alias("time_published"),
-        last("//contentModified/text()").alias("time_modified"), first(many("//headline/text()")).alias("headline"), first(many("//creditline/text()")).alias("creditline"), first(many("//by/text()")).alias("byline"), first(many("//urgency/text()")).try_cast("int").alias("urgency"),
+    of = lambda prefix: F.transform(F.filter("r.codes", lambda c: c.startswith(prefix)), lambda c: F.regexp_replace(c, "^[^:]*:", ""))
+    rows = records.select(F.col("id").alias("article_id"), feed_items("record").alias("r")).select(
+        "article_id", first(of("sttdepartment:")).alias("department"), first(of("sttversion:")).alias("version"), first(of("sttgenre:")).alias("genre"), last("contentCreated").alias("time_published"),
+        last("contentModified").alias("time_modified"), first("r.headline").alias("headline"), first("r.creditline").alias("creditline"), first("r.by").alias("byline"), first("r.urgency").try_cast("int").alias("urgency"),
+        F.filter("r.codes", lambda c: ~c.startswith("sttdepartment:") & ~c.startswith("sttversion:") & ~c.startswith("sttgenre:")).alias("_subjects"),
     )
-    subjects = rows.select(F.col("id").alias("article_id"), F.explode(F.filter("codes", lambda c: ~c.startswith("sttdepartment:") & ~c.startswith("sttversion:") & ~c.startswith("sttgenre:"))).alias("subject"))
-    return facts, subjects
+    parsed = scratch.kept(rows, "feed")
+    return parsed.drop("_subjects"), parsed.select("article_id", F.explode("_subjects").alias("subject"))
 
 
 def library_articles(records: DataFrame) -> DataFrame:

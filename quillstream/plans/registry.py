@@ -26,11 +26,16 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 TEXTS = {"documents", "pages", "benchmark", "conversations"}
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows on which much work is done: dealt out, if they are in fewer partitions than there are cores. Short rows of a large table are a small file, read by one task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; a small one of texts, in fewer partitions than there are cores, is dealt out first."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if name in TEXTS and rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+    return dealt(rows) if name in TEXTS else rows
 
 
 #: Lines of the documents, and where they begin and end.
