@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +44,32 @@ def write_json(rows: DataFrame, path: str, compression: str = "none") -> None:
 
 
 def write_pretty_json(rows: DataFrame, path: str, key: str) -> None:
-    """One folder for each row's key with its other columns as an indented JSON object: for analyses that people read."""
+    """One folder for each key with its rows' other columns as indented JSON objects: for analyses that people read.
+
+    Tasks write the files themselves, through Arrow's file systems and under names that a repeated task writes again: Spark's
+    writer has a file's rights set by a process of its own, and its commit moves the folders one by one on the driver.
+    """
     rest = F.struct(*[F.col(c) for c in rows.columns if c != key])
-    rows.select(key, F.to_json(rest, {"pretty": "true"}).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+    objects = rows.select(F.col(key).cast("string").alias("key"), F.to_json(rest, {"pretty": "true"}).alias("value"))
+    files = objects.groupBy("key").agg(F.array_join(F.sort_array(F.collect_list("value")), "\n").alias("value"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pafs.FileSystem.from_uri(path)
+        for batch in batches:
+            for k, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{base}/{key}={folder_name(k)}"
+                store.create_dir(folder)
+                with store.open_output_stream(f"{folder}/part.txt") as out:
+                    out.write(f"{v}\n".encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    files.repartition(parts).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def folder_name(value: str | None) -> str:
+    """A key as Spark names its folder: special characters by their numbers, nothing by a name of its own."""
+    return "__HIVE_DEFAULT_PARTITION__" if not value else re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
 def triples(rows: DataFrame, subject: Column, pairs: list[tuple[str, Column]]) -> DataFrame:
