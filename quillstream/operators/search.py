@@ -62,15 +62,15 @@ def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[order][first])), docs.take(pa.array(row[order][first])), positions], ["term", "doc", "positions"])
 
 
-def document_postings(docs: DataFrame, analyze: Callable[[Column], Column]) -> DataFrame:
-    """term, doc, positions of docs (doc, text), one row for each term and document.
+def document_postings(docs: DataFrame, analyze: Callable[[Column], Column], collect: Callable[[str], Column] = F.collect_set) -> DataFrame:
+    """term, doc, positions of docs (doc, text), one row for each term and document. collect: F.collect_list keeps positions that several rows of a document have as often.
 
     A document that is one row has its positions grouped within that row, by Arrow batches, so its words aren't shuffled.
     Those of repeated documents are merged by term and document. If these are too many to be broadcast, all are merged.
     """
     kind = docs.schema["doc"].dataType.simpleString()
     each = lambda rows: rows.select("doc", analyze(F.coalesce("text", F.lit(""))).alias("terms")).mapInArrow(grouped, f"term string, doc {kind}, positions array<int>")
-    merged = lambda rows: rows.select("term", "doc", F.explode("positions").alias("pos")).groupBy("term", "doc").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    merged = lambda rows: rows.select("term", "doc", F.explode("positions").alias("pos")).groupBy("term", "doc").agg(F.sort_array(collect("pos")).alias("positions"))
     repeated = scratch.kept(docs.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "repeated")
     if scratch.file_bytes(repeated) > scratch.BROADCAST_BYTES:
         return merged(each(docs))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
 from quillstream.functions import scalars, text
-from quillstream.operators import alignment, aggregates, geometry, joins, levels, tagging, topics
+from quillstream.operators import alignment, aggregates, geometry, joins, levels, search, tagging, topics
 from quillstream.plans import media
 from quillstream.plans.registry import ORACLE_SQL, QUERIES, SQL_LINES, SQL_SPANS, query, table
 from quillstream.plans.sql import SQL_TERMS, SQL_TOKENS
@@ -90,8 +90,9 @@ def term_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT term, doc_id, count(*) AS tf, string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR), ',' ORDER BY pos) AS positions FROM {SQL_TERMS} GROUP BY term, doc_id")
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tokens(table(spark, sf_dir, "documents")).groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("p"))
-    return found.select("term", "doc_id", "tf", F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("positions"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
+    found = search.document_postings(docs, text.default_analyzer, F.collect_list)
+    return found.select("term", F.col("doc").alias("doc_id"), F.size("positions").cast("long").alias("tf"), F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
 
 
 @query("SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^\\p{L}]+'), lambda t: t <> '')) AS token FROM documents")
