@@ -123,7 +123,12 @@ def base_form(token: Column) -> Column:
 
 def poem_terms(text: Column) -> Column:
     """Each token's base form, followed at the same position by the token itself where they differ."""
-    return F.flatten(F.transform(poem_tokens(text), lambda t: F.array_distinct(F.array(base_form(t), t))))
+    return token_terms(poem_tokens(text))
+
+
+def token_terms(tokens: Column) -> Column:
+    """The terms of poem_terms, of tokens that have been made already."""
+    return F.flatten(F.transform(tokens, lambda t: F.array_distinct(F.array(base_form(t), t))))
 
 
 def vrt_terms(line: Column) -> Column:

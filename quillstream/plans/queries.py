@@ -494,7 +494,9 @@ def nearest_style(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def poem_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.poem_terms(F.col("text"))).alias("n_terms"), F.size(text.poem_tokens(F.col("text"))).alias("n_tokens"))
+    """Tokens are made once, for both counts."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.poem_tokens(F.col("text")).alias("tokens"))
+    return rows.select("doc_id", F.size(text.token_terms(F.col("tokens"))).alias("n_terms"), F.size("tokens").alias("n_tokens"))
 
 
 @query("SELECT event_type, CAST(strftime(ts, '%Y%m%d') AS INT) AS day, count(*) AS n FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INT) BETWEEN 20240105 AND 20240120 GROUP BY ALL")
