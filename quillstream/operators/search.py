@@ -1,9 +1,10 @@
 """Phrase and proximity search over a positional index.
 
-Postings are one row for each term and document, with the sorted positions, kept in the order of terms: a search reads the row
-groups of its terms only. The postings of a term that many documents have are cut into parts by document, so no join is dealt
-by a common term alone. A query's rarest term leads: its postings give the candidates, and the other terms' postings are met
-by term, part and document, where sorted position lists are intersected.
+Postings are one entry for each term and document, with the sorted positions. Those of a term from one batch of documents are
+packed into one row, and rows are kept in the order of terms: a search reads the row groups of its terms only. The rows of a
+term that many documents have are dealt to parts, so no join is dealt by a common term alone. A query's rarest term leads: its
+postings give the candidates, and the other terms' postings are met by term and document, where sorted position lists are
+intersected.
 """
 
 from __future__ import annotations
@@ -28,18 +29,19 @@ BATCH_TOKENS = 2_000_000
 
 @dataclass
 class Index:
-    """dictionary: term, documents, occurrences, parts; postings: term, part, doc, positions."""
+    """dictionary: term, documents, occurrences, parts; packed: term, part, docs, counts, positions of some documents: as many positions for each document as its count says."""
 
     dictionary: DataFrame
-    postings: DataFrame
+    packed: DataFrame
 
+    @property
+    def postings(self) -> DataFrame:
+        """term, part, doc, positions."""
+        return opened(self.packed)
 
-def part_of(doc: str, parts: str) -> Column:
-    return F.pmod(F.xxhash64(doc), F.col(parts)).cast("int")
 
-
-def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """term, doc, positions of rows (doc, terms: the tokens in order, empty ones being gaps), one for each term of a row; those of a term together."""
+def by_term(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array, pa.ListArray]]:
+    """(terms, a term's number, doc, positions) of rows (doc, terms: the tokens in order, empty ones being gaps), for each term of a row; those of a term together."""
     for batch in batches:
         lengths = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False))
         at = 0
@@ -59,25 +61,63 @@ def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(key, kind="stable")
             first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0)
             positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(pos[order]))
-            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[order][first])), docs.take(pa.array(row[order][first])), positions], ["term", "doc", "positions"])
+            yield coded.dictionary, code[order][first], docs.take(pa.array(row[order][first])), positions
+
+
+def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """term, doc, positions of `by_term`."""
+    for terms, code, docs, positions in by_term(batches):
+        yield pa.RecordBatch.from_arrays([terms.take(pa.array(code)), docs, positions], ["term", "doc", "positions"])
+
+
+def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """term, docs, counts, positions of `by_term`: one row for each term of a piece of a batch."""
+    for terms, code, docs, positions in by_term(batches):
+        first = np.flatnonzero(np.diff(code, prepend=-1) != 0)
+        bounds = np.append(first, len(code))
+        offsets = positions.offsets.to_numpy()
+        listed = lambda bounds, values: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+        lists = [listed(bounds, docs), listed(bounds, pa.array(np.diff(offsets), pa.int32())), listed(offsets[bounds], positions.values)]
+        yield pa.RecordBatch.from_arrays([terms.take(pa.array(code[first])), *lists], ["term", "docs", "counts", "positions"])
+
 
+def opened(rows: DataFrame) -> DataFrame:
+    """Packed rows with a row for each document (doc, positions) in place of the lists; further columns stay."""
+    others = [c for c in rows.columns if c not in ("docs", "counts", "positions")]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
 
-def document_postings(docs: DataFrame, analyze: Callable[[Column], Column], collect: Callable[[str], Column] = F.collect_set) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = pc.list_parent_indices(batch.column("docs"))
+            counts = batch.column("counts").flatten().to_numpy()
+            positions = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), batch.column("positions").flatten())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in others), batch.column("docs").flatten(), positions], [*others, "doc", "positions"])
+
+    return rows.mapInArrow(run, f"{kinds}, doc {rows.schema['docs'].dataType.elementType.simpleString()}, positions array<int>")
+
+
+def document_postings(docs: DataFrame, analyze: Callable[[Column], Column], collect: Callable[[str], Column] = F.collect_set, pack: bool = False) -> DataFrame:
     """term, doc, positions of docs (doc, text), one row for each term and document. collect: F.collect_list keeps positions that several rows of a document have as often.
 
     A document that is one row has its positions grouped within that row, by Arrow batches, so its words aren't shuffled.
     Those of repeated documents are merged by term and document. If these are too many to be broadcast, all are merged.
+    pack: term, docs, counts, positions, where several documents of a term are one row.
     """
     kind = docs.schema["doc"].dataType.simpleString()
-    each = lambda rows: rows.select("doc", analyze(F.coalesce("text", F.lit(""))).alias("terms")).mapInArrow(grouped, f"term string, doc {kind}, positions array<int>")
-    merged = lambda rows: rows.select("term", "doc", F.explode("positions").alias("pos")).groupBy("term", "doc").agg(F.sort_array(collect("pos")).alias("positions"))
+    terms = lambda rows: rows.select("doc", analyze(F.coalesce("text", F.lit(""))).alias("terms"))
+    each = lambda rows: terms(rows).mapInArrow(grouped, f"term string, doc {kind}, positions array<int>")
+    united = lambda rows: rows.select("term", "doc", F.explode("positions").alias("pos")).groupBy("term", "doc").agg(F.sort_array(collect("pos")).alias("positions"))
+    own, merged = each, lambda rows: united(each(rows))
+    if pack:
+        own = lambda rows: terms(rows).mapInArrow(packed, f"term string, docs array<{kind}>, counts array<int>, positions array<int>")
+        merged = lambda rows: united(each(rows)).select("term", F.array("doc").alias("docs"), F.array(F.size("positions")).alias("counts"), "positions")
     repeated = scratch.kept(docs.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "repeated")
     if scratch.file_bytes(repeated) > scratch.BROADCAST_BYTES:
-        return merged(each(docs))
+        return merged(docs)
     if repeated.isEmpty():
-        return each(docs)
+        return own(docs)
     once, more = (docs.join(F.broadcast(repeated), F.col("doc").eqNullSafe(F.col("again")), how) for how in ("left_anti", "left_semi"))
-    return each(once).unionByName(merged(each(more)))
+    return own(once).unionByName(merged(more))
 
 
 def build(docs: DataFrame, key: str, text: str, path: str, analyze: Callable[[Column], Column] = texts.default_analyzer, part_documents: int = PART_DOCUMENTS) -> Index:
@@ -87,14 +127,16 @@ def build(docs: DataFrame, key: str, text: str, path: str, analyze: Callable[[Co
     A null key is a document of its own.
     """
     spark = docs.sparkSession
-    each = scratch.kept(document_postings(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), analyze), "postings")
-    counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("occurrences"))
+    each = scratch.kept(document_postings(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), analyze, pack=True), "postings")
+    counted = each.groupBy("term").agg(F.sum(F.size("counts")).alias("documents"), F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n)).alias("occurrences"))
     told = counted.withColumn("parts", F.ceil(F.col("documents") / part_documents).cast("int"))
-    told.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/dictionary")
+    told.write.mode("overwrite").parquet(f"{path}/dictionary")
     dictionary = spark.read.parquet(f"{path}/dictionary")
     heavy = scratch.small(dictionary.where("parts > 1").select("term", "parts"), "heavy")
-    placed = each.join(heavy, "term", "left").withColumn("part", part_of("doc", "parts")).select("term", F.coalesce("part", F.lit(0)).alias("part"), "doc", "positions")
-    placed.repartitionByRange("term", "part", "doc").sortWithinPartitions("term", "part", "doc").write.mode("overwrite").parquet(f"{path}/postings")
+    first = F.col("docs")[0]
+    part = F.coalesce(F.pmod(F.xxhash64(first), F.col("parts")).cast("int"), F.lit(0))
+    placed = each.join(heavy, "term", "left").select("term", part.alias("part"), first.alias("first"), "docs", "counts", "positions")
+    placed.repartitionByRange("term", "part", "first").sortWithinPartitions("term", "part", "first").drop("first").write.mode("overwrite").parquet(f"{path}/postings")
     return load(spark, path)
 
 
@@ -111,27 +153,27 @@ def query_terms(index: Index, queries: DataFrame, distinct: bool) -> DataFrame:
 
 
 def needed(index: Index, terms: DataFrame) -> DataFrame:
-    """The postings, filtered by the terms' names where these are few, so that the scan can leave out row groups."""
+    """The packed postings, filtered by the terms' names where these are few, so that the scan can leave out row groups."""
     named = [r.term for r in terms.select("term").distinct().limit(NAMED_TERMS + 1).collect()]
-    return index.postings.where(F.col("term").isin(named)) if len(named) <= NAMED_TERMS else index.postings
+    return index.packed.where(F.col("term").isin(named)) if len(named) <= NAMED_TERMS else index.packed
 
 
 def candidates(index: Index, terms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(postings to read, the postings of each query's rarest term: query, doc, place, positions; the other terms)."""
+    """(packed postings to read, the postings of each query's rarest term: query, doc, place, positions; the other terms)."""
     postings = needed(index, terms)
     rarest = F.row_number().over(Window.partitionBy("query").orderBy("documents", "place"))
     ranked = terms.withColumn("r", rarest)
     lead = ranked.where("r = 1").select("query", "place", "term", "n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    found = scratch.small(lead, "lead").join(postings, ["term", "part"]).select("query", "doc", "place", "n", "term", "positions")
-    return postings, scratch.kept(found, "candidates"), ranked.where("r > 1").drop("r", "documents", "n")
+    found = scratch.small(lead, "lead").join(postings, ["term", "part"]).drop("part")
+    return postings, scratch.kept(opened(found), "candidates"), ranked.where("r > 1").drop("r", "documents", "n")
 
 
 def others(index: Index, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The candidates, and for each of them and each further term of its query: query, doc, place, lead_place, lead, positions."""
     postings, found, rest = candidates(index, terms)
     probes = found.select("query", "doc", "n", F.col("place").alias("lead_place"), F.col("positions").alias("lead")).join(scratch.small(rest, "rest"), "query")
-    placed = probes.withColumn("part", F.when(F.col("parts") > 1, part_of("doc", "parts")).otherwise(F.lit(0)))
-    met = scratch.small(placed.drop("parts"), "probes").alias("p").join(postings.alias("i"), (F.col("p.term") == F.col("i.term")) & (F.col("p.part") == F.col("i.part")) & F.col("p.doc").eqNullSafe(F.col("i.doc")))
+    entries = opened(postings.drop("part"))
+    met = scratch.small(probes.drop("parts"), "probes").alias("p").join(entries.alias("i"), (F.col("p.term") == F.col("i.term")) & F.col("p.doc").eqNullSafe(F.col("i.doc")))
     return found, met.select("p.query", "p.doc", "p.n", "p.place", "p.lead_place", "p.lead", "p.term", "i.positions")
 
 
@@ -151,12 +193,38 @@ def phrases(index: Index, queries: DataFrame) -> DataFrame:
     return longer.unionByName(found.where("n = 1").select("query", "doc", F.col("positions").alias("starts")))
 
 
+def close(batches: Iterable[pa.RecordBatch], within: int) -> Iterator[pa.RecordBatch]:
+    """query, doc, starts of rows (query, doc, lists: the sorted positions of each term): positions from which every list has one within `within` further ones."""
+    for batch in batches:
+        lists = batch.column("lists")
+        owner = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+        each = lists.flatten()
+        row, pos = owner[pc.list_parent_indices(each).to_numpy()], each.flatten().to_numpy().astype(np.int64)
+        slot = (np.arange(len(owner)) - np.searchsorted(owner, owner))[pc.list_parent_indices(each).to_numpy()]
+        wide = int(pos.max(initial=0)) + within + 1  # no row's places reach into the next row's
+        at = row * wide + pos
+        lengths = pc.list_value_length(lists).to_numpy()
+        starts = np.unique(at)
+        met = np.ones(len(starts), bool)
+        for k in range(int(lengths.max(initial=0))):
+            own = at[slot == k]
+            ahead = np.append(own, np.iinfo(np.int64).max)[np.searchsorted(own, starts)]
+            met &= (ahead <= starts + within) | (lengths[starts // wide] <= k)
+        found = starts[met]
+        first = np.flatnonzero(np.diff(found // wide, prepend=-1) != 0)
+        rows = pa.array(found[first] // wide)
+        listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(found)), pa.int32()), pa.array((found % wide).astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column("query").take(rows), batch.column("doc").take(rows), listed], ["query", "doc", "starts"])
+
+
 def near(index: Index, queries: DataFrame, within: int) -> DataFrame:
-    """query, doc, starts: the positions from which all (different) terms of a query stand within `within` further positions, in any order."""
+    """query, doc, starts: the positions from which all (different) terms of a query stand within `within` further positions, in any order.
+
+    Places are compared in documents that have all terms only.
+    """
     terms = query_terms(index, queries, distinct=True)
     found, met = others(index, terms)
-    every = met.select("query", "doc", "n", "term", "positions").unionByName(found.select("query", "doc", "n", "term", "positions"))
-    each = every.select("query", "doc", "n", "term", F.explode("positions").alias("start"))
-    ahead = Window.partitionBy("query", "doc").orderBy("start").rangeBetween(0, within)
-    whole = each.withColumn("met", F.size(F.collect_set("term").over(ahead))).where("met = n")
-    return whole.groupBy("query", "doc").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    whole = met.groupBy("query", "doc").agg(F.first("n").alias("n"), F.first("lead").alias("lead"), F.collect_list("positions").alias("rest")).where(F.size("rest") == F.col("n") - 1)
+    lists = whole.select("query", "doc", F.concat(F.array("lead"), "rest").alias("lists")).unionByName(found.where("n = 1").select("query", "doc", F.array("positions").alias("lists")))
+    kinds = {k: lists.schema[k].dataType.simpleString() for k in ("query", "doc")}
+    return lists.mapInArrow(lambda batches: close(batches, within), f"query {kinds['query']}, doc {kinds['doc']}, starts array<int>")
