@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions import text as texts
+from quillstream.operators import aggregates
 from quillstream.sources import scratch
 
 #: Documents in a part of a term's postings; query terms that are named in the scan's filter.
@@ -40,8 +41,8 @@ class Index:
         return opened(self.packed)
 
 
-def by_term(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array, pa.ListArray]]:
-    """(terms, a term's number, doc, positions) of rows (doc, terms: the tokens in order, empty ones being gaps), for each term of a row; those of a term together."""
+def coded_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(docs, terms; of each token its term's number, row and position) of rows (doc, terms: the tokens in order, empty ones being gaps), some BATCH_TOKENS at a time."""
     for batch in batches:
         lengths = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False))
         at = 0
@@ -49,19 +50,24 @@ def by_term(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nd
             # rows of some BATCH_TOKENS tokens at a time, one row at least
             to = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + BATCH_TOKENS, "right")))
             docs, terms = (c.slice(at, to - at) for c in (batch.column("doc"), batch.column("terms")))
-            n_rows, at = to - at, to
+            at = to
             row, tokens = pc.list_parent_indices(terms).to_numpy().astype(np.int64), terms.flatten()
             index = np.arange(len(row))
             begins = np.maximum.accumulate(np.where(np.diff(row, prepend=-1) != 0, index, 0)) if len(row) else index
             some = pc.fill_null(pc.not_equal(tokens, ""), False).to_numpy(zero_copy_only=False)
             coded = tokens.filter(pa.array(some)).dictionary_encode()
-            code, row, pos = coded.indices.to_numpy(), row[some], (index - begins)[some].astype(np.int32)
-            # by term, then row: rows of one term side by side are small in files and shuffles
-            key = code.astype(np.int64) * n_rows + row
-            order = np.argsort(key, kind="stable")
-            first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0)
-            positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(pos[order]))
-            yield coded.dictionary, code[order][first], docs.take(pa.array(row[order][first])), positions
+            yield docs, coded.dictionary, coded.indices.to_numpy().astype(np.int64), row[some], (index - begins)[some].astype(np.int32)
+
+
+def by_term(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array, pa.ListArray]]:
+    """(terms, a term's number, doc, positions) of rows (doc, terms), for each term of a row; those of a term together."""
+    for docs, terms, code, row, pos in coded_tokens(batches):
+        # by term, then row: rows of one term side by side are small in files and shuffles
+        key = code * len(docs) + row
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0)
+        positions = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(pos[order]))
+        yield terms, code[order][first], docs.take(pa.array(row[order][first])), positions
 
 
 def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +102,47 @@ def opened(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, doc {rows.schema['docs'].dataType.elementType.simpleString()}, positions array<int>")
 
 
+def frequent(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """doc, term, tf, rank of rows (doc, terms): the k most frequent terms of each row, equally frequent ones by name."""
+    for docs, terms, code, row, _ in coded_tokens(batches):
+        key, tf = np.unique(row * max(len(terms), 1) + code, return_counts=True)
+        row, code = key // max(len(terms), 1), key % max(len(terms), 1)
+        named = np.empty(len(terms), np.int64)
+        named[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+        order = np.lexsort((named[code], -tf, row))
+        rank = np.arange(len(row)) - np.searchsorted(row, row) + 1  # rows are sorted already
+        best = order[rank <= k]
+        columns = [docs.take(pa.array(row[best])), terms.take(pa.array(code[best])), pa.array(tf[best], pa.int64()), pa.array(rank[rank <= k], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "term", "tf", "rank"])
+
+
+def once_and_more(docs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of docs (doc, …) whose document is one row, and those of repeated documents; None if there are none. If the repeated ones are too many to be broadcast, all rows are taken for such."""
+    repeated = scratch.kept(docs.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "repeated")
+    if scratch.file_bytes(repeated) > scratch.BROADCAST_BYTES:
+        return None, docs
+    if repeated.isEmpty():
+        return docs, None
+    return tuple(docs.join(F.broadcast(repeated), F.col("doc").eqNullSafe(F.col("again")), how) for how in ("left_anti", "left_semi"))
+
+
+def top_terms(docs: DataFrame, analyze: Callable[[Column], Column], k: int) -> DataFrame:
+    """doc, term, tf, rank of docs (doc, text): each document's k most frequent terms, equally frequent ones by name.
+
+    A document that is one row is counted within that row, by Arrow batches; only the words of repeated documents are shuffled.
+    """
+    terms = lambda rows: rows.select("doc", analyze(F.coalesce("text", F.lit(""))).alias("terms"))
+    once, more = once_and_more(docs)
+    found = None
+    if once is not None:
+        found = terms(once).mapInArrow(lambda batches: frequent(batches, k), f"doc {docs.schema['doc'].dataType.simpleString()}, term string, tf long, rank int")
+    if more is not None:
+        counted = aggregates.term_frequencies(terms(more).select("doc", F.explode("terms").alias("term")).where("term != ''"), ["doc"])
+        ranked = aggregates.top(counted, ["doc"], k, F.desc("tf"), F.col("term")).select("doc", "term", "tf", "rank")
+        found = ranked if found is None else found.unionByName(ranked)
+    return found
+
+
 def document_postings(docs: DataFrame, analyze: Callable[[Column], Column], collect: Callable[[str], Column] = F.collect_set, pack: bool = False) -> DataFrame:
     """term, doc, positions of docs (doc, text), one row for each term and document. collect: F.collect_list keeps positions that several rows of a document have as often.
 
@@ -111,12 +158,9 @@ def document_postings(docs: DataFrame, analyze: Callable[[Column], Column], coll
     if pack:
         own = lambda rows: terms(rows).mapInArrow(packed, f"term string, docs array<{kind}>, counts array<int>, positions array<int>")
         merged = lambda rows: united(each(rows)).select("term", F.array("doc").alias("docs"), F.array(F.size("positions")).alias("counts"), "positions")
-    repeated = scratch.kept(docs.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("again")), "repeated")
-    if scratch.file_bytes(repeated) > scratch.BROADCAST_BYTES:
-        return merged(docs)
-    if repeated.isEmpty():
-        return own(docs)
-    once, more = (docs.join(F.broadcast(repeated), F.col("doc").eqNullSafe(F.col("again")), how) for how in ("left_anti", "left_semi"))
+    once, more = once_and_more(docs)
+    if once is None or more is None:
+        return merged(docs) if once is None else own(docs)
     return own(once).unionByName(merged(more))
 
 

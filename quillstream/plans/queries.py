@@ -79,7 +79,8 @@ def sentence_join_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT doc_id, term, tf, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term) AS rank FROM (SELECT doc_id, term, count(*) AS tf FROM {SQL_TERMS} GROUP BY doc_id, term)) WHERE rank <= 5""")
 def term_vectors_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.top(aggregates.term_frequencies(tokens(table(spark, sf_dir, "documents")), ["doc_id"]), ["doc_id"], 5, F.desc("tf"), F.col("term"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
+    return search.top_terms(docs, text.default_analyzer, 5).withColumnRenamed("doc", "doc_id")
 
 
 @query(f"SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences, min(doc_id) AS first_document, CAST(max(pos) AS INT) AS last_position FROM {SQL_TERMS} GROUP BY term")
