@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +42,7 @@ UNMARKED = {"HEAD": ("", 2), "ARGUMENT": ("", 2), "LABEL": ("", 2), "CELL": (" "
 SAY, JOIN, PART, EXTRACT, END, PAGE, GAP = "say", "join", "part", "extract", "end", "page", "gap"
 #: i: place in the document; scope: the place where the piece's scope opened (0: the document); depth: of that scope.
 PIECE = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("scope", T.IntegerType()), T.StructField("depth", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("said", T.StringType()), T.StructField("label", T.StringType())])
-PIECES = T.StructType([T.StructField("pieces", T.ArrayType(PIECE)), T.StructField("error", T.StringType())])
+ARROW_PIECE = list(zip(PIECE.names, (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True))
 
 
 def family(tag: str) -> str:
@@ -168,17 +168,24 @@ def page_rows(content: bytes) -> Iterator[tuple[str, int, str]]:
 def read_pieces(files: DataFrame, entities: dict[str, str] | None = None, **options: bool) -> DataFrame:
     """files (path, content) -> path, error, pieces."""
 
-    @F.pandas_udf(PIECES)
-    def read(contents: pd.Series) -> pd.DataFrame:
-        rows = []
-        for c in contents:
-            try:
-                rows.append((list(pieces(bytes(c), entities, **options)), None))
-            except Exception as e:  # noqa: BLE001  a bad file doesn't end the others
-                rows.append((None, f"{type(e).__name__}: {e}"))
-        return pd.DataFrame(rows, columns=["pieces", "error"])
-
-    return files.select("path", read("content").alias("r")).select("path", "r.error", "r.pieces")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, offsets, errors = [], [0], []
+            for c in batch.column("content"):
+                begun = len(rows)
+                try:
+                    rows += pieces(bytes(c.as_py()), entities, **options)
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001  a bad file doesn't end the others
+                    del rows[begun:]
+                    errors.append(f"{type(e).__name__}: {e}")
+                offsets.append(len(rows))
+            columns = zip(*rows, strict=True) if rows else [()] * len(ARROW_PIECE)
+            told = pa.StructArray.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, ARROW_PIECE, strict=True)], [name for name, _ in ARROW_PIECE])
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(errors, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), told)], ["path", "error", "pieces"])
+
+    schema = T.StructType([files.schema["path"], T.StructField("error", T.StringType()), T.StructField("pieces", T.ArrayType(PIECE))])
+    return files.select("path", "content").mapInArrow(read, schema)
 
 
 def joined(rows: Column) -> Column:
@@ -227,7 +234,7 @@ def scope_names(placed: DataFrame, depths: int) -> DataFrame:
 def page_stretches(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the pieces with page_no, the number of page breaks up to each; the pages: path, page_no, page, next, repeats, text)."""
     along = Window.partitionBy("path").orderBy("i")
-    on = placed.withColumn("page_no", F.coalesce(F.sum((F.col("kind") == PAGE).cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    on = scratch.kept(placed.withColumn("page_no", F.coalesce(F.sum((F.col("kind") == PAGE).cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))), "on")
     said = F.when(F.col("kind").isin(PART, JOIN), "").otherwise(F.col("said"))
     refs = on.groupBy("path", "page_no").agg(F.coalesce(F.max(F.when(F.col("kind") == PAGE, F.col("label"))), F.lit("0")).alias("page"), clean(joined(F.struct("i", said.alias("piece")))).alias("text"))
     first = placed.select("path").distinct().select("path", F.lit(0).alias("page_no"), F.lit("0").alias("page"), F.lit("").alias("text"))
@@ -256,7 +263,8 @@ def convert_tei(files: DataFrame, entities: dict[str, str] | None = None, **opti
     placed, texts = scope_texts(told, depths)
     names = scratch.kept(scope_names(placed, depths), "scopes")
     on, pages = page_stretches(placed)
-    met = on.join(names.select("path", "scope", "start", "prefix"), ["path", "scope"]).join(pages.select("path", "page_no", "page", "repeats", "before"), ["path", "page_no"])
+    # only the pieces that are marks meet the names and pages; those that are text are most of them
+    met = on.where(F.col("kind").isin(GAP, EXTRACT, END, PAGE)).join(names.select("path", "scope", "start", "prefix"), ["path", "scope"]).join(pages.select("path", "page_no", "page", "repeats", "before"), ["path", "page_no"])
     met = scratch.kept(met, "met")
 
     whole = texts.join(names, ["path", "scope"])
@@ -269,13 +277,13 @@ def convert_tei(files: DataFrame, entities: dict[str, str] | None = None, **opti
     # an extract is dated by the page on which it ends
     opened = met.where(F.col("kind") == EXTRACT).select("path", F.col("i").alias("opened"), F.col("label").alias("kind_of"), (F.col("start") + F.col("pos")).alias("offset"), F.regexp_replace("prefix", "_+$", "").alias("part"))
     ended = met.where(F.col("kind") == END).select("path", F.col("label").cast("int").alias("opened"), F.col("i").alias("ended"), "page", "page_no")
-    on_page = met.select("path", "page_no", "i", F.when(F.col("kind").isin(PART, JOIN), "").otherwise(F.col("said")).alias("piece"))
+    on_page = on.select("path", "page_no", "i", F.when(F.col("kind").isin(PART, JOIN), "").otherwise(F.col("said")).alias("piece"))
     upto = ended.join(on_page, ["path", "page_no"]).where("i < ended").groupBy("path", "opened").agg(F.length(clean(joined(F.struct("i", "piece")))).alias("page_offset"))
     noted = opened.join(ended, ["path", "opened"]).join(upto, ["path", "opened"], "left").join(texts.withColumnRenamed("scope", "opened"), ["path", "opened"], "left")
     extracts = listed(noted, "extracts", "opened", F.col("kind_of").alias("kind"), F.col("offset").cast("int").alias("offset"), "part", "page", F.coalesce("page_offset", F.lit(0)).cast("int").alias("page_offset"), F.coalesce("text", F.lit("")).alias("text"))
 
     turned = met.where((F.col("kind") == PAGE) & ~F.col("label").eqNullSafe(F.col("before"))).select("path", "scope", "start", F.col("i").alias("at"), "label")
-    written = turned.join(met.select("path", "scope", "i", "piece"), ["path", "scope"]).where("i <= at").groupBy("path", "scope", "at").agg(F.length(clean(joined(F.struct("i", "piece")))).alias("n"))
+    written = turned.join(on.select("path", "scope", "i", "piece"), ["path", "scope"]).where("i <= at").groupBy("path", "scope", "at").agg(F.length(clean(joined(F.struct("i", "piece")))).alias("n"))
     places = turned.join(written, ["path", "scope", "at"]).select("path", "at", (F.col("start") + F.col("n")).cast("int").alias("offset"), F.col("label").alias("page"))
     turns = listed(places, "pages", "at", "offset", "page")
     last = F.col("next_repeats").isNull()
