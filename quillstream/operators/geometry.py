@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 
 import pandas as pd
@@ -95,29 +96,30 @@ def block_columns(blocks: DataFrame, page: list[str], block: str) -> DataFrame:
 
 
 @F.pandas_udf(PLACES)
-def block_places(positions: pd.Series, blocks: pd.Series, logicals: pd.Series) -> pd.Series:
-    """Places of the blocks of whole pages, which come by position and block; absent positions come last."""
-
-    def one(ys, names, marks) -> list[int]:
-        rows = [(math.nan if y is None else y, b, None if m is None or m != m else m) for y, b, m in zip(ys.tolist(), names.tolist(), marks.tolist(), strict=True)]
-        order = [(b, y) for y, b, _ in sorted((r for r in rows if r[2] is not None), key=lambda r: r[2])]
-        known = bool(order)
-        for y, b, m in rows:
+def block_places(positions: pd.Series, logicals: pd.Series) -> pd.Series:
+    """Places of the blocks of whole pages, which come by position and block; an absent position is below all others."""
+
+    def one(ys, marks) -> list[int]:
+        rows = [(math.inf if y is None or y != y else y, None if m is None or m != m else m) for y, m in zip(ys.tolist(), marks.tolist(), strict=True)]
+        known = sorted((i for i, (_, m) in enumerate(rows) if m is not None), key=lambda i: rows[i][1])
+        tops = list(itertools.accumulate((rows[i][0] for i in known), max))  # the first one that isn't above a place is the first that reaches it
+        ahead: list[list[int]] = [[] for _ in range(len(known) + 1)]
+        for i, (y, m) in enumerate(rows):
             if m is None:
-                at = next((i for i, (_, other) in enumerate(order) if y <= other), len(order)) if known else len(order)
-                order.insert(at, (b, y))
-        place = {b: i for i, (b, _) in enumerate(order)}
-        return [place[b] for _, b, _ in rows]
+                ahead[bisect.bisect_left(tops, y)].append(i)
+        order = [*itertools.chain.from_iterable([*others, i] for others, i in zip(ahead, known, strict=False)), *ahead[-1]]
+        place = {i: n for n, i in enumerate(order)}
+        return [place[i] for i in range(len(rows))]
 
-    return pd.Series([one(*r) for r in zip(positions, blocks, logicals, strict=True)], dtype=object)
+    return pd.Series([one(*r) for r in zip(positions, logicals, strict=True)], dtype=object)
 
 
 def reading_order(blocks: DataFrame, page: list[str]) -> DataFrame:
-    """Blocks (block, position, logical order or null) with `place`: referenced ones in logical order; each other one, by position, before the first that isn't above it."""
+    """Blocks (block, position, logical order or null) with `place`: referenced ones in logical order; each other one, by position, before the first of those that isn't above it. Others of one position stay in the order of their blocks."""
 
     place = [c for c in blocks.columns if c not in ("position", "block")]
     rows = F.array_sort(F.collect_list(F.struct(F.col("position").isNull().alias("_last"), "position", "block", *place)))
-    pages = blocks.groupBy(*page).agg(rows.alias("_rows")).select("_rows", block_places(F.col("_rows.position"), F.col("_rows.block"), F.col("_rows.logical")).alias("_places"))
+    pages = blocks.groupBy(*page).agg(rows.alias("_rows")).select("_rows", block_places(F.col("_rows.position"), F.col("_rows.logical")).alias("_places"))
     return pages.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_places").alias("place"))).alias("z")).select(*[F.col(f"z.r.{c}") for c in blocks.columns], "z.place")
 
 

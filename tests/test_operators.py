@@ -77,6 +77,13 @@ def test_modes_and_medians(spark):
     assert aggregates.weighted_median(rows, ["k"], "v", F.col("w")).first()["median"] == 2
 
 
+def test_reading_order_of_equal_positions(spark):
+    """Blocks of one position stay in their order, before a referenced one there; one without a position is the last, of the same name or not."""
+    rows = [(1, 3, 9, 1), (1, 5, 7, None), (1, 7, 7, None), (1, 9, 9, None), (1, 8, None, None), (2, 1, 4, None), (2, 2, 4, None), (3, 1, None, 1), (3, 2, 4, None), (3, 2, 4, None)]
+    got = geometry.reading_order(spark.createDataFrame(rows, "page int, block int, position int, logical int"), ["page"]).orderBy("page", "place").collect()
+    assert [(r.page, r.block, r.place) for r in got] == [(1, 5, 0), (1, 7, 1), (1, 9, 2), (1, 3, 3), (1, 8, 4), (2, 1, 0), (2, 2, 1), (3, 2, 0), (3, 2, 1), (3, 1, 2)]
+
+
 def test_geometry(spark):
     assert geometry.line_numbers([(0, 0, 10, 10), (12, 1, 20, 11), (0, 20, 10, 30), (15, 12, 25, 28)]) == [0, 0, 1, 1]
     words = spark.createDataFrame([(1, i, w, *b) for i, (w, b) in enumerate([("a", (0, 0, 10, 10)), ("b", (12, 0, 20, 10)), ("c", (0, 12, 10, 22)), ("d", (30, 40, 40, 50))])], "page int, n int, word string, x1 int, y1 int, x2 int, y2 int")
