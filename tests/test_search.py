@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quillstream.functions import python as py
@@ -209,6 +210,22 @@ def test_prefixes_of_many_copies(spark, tmp_path, monkeypatch, block):
     assert plan.index("explode(_right") < plan.index("Join") and plan.index("explode(_left") < plan.index("Join")
 
 
+def test_pairs_of_lists_leave_one_by_one(spark, tmp_path):
+    """In one step of generated code all pairs of two lists were held, a million rows of BLOCK, before the first went on. Lists don't repeat their own string."""
+    spark.createDataFrame([(i, "hot ring", None) for i in range(30)] + [(None, "hot", 1)], "n int, s string, m int").write.parquet(str(tmp_path / "s"))
+    left = spark.read.parquet(str(tmp_path / "s"))
+    found = prefixes.prefix_join(left, "s", spark.createDataFrame([("hot",), ("hot",), (None,)], "p string"), "p")
+    assert found.columns == ["n", "s", "m", "r_p"] and [t for _, t in found.dtypes] == ["int", "string", "int", "string"]
+    assert sorted(map(str, found.collect())) == sorted(str(Row(n=n, s=s, m=m, r_p="hot")) for n, s, m in map(tuple, left.collect()) for _ in range(2))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate explode(_right") < plan.index("Coalesce") < plan.index("Generate explode(_left")
+    parts = found.rdd.getNumPartitions()
+    assert parts == prefixes.prefix_join(left, "s", left.select("s"), "s").rdd.getNumPartitions() == 1
+    with pytest.MonkeyPatch.context() as m:  # as many tasks as there are dealt
+        m.setattr(prefixes, "TASK_PAIRS", 10)
+        assert prefixes.prefix_join(left, "s", spark.createDataFrame([("hot",)] * 2, "p string"), "p").rdd.getNumPartitions() == 6
+
+
 def test_hierarchies(spark):
     n = 10_000
     rows = [("x", i, i - 1 if i else None, f"p{i}") for i in range(n)] + [("y", 1, 2, "a"), ("y", 2, 1, "b"), ("y", 3, 2, "c"), ("y", 4, 77, "d"), ("y", 5, 4, "e"), ("y", 6, 6, "f"), ("y", None, 1, "g")]
