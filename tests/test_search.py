@@ -118,6 +118,41 @@ def test_align_rows(spark):
     assert told[26] == (0, 6, 3, True, 10)
 
 
+def test_tracing_back(spark, monkeypatch):
+    """An alignment is traced back in its bit sets, where a whole table of numbers was made before; both tell the same."""
+    r = random.Random(11)
+    cases = [("", ""), ("abc", ""), ("", "abc"), ("ab", "b")]
+    for k in range(800):
+        letters = ("ab", "abcd", "abcdefgh \n")[k % 3]
+        hay = "".join(r.choice(letters) for _ in range(r.randrange(40)))
+        a = r.randrange(len(hay) + 1)
+        cases.append(("".join(r.choice(letters) for _ in range(r.randrange(14))) if k % 2 else hay[a : a + r.randrange(12)].replace("a", "x"), hay))
+    told = []
+    for cells in (1 << 26, 300, -1):  # the whole table, that of an end's piece, none
+        monkeypatch.setattr(py, "TRACED", cells)
+        told.append([py.best_substring(n, h, e) for n, h in cases for e in (None, 7)])
+    assert told[0] == told[1] == told[2]
+    monkeypatch.setattr(py, "TRACED", 1 << 26)
+    monkeypatch.setattr(py, "substring_distances", None)
+    assert py.best_substring("c0lled me lshm0cl" * 20, "Call me Ishmael" * 60)[2] > 0
+
+
+@pytest.mark.parametrize("short", [0, 30, 4_096])
+def test_rows_of_short_pages(spark, monkeypatch, short):
+    """Rows of short pages meet them at once, without their grams; the results are the same with windows."""
+    monkeypatch.setattr(alignment, "SHORT", short)
+    r = random.Random(3)
+    pages = [(k, "".join(r.choice("abcdef ") for _ in range(n))) for k, n in enumerate((0, 8, 25, 31, 60, 400))] + [(9, None)]
+    rows = [(i, k, (t or "")[(a := r.randrange(len(t or "") + 1)) : a + r.randrange(40)].translate(str.maketrans("ae", "x#")), a) for i, (k, t) in enumerate(pages * 6)]
+    left, right = spark.createDataFrame(rows, "row int, k int, said string, about int"), spark.createDataFrame(pages, "k int, page string")
+    for expected in (None, "about"):
+        want = sorted((i, *py.best_substring(s, dict(pages)[k] or "", a if expected else None)) for i, k, s, a in rows)
+        assert sorted((x["row"], x["cost"], x["start"], x["length"]) for x in alignment.align_rows(left, right, ["k"], "said", "page", expected).collect()) == want
+    monkeypatch.setattr(alignment, "windows", None)
+    if short == 4_096:
+        assert alignment.align_rows(left, right, ["k"], "said", "page").count() == len(rows)
+
+
 def test_dictionary(spark, monkeypatch):
     r = random.Random(4)
     words = ["New", "York", "the", "City", "of", "Bob,", "Ann."]
